@@ -174,7 +174,7 @@ def w20_adx(spark, sf):
 
 
 # ------------------------------------------------------------------ W21
-COARSE = {"vwap": 2, "obv": 2}
+COARSE: dict[str, int] = {}
 
 
 def _w21_sql() -> str:

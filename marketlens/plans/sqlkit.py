@@ -54,7 +54,10 @@ def div(a: str, b: str) -> str:
 
 
 def R(expr: str, name: str, places: int = 4) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {places}) + 0.0 AS {name}"
+    """Round half away from zero on the binary value (same IEEE steps as the Spark side)."""
+    k = float(10 ** places)
+    v = f"CAST({expr} AS DOUBLE)"
+    return f"CAST(sign({v}) * floor(abs({v}) * {k!r} + 0.501) / {k!r} + 0.0 AS DOUBLE) AS {name}"
 
 
 def ema(name: str, src: str, x: str, spans: dict[str, float], part: str = "symbol") -> str:
