@@ -2,19 +2,21 @@
 
 pandas ``ewm(span, adjust=False)``:  y0 = x0,  y_t = q*y_{t-1} + a*x_t,
 a = 2/(span+1), q = 1-a.  Unrolled, y_t = sum_j c_j q^(t-j) x_j with c_0 = 1,
-c_j = a otherwise.  Rows are cut into blocks of B consecutive positions:
-
-1. in-block partial   p_t = q^i * sum_{j<=t in block} c_j q^-i_j x_j
-   (window over (partition, block); q^-i stays below q^-B so nothing overflows)
-2. block end value    e_b = p at the block's last row (one row per block)
-3. carry              Y_b = q^B * Y_{b-1} + e_b, folded over the last L blocks
-   (q^(B*L) < 1e-18, so the truncation is below double precision)
+c_j = a otherwise.  Positions inside a partition are cut into blocks of B rows
+(every block but the last is full):
+
+1. in-block partial  p_t = q^i * sum_{j<=t in block} c_j q^-i_j x_j
+   (ordered window over (partition, block); q^-i <= q^-(B-1), no overflow)
+2. block total       e_b = q^(B-1) * sum_{j in block} c_j q^-i_j x_j
+   (unordered window over the same (partition, block), no extra sort)
+3. carry             Y_{b-1} = sum_{k=1..L} q^(B(k-1)) e_{b-k}, where e_{b-k}
+   is ``lag(e, B*k)``: the row B*k positions back sits in block b-k.
+   L = ceil(ln 1e-18 / ln q^B) keeps the truncation below double precision.
 4. y_t = p_t + q^(i+1) * Y_{b-1}
 
-Step 4 brings each block's carry to the next block's rows without a join: the
-block rows are unioned into the row stream (the union keeps the hash
-partitioning, so no shuffle) and ``last(Y, ignorenulls)`` over the preceding
-rows picks the carry up.  Work is O(rows) plus O(rows/B * L) at block level.
+All of it runs in Window operators over the existing hash partitioning: one
+extra sort per call, no join, no union, no aggregate; O(rows * L) work with
+L = 5..9 for the usual spans.
 """
 
 from __future__ import annotations
@@ -30,14 +32,16 @@ BLOCK = 64
 _UNB = Window.unboundedPreceding
 
 
-def _fold(qb: float):
-    return lambda acc, e: acc * F.lit(qb) + e
-
-
 def _alpha(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
+def carry_blocks(span: float, block: int = BLOCK, tol: float = 1e-18) -> int:
+    """Blocks of history needed before the carry is below ``tol`` relative."""
+    qb = (1.0 - _alpha(span)) ** block
+    return 1 if qb <= 0 else max(1, int(math.ceil(math.log(tol) / math.log(qb))))
+
+
 def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]],
                 block: int = BLOCK) -> DataFrame:
     """Add one EMA column per ``name -> (source column, span)``; all share one block pass.
@@ -50,46 +54,32 @@ def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]]
     p = panel
     base = list(df.columns)
     lp = F.col(RN)
-    if p.sharded:  # local position inside the (key, shard) partition, back-halo first
-        lp = F.col(RN) - (F.col(SHARD) * p.shard_rows - p.halo_back)
-    df = df.withColumn("_lp", lp).withColumn("_b", F.floor(F.col("_lp") / block)) \
-           .withColumn("_i", F.col("_lp") % block)
-    wblk = Window.partitionBy(*p.part, "_b").orderBy("_lp").rowsBetween(_UNB, 0)
-    trivial = {}
+    if p.sharded:  # local position: every (key, shard) partition starts at 0
+        lp = F.col(RN) - F.greatest(F.col(SHARD) * p.shard_rows - p.halo_back, F.lit(0))
+    d = df.withColumn("_lp", lp).withColumn("_b", F.floor(F.col("_lp") / block)) \
+          .withColumn("_i", (F.col("_lp") % block).cast("int"))
+    w_in = Window.partitionBy(*p.part, "_b").orderBy("_lp")
+    w_run = w_in.rowsBetween(_UNB, 0)
+    w_blk = Window.partitionBy(*p.part, "_b")
+    w_lag = Window.partitionBy(*p.part).orderBy("_b", "_lp")
+    cols, tmp = {}, []
     for name, (src, span) in specs.items():
         a = _alpha(span)
         q = 1.0 - a
         if q <= 0.0:  # span 1: identity
-            trivial[name] = src
+            cols[name] = col(src)
             continue
         c = F.when(F.col(RN) == 0, F.lit(1.0)).otherwise(F.lit(a))
-        term = c * col(src) * F.pow(F.lit(q), -F.col("_i"))
-        df = df.withColumn("_p_" + name, F.pow(F.lit(q), F.col("_i")) * F.sum(term).over(wblk))
-    names = [n for n in specs if n not in trivial]
-    if names:
-        blk = df.groupBy(*p.part, "_b").agg(*[F.max_by("_p_" + n, "_lp").alias("_e_" + n) for n in names])
-        wb = Window.partitionBy(*p.part).orderBy("_b")
-        ys = []
-        for n in names:
-            q = 1.0 - _alpha(specs[n][1])
-            qb = q ** block
-            lb = 1 if qb <= 0 else max(1, int(math.ceil(math.log(1e-18) / math.log(qb))))
-            lst = F.collect_list("_e_" + n).over(wb.rowsBetween(-lb, 0))
-            ys.append(F.aggregate(lst, F.lit(0.0), _fold(qb)).alias("_Y_" + n))
-        blk = blk.select(*p.part, "_b", F.lit(1).alias("_kind"), *ys)
-        rows = df.withColumn("_kind", F.lit(0))
-        u = rows.unionByName(blk, allowMissingColumns=True)
-        wc = Window.partitionBy(*p.part).orderBy("_b", "_kind", "_lp").rowsBetween(_UNB, -1)
-        u = u.select("*", *[F.last("_Y_" + n, ignorenulls=True).over(wc).alias("_Yp_" + n) for n in names])
-        u = u.where(F.col("_kind") == 0)
-        for n in names:
-            q = 1.0 - _alpha(specs[n][1])
-            carry = F.coalesce(F.col("_Yp_" + n), F.lit(0.0)) * F.pow(F.lit(q), F.col("_i") + 1)
-            u = u.withColumn(n, F.col("_p_" + n) + carry)
-        df = u
-    for n, src in trivial.items():
-        df = df.withColumn(n, col(src))
-    return df.select(*base, *[c for c in specs if c not in base])
+        v = c * col(src) * F.pow(F.lit(q), -F.col("_i"))
+        d = d.withColumns({"_p_" + name: F.pow(F.lit(q), F.col("_i")) * F.sum(v).over(w_run),
+                           "_e_" + name: F.lit(q ** (block - 1)) * F.sum(v).over(w_blk)})
+        carry = F.lit(0.0)
+        for k in range(carry_blocks(span, block), 0, -1):
+            carry = carry * F.lit(q ** block) + F.coalesce(F.lag("_e_" + name, block * k).over(w_lag), F.lit(0.0))
+        cols[name] = F.col("_p_" + name) + F.pow(F.lit(q), F.col("_i") + 1) * carry
+        tmp += ["_p_" + name, "_e_" + name]
+    d = d.withColumns(cols).drop(*tmp, "_lp", "_b", "_i")
+    return d.select(*base, *[c for c in specs if c not in base])
 
 
 def ema(df: DataFrame, panel: Panel | None = None, col_name: str = "close", period: int = 20,
