@@ -35,10 +35,14 @@ LABEL_THRESHOLD = 0.1
 SENTIMENT_COLS = ["sentiment_positive", "sentiment_negative", "sentiment_neutral", "sentiment_score"]
 
 
+# The characters Python's ``str.split()`` treats as whitespace.
+PY_WHITESPACE = r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+
+
 def tokens(text) -> Column:
     """``text.lower().replace('#',' ').replace('@',' ').split()`` as a column expression."""
     t = F.translate(F.lower(F.coalesce(col(text), F.lit(""))), "#@", "  ")
-    return F.filter(F.split(t, r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(t, PY_WHITESPACE), lambda w: w != "")
 
 
 def keyword_sentiment(df: DataFrame, text: str = "title", positive: Sequence[str] = POSITIVE_WORDS,
