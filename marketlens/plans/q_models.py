@@ -1 +1,282 @@
-"""Registered queries."""
+"""Registered model, metric, selection and scoring queries: A16, A17, F1-F7, M1-M13, M16-M18, P4, C12.
+
+Model queries have no SQL oracle (the driver checks their rows); metrics,
+binned mutual information and the model summary projection do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketlens.functions.panel import Panel, sdiv
+from marketlens.operators import anomaly as an
+from marketlens.operators import clean as cl
+from marketlens.operators import cluster as cu
+from marketlens.operators import ensembles as en
+from marketlens.operators import evaluate as ev
+from marketlens.operators import labels as lb
+from marketlens.operators import models as md
+from marketlens.operators import score as sc
+from marketlens.operators import select as se
+from marketlens.operators import splits as sp
+from marketlens.plans.registry import query, rounded
+from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead
+from marketlens.sources.tables import level_bars, table
+
+P = Panel()
+
+# naive, model-free predictions so that metric queries have an exact oracle
+_NAIVE = f"""{BARS}, {LEVEL}, nv AS (SELECT symbol, date,
+  {lead('close', 5)} / nullif(close, 0) - 1 AS y, close / nullif({lag('close', 5)}, 0) - 1 AS prediction FROM lb),
+ok AS (SELECT * FROM nv WHERE y IS NOT NULL AND prediction IS NOT NULL),
+pos AS (SELECT *, row_number() OVER (ORDER BY date, symbol) AS p FROM ok)"""
+
+
+def _naive(spark, sf):
+    d = level_bars(spark, sf)
+    d = d.select("symbol", "date", (sdiv(P.lead("close", 5), F.col("close")) - 1).alias("y"),
+                 (sdiv(F.col("close"), P.lag("close", 5)) - 1).alias("prediction"))
+    return d.dropna(subset=["y", "prediction"])
+
+
+@query("a16_regression_metrics", f"""WITH {_NAIVE},
+pr AS (SELECT a.y, a.prediction, b.y AS py, b.prediction AS pp FROM pos a JOIN pos b ON a.p = b.p + 1)
+SELECT {R('sqrt(avg((y - prediction) ^ 2))', 'rmse')}, {R('avg(abs(y - prediction))', 'mae')},
+  {R('1 - sum((y - prediction) ^ 2) / (var_pop(y) * count(*))', 'r2')},
+  {R('avg(abs((y - prediction) / nullif(y, 0))) * 100', 'mape')},
+  {R('(SELECT 100.0 * count_if(sign(y - py) = sign(prediction - pp)) / count(*) FROM pr)', 'directional_accuracy')}
+FROM ok""")
+def a16_regression_metrics(spark, sf):
+    """A16 for a momentum forecast of the 5-row forward return (successive pairs in date order)."""
+    return rounded(ev.regression_metrics(_naive(spark, sf), "y", "prediction"))
+
+
+@query("a17_classification_metrics", f"""WITH {_NAIVE},
+c AS (SELECT CASE WHEN y > 0 THEN 1 ELSE 0 END AS label, CASE WHEN prediction > 0 THEN 1 ELSE 0 END AS pred FROM ok),
+k AS (SELECT cls, (SELECT count(*) FROM c WHERE label = cls) AS sup, (SELECT count(*) FROM c WHERE pred = cls) AS np,
+        (SELECT count(*) FROM c WHERE label = cls AND pred = cls) AS tp FROM (VALUES (0), (1)) v(cls)),
+m AS (SELECT *, CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS pr, CASE WHEN sup > 0 THEN tp / sup ELSE 0.0 END AS rc FROM k)
+SELECT {R('sum(tp) / sum(sup)', 'accuracy')}, {R('sum(pr * sup) / sum(sup)', 'precision')},
+  {R('sum(rc * sup) / sum(sup)', 'recall')},
+  {R('sum(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END * sup) / sum(sup)', 'f1')} FROM m""")
+def a17_classification_metrics(spark, sf):
+    """Momentum-sign direction call vs the realised 5-row direction."""
+    d = _naive(spark, sf).select(F.when(F.col("y") > 0, 1).otherwise(0).alias("label"),
+                                 F.when(F.col("prediction") > 0, 1).otherwise(0).alias("pred"))
+    return rounded(ev.classification_metrics(d, "label", "pred"))
+
+
+@query("p4_model_summary", f"""WITH {_NAIVE},
+reg AS (SELECT 1 - sum((y - prediction) ^ 2) / (var_pop(y) * count(*)) AS r2 FROM ok),
+cls AS (SELECT avg(CASE WHEN (y > 0) = (prediction > 0) THEN 1.0 ELSE 0.0 END) AS acc FROM ok)
+SELECT 'momentum_regressor' AS model, {R('greatest(r2, 0.0)', 'score')}, true AS is_champion FROM reg
+UNION ALL SELECT 'momentum_classifier', {R('acc', 'score')}, false FROM cls""")
+def p4_model_summary(spark, sf):
+    """score = accuracy for classifiers, max(0, r2) for regressors; the champion first."""
+    d = _naive(spark, sf)
+    reg = ev.regression_metrics(d, "y", "prediction").select(F.lit("momentum_regressor").alias("model"), "r2",
+                                                             F.lit(None).cast("double").alias("accuracy"))
+    lab = d.select(F.when(F.col("y") > 0, 1).otherwise(0).alias("label"),
+                   F.when(F.col("prediction") > 0, 1).otherwise(0).alias("pred"))
+    cls = ev.classification_metrics(lab, "label", "pred").select(
+        F.lit("momentum_classifier").alias("model"), F.lit(None).cast("double").alias("r2"), "accuracy")
+    out = sc.model_summary(reg.unionByName(cls), champion="momentum_regressor")
+    return rounded(out.select("model", "score", "is_champion"))
+
+
+# ------------------------------------------------------------------ training set shared by model queries
+FEATS = ["close_lag_1", "close_rolling_5_mean", "close_rolling_20_std", "momentum_5", "roc_10", "return_20",
+         "volatility_10", "cv_20", "hl_range_5", "price_position", "tr_ratio", "volume_ma_ratio_5_20",
+         "money_flow_index", "trend_5", "consecutive_up", "close_pct_from_ma20", "close_52w_high_pct"]
+
+
+def _train_test(spark, sf):
+    d = lb.supervised_targets(level_bars(spark, sf), P)
+    d = cl.replace_inf_fill(d, [f for f in FEATS if dict(d.dtypes)[f] == "double"])
+    d = d.withColumn("y", F.col("target_return"))
+    d = sp.ordered_split(d, (0.8, 0.2), ("train", "test")).cache()
+    return d.where("split = 'train'"), d.where("split = 'test'")
+
+
+def _preds(model, test, name):
+    return model.transform(test).select(F.lit(name).alias("model"), "symbol", "date", "y", "prediction")
+
+
+@query("m1_m2_tree_regressors")
+def m1_m2_tree_regressors(spark, sf):
+    """M1 boosted trees (with a validation flag for early stopping) and M2 forest; test predictions."""
+    tr, te = _train_test(spark, sf)
+    tr = tr.withColumn("_val", F.col(sp.POS) >= F.lit(int(tr.count() * 0.85)))
+    gbt = md.boosted_regressor(FEATS, "y", "xgboost", validation_col="_val", maxIter=20, maxDepth=4).fit(tr)
+    rf = md.forest_regressor(FEATS, "y", num_trees=30, max_depth=8).fit(tr)
+    return _preds(gbt, te, "boosted_trees").unionByName(_preds(rf, te, "random_forest"))
+
+
+@query("m3_direction_classifiers")
+def m3_direction_classifiers(spark, sf):
+    """M3: forest on Up/Down/Neutral string labels and boosted trees on binary up/down."""
+    tr, te = _train_test(spark, sf)
+    tr, te = (x.withColumn("up", (F.col("y") > 0).cast("double")) for x in (tr, te))
+    rf = md.direction_classifier(FEATS, "target_direction", "forest", 3, string_labels=True, numTrees=30,
+                                 maxDepth=6).fit(tr)
+    gb = md.direction_classifier(FEATS, "up", "boosted", 2, maxIter=15, maxDepth=3).fit(tr)
+    a = rf.transform(te).select(F.lit("forest_3class").alias("model"), "symbol", "date",
+                                F.col("_label_idx").alias("label"), "prediction")
+    b = gb.transform(te).select(F.lit("boosted_binary").alias("model"), "symbol", "date",
+                                F.col("up").alias("label"), "prediction")
+    return a.unionByName(b)
+
+
+@query("m4_ridge")
+def m4_ridge(spark, sf):
+    """M4: ridge (alpha 1) with sklearn's objective mapped to Spark's parameters."""
+    tr, te = _train_test(spark, sf)
+    return _preds(md.fit_ridge(tr, FEATS, "y", 1.0), te, "ridge")
+
+
+@query("m5_m8_ensembles")
+def m5_m8_ensembles(spark, sf):
+    """M5 stacking (out-of-fold + ridge-CV), M6 voting, M7 blending, built through the M8 factory."""
+    tr, te = _train_test(spark, sf)
+    tr, te = (x.withColumn("_row", F.col(sp.POS)) for x in (tr, te))
+    bases = en.default_bases(light=True)
+    out = None
+    for kind in ("stacking", "voting", "blending"):
+        m = en.create_ensemble(kind, features=FEATS, y="y", key="_row", bases=bases).fit(tr.drop(sp.POS, "split"))
+        p = m.predict(te.drop(sp.POS, "split")).select(F.lit(kind).alias("model"), "symbol", "date", "y", "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _ridge_fp(train, test):
+    return md.fit_ridge(train, FEATS, "y", 1.0).transform(test).drop(md.FEATURES)
+
+
+@query("m9_time_series_cv")
+def m9_time_series_cv(spark, sf):
+    """M9: 5 expanding folds; mean and population std of rmse / mae / r2."""
+    tr, te = _train_test(spark, sf)
+    d = tr.unionByName(te).drop(sp.POS, "split")
+    return ev.time_series_cv(d, _ridge_fp, "y", 5)
+
+
+@query("m10_walk_forward")
+def m10_walk_forward(spark, sf):
+    """5 walk-forward folds of 30 rows with a gap of 5; pooled predictions with the fold id."""
+    tr, te = _train_test(spark, sf)
+    d = tr.unionByName(te).drop(sp.POS, "split")
+    preds, _ = ev.walk_forward(d, _ridge_fp, "y", n_splits=5, test_size=30, gap=5)
+    return preds.select("fold", "symbol", "date", "y", "prediction")
+
+
+@query("m16_m17_m18_importance_champion_card")
+def m16_m17_m18_importance_champion_card(spark, sf):
+    """M16 importances (mean over tree models), M17 champion by test rmse, M18 model card JSON."""
+    tr, te = _train_test(spark, sf)
+    rf = md.forest_regressor(FEATS, "y", num_trees=30, max_depth=6).fit(tr)
+    gb = md.boosted_regressor(FEATS, "y", "lightgbm", maxIter=10, maxDepth=3).fit(tr)
+    imp = ev.mean_importance([ev.feature_importance(rf, FEATS, spark), ev.feature_importance(gb, FEATS, spark)])
+    mets = None
+    for name, m in (("random_forest", rf), ("lightgbm_preset", gb)):
+        x = ev.regression_metrics(m.transform(te).select("symbol", "date", "y", "prediction"))
+        x = x.withColumn("model", F.lit(name))
+        mets = x if mets is None else mets.unionByName(x)
+    champ = ev.champion(mets, "rmse")
+    card = ev.model_card(mets, imp, tr.count(), te.count(), champ)
+    return imp.withColumn("champion", F.lit(champ)).withColumn("model_card", F.lit(card))
+
+
+_EMB_DIM = 64
+
+
+def _emb(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", "label", "embedding",
+                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_EMB_DIM)])
+
+
+@query("m12_isolation_forest")
+def m12_isolation_forest(spark, sf):
+    """100 trees of 256 samples, contamination 0.1, over the embedding vectors."""
+    d = _emb(spark, sf)
+    out = an.isolation_forest(d.drop("embedding"), [f"e{i}" for i in range(_EMB_DIM)], "vec_id")
+    return out.select("vec_id", "label", "anomaly_score", "anomaly")
+
+
+@query("m13_kmeans")
+def m13_kmeans(spark, sf):
+    """k=5, 300 iterations, best of 10 starts on z-scored embeddings; inertia and silhouette."""
+    pred, info = cu.kmeans_clusters(table(spark, sf, "embeddings"), "embedding", k=5, max_iter=300, n_init=10)
+    return pred.select("vec_id", "label", "cluster", F.lit(info["inertia"]).alias("inertia"),
+                       F.lit(info["silhouette_squared_euclidean"]).alias("silhouette_squared_euclidean"))
+
+
+# ------------------------------------------------------------------ selection
+_SEL = ["ret_1", "ret_5", "hl", "vol_chg"]
+
+
+def _sel_frame(spark, sf):
+    from marketlens.plans.q_analytics import _a11_frame
+    return _a11_frame(spark, sf)
+
+
+def _mi_sql() -> str:
+    probs = "[" + ", ".join(str(i / 10) for i in range(1, 10)) + "]"
+    imp = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM f)) AS {c}" for c in [*_SEL, "target"])
+    cols = [*_SEL, "target"]
+    bounds = ", ".join(f"quantile_cont({c}, {probs}) AS q_{c}" for c in cols)
+    bins = ", ".join(f"len(list_filter(q_{c}, lambda b: b < {c})) AS b_{c}" for c in cols)
+    per = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, b_{c} AS xb, b_target AS yb FROM bd" for c in _SEL)
+    from marketlens.plans.q_analytics import _A11
+    return f"""WITH {_A11}, im AS (SELECT {imp} FROM f), qb AS (SELECT {bounds} FROM im),
+bd AS (SELECT {bins} FROM im, qb), lg AS ({per}),
+j AS (SELECT feature, xb, yb, count(*) AS nxy FROM lg GROUP BY 1, 2, 3),
+k AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, xb) AS nx,
+        sum(nxy) OVER (PARTITION BY feature, yb) AS ny FROM j)
+SELECT feature, {R('sum(nxy / n * ln(nxy * n / (nx * ny)))', 'score')} FROM k GROUP BY feature"""
+
+
+@query("f1_mutual_information", _mi_sql())
+def f1_mutual_information(spark, sf):
+    """F1 (binned estimator): decile bins of each feature and of the forward return, one grouped count."""
+    return rounded(se.mutual_information(_sel_frame(spark, sf), _SEL, "target"))
+
+
+@query("f2_f3_f6_f7_selection")
+def f2_f3_f6_f7_selection(spark, sf):
+    """F2 correlation filter, F3 variance filter, F6 combined, each as an F7 importance table."""
+    d = _sel_frame(spark, sf).dropna()
+    d = d.withColumn("ret_1_copy", F.col("ret_1") * 2.0).withColumn("flat", F.lit(1.0))
+    feats = [*_SEL, "ret_1_copy", "flat"]
+    out = None
+    for name, (sel, scores) in {"correlation": se.select_correlation(d, feats, "target", 3),
+                                "variance": se.select_variance(d, feats, "target", 3),
+                                "combined": se.select_combined(d, feats, "target", 3)}.items():
+        t = se.importance_table(scores, sel).withColumn("method", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("f4_f5_lasso_rfecv")
+def f4_f5_lasso_rfecv(spark, sf):
+    """F4 lasso with 5-fold CV over an alpha grid; F5 recursive elimination (forest, 5 folds, min 2)."""
+    d = _sel_frame(spark, sf).dropna()
+    sel4, s4 = se.select_lasso(d, _SEL, "target", 3, alphas=(1e-5, 1e-4, 1e-3))
+    sel5, s5 = se.select_rfecv(d, _SEL, "target", min_features=2, num_trees=10, max_depth=4)
+    return se.importance_table(s4, sel4).withColumn("method", F.lit("lasso")).unionByName(
+        se.importance_table(s5, sel5).withColumn("method", F.lit("rfecv")))
+
+
+@query("c12_feature_cache")
+def c12_feature_cache(spark, sf):
+    """Materialise-once feature set keyed by function, content fingerprint and arguments."""
+    from marketlens.operators.cache import FeatureCache
+    from marketlens.operators.features import engineer_features
+    from marketlens.session import checkpoint_dir
+    cache = FeatureCache(f"{checkpoint_dir(spark)}/feature-cache")
+    bars = level_bars(spark, sf)
+    first = cache.get_or_compute(bars, engineer_features, panel=P)
+    again = cache.get_or_compute(bars, engineer_features, panel=P)
+    return again.select("symbol", "date", "close", "close_lag_1", "trend_5").withColumn(
+        "cache_hits", F.lit(cache.stats()["hits"])).withColumn("same_path", F.lit(first.inputFiles() == again.inputFiles()))
