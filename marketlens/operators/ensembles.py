@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators import models as md
 from marketlens.operators import splits as sp
+from marketlens.session import cut_lineage
 
 BaseFactory = Callable[[Sequence[str], str], Pipeline]
 META_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
@@ -35,22 +37,66 @@ def _predict_as(model, df: DataFrame, name: str, key: str) -> DataFrame:
     return model.transform(df).select(key, F.col("prediction").alias(name))
 
 
-def _meta_cv(oof: DataFrame, cols: Sequence[str], y: str, alphas=META_ALPHAS, k: int = 5) -> float:
-    """Pick the ridge alpha by contiguous k-fold CV on the out-of-fold matrix."""
-    folded = sp.contiguous_folds(oof, k, ts="_row", keys=[]).cache()
+def fold_moments(df: DataFrame, cols: Sequence[str], y: str, fold: str = "fold") -> dict:
+    """Per-fold sufficient statistics (n, sums, cross products) in ONE grouped aggregate."""
+    xs = [F.col(c) for c in cols]
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(F.col(y) * F.col(y)).alias("syy")]
+    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(x * F.col(y)).alias(f"sxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(len(xs))]
+    out = {}
+    for r in df.groupBy(fold).agg(*aggs).collect():
+        p = len(cols)
+        out[r[fold]] = (float(r["n"]), float(r["sy"]), float(r["syy"]),
+                        np.array([r[f"sx{i}"] for i in range(p)], float),
+                        np.array([r[f"sxy{i}"] for i in range(p)], float),
+                        np.array([[r[f"sxx{i}_{j}"] for j in range(p)] for i in range(p)], float))
+    return out
+
+
+def _ridge_solve(m, alpha: float):
+    """sklearn ridge (intercept unpenalised) from moments: returns (w, b)."""
+    n, sy, _, sx, sxy, sxx = m
+    xbar, ybar = sx / n, sy / n
+    cxx = sxx - n * np.outer(xbar, xbar)
+    cxy = sxy - n * xbar * ybar
+    w = np.linalg.solve(cxx + alpha * np.eye(len(sx)), cxy)
+    return w, ybar - xbar @ w
+
+
+def _sse(m, w, b) -> float:
+    n, sy, syy, sx, sxy, sxx = m
+    return float(syy - 2 * b * sy - 2 * w @ sxy + n * b * b + 2 * b * w @ sx + w @ sxx @ w)
+
+
+def _meta_cv(moments: dict, alphas=META_ALPHAS) -> float:
+    """Pick the ridge alpha by k-fold CV computed exactly from per-fold moments."""
+    def tot(ms):
+        return tuple(sum(x) if not isinstance(x[0], np.ndarray) else sum(x[1:], x[0]) for x in zip(*ms))
     best = None
     for a in alphas:
         sse = 0.0
-        for f in range(k):
-            tr, te = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
-            m = md.fit_ridge(tr, cols, y, a)
-            e = m.transform(te).select(((F.col(y) - F.col("prediction")) ** 2).alias("e"))
-            sse += float(e.agg(F.sum("e")).first()[0] or 0.0)
+        for f, mf in moments.items():
+            w, b = _ridge_solve(tot([m for g, m in moments.items() if g != f]), a)
+            sse += _sse(mf, w, b)
         if best is None or sse < best[1]:
             best = (a, sse)
     return best[0]
 
 
+class MomentRidge:
+    """Fitted ridge meta-learner applied as a column expression."""
+
+    def __init__(self, cols, w, b):
+        self.cols, self.w, self.b = list(cols), w, b
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        e = F.lit(float(self.b))
+        for c, wi in zip(self.cols, self.w):
+            e = e + F.col(c) * F.lit(float(wi))
+        return df.withColumn("prediction", e)
+
+
 class Stacking:
     """M5: out-of-fold base predictions (contiguous, unshuffled folds) -> ridge-CV meta-learner.
 
@@ -65,7 +111,7 @@ class Stacking:
         self.time_aware, self.alphas = time_aware, alphas
 
     def fit(self, df: DataFrame) -> "Stacking":
-        d = sp.contiguous_folds(df, self.k, ts=self.key, keys=[]).cache()
+        d = cut_lineage(sp.contiguous_folds(df, self.k, ts=self.key, keys=[]))
         oof = None
         for f in range(self.k):
             tr = d.where(F.col("fold") < f) if self.time_aware else d.where(F.col("fold") != f)
@@ -77,10 +123,12 @@ class Stacking:
                 p = _predict_as(make(self.features, self.y).fit(tr), te, name, self.key)
                 preds = p if preds is None else preds.join(p, self.key)
             oof = preds if oof is None else oof.unionByName(preds)
-        oof = oof.join(d.select(self.key, self.y), self.key).cache()
+        oof = oof.join(d.select(self.key, self.y, "fold"), self.key)
         names = list(self.bases)
-        self.alpha_ = _meta_cv(oof, names, self.y, self.alphas)
-        self.meta_ = md.fit_ridge(oof, names, self.y, self.alpha_)
+        moments = fold_moments(oof, names, self.y)
+        self.alpha_ = _meta_cv(moments, self.alphas)
+        total = tuple(sum(x) if not isinstance(x[0], np.ndarray) else sum(x[1:], x[0]) for x in zip(*moments.values()))
+        self.meta_ = MomentRidge(names, *_ridge_solve(total, self.alpha_))
         self.models_ = {n: make(self.features, self.y).fit(d) for n, make in self.bases.items()}
         return self
 
@@ -91,7 +139,7 @@ class Stacking:
         return out
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.meta_.transform(self.base_predictions(df)).drop(md.FEATURES)
+        return self.meta_.transform(self.base_predictions(df))
 
 
 class Voting:
