@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call-site capture for error messages costs a stack walk per expression built in Python
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
