@@ -280,3 +280,12 @@ def c12_feature_cache(spark, sf):
     again = cache.get_or_compute(bars, engineer_features, panel=P)
     return again.select("symbol", "date", "close", "close_lag_1", "trend_5").withColumn(
         "cache_hits", F.lit(cache.stats()["hits"])).withColumn("same_path", F.lit(first.inputFiles() == again.inputFiles()))
+
+
+@query("m11_expanding_backtest")
+def m11_expanding_backtest(spark, sf):
+    """Ridge refitted every 20 rows from row 100 (exact, from block moments), scored block by block."""
+    tr, te = _train_test(spark, sf)
+    d = tr.unionByName(te).drop(sp.POS, "split")
+    out = ev.expanding_ridge_backtest(d, FEATS, "y", 1.0, 100, 20)
+    return out.select("refit", "symbol", "date", "y", "prediction")
