@@ -218,9 +218,18 @@ def validate(df: DataFrame, data_type: str, **kw) -> DataFrame:
     return fn(df, **kw)
 
 
-def validate_files(spark, path: str, data_type: str = "stocks", **kw) -> DataFrame:
-    """One scan of every file under ``path``; one report row per file (``_metadata.file_path``)."""
-    df = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+def validate_files(spark, path: str, data_type: str = "stocks", keys_from_path: bool = False, **kw) -> DataFrame:
+    """One scan of every file under ``path``; one report row per file (``_metadata.file_path``).
+
+    An empty tree gives a single error row.  ``keys_from_path`` keeps partition
+    columns (e.g. ``symbol=``) discovered from the folder names.
+    """
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no files: an error report, as the reference
+        return spark.createDataFrame([(path, [f"No files found in {path}"], False)],
+                                     "file string, errors array<string>, is_valid boolean")
+    df = df.withColumn("file", F.col("_metadata.file_path"))
     if data_type == "stocks":
         return stock_contract(df, keys=("file",), **kw)
     return CONTRACTS[data_type](df.drop("file"), **kw)

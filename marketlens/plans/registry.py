@@ -51,4 +51,4 @@ def rounded(df: DataFrame, places: int = 4, coarse: dict[str, int] | None = None
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from marketlens.plans import q_indicators, q_data, q_features, q_text, q_analytics, q_models, q_stream  # noqa: F401
+    from marketlens.plans import q_indicators, q_data, q_features, q_text, q_analytics, q_models, q_stream, q_io  # noqa: F401

@@ -80,6 +80,19 @@ def save_partitioned(df: DataFrame, base: str, data_type: str, date_col: str = "
     return out
 
 
+def save_json_arrays(df: DataFrame, base: str, data_type: str, date_col: str = "date") -> str:
+    """One JSON array of records per date folder (``{base}/{type}/date=.../part-*``).
+
+    Records of one date form one array, as the reference writes one list per
+    request date; a date's records are bounded by what one day delivers.
+    """
+    out = f"{base}/{data_type}"
+    cols = [c for c in df.columns if c != date_col]
+    g = df.groupBy(F.col(date_col).alias("date")).agg(F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+    g.write.mode("overwrite").partitionBy("date").text(out)
+    return out
+
+
 def write_feature_store(df: DataFrame, base: str, run_date: str) -> tuple[str, str]:
     """Write ``features/run_date=...`` and overwrite ``features/latest``."""
     dated = f"{base}/features/run_date={run_date}"
