@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 RN = "_rn"
 SHARD = "_shard"
 HALO = "_halo"
+LP = "_lp"      # position inside the (key[, shard]) partition, 0-based
+BLK = "_b"      # block of BLOCK consecutive positions (EMA block scan)
+BLOCK = 64
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
@@ -60,6 +63,7 @@ class Panel:
     halo_back: int = 1024
     halo_fwd: int = 32
     bucket: str = "month"  # date_trunc unit used to count positions when sharded
+    positional: bool = False  # order windows by (block, position) on prepared frames
 
     # ----------------------------------------------------------------- layout
     @property
@@ -71,8 +75,25 @@ class Panel:
         return [*self.keys] + ([SHARD] if self.sharded else [])
 
     def order(self) -> list[Column]:
+        if self.positional:  # same row sequence as time order; shares the EMA block sort
+            return [F.col(BLK), F.col(LP)]
         return [F.col(self.ts), *[F.col(c) for c in self.tiebreak]]
 
+    def at_positions(self) -> "Panel":
+        from dataclasses import replace
+        return self if self.positional else replace(self, positional=True)
+
+    def time_ordered(self) -> "Panel":
+        from dataclasses import replace
+        return replace(self, positional=False) if self.positional else self
+
+    def add_positions(self, df: DataFrame) -> DataFrame:
+        """``_lp`` / ``_b`` from ``_rn`` (every partition starts at 0, all blocks but the last full)."""
+        lp = F.col(RN)
+        if self.sharded:
+            lp = F.col(RN) - F.greatest(F.col(SHARD) * self.shard_rows - self.halo_back, F.lit(0))
+        return df.withColumn(LP, lp).withColumn(BLK, F.floor(F.col(LP) / BLOCK))
+
     def w(self) -> Window:
         return Window.partitionBy(*self.part).orderBy(*self.order())
 
@@ -115,9 +136,10 @@ class Panel:
     def prepare(self, df: DataFrame) -> DataFrame:
         """Add ``_rn`` (0-based position within key) and, when sharded, shard + halo rows."""
         if RN in df.columns:
-            return df
+            return df if LP in df.columns else self.add_positions(df)
         if not self.sharded:
-            return df.withColumn(RN, F.row_number().over(self.w()) - 1)
+            wt = Window.partitionBy(*self.part).orderBy(*self.time_ordered().order())
+            return self.add_positions(df.withColumn(RN, F.row_number().over(wt) - 1))
         if self.shard_rows < max(self.halo_back, self.halo_fwd, 252):
             raise ValueError("shard_rows must exceed the halo and the longest look-back")
         bk = "_bk"
@@ -128,7 +150,7 @@ class Panel:
             F.coalesce(F.sum("_n").over(Window.partitionBy(*self.keys).orderBy(bk)
                                         .rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"))
         df = df.join(offs, [*self.keys, bk], "inner")
-        wb = Window.partitionBy(*self.keys, bk).orderBy(*self.order())
+        wb = Window.partitionBy(*self.keys, bk).orderBy(*self.time_ordered().order())
         df = df.withColumn(RN, F.col("_off") + F.row_number().over(wb) - 1).drop(bk, "_off")
         s, hb, hf = self.shard_rows, self.halo_back, self.halo_fwd
         own = F.floor(F.col(RN) / s)
@@ -138,16 +160,29 @@ class Panel:
             F.when(off >= s - hb, own + 1),
             F.when((off < hf) & (own > 0), own - 1)))
         df = df.withColumn(SHARD, F.explode(shards)).withColumn(HALO, F.col(SHARD) != own)
-        return df.repartition(*[F.col(c) for c in self.part])
+        return self.add_positions(df.repartition(*[F.col(c) for c in self.part]))
 
     def finish(self, df: DataFrame, keep_rn: bool = False) -> DataFrame:
         if self.sharded:
             df = df.where(~F.col(HALO)).drop(SHARD, HALO)
+        df = df.drop(LP, BLK)
         return df if keep_rn else df.drop(RN)
 
     def apply(self, df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
         return self.finish(fn(self.prepare(df)))
 
+    def run(self, df: DataFrame, fn, positional: bool = False) -> DataFrame:
+        """Run ``fn(prepared_df, panel)``; finish only if the frame was prepared here.
+
+        ``positional=True`` (operators with EMAs) orders every window by (block,
+        position), the order the EMA block windows need, so all windows share
+        one sort; otherwise windows keep time order and share the position sort.
+        """
+        pp = self.at_positions() if positional else self
+        if RN in df.columns:
+            return fn(df if LP in df.columns else self.add_positions(df), pp)
+        return self.finish(fn(self.prepare(df), pp))
+
     def carry(self, df: DataFrame, sums: Iterable[str] = (), maxes: Iterable[str] = ()) -> DataFrame:
         """Stitch running sums / maxima computed per shard into per-key totals.
 

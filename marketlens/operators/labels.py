@@ -75,7 +75,7 @@ def meta_labels(df: DataFrame, prediction: str, actual: str, out: str = "meta_la
 
 def create_targets(df: DataFrame, panel: Panel = _P, close: str = "close") -> DataFrame:
     """W28 + W29 + W30 in one pass."""
-    def run(d):
+    def run(d, panel):
         d = forward_returns(d, panel, close)
         d = direction_labels(d)
         return triple_barrier(d, panel, close)
@@ -90,7 +90,7 @@ def supervised_targets(df: DataFrame, panel: Panel = _P, close: str = "close", h
     from marketlens.operators.features import engineer_features
     feats = engineer_features(df, panel).dropna()
 
-    def run(d):
+    def run(d, panel):
         d = d.withColumn("target_return", sdiv(panel.lead(close, horizon), col(close)) - F.lit(1.0))
         return d.withColumn("target_direction", target_direction("target_return"))
     return _with_panel(feats, panel, run).where(F.col("target_return").isNotNull())

@@ -26,9 +26,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.panel import HALO, RN, SHARD, Panel, col
+from marketlens.functions.panel import BLK, BLOCK as BLOCK_P, HALO, LP, RN, SHARD, Panel, col
 
-BLOCK = 64
+BLOCK = BLOCK_P
 _UNB = Window.unboundedPreceding
 
 
@@ -53,15 +53,14 @@ def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]]
         return df
     p = panel
     base = list(df.columns)
-    lp = F.col(RN)
-    if p.sharded:  # local position: every (key, shard) partition starts at 0
-        lp = F.col(RN) - F.greatest(F.col(SHARD) * p.shard_rows - p.halo_back, F.lit(0))
-    d = df.withColumn("_lp", lp).withColumn("_b", F.floor(F.col("_lp") / block)) \
-          .withColumn("_i", (F.col("_lp") % block).cast("int"))
-    w_in = Window.partitionBy(*p.part, "_b").orderBy("_lp")
+    d = df if LP in df.columns else p.add_positions(df)
+    if block != BLOCK_P:
+        raise ValueError(f"block size must be the panel block {BLOCK_P}")
+    d = d.withColumn("_i", (F.col(LP) % block).cast("int"))
+    w_in = Window.partitionBy(*p.part, BLK).orderBy(LP)
     w_run = w_in.rowsBetween(_UNB, 0)
-    w_blk = Window.partitionBy(*p.part, "_b")
-    w_lag = Window.partitionBy(*p.part).orderBy("_b", "_lp")
+    w_blk = Window.partitionBy(*p.part, BLK)
+    w_lag = Window.partitionBy(*p.part).orderBy(BLK, LP)   # = the positional panel order
     cols, tmp = {}, []
     for name, (src, span) in specs.items():
         a = _alpha(span)
@@ -78,7 +77,7 @@ def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]]
             carry = carry * F.lit(q ** block) + F.coalesce(F.lag("_e_" + name, block * k).over(w_lag), F.lit(0.0))
         cols[name] = F.col("_p_" + name) + F.pow(F.lit(q), F.col("_i") + 1) * carry
         tmp += ["_p_" + name, "_e_" + name]
-    d = d.withColumns(cols).drop(*tmp, "_lp", "_b", "_i")
+    d = d.withColumns(cols).drop(*tmp, "_i")
     return d.select(*base, *[c for c in specs if c not in base])
 
 
@@ -88,19 +87,17 @@ def ema(df: DataFrame, panel: Panel | None = None, col_name: str = "close", peri
     panel = panel or Panel()
     out = out or f"ema_{period}"
 
-    def run(d):
+    def run(d, panel):
         d = ema_columns(d, panel, {out: (col_name, period)})
         if fillna:
             d = d.withColumn(out, F.coalesce(F.col(out), F.col(col_name)))
         return d
-    return _with_panel(df, panel, run)
+    return _with_panel(df, panel, run, positional=True)
 
 
-def _with_panel(df: DataFrame, panel: Panel, fn):
-    """Run ``fn`` on a prepared panel; finish only if we prepared it here."""
-    if RN in df.columns:
-        return fn(df)
-    return panel.finish(fn(panel.prepare(df)))
+def _with_panel(df: DataFrame, panel: Panel, fn, positional: bool = False):
+    """Run ``fn(prepared_df, panel)``; see ``Panel.run``."""
+    return panel.run(df, fn, positional)
 
 
 __all__ = ["ema_columns", "ema", "BLOCK", "HALO"]

@@ -25,7 +25,7 @@ def rule_regime(df: DataFrame, panel: Panel = _P, price: str = "close", fast: in
     """Bull if sma_fast > sma_slow and vol < 1.5 * mean50(vol); bear if below; else sideways."""
     p = panel
 
-    def run(d):
+    def run(d, p):
         d = d.withColumn("_r", sdiv(col(price), p.lag(price)) - F.lit(1.0))
         d = d.withColumns({"_f": p.roll(F.avg, price, fast), "_s": p.roll(F.avg, price, slow),
                            "_v": p.roll(F.stddev_samp, "_r", vol_window)})
@@ -46,7 +46,7 @@ def regime_features(df: DataFrame, panel: Panel = _P, returns: str = "returns",
     """Returns, lags 1-2, volatility (given or std20), its pct change, 5/20 means; rows with NULL dropped."""
     p = panel
 
-    def run(d):
+    def run(d, p):
         vol = col(volatility) if volatility else p.roll(F.stddev_samp, returns, 20)
         d = d.withColumns({"returns_lag1": p.lag(returns, 1), "returns_lag2": p.lag(returns, 2),
                            "volatility": vol})
