@@ -111,6 +111,32 @@ class Panel:
         f = self.frame(n)
         return F.when(F.count(x).over(f) == F.lit(n), fn(x).over(f))
 
+    def with_rolling_extreme(self, df: DataFrame, x: str, n: int, out: str, kind: str = "max") -> DataFrame:
+        """``rolling(n).max()/.min()`` for long frames by doubling, exact and O(log n) per row.
+
+        Spark re-aggregates a sliding frame for every row (O(n) each).  Here
+        M_1 = x and M_2k(t) = ext(M_k(t), M_k(t-k)) (one lag per level, all in
+        the panel's own order, so no new sort); the frame [t-n+1, t] is
+        ext(M_K(t), M_K(t-(n-K))) with K the largest power of two <= n.  The
+        "n non-null values" rule is a difference of running counts.
+        Each level is its own Window operator, so this pays off only for frames
+        of thousands of rows; at 252 rows the plain frame measured faster.
+        """
+        ext = F.greatest if kind == "max" else F.least
+        d = df.withColumn("_m1", F.col(x))
+        k, cur = 1, "_m1"
+        while 2 * k <= n:
+            nxt = f"_m{2 * k}"
+            d = d.withColumn(nxt, ext(F.col(cur), self.lag(cur, k)))
+            k, cur = 2 * k, nxt
+        tail = n - k
+        val = ext(F.col(cur), self.lag(cur, tail)) if tail > 0 else F.col(cur)
+        cnt = F.count(F.col(x)).over(self.w().rowsBetween(_UNB, 0))
+        d = d.withColumn("_cnt", cnt)
+        ok = (F.col("_cnt") - F.coalesce(self.lag("_cnt", n), F.lit(0))) == F.lit(n)
+        d = d.withColumn(out, F.when(ok, val))
+        return d.drop(*[c for c in d.columns if c.startswith("_m") and c[2:].isdigit()], "_cnt")
+
     def lag(self, x, k: int = 1) -> Column:
         return F.lag(col(x), k).over(self.w())
 
