@@ -1,4 +1,8 @@
-"""Grouped aggregates and keyed joins: A1, A15, A18, A19, J1-J3, J5-J6, U1-U2."""
+"""Grouped aggregates and keyed joins: A1, A15, A18, A19, J2, J3, J6, U1-U2.
+
+J5 (pairs of assets per date) is not built as a join: correlations use one
+aggregate over a pivot (``operators/corr.py``), so no pair rows are emitted.
+"""
 
 from __future__ import annotations
 
@@ -73,18 +77,6 @@ def union_dedup(frames: Sequence[DataFrame], key: str = "url", order: Sequence =
     return distinct_on(union_all(frames), [key], order)
 
 
-def pair_join(df: DataFrame, key: str = "symbol", on: str = "date", value: str = "ret") -> DataFrame:
-    """Every unordered pair of keys observed on the same ``on`` value.
-
-    Output size is sum over dates of k(k-1)/2 for k keys on that date: the
-    pairs are the result itself (cross-asset statistics), not an intermediate
-    of some other operator.
-    """
-    a = df.select(F.col(on), F.col(key).alias("asset1"), F.col(value).alias("v1"))
-    b = df.select(F.col(on), F.col(key).alias("asset2"), F.col(value).alias("v2"))
-    return a.join(b, on, "inner").where(F.col("asset1") < F.col("asset2"))
-
-
 def calendar_spine(df: DataFrame, ts: str, unit: str = "day", keys: Sequence[str] = ()) -> DataFrame:
     """Every period between the first and last one (per key), for a left join."""
     step = {"day": "1 day", "week": "7 days"}[unit]
@@ -98,4 +90,4 @@ def left_attach(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame
 
 
 __all__ = ["group_stats", "first_per_key", "merge_first_close", "class_balance", "distinct_on",
-           "day_gaps", "union_all", "union_dedup", "pair_join", "calendar_spine", "left_attach", "Window"]
+           "day_gaps", "union_all", "union_dedup", "calendar_spine", "left_attach", "Window"]
