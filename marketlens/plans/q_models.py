@@ -149,7 +149,10 @@ def m5_m8_ensembles(spark, sf):
 
 
 def _ridge_fp(train, test):
-    return md.fit_ridge(train, FEATS, "y", 1.0).transform(test).drop(md.FEATURES)
+    """Ridge (alpha 1, sklearn objective) from one aggregate of sufficient statistics."""
+    tr = train.dropna(subset=[*FEATS, "y"]).withColumn("_one", F.lit(0))
+    w, b = en._ridge_solve(en.fold_moments(tr, FEATS, "y", fold="_one")[0], 1.0)
+    return en.MomentRidge(FEATS, w, b).transform(test)
 
 
 @query("m9_time_series_cv")

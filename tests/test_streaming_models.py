@@ -45,3 +45,14 @@ def test_moment_ridge_equals_closed_form(spark):
     xc = X - X.mean(0)
     w2 = np.linalg.solve(xc.T @ xc + 10.0 * np.eye(2), xc.T @ (y - y.mean()))
     np.testing.assert_allclose(w, w2, rtol=1e-10)
+
+
+def test_moment_ridge_equals_spark_linear_regression(spark):
+    from marketlens.operators import models as md
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(250, 3))
+    y = X @ [0.5, -1.0, 2.0] + rng.normal(0, 0.2, 250)
+    df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "c": X[:, 2], "y": y, "f": 0}))
+    w, b = en._ridge_solve(en.fold_moments(df, ["a", "b", "c"], "y", fold="f")[0], 3.0)
+    spark_pred = md.fit_ridge(df, ["a", "b", "c"], "y", 3.0).transform(df).toPandas()["prediction"].to_numpy()
+    np.testing.assert_allclose(X @ w + b, spark_pred, atol=1e-10)
