@@ -53,7 +53,9 @@ def _v1(spark, sf):
 
 
 @query("v1_stock_contract", _V1_SQL + """
-SELECT symbol, n_rows, high_lt_low, zero_volume, null_cells, outliers, negative_values, bad_symbol,
+SELECT symbol, n_rows, CAST(high_lt_low AS BIGINT) AS high_lt_low, CAST(zero_volume AS BIGINT) AS zero_volume,
+  CAST(null_cells AS BIGINT) AS null_cells, CAST(outliers AS BIGINT) AS outliers,
+  CAST(negative_values AS BIGINT) AS negative_values, CAST(bad_symbol AS BIGINT) AS bad_symbol,
   warnings_text, CAST(n_warnings AS INTEGER) AS n_warnings, CAST(n_errors AS INTEGER) AS n_errors,
   n_errors = 0 AS is_valid FROM r""")
 def v1_stock_contract(spark, sf):
@@ -64,7 +66,8 @@ def v1_stock_contract(spark, sf):
 
 
 @query("a8_validation_summary", _V1_SQL + f"""
-SELECT count(*) AS total_validations, count_if(n_errors = 0) AS passed, count_if(n_errors > 0) AS failed,
+SELECT count(*) AS total_validations, CAST(count_if(n_errors = 0) AS BIGINT) AS passed,
+  CAST(count_if(n_errors > 0) AS BIGINT) AS failed,
   {R('100.0 * count_if(n_errors = 0) / count(*)', 'success_rate')},
   CAST(sum(n_warnings) AS BIGINT) AS total_warnings, CAST(sum(n_errors) AS BIGINT) AS total_errors FROM r""")
 def a8_validation_summary(spark, sf):
@@ -78,9 +81,9 @@ _FX = """fx AS (SELECT upper(substr(event_type, 1, 3)) || 'USD' AS pair, date_tr
 
 
 @query("v2_forex_contract", f"""WITH {_FX}
-SELECT pair, count(*) AS n_rows, count_if(high < low) AS high_lt_low,
-  count_if(close < 0.01 OR close > 500) AS unusual_close,
-  count_if(open IS NULL) + count_if(high IS NULL) + count_if(low IS NULL) + count_if(close IS NULL) AS null_cells,
+SELECT pair, count(*) AS n_rows, CAST(count_if(high < low) AS BIGINT) AS high_lt_low,
+  CAST(count_if(close < 0.01 OR close > 500) AS BIGINT) AS unusual_close,
+  CAST(count_if(open IS NULL) + count_if(high IS NULL) + count_if(low IS NULL) + count_if(close IS NULL) AS BIGINT) AS null_cells,
   CAST(count_if(high < low) > 0 AS INTEGER) + CAST(count_if(close < 0.01 OR close > 500) > 0 AS INTEGER)
     + CAST(count_if(open IS NULL) + count_if(high IS NULL) + count_if(low IS NULL) + count_if(close IS NULL) > 0 AS INTEGER)
     AS n_warnings,
@@ -101,8 +104,8 @@ _CRYPTO = """cr AS (SELECT event_type AS coin_id, date_trunc('hour', ts) AS time
 
 @query("v3_crypto_contract", f"""WITH {_CRYPTO},
 q AS (SELECT coin_id, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM cr GROUP BY 1)
-SELECT coin_id, count(*) AS n_rows, count_if(price <= 0) AS non_positive_price,
-  count_if(price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)) AS outliers,
+SELECT coin_id, count(*) AS n_rows, CAST(count_if(price <= 0) AS BIGINT) AS non_positive_price,
+  CAST(count_if(price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers,
   count_if(price <= 0) = 0 AND count_if(price < 0 OR market_cap < 0 OR volume < 0) = 0 AS is_valid
 FROM cr JOIN q USING (coin_id) GROUP BY coin_id""")
 def v3_crypto_contract(spark, sf):
@@ -115,9 +118,9 @@ def v3_crypto_contract(spark, sf):
 
 
 @query("v4_news_contract", """SELECT count(*) AS n_rows,
-  count_if(title IS NULL OR ts IS NULL) AS missing_required,
-  count_if(trim(title) = '') AS empty_titles,
-  count_if(ts > TIMESTAMP '2024-01-20 00:00:00') AS future_dates,
+  CAST(count_if(title IS NULL OR ts IS NULL) AS BIGINT) AS missing_required,
+  CAST(count_if(trim(title) = '') AS BIGINT) AS empty_titles,
+  CAST(count_if(ts > TIMESTAMP '2024-01-20 00:00:00') AS BIGINT) AS future_dates,
   count_if(title IS NULL OR ts IS NULL) = 0 AS is_valid
 FROM (SELECT CASE event_type WHEN 'purchase' THEN 'a' WHEN 'signup' THEN 'b' WHEN 'error' THEN 'c'
   WHEN 'click' THEN 'd' WHEN 'view' THEN 'e' END AS title, ts FROM events)""")
@@ -151,7 +154,7 @@ def _profile_sql() -> str:
                  f"{R(f'stddev_samp({c})', 'std')}") if num else \
             "CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std"
         parts.append(f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count({c}) AS non_null_count, "
-                     f"count_if({c} IS NULL) AS null_count, {R(f'100.0 * count_if({c} IS NULL) / count(*)', 'null_percentage')}, "
+                     f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, {R(f'100.0 * count_if({c} IS NULL) / count(*)', 'null_percentage')}, "
                      f"{stats}, count(DISTINCT {c}) AS unique_values FROM customer")
     return " UNION ALL ".join(parts)
 
@@ -278,7 +281,7 @@ def c6_c8_c9_fill_scale(spark, sf):
 
 
 @query("c1_c2_c3_feature_projection", f"""WITH {BARS}
-SELECT symbol, {R('close', 'close')}, {R('volume', 'volume')}, 0.0 AS missing_feature FROM bars""")
+SELECT symbol, {R('close', 'close')}, {R('volume', 'volume')}, CAST(0.0 AS DOUBLE) AS missing_feature FROM bars""")
 def c1_c2_c3_feature_projection(spark, sf):
     """C1 numeric feature columns, C2 keep existing selected, C3 align to a model column list."""
     b = daily_bars(spark, sf)
