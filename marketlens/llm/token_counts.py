@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import byte_batches, text_of
+from marketlens.llm.common import byte_batches, ship, text_of
 
 #: The pre-token rule of word_bpe_49k.json, narrowed to Latin text. Other text goes to the library whole.
 _LETTER = "a-zªµºÀ-ÖØ-öø-ſ"
@@ -173,6 +173,7 @@ def token_counts(df: DataFrame, text: str = "text", id_col: str = "doc_id", path
     Null and empty texts have 0 bytes and 0 tokens; repeated rows come back as
     often as they are; other columns are ignored; an empty table gives none.
     """
+    ship(df.sparkSession)
     t = df.select(F.col(id_col).alias("doc_id"), text_of(text).alias("text"))
     t = t.withColumn("n_tokens", token_count_column("text", path or tokenizer_path()))
     return t.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens",
