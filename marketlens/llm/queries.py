@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import exact_dedup, packing_kk, token_counts
+from marketlens.llm import exact_dedup, near_dedup, packing_kk, token_counts
 from marketlens.llm.common import documents
 
 
@@ -22,7 +22,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op6_packing, op9_exact_dedup)}
+    f.__name__: f for f in (op1_token_counts, op6_packing, op9_exact_dedup, op10_bagminhash)}
 
 ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.GROUPS_SQL}
