@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import exact_dedup, near_dedup, packing_kk, token_counts
+from marketlens.llm import exact_dedup, near_dedup, packing_kk, phrase_automata, token_counts
 from marketlens.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_kk.pack_documents(documents(spark, sf_dir))
 
 
+def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -27,6 +31,6 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op6_packing, op9_exact_dedup, op10_bagminhash)}
+    f.__name__: f for f in (op1_token_counts, op6_packing, op7_phrase_automata, op9_exact_dedup, op10_bagminhash)}
 
 ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.GROUPS_SQL}
