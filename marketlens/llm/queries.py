@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import exact_dedup, near_dedup, packing_kk, phrase_automata, token_counts
+from marketlens.llm import decontam_wand, exact_dedup, near_dedup, packing_kk, phrase_automata, token_counts
 from marketlens.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_automata.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op8_decontam_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam_wand.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -31,6 +35,6 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op6_packing, op7_phrase_automata, op9_exact_dedup, op10_bagminhash)}
+    f.__name__: f for f in (op1_token_counts, op6_packing, op7_phrase_automata, op8_decontam_wand, op9_exact_dedup, op10_bagminhash)}
 
 ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.GROUPS_SQL}
