@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontam_wand, exact_dedup, near_dedup, packing_kk, phrase_automata, token_counts, toxicity_nb
+from marketlens.llm import decontam_wand, exact_dedup, near_dedup, packing_kk, phrase_automata, quality_cnn, token_counts, toxicity_nb
 from marketlens.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_nb.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -43,6 +47,6 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_toxicity_nb, op6_packing, op7_phrase_automata, op8_decontam_wand, op9_exact_dedup, op10_bagminhash)}
+    f.__name__: f for f in (op1_token_counts, op2_quality_cnn, op3_toxicity_nb, op6_packing, op7_phrase_automata, op8_decontam_wand, op9_exact_dedup, op10_bagminhash)}
 
 ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.GROUPS_SQL}

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from marketlens.llm import toxicity_nb
+from marketlens.llm import quality_cnn, toxicity_nb
 
 SF = "/root/testdata/sf0.1"
 
@@ -59,3 +59,55 @@ def test_toxicity_edge_rows(spark, edges, nothing, tables):
     assert toxicity_nb.toxicity(nothing, labels).count() == 0
     odd = spark.createDataFrame([(None, 1, 1), (1, None, None), (2, 7, 7)], "doc_id long, quality int, toxic int")
     assert toxicity_nb.toxicity(edges, odd).count() == edges.count()
+
+
+def test_quality_on_held_out_labels(tables):
+    tp, fp, fn, tn = outcome(quality_cnn.quality(*tables), tables[1], "quality")
+    assert tp / (tp + fn) > 0.97 and tn / (fp + tn) > 0.85, (tp, fp, fn, tn)
+
+
+def _plain_score(net, text):
+    """The network on one text, position by position."""
+    q, data = quality_cnn, list(text.encode())
+    halves = max(2, -(-len(data) // (q.HALF * q.STEP)))
+    data = data + [q.PAD] * (halves * q.HALF * q.STEP - len(data)) + [q.PAD] * q.WIDTH
+    best = []
+    for h in range(halves):
+        r = [net.embed[data[p * q.STEP:p * q.STEP + q.WIDTH]].reshape(-1) @ net.filters + net.bias
+             for p in range(h * q.HALF, (h + 1) * q.HALF)]
+        best.append(np.maximum(np.max(r, axis=0), 0))
+    chunks = [np.maximum(a, b) for a, b in zip(best, best[1:])]
+    empty = q.EMPTY * max(0, 1 - len(text.encode()) / (2 * q.HALF * q.STEP))
+    z = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0), np.min(chunks, axis=0), [empty]]) @ net.out + net.out_bias
+    return 1 / (1 + math.exp(-z))
+
+
+def test_quality_scores_equal_a_plain_network():
+    rng = np.random.default_rng(0)
+    texts = ["", "a", "short é text", "x" * 128, "y" * 129, "z" * 256, "some words " * 90, "é" * 700]
+    net = quality_cnn.train(texts, np.array([0, 1] * 4), epochs=3)
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    got = net.scores(raw, offsets)
+    alone = [net.scores(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for t in texts]
+    assert np.allclose(alone, [_plain_score(net, t) for t in texts], atol=1e-5)
+    assert np.allclose(got, alone, atol=1e-5)
+    y, w = rng.integers(0, 2, len(texts)).astype(np.float32), np.ones(len(texts), np.float32)
+    _, grads = net.gradients(raw, offsets, y, w)
+    for name, g in zip(("embed", "filters", "bias", "out"), grads):
+        a = getattr(net, name)
+        at = np.unravel_index(np.abs(g).argmax(), a.shape)
+        was, sides = a[at], []
+        for step in (1e-3, -1e-3):
+            a[at] = was + step
+            sides.append(net.gradients(raw, offsets, y, w)[0])
+        a[at] = was
+        assert abs((sides[0] - sides[1]) / 2e-3 - g[at]) < 0.02 * abs(g[at]) + 1e-3
+
+
+def test_quality_edge_rows(spark, edges, nothing, tables):
+    got = quality_cnn.quality(edges, tables[1].limit(0)).collect()
+    assert len(got) == edges.count() and all(r.score == 0.5 and r.predicted == 1 for r in got)
+    assert quality_cnn.quality(nothing, tables[1]).count() == 0
+    kept = quality_cnn.keep_good(edges, tables[1].limit(0))
+    assert kept.columns == edges.columns and kept.count() == edges.count()
