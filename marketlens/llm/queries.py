@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontam_wand, exact_dedup, near_dedup, packing_kk, phrase_automata, quality_cnn, secret_links, token_counts, toxicity_nb
+from marketlens.llm import decontam_wand, exact_dedup, near_dedup, packing_kk, phrase_automata, pii_crf, quality_cnn, secret_links, token_counts, toxicity_nb
 from marketlens.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op3_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_nb.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.personal_data(documents(spark, sf_dir))
+
+
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.secrets(documents(spark, sf_dir))
 
@@ -52,7 +56,7 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_counts, op2_quality_cnn, op3_toxicity_nb, op5_secret_links, op6_packing, op7_phrase_automata,
+        op1_token_counts, op2_quality_cnn, op3_toxicity_nb, op4_pii_crf, op5_secret_links, op6_packing, op7_phrase_automata,
         op8_decontam_wand, op9_exact_dedup, op10_bagminhash)}
 
 ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.GROUPS_SQL}
