@@ -26,8 +26,8 @@ THRESHOLD = 0.5
 EMBED, WIDTH, STEP, FILTERS = 6, 16, 4, 32
 #: Positions of half a chunk (32 x 4 bytes = 128) - a chunk is two halves.
 HALF = 32
-#: Rows of each class learned from, passes over them, and documents of a step.
-ROWS, EPOCHS, BATCH, RATE = 1200, 10, 64, 4e-3
+#: Rows of each class learned from, passes over them, documents and bytes of a step, rate.
+ROWS, EPOCHS, BATCH, STEP_BYTES, RATE = 1200, 10, 64, 1 << 18, 4e-3
 PAD = 256
 #: Scale of the feature that tells a text shorter than one chunk.
 EMPTY = 10.0
@@ -138,6 +138,18 @@ class Network:
         return loss, [d_embed, d_filters, d_bias, d_out, np.array([d_out_bias], np.float32)]
 
 
+def _steps(order: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Runs of at most BATCH documents and about STEP_BYTES bytes."""
+    out, run, size = [], [], 0
+    for i in order.tolist():
+        if run and (len(run) == BATCH or size + sizes[i] > STEP_BYTES):
+            out.append(np.array(run))
+            run, size = [], 0
+        run.append(i)
+        size += sizes[i]
+    return [*out, np.array(run)]
+
+
 def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Fit the network; without both classes its score is 0.5 for every text."""
     rng = np.random.default_rng(seed)
@@ -152,10 +164,11 @@ def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
     # documents of like length share a step: batches of equal bytes, visited in random order
     order = np.argsort([len(d) for d in docs], kind="stable")
     m, v, t = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
-    total = epochs * -(-len(docs) // BATCH)
+    sizes, total = np.array([len(d) for d in docs]), 0
     for _ in range(epochs):
         mixed = order[np.argsort(np.arange(len(order)) // (BATCH * 8) * 1.0 + rng.random(len(order)), kind="stable")]
-        steps = [mixed[i:i + BATCH] for i in range(0, len(mixed), BATCH)]
+        steps = _steps(mixed, sizes)
+        total = total or epochs * len(steps)
         for k in rng.permutation(len(steps)):
             take = steps[k]
             net = Network(p[0], p[1], p[2], p[3], p[4][0])
@@ -163,7 +176,7 @@ def train(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
             offsets = np.concatenate([[0], np.cumsum([len(docs[i]) for i in take])])
             _, grads = net.gradients(raw, offsets, y[take], share[take] / len(take))
             t += 1
-            rate = RATE * (1 - 0.9 * t / total)
+            rate = RATE * max(0.1, 1 - 0.9 * t / total)
             for i, g in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.999 * v[i] + 0.001 * g * g
