@@ -3,7 +3,7 @@
 The index holds the test items; every passage of every training document is a query against it. An item's
 score is the BM25 weight of its terms that the passage has, as a share of the item's own whole weight, so one
 threshold serves all items. Passages are as long as two of the longest items and overlap by half, so each
-occurrence of an item lies whole inside one. Upper bounds (per block of 16 items) are summed for many passages at
+occurrence of an item lies whole inside one. Upper bounds (per block of 4 items) are summed for many passages at
 once; those that can reach the threshold are searched with block-max WAND, which returns every
 item above it. A hit counts when both the item's question and its answer overlap with the passage.
 
@@ -30,7 +30,9 @@ from marketlens.llm.hashing import buffers, grams, slices, word_hashes, words
 K1, B = 1.2, 0.75
 #: Share of an item's BM25 weight, and of the 3-word shingles of its question and of its answer, that a passage must have.
 SCORE, OVERLAP, GRAM = 0.6, 0.5, 3
-BLOCK = 16
+BLOCK = 4
+#: Rounding of the bounds, which are sums of single-precision numbers; past every item.
+SLACK, LAST = 1e-4, 1 << 62
 #: Bytes of item texts in a shard (what is broadcast is proportional), and words that an item needs to be looked for.
 SHARD_BYTES, MIN_WORDS = 2 << 20, 8
 
@@ -57,7 +59,6 @@ class Index:
     docs: np.ndarray = None
     impact: np.ndarray = None
     block_max: np.ndarray = None  # term x block
-    list_max: np.ndarray = None
     longest: int = 0
 
     def __post_init__(self):
@@ -73,39 +74,42 @@ class Index:
         ok = self.vocab[t] == hashes[at]
         return at[ok], t[ok]
 
-    def search(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Every (item number, score) with score >= threshold, by block-max WAND over the query's posting lists."""
-        lists = [[int(self.at[t]), int(self.at[t + 1]), t] for t in query if self.at[t] < self.at[t + 1]]
+    def search(self, query: np.ndarray, threshold: float, bounds: np.ndarray) -> list[tuple[int, float]]:
+        """Every (item number, score) with score >= threshold, by block-max WAND over the query's posting lists.
+
+        bounds: for each block, the sum of the query's greatest impacts in it. Lists jump to the next block that can
+        reach the threshold; inside one, the pivot is the first item up to which the lists' block maxima can.
+        """
         docs, got = self.docs, []
-        while lists:
-            lists.sort(key=lambda c: docs[c[0]])
-            bound, p = 0.0, 0
-            while p < len(lists) and bound + self.list_max[lists[p][2]] < threshold:
-                bound += self.list_max[lists[p][2]]
-                p += 1
-            if p == len(lists):
-                break
-            pivot = int(docs[lists[p][0]])
-            while p + 1 < len(lists) and docs[lists[p + 1][0]] == pivot:
-                p += 1
-            block = pivot // BLOCK
-            if sum(float(self.block_max[c[2], block]) for c in lists[:p + 1]) < threshold:
-                # no item up to the block's end, or up to the next list's item, can reach it
-                target = (block + 1) * BLOCK
-                if p + 1 < len(lists):
-                    target = min(target, int(docs[lists[p + 1][0]]))
-                target = max(target, pivot + 1)
-            elif docs[lists[0][0]] == pivot:
-                score = sum(float(self.impact[c[0]]) for c in lists[:p + 1])
-                if score >= threshold:
-                    got.append((pivot, score))
-                target = pivot + 1
-            else:
-                target = pivot
-            for c in lists[:p + 1]:
-                if docs[c[0]] < target:
-                    c[0] += int(np.searchsorted(docs[c[0]:c[1]], target))
-            lists = [c for c in lists if c[0] < c[1]]
+        ends, at = self.at[query + 1], self.at[query].copy()
+        for block in np.flatnonzero(bounds >= threshold - SLACK).tolist():
+            top = self.block_max[query, block]
+            lists = []
+            for i in np.flatnonzero(top > 0).tolist():
+                at[i] += int(docs[at[i]:ends[i]].searchsorted(block * BLOCK))
+                lists.append([int(docs[at[i]]), i])
+            while lists:
+                lists.sort()
+                bound, p = 0.0, 0
+                while p < len(lists) and bound + top[lists[p][1]] < threshold - SLACK:
+                    bound += float(top[lists[p][1]])
+                    p += 1
+                if p == len(lists):
+                    break
+                pivot = lists[p][0]
+                if lists[0][0] == pivot:
+                    here = [c[1] for c in lists if c[0] == pivot]
+                    score = float(self.impact[at[here]].sum())
+                    if score >= threshold:
+                        got.append((pivot, score))
+                    target = pivot + 1
+                else:
+                    target = pivot
+                for c in lists:
+                    while c[0] < target:
+                        at[c[1]] += 1
+                        c[0] = int(docs[at[c[1]]]) if at[c[1]] < ends[c[1]] else LAST
+                lists = [c for c in lists if c[0] < (block + 1) * BLOCK]
         return got
 
     def hits(self, column: pa.Array, score: float, overlap: float) -> Iterator[tuple[int, int, float, int, float, float]]:
@@ -132,11 +136,11 @@ class Index:
                 continue
             has = np.zeros((min(step, int(base[-1]) - lo), len(self.vocab)), np.float32)
             has[passage[a:b] - lo, term[a:b]] = 1
-            bounds = (has @ self.block_max).max(axis=1)
-            for i in np.flatnonzero(bounds >= score - 1e-4).tolist():
+            bounds = has @ self.block_max
+            for i in np.flatnonzero(bounds.max(axis=1) >= score - SLACK).tolist():
                 p = lo + i
                 r = int(np.searchsorted(base, p, side="right")) - 1
-                for item, s in self.search(np.flatnonzero(has[i]).tolist(), score):
+                for item, s in self.search(np.flatnonzero(has[i]), score, bounds[i]):
                     start = int(first[r]) + (p - int(base[r])) * stride
                     seen = np.unique(grams(hashes[start:min(start + 2 * stride, int(first[r + 1]))], GRAM))
                     share = [float(np.isin(g, seen).mean()) for g in self.parts[item]]
@@ -183,7 +187,7 @@ def _weights(frame: pd.DataFrame, n_items: int, mean: float) -> Index | None:
     block_max = np.zeros((len(vocab), -(-len(frame) // BLOCK)), np.float32)
     np.maximum.at(block_max, (term, doc // BLOCK), impact.astype(np.float32) * np.float32(1 + 1e-6))
     return Index([x if isinstance(x, str) else None for x in frame.item], parts, vocab, np.searchsorted(term, np.arange(len(vocab) + 1)), doc, impact, block_max,
-                 block_max.max(axis=1), max(max(map(len, frame.words)), GRAM))
+                 max(max(map(len, frame.words)), GRAM))
 
 
 def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", answer: str | None = None) -> list[Index]:
