@@ -1,7 +1,7 @@
 """Materialise-once feature cache on a shared file system.
 
-Key = function name + content fingerprint of the input + hash of the
-arguments.  The fingerprint is one aggregate, ``sum(xxhash64(all columns))``
+Key = function (name, code and closure) + content fingerprint of the input + hash
+of the arguments.  The fingerprint is one aggregate, ``sum(xxhash64(all columns))``
 as a decimal plus the row count, so it is order-independent and computed in
 parallel.  Results are written as Parquet under ``{base}/{function}/{key}``
 and reused while younger than the TTL; stale or missing entries are
@@ -11,6 +11,7 @@ recomputed.  Written tables also cut lineage for long plans.
 from __future__ import annotations
 
 import fnmatch
+import functools
 import hashlib
 import time
 from collections.abc import Callable
@@ -26,6 +27,40 @@ def fingerprint(df: DataFrame) -> str:
     return hashlib.sha256(f"{r['h']}:{r['n']}:{df.schema.simpleString()}".encode()).hexdigest()[:24]
 
 
+def identity(fn: Callable) -> str:
+    """Hash of what a function is: module, qualified name, code, defaults and the values it closes over.
+
+    Two closures of one name with other constants differ; nested functions count with their own code and closures.
+    """
+    h = hashlib.sha256()
+
+    def feed(x, seen: frozenset = frozenset()) -> None:
+        if id(x) in seen:
+            return
+        seen = seen | {id(x)}
+        if isinstance(x, functools.partial):
+            feed((x.func, x.args, sorted(x.keywords.items())), seen)
+        elif hasattr(x, "__code__"):
+            h.update(f"{x.__module__}.{x.__qualname__}".encode())
+            feed(x.__code__, seen)
+            feed((x.__defaults__, x.__kwdefaults__), seen)
+            for cell in x.__closure__ or ():
+                feed(cell.cell_contents, seen)
+        elif hasattr(x, "co_code"):
+            h.update(x.co_code + repr(x.co_names).encode())
+            for c in x.co_consts:
+                feed(c, seen)
+        elif isinstance(x, (tuple, list)):
+            h.update(b"(")
+            for y in x:
+                feed(y, seen)
+            h.update(b")")
+        else:
+            h.update(f"{type(x).__qualname__}:{x!r};".encode())
+    feed(fn)
+    return h.hexdigest()[:16]
+
+
 class FeatureCache:
     def __init__(self, base: str, ttl_seconds: int = 86400):
         self.base, self.ttl = base.rstrip("/"), ttl_seconds
@@ -38,7 +73,7 @@ class FeatureCache:
 
     def key(self, df: DataFrame, fn: Callable, **kwargs) -> str:
         args = hashlib.sha256(repr(sorted(kwargs.items())).encode()).hexdigest()[:12]
-        return f"{fn.__name__}/{fingerprint(df)}-{args}"
+        return f"{fn.__name__}/{fingerprint(df)}-{identity(fn)}-{args}"
 
     def _fresh(self, spark, path: str) -> bool:
         fs, jvm = self._fs(spark)

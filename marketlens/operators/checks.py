@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,114 +86,162 @@ def _report(d: DataFrame, keys, warn: list[tuple[Column, Column]], err: list[tup
                           "is_valid": F.size("errors") == 0})
 
 
+def _typed(df: DataFrame, numeric: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The frame with ``numeric`` columns as doubles (whatever is no number becomes NULL) and the count of such cells."""
+    present = [c for c in numeric if c in df.columns]
+    text = [c for c in present if not _is_num(df.schema[c].dataType)]
+    d = df.withColumns({f"_raw_{c}": F.col(c) for c in text}).withColumns(
+        {c: F.expr(f"try_cast(`{c}` AS double)") for c in text})
+    bad = sum([F.count_if(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull()) for c in text] or [F.lit(0)])
+    return d, bad.cast("long").alias("not_numbers")
+
+
+def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """A key column that is absent is reported, and all rows are one group under a NULL key."""
+    gone = [k for k in keys if k not in df.columns]
+    return df.withColumns({k: F.lit(None).cast("string") for k in gone}), gone
+
+
+def _cells(cols: Sequence[str], rule) -> Column:
+    """Number of cells of ``cols`` for which the rule holds."""
+    return sum([F.count_if(rule(F.col(c))) for c in cols] or [F.lit(0)]).cast("long")
+
+
+def _schema_errors(missing: Sequence[str]) -> list[tuple[Column, Column]]:
+    out = [(F.col("not_numbers") > 0, F.format_string("schema: %d cells are not numbers", F.col("not_numbers")))]
+    if missing:
+        out.append((F.lit(True), F.lit("schema: no column " + ", ".join(missing))))
+    return out
+
+
 def stock_contract(df: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "date",
-                   exact_quartiles: bool = True) -> DataFrame:
-    """V1 per key: schema errors, high<low, zero volume > 10 %, nulls, IQR outliers, no 1-day step."""
+                   exact_quartiles: bool = True, symbol: str = "symbol") -> DataFrame:
+    """V1 per key: schema errors, high<low, zero volume > 10 %, nulls, IQR outliers, no 1-day step.
+
+    Missing columns, and cells that are no numbers, are errors of the report; nothing is raised. The length rule
+    is about the ``symbol`` column, whatever the report is grouped by.
+    """
     cols = ["open", "high", "low", "close", "volume"]
     present = [c for c in cols if c in df.columns]
-    missing = [c for c in cols + [ts] if c not in df.columns] + [k for k in keys if k not in df.columns]
-    if any(k not in df.columns for k in keys):
-        raise ValueError(f"stock contract needs key columns {list(keys)}; missing {missing}")
-    out_cols = [c for c in ("close", "volume") if c in df.columns]
+    df, gone = _grouped(df, keys)
+    missing = [c for c in (*cols, ts, *([symbol] if symbol not in keys else [])) if c not in df.columns] + gone
+    df, not_numbers = _typed(df, present)
+    out_cols = [c for c in ("close", "volume") if c in present]
     d = iqr_outliers(df, out_cols, keys, exact=exact_quartiles) if out_cols else df.withColumn("is_outlier", F.lit(False))
-    w = Window.partitionBy(*keys).orderBy(ts)
-    d = d.withColumn("_gap", F.datediff(F.col(ts), F.lag(ts).over(w)) if ts in df.columns else F.lit(None))
-    sym = F.col(keys[0]).cast("string")
+    if ts in df.columns:
+        at = F.col(ts) if dict(df.dtypes)[ts] in ("date", "timestamp", "timestamp_ntz") else F.expr(f"try_cast(`{ts}` AS timestamp)")
+        d = d.withColumn("_at", at)
+        d = d.withColumn("_gap", F.datediff(F.col("_at"), F.lag("_at").over(Window.partitionBy(*keys).orderBy("_at"))))
+    else:
+        d = d.withColumn("_gap", F.lit(None).cast("int"))
+    sym = F.col(symbol).cast("string") if symbol in df.columns else None
+    bad_symbol = F.count_if(sym.isNull() | (F.length(sym) < 1) | (F.length(sym) > 5)) if sym is not None and symbol not in gone else F.lit(0)
     g = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.lit(1)).alias("n_rows"), not_numbers,
         (F.count_if(F.col("high") < F.col("low")) if {"high", "low"} <= set(present) else F.lit(0)).cast("long").alias("high_lt_low"),
         (F.count_if(F.col("volume") == 0) if "volume" in present else F.lit(0)).cast("long").alias("zero_volume"),
-        sum([F.count_if(F.col(c).isNull()) for c in present] or [F.lit(0)]).cast("long").alias("null_cells"),
+        _cells(present, lambda c: c.isNull()).alias("null_cells"),
         F.count_if(F.col("is_outlier")).cast("long").alias("outliers"),
-        sum([F.count_if(F.col(c) < 0) for c in present] or [F.lit(0)]).cast("long").alias("negative_values"),
-        F.count_if(sym.isNull() | (F.length(sym) < 1) | (F.length(sym) > 5)).cast("long").alias("bad_symbol"),
+        _cells(present, lambda c: c < 0).alias("negative_values"),
+        bad_symbol.cast("long").alias("bad_symbol"),
         F.max(F.when(F.col("_gap") == 1, F.lit(1)).otherwise(F.lit(0))).alias("_has_step"))
     n = F.col("n_rows")
-    warn = [(F.col("high_lt_low") > 0, F.format_string("%d rows with high < low", F.col("high_lt_low"))),
-            (F.col("zero_volume") > n * 0.1, F.format_string("%d rows with zero volume", F.col("zero_volume"))),
-            (F.col("null_cells") > 0, F.format_string("Null values found: %d cells", F.col("null_cells"))),
-            (F.col("outliers") > 0, F.format_string("%d outliers detected in price/volume", F.col("outliers"))),
-            ((n > 1) & (F.col("_has_step") == 0), F.lit("Missing trading days detected"))]
-    err = [(F.col("negative_values") > 0, F.format_string("Schema validation failed: %d negative values",
-                                                           F.col("negative_values"))),
-           (F.col("bad_symbol") > 0, F.lit("Schema validation failed: symbol length outside 1-5"))]
-    if missing:
-        err.append((F.lit(True), F.lit(f"Schema validation failed: missing columns {missing}")))
+    warn = [(F.col("high_lt_low") > 0, F.format_string("high below low: %d rows", F.col("high_lt_low"))),
+            (F.col("zero_volume") > n * 0.1, F.format_string("volume is zero: %d rows", F.col("zero_volume"))),
+            (F.col("null_cells") > 0, F.format_string("empty cells: %d", F.col("null_cells"))),
+            (F.col("outliers") > 0, F.format_string("close or volume outside the quartile fences: %d rows", F.col("outliers"))),
+            ((n > 1) & (F.col("_has_step") == 0), F.lit("no two rows are one day apart"))]
+    err = [(F.col("negative_values") > 0, F.format_string("schema: %d cells below zero", F.col("negative_values"))),
+           (F.col("bad_symbol") > 0, F.lit("schema: a symbol needs 1 to 5 characters")), *_schema_errors(missing)]
     return _report(g, keys, warn, err).drop("_has_step")
 
 
-def forex_contract(df: DataFrame, keys: Sequence[str] = ("pair",)) -> DataFrame:
-    """V2 per pair: non-null OHLC >= 0, pair length 6; W high<low, close outside 0.01-500, nulls."""
-    ohlc = [c for c in ("open", "high", "low", "close") if c in df.columns]
-    pair = F.col(keys[0]).cast("string")
+def forex_contract(df: DataFrame, keys: Sequence[str] = ("pair",), pair: str = "pair") -> DataFrame:
+    """V2 per pair: non-null OHLC >= 0, pair length 6; W high<low, close outside 0.01-500, nulls; schema errors as in V1."""
+    cols = ["open", "high", "low", "close"]
+    ohlc = [c for c in cols if c in df.columns]
+    df, gone = _grouped(df, keys)
+    missing = [c for c in (*cols, *([pair] if pair not in keys else [])) if c not in df.columns] + gone
+    df, not_numbers = _typed(df, ohlc)
+    name = F.col(pair).cast("string") if pair in df.columns and pair not in gone else None
     g = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("high") < F.col("low")).cast("long").alias("high_lt_low"),
-        F.count_if((F.col("close") < 0.01) | (F.col("close") > 500)).cast("long").alias("unusual_close"),
-        sum([F.count_if(F.col(c).isNull()) for c in ohlc]).cast("long").alias("null_cells"),
-        sum([F.count_if(F.col(c) < 0) for c in ohlc]).cast("long").alias("negative_values"),
-        F.count_if(pair.isNull() | (F.length(pair) != 6)).cast("long").alias("bad_pair"))
-    warn = [(F.col("high_lt_low") > 0, F.format_string("%d rows with high < low", F.col("high_lt_low"))),
-            (F.col("unusual_close") > 0, F.format_string("%d unusual exchange rates", F.col("unusual_close"))),
-            (F.col("null_cells") > 0, F.format_string("Null values found: %d cells", F.col("null_cells")))]
-    err = [(F.col("negative_values") + F.col("null_cells") > 0,
-            F.lit("Schema validation failed: OHLC must be non-null and >= 0")),
-           (F.col("bad_pair") > 0, F.lit("Schema validation failed: pair length must be 6"))]
+        F.count(F.lit(1)).alias("n_rows"), not_numbers,
+        (F.count_if(F.col("high") < F.col("low")) if {"high", "low"} <= set(ohlc) else F.lit(0)).cast("long").alias("high_lt_low"),
+        (F.count_if((F.col("close") < 0.01) | (F.col("close") > 500)) if "close" in ohlc else F.lit(0)).cast("long").alias("unusual_close"),
+        _cells(ohlc, lambda c: c.isNull()).alias("null_cells"),
+        _cells(ohlc, lambda c: c < 0).alias("negative_values"),
+        (F.count_if(name.isNull() | (F.length(name) != 6)) if name is not None else F.lit(0)).cast("long").alias("bad_pair"))
+    warn = [(F.col("high_lt_low") > 0, F.format_string("high below low: %d rows", F.col("high_lt_low"))),
+            (F.col("unusual_close") > 0, F.format_string("close outside 0.01 to 500: %d rows", F.col("unusual_close"))),
+            (F.col("null_cells") > 0, F.format_string("empty cells: %d", F.col("null_cells")))]
+    err = [(F.col("negative_values") + F.col("null_cells") > 0, F.lit("schema: prices must be given and not below zero")),
+           (F.col("bad_pair") > 0, F.lit("schema: a pair needs 6 characters")), *_schema_errors(missing)]
     return _report(g, keys, warn, err)
 
 
 def crypto_contract(df: DataFrame, keys: Sequence[str] = ("coin_id",), exact_quartiles: bool = True) -> DataFrame:
-    """V3 per coin: E negative values, E price <= 0, W price outliers, W nulls."""
-    d = iqr_outliers(df, ["price"], keys, exact=exact_quartiles)
+    """V3 per coin: E negative values, E price <= 0, W price outliers, W nulls; schema errors as in V1."""
+    df, gone = _grouped(df, keys)
     num = [c for c in ("price", "market_cap", "volume") if c in df.columns]
+    missing = [c for c in ("price",) if c not in df.columns] + gone
+    df, not_numbers = _typed(df, num)
+    d = iqr_outliers(df, ["price"], keys, exact=exact_quartiles) if "price" in num else df.withColumn("is_outlier", F.lit(False))
     g = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("price") <= 0).cast("long").alias("non_positive_price"),
-        sum([F.count_if(F.col(c) < 0) for c in num]).cast("long").alias("negative_values"),
+        F.count(F.lit(1)).alias("n_rows"), not_numbers,
+        (F.count_if(F.col("price") <= 0) if "price" in num else F.lit(0)).cast("long").alias("non_positive_price"),
+        _cells(num, lambda c: c < 0).alias("negative_values"),
         F.count_if(F.col("is_outlier")).cast("long").alias("outliers"),
-        sum([F.count_if(F.col(c).isNull()) for c in num]).cast("long").alias("null_cells"))
-    warn = [(F.col("outliers") > 0, F.format_string("%d price outliers detected", F.col("outliers"))),
-            (F.col("null_cells") > 0, F.format_string("Null values found: %d cells", F.col("null_cells")))]
-    err = [(F.col("negative_values") > 0, F.lit("Schema validation failed: negative values")),
-            (F.col("non_positive_price") > 0, F.format_string("%d prices <= 0", F.col("non_positive_price")))]
+        _cells(num, lambda c: c.isNull()).alias("null_cells"))
+    warn = [(F.col("outliers") > 0, F.format_string("price outside the quartile fences: %d rows", F.col("outliers"))),
+            (F.col("null_cells") > 0, F.format_string("empty cells: %d", F.col("null_cells")))]
+    err = [(F.col("negative_values") > 0, F.lit("schema: cells below zero")),
+           (F.col("non_positive_price") > 0, F.format_string("price is zero or less: %d rows", F.col("non_positive_price"))),
+           *_schema_errors(missing)]
     return _report(g, keys, warn, err)
 
 
-def news_contract(df: DataFrame, as_of=None, date_col: str = "publishedAt") -> DataFrame:
-    """V4 over all articles: required fields, empty titles, future and unparseable dates."""
+def news_contract(df: DataFrame, as_of=None, date_col: str = "publishedAt", keys: Sequence[str] = ()) -> DataFrame:
+    """V4 over all articles (or per key): required fields, empty titles, future and unparseable dates; missing columns are errors."""
     as_of = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    missing = [c for c in ("title", "url", date_col) if c not in df.columns]
+    given = [c for c in df.columns if c not in keys]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in missing})
     raw = F.col(date_col)
     parsed = raw if dict(df.dtypes).get(date_col, "").startswith("timestamp") else F.try_to_timestamp(raw.cast("string"))
-    g = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("title").isNull() | F.col("url").isNull() | raw.isNull()).cast("long").alias("missing_required"),
+    required = [F.col(c).isNull() for c in ("title", "url", date_col) if c not in missing]
+    lacking = F.lit(False)
+    for r in required:
+        lacking = lacking | r
+    g = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("not_numbers"),
+        F.count_if(lacking).cast("long").alias("missing_required"),
         F.count_if(F.trim(F.col("title")) == "").cast("long").alias("empty_titles"),
         F.count_if(parsed > as_of).cast("long").alias("future_dates"),
         F.count_if(raw.isNotNull() & parsed.isNull()).cast("long").alias("unparseable_dates"),
-        sum([F.count_if(F.col(c).isNull()) for c in df.columns]).cast("long").alias("null_cells"))
-    warn = [(F.col("empty_titles") > 0, F.format_string("%d empty titles", F.col("empty_titles"))),
-            (F.col("future_dates") > 0, F.format_string("%d articles with future dates", F.col("future_dates"))),
-            (F.col("null_cells") > 0, F.format_string("Null values found: %d cells", F.col("null_cells")))]
-    err = [(F.col("missing_required") > 0, F.format_string("%d articles missing title/url/publishedAt",
-                                                            F.col("missing_required"))),
-           (F.col("unparseable_dates") > 0, F.format_string("%d unparseable dates", F.col("unparseable_dates")))]
-    return _report(g, [], warn, err)
+        _cells(given, lambda c: c.isNull()).alias("null_cells"))
+    warn = [(F.col("empty_titles") > 0, F.format_string("blank titles: %d", F.col("empty_titles"))),
+            (F.col("future_dates") > 0, F.format_string("dated after the check: %d articles", F.col("future_dates"))),
+            (F.col("null_cells") > 0, F.format_string("empty cells: %d", F.col("null_cells")))]
+    err = [(F.col("missing_required") > 0, F.format_string("without title, url or date: %d articles", F.col("missing_required"))),
+           (F.col("unparseable_dates") > 0, F.format_string("dates that cannot be read: %d", F.col("unparseable_dates"))),
+           *_schema_errors(missing)]
+    return _report(g, keys, warn, err)
 
 
 def date_range_check(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
     """V5: min/max of a date column against [start, end]; missing or unparseable -> invalid."""
     if date_col not in df.columns:
         return df.sparkSession.createDataFrame(
-            [(0, None, None, [f"Column {date_col} not found"], False)],
+            [(0, None, None, [f"no column {date_col}"], False)],
             "n_rows bigint, min_date timestamp, max_date timestamp, errors array<string>, is_valid boolean")
     t = F.try_to_timestamp(F.col(date_col).cast("string"))
     g = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(t).alias("min_date"), F.max(t).alias("max_date"),
                F.count_if(F.col(date_col).isNotNull() & t.isNull()).alias("_bad"))
-    errs = [(F.col("_bad") > 0, F.lit("Unparseable dates"))]
+    errs = [(F.col("_bad") > 0, F.lit("dates that cannot be read"))]
     if start is not None:
-        errs.append((F.col("min_date") < F.lit(start).cast("timestamp"), F.lit(f"Data starts before {start}")))
+        errs.append((F.col("min_date") < F.lit(start).cast("timestamp"), F.lit(f"first date is before {start}")))
     if end is not None:
-        errs.append((F.col("max_date") > F.lit(end).cast("timestamp"), F.lit(f"Data ends after {end}")))
+        errs.append((F.col("max_date") > F.lit(end).cast("timestamp"), F.lit(f"last date is after {end}")))
     arr = F.filter(F.array(*[F.when(c, m) for c, m in errs]), lambda x: x.isNotNull())
     return g.select("n_rows", "min_date", "max_date", arr.alias("errors"), (F.size(arr) == 0).alias("is_valid"))
 
@@ -214,25 +263,25 @@ def validate(df: DataFrame, data_type: str, **kw) -> DataFrame:
     fn = CONTRACTS.get(data_type)
     if fn is None:
         return df.sparkSession.createDataFrame(
-            [([f"Unknown data type: {data_type}"], False)], "errors array<string>, is_valid boolean")
+            [([f"no contract for {data_type}"], False)], "errors array<string>, is_valid boolean")
     return fn(df, **kw)
 
 
-def validate_files(spark, path: str, data_type: str = "stocks", keys_from_path: bool = False, **kw) -> DataFrame:
-    """One scan of every file under ``path``; one report row per file (``_metadata.file_path``).
+def validate_files(spark, path: str, data_type: str = "stocks", **kw) -> DataFrame:
+    """One scan of every Parquet file under ``path``; one report row per file (its path is the key ``file``).
 
-    An empty tree gives a single error row.  ``keys_from_path`` keeps partition
-    columns (e.g. ``symbol=``) discovered from the folder names.
+    Partition folders (``symbol=AAA``) count as columns. A tree without files, or a path that does not exist, gives
+    one error row; any other failure to read is raised.
     """
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no files: an error report, as the reference
-        return spark.createDataFrame([(path, [f"No files found in {path}"], False)],
-                                     "file string, errors array<string>, is_valid boolean")
-    df = df.withColumn("file", F.col("_metadata.file_path"))
-    if data_type == "stocks":
-        return stock_contract(df, keys=("file",), **kw)
-    return CONTRACTS[data_type](df.drop("file"), **kw)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([(path, 0, [], [f"no files under {path}"], 0, 1, False)],
+                                     "file string, n_rows long, warnings array<string>, errors array<string>, "
+                                     "n_warnings int, n_errors int, is_valid boolean")
+    return CONTRACTS[data_type](df.withColumn("file", F.col("_metadata.file_path")), keys=("file",), **kw)
 
 
 def validation_summary(reports: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ expression, so cleaning never moves data to the driver.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -99,21 +100,23 @@ def zscore(df: DataFrame, cols: Sequence[str], ddof: int = 1, suffix: str = "")
     return df.withColumns(out)
 
 
-def augment(df: DataFrame, noise_level: float = 0.01, n_augmentations: int = 1, seed: int = 42,
+def augment(df: DataFrame, keys: Sequence[str], noise_level: float = 0.01, n_augmentations: int = 1, seed: int = 42,
             cols: Sequence[str] | None = None) -> DataFrame:
     """C11: original rows (copy 0) plus n noisy copies; noise N(0, level * std) where std > 0.
 
-    Each row is exploded into n+1 copies (the copies are the output, not an
-    intermediate); ``randn`` is seeded, so a re-run after executor loss
-    reproduces the same noise for the same partitioning.
+    The noise of a cell is a function of the row's ``keys``, the copy, the column and the seed alone (two uniform numbers from
+    one md5, turned normal by Box and Muller), so it is the same however rows are partitioned or recomputed.
     """
-    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, _FEATURE_TYPES)]
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, _FEATURE_TYPES) and f.name not in keys]
     row = df.agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
     d = df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n_augmentations))))
     out = {}
-    for i, c in enumerate(cols):
+    for c in cols:
         s = row[c]
         if s and s > 0:
-            noise = F.randn(seed + i) * F.lit(noise_level * s)
-            out[c] = F.when(F.col("copy") == 0, F.col(c)).otherwise(F.col(c).cast("double") + noise)
+            h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.col("copy").cast("string"), F.lit(c), F.lit(str(seed)))
+                      .cast("binary"))
+            u, v = (F.conv(F.substring(h, at, 12), 16, 10).cast("double") / F.lit(float(1 << 48)) for at in (1, 13))
+            noise = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u)) * F.cos(F.lit(2.0 * math.pi) * v)
+            out[c] = F.when(F.col("copy") == 0, F.col(c)).otherwise(F.col(c).cast("double") + noise * F.lit(noise_level * s))
     return d.withColumns(out)

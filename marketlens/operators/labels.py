@@ -51,16 +51,18 @@ def triple_barrier(df: DataFrame, panel: Panel = _P, close: str = "close", take_
     """First barrier hit within the next ``max_holding`` rows: +1 / -1 / 0.
 
     The next rows come from one bounded forward frame per row (O(rows * h)),
-    evaluated with array functions; NULL when fewer than h rows follow.
+    evaluated with array functions; NULL when fewer than h rows follow or the
+    row itself has no value.
     """
     p = panel
     x = col(close)
-    fut = F.collect_list(x).over(p.w().rowsBetween(1, max_holding))
-    rets = F.transform(fut, lambda f: (f - x) / x)
+    # structs keep their place where the value is NULL: such a row hits nothing and still counts as held
+    fut = F.collect_list(F.struct(x.alias("x"))).over(p.w().rowsBetween(1, max_holding))
+    rets = F.transform(fut, lambda f: F.try_divide(f["x"] - x, x))
     tp = F.array_position(F.transform(rets, lambda r: r >= F.lit(take_profit)), True)
     sl = F.array_position(F.transform(rets, lambda r: r <= F.lit(-stop_loss)), True)
     d = df.withColumns({"_fut_n": F.size(fut), "_tp": tp, "_sl": sl})
-    lab = (F.when(F.col("_fut_n") < max_holding, F.lit(None).cast("int"))
+    lab = (F.when((F.col("_fut_n") < max_holding) | x.isNull(), F.lit(None).cast("int"))
            .when((F.col("_tp") > 0) & (F.col("_sl") > 0),
                  F.when(F.col("_tp") <= F.col("_sl"), F.lit(1)).otherwise(F.lit(-1)))
            .when(F.col("_tp") > 0, F.lit(1)).when(F.col("_sl") > 0, F.lit(-1)).otherwise(F.lit(0)))

@@ -69,18 +69,21 @@ def select_mutual_info(df, features, target, n_features=20, task="regression"):
 
 def select_correlation(df, features, target, n_features=20, threshold=0.95):
     """drop inter-correlated groups keeping the most target-correlated, then top n by |r(target)|."""
-    fc = {(r["feature1"], r["feature2"]): r["correlation"] for r in co.feature_correlations(df, features).collect()}
-    tc = {r["feature"]: abs(r["correlation"] or 0.0) for r in co.target_correlations(df, features, target).collect()}
-    to_drop = set()
-    for j, colj in enumerate(features):
-        correlated = [features[i] for i in range(j) if abs(fc.get((features[i], colj)) or 0.0) > threshold]
-        if correlated:
-            group = correlated + [colj]
-            keeper = max(group, key=lambda c: (tc.get(c, 0.0), -group.index(c)))
-            to_drop.update(set(group) - {keeper})
-    kept = [f for f in features if f not in to_drop]
+    strength = {r["feature"]: abs(r["correlation"] or 0.0) for r in co.target_correlations(df, features, target).collect()}
+    place = {f: i for i, f in enumerate(features)}
+    # feature -> the earlier features it moves with; both tables have at most one row for each pair of feature columns
+    twins: dict[str, list[str]] = {}
+    for r in co.feature_correlations(df, features).collect():
+        if abs(r["correlation"] or 0.0) > threshold:
+            first, second = sorted((r["feature1"], r["feature2"]), key=place.get)
+            if first != second and first not in twins.get(second, ()):
+                twins.setdefault(second, []).append(first)
+    # of a feature and its twins all but the strongest (the earliest, if equal) are redundant
+    redundant = {f for late, early in twins.items()
+                 for f in sorted([late, *early], key=lambda c: (-strength.get(c, 0.0), place[c]))[1:]}
+    kept = [f for f in features if f not in redundant]
     spark = df.sparkSession
-    scores = spark.createDataFrame([(f, float(tc.get(f, 0.0))) for f in kept], "feature string, score double")
+    scores = spark.createDataFrame([(f, float(strength.get(f, 0.0))) for f in kept], "feature string, score double")
     return _rank(scores, n_features), scores
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel
@@ -35,11 +38,11 @@ g AS (SELECT symbol, count(*) AS n_rows, count_if(high < low) AS high_lt_low, co
         max(CASE WHEN gap = 1 THEN 1 ELSE 0 END) AS has_step FROM f GROUP BY symbol),
 r AS (SELECT *,
   concat_ws('; ',
-    CASE WHEN high_lt_low > 0 THEN printf('%d rows with high < low', high_lt_low) END,
-    CASE WHEN zero_volume > n_rows * 0.1 THEN printf('%d rows with zero volume', zero_volume) END,
-    CASE WHEN null_cells > 0 THEN printf('Null values found: %d cells', null_cells) END,
-    CASE WHEN outliers > 0 THEN printf('%d outliers detected in price/volume', outliers) END,
-    CASE WHEN n_rows > 1 AND has_step = 0 THEN 'Missing trading days detected' END) AS warnings_text,
+    CASE WHEN high_lt_low > 0 THEN printf('high below low: %d rows', high_lt_low) END,
+    CASE WHEN zero_volume > n_rows * 0.1 THEN printf('volume is zero: %d rows', zero_volume) END,
+    CASE WHEN null_cells > 0 THEN printf('empty cells: %d', null_cells) END,
+    CASE WHEN outliers > 0 THEN printf('close or volume outside the quartile fences: %d rows', outliers) END,
+    CASE WHEN n_rows > 1 AND has_step = 0 THEN 'no two rows are one day apart' END) AS warnings_text,
   (CASE WHEN high_lt_low > 0 THEN 1 ELSE 0 END) + (CASE WHEN zero_volume > n_rows * 0.1 THEN 1 ELSE 0 END)
     + (CASE WHEN null_cells > 0 THEN 1 ELSE 0 END) + (CASE WHEN outliers > 0 THEN 1 ELSE 0 END)
     + (CASE WHEN n_rows > 1 AND has_step = 0 THEN 1 ELSE 0 END) AS n_warnings,
@@ -292,11 +295,20 @@ def c1_c2_c3_feature_projection(spark, sf):
     return rounded(aligned)
 
 
-@query("c11_augmentation")
+def _c11_noise(c: str) -> str:
+    h = f"md5(symbol || '|' || CAST(date AS VARCHAR) || '|' || CAST(copy AS VARCHAR) || '|{c}|7')"
+    u, v = (f"CAST(CAST('0x' || substr({h}, {at}, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0" for at in (1, 13))
+    return f"sqrt(-2.0 * ln(1.0 - {u})) * cos({2.0 * math.pi!r} * ({v})) * (0.01 * (SELECT stddev_samp({c}) FROM bars))"
+
+
+@query("c11_augmentation", f"""WITH {BARS}, k AS (SELECT symbol, date, close, volume, unnest([0, 1]) AS copy FROM bars)
+SELECT symbol, date, CAST(copy AS INTEGER) AS copy,
+  {R(f"CASE WHEN copy = 0 THEN close ELSE close + {_c11_noise('close')} END", 'close')},
+  {R(f"CASE WHEN copy = 0 THEN volume ELSE volume + {_c11_noise('volume')} END", 'volume')} FROM k""")
 def c11_augmentation(spark, sf):
-    """C11: original bars (copy 0) plus one copy with seeded Gaussian noise (rows-only check)."""
+    """C11: original bars (copy 0) plus one copy with Gaussian noise drawn from hashes of the row's key."""
     b = daily_bars(spark, sf).select("symbol", "date", "close", "volume")
-    return cl.augment(b, 0.01, 1, seed=7, cols=["close", "volume"])
+    return rounded(cl.augment(b, ["symbol", "date"], 0.01, 1, seed=7, cols=["close", "volume"]))
 
 
 # ------------------------------------------------------------------ payloads
@@ -375,7 +387,10 @@ def s10_news_payload(spark, sf):
     art = F.struct("title", "description", "url", F.struct(F.lit(None).cast("string").alias("id"),
                                                              F.col("source").alias("name")).alias("source"),
                    F.date_format("publishedAt", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("publishedAt"))
-    g = n.groupBy("symbol", F.to_date("publishedAt").alias("_d")).agg(F.collect_list(art).alias("articles"))
+    # the API delivers pages of at most 100 articles
+    page = F.floor((F.row_number().over(Window.partitionBy("symbol", F.to_date("publishedAt")).orderBy("event_id")) - 1) / 100)
+    g = n.withColumn("_page", page).groupBy("symbol", F.to_date("publishedAt").alias("_d"), "_page").agg(
+        F.collect_list(art).alias("articles"))
     payload = g.select(F.to_json(F.struct(F.lit("ok").alias("status"), "articles")).alias("payload"))
     rows = pl.news_from_payload(payload)
     return rows.select("title", "url", "source", F.col("publishedAt").cast("timestamp_ntz").alias("publishedAt"))

@@ -178,7 +178,12 @@ COARSE: dict[str, int] = {}
 
 
 def _w21_sql() -> str:
-    fills = {n: ind.fill_value(n) for n in ind.ALL_INDICATORS}
+    fills = dict.fromkeys(
+        ["sma_5", "sma_10", "sma_20", "sma_50", "ema_12", "ema_26", "ema_20", "bb_middle", "bb_upper", "bb_lower", "bb_width",
+         "macd_line", "macd_signal", "macd_histogram", "momentum_10", "roc_12", "atr_14", "volume_sma_20", "volume_ratio",
+         "obv", "vwap", "price_vs_sma_20", "price_vs_sma_50"], 0.0)
+    fills |= {"bb_pct": 0.5, "rsi_14": 50.0, "stoch_k": 50.0, "stoch_d": 50.0, "williams_r": -50.0, "adx_14": 20.0,
+              "plus_di": 20.0, "minus_di": 20.0}
     ctes = (ema('e', 'b', 'close', {'ema_12': 12, 'ema_26': 26, 'ema_20': 20}) + ", " +
             f"""x1 AS (SELECT b.*, e.ema_12, e.ema_26, e.ema_20, e.ema_12 - e.ema_26 AS macd_line,
       {roll('avg', 'close', 5, 'b.symbol', 'b.date')} AS sma_5, {roll('avg', 'close', 10, 'b.symbol', 'b.date')} AS sma_10,

@@ -48,29 +48,48 @@ def s5_s3_news_json_roundtrip(spark, sf):
     base = _scratch(spark, "s5")
     n = news_articles(spark, sf).select("title", "description", "url", "source", "publishedAt")
     n = n.withColumn("date", F.to_date("publishedAt")).withColumn("publishedAt", F.col("publishedAt").cast("string"))
-    fs.save_json_arrays(n, base, "news")
-    back = fs.load_news_json(spark, f"{base}/news")
+    fs.save_partitioned(n, base, "news", fmt="json")
+    back = fs.load_news_json(spark, f"{base}/news", lines=True)
     return back.select("title", "url", "text")
 
 
-@query("s11_s12_s13_feature_store")
+@query("s11_s12_s13_feature_store", f"""WITH {BARS}
+SELECT symbol, date, {R('open', 'open')}, {R('high', 'high')}, {R('low', 'low')}, {R('close', 'close')},
+  {R('volume', 'volume')}, CAST(1 AS BIGINT) AS reports_written, (SELECT count(DISTINCT symbol) FROM bars) AS symbols_checked
+FROM bars WHERE date >= DATE '1995-01-01'""")
 def s11_s12_s13_feature_store(spark, sf):
-    """S11 dated + latest feature sets, S12 read with fallback to latest, S13 report sink."""
+    """S11 dated + latest feature sets (the second run replaces the first), S12 read with fallback to latest, S13 report sink."""
     base = _scratch(spark, "store")
     bars = daily_bars(spark, sf)
     fs.write_feature_store(bars, base, "2024-01-02")
+    fs.write_feature_store(bars.where("date >= DATE '1995-01-01'"), base, "2024-01-03")
     got = fs.read_feature_store(spark, base, "2030-01-01")          # missing date -> latest
-    fs.write_report(ck.validation_summary(ck.stock_contract(got)), f"{base}/reports/validation", "json")
+    first = fs.read_feature_store(spark, base, "2024-01-02")
+    fs.write_report(ck.validation_summary(ck.stock_contract(first)), f"{base}/reports/validation", "json")
     rep = spark.read.json(f"{base}/reports/validation")
-    return got.withColumn("reports_written", F.lit(rep.count()))
+    return rounded(got.select("symbol", "date", "open", "high", "low", "close", "volume")).withColumns({
+        "reports_written": F.lit(rep.count()).cast("long"), "symbols_checked": F.lit(rep.first()["total_validations"]).cast("long")})
 
 
-@query("s14_validate_file_tree")
+@query("s14_validate_file_tree", f"""WITH {BARS},
+f AS (SELECT symbol, count(*) AS n_rows, count_if(high < low) AS high_lt_low, count_if(close < 0) AS negative_values,
+  length(symbol) > 5 AS long_name FROM bars GROUP BY symbol)
+SELECT symbol AS folder, n_rows, CAST(high_lt_low AS BIGINT) AS high_lt_low, CAST(negative_values AS BIGINT) AS negative_values,
+  CASE WHEN long_name THEN n_rows ELSE 0 END AS bad_symbol, NOT long_name AND negative_values = 0 AS is_valid FROM f
+UNION ALL SELECT 'TEXT', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), false FROM bars WHERE symbol LIKE '1%'""")
 def s14_validate_file_tree(spark, sf):
-    """One scan of a tree of Parquet files, one stock-contract row per file."""
+    """One scan of a tree with one Parquet file per symbol; each file's row follows the stock contract.
+
+    A second tree whose prices are no numbers gives a row with schema errors.
+    """
     base = _scratch(spark, "tree")
-    daily_bars(spark, sf).write.partitionBy("symbol").parquet(f"{base}/stocks")
-    return ck.validate_files(spark, f"{base}/stocks", "stocks", keys_from_path=True)
+    bars = daily_bars(spark, sf)
+    bars.repartition("symbol").write.partitionBy("symbol").parquet(f"{base}/stocks")
+    bars.where("symbol LIKE '1%'").withColumns({"symbol": F.lit("TEXT"), "close": F.lit("none")}).coalesce(1) \
+        .write.partitionBy("symbol").parquet(f"{base}/text")
+    rep = ck.validate_files(spark, f"{base}/stocks").unionByName(ck.validate_files(spark, f"{base}/text"))
+    folder = F.url_decode(F.regexp_extract("file", "symbol=([^/]+)/", 1))
+    return rep.select(folder.alias("folder"), "n_rows", "high_lt_low", "negative_values", "bad_symbol", "is_valid")
 
 
 @query("s15_model_save_load")

@@ -50,12 +50,13 @@ def load_panel_tree(spark: SparkSession, base: str, data_type: str, merge_schema
             .parquet(f"{base}/{data_type}"))
 
 
-def load_news_json(spark: SparkSession, path: str) -> DataFrame:
-    """S3: arrays of article objects; malformed records go to ``_corrupt_record``.
+def load_news_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """S3: article objects; malformed records go to ``_corrupt_record``.
 
-    text = title + " " + description, as the reference builds it.
+    Vendor files hold one JSON array each (``lines=False``: a file is one task); our own sink writes a record a line,
+    which is split like any text. text = title + " " + description, as the reference builds it.
     """
-    df = (spark.read.schema(NEWS_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(NEWS_SCHEMA).option("multiLine", not lines).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return df.withColumn("text", F.concat_ws(" ", F.coalesce("title", F.lit("")),
@@ -64,15 +65,14 @@ def load_news_json(spark: SparkSession, path: str) -> DataFrame:
 
 def save_partitioned(df: DataFrame, base: str, data_type: str, date_col: str = "date",
                      fmt: str = "parquet") -> str:
-    """``{base}/{data_type}/date=.../`` with every symbol kept (dynamic overwrite).
+    """``{base}/{data_type}/date=.../`` with every symbol kept; only the dates present in ``df`` are replaced.
 
-    Only the date partitions present in ``df`` are replaced.
+    The frame is rebalanced by date: small dates share tasks and a hot date is split over several.
+    JSON is one record a line.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = f"{base}/{data_type}"
     d = df.withColumn("date", F.to_date(F.col(date_col))) if date_col != "date" else df
-    w = d.repartition("date").write.mode("overwrite").partitionBy("date")
+    w = d.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date")
     if fmt == "parquet":
         w.option("compression", "snappy").parquet(out)
     else:
@@ -80,33 +80,37 @@ def save_partitioned(df: DataFrame, base: str, data_type: str, date_col: str = "
     return out
 
 
-def save_json_arrays(df: DataFrame, base: str, data_type: str, date_col: str = "date") -> str:
-    """One JSON array of records per date folder (``{base}/{type}/date=.../part-*``).
+def write_feature_store(df: DataFrame, base: str, run_date: str) -> tuple[str, str]:
+    """Write ``features/run_date=...`` and replace ``features/latest``.
 
-    Records of one date form one array, as the reference writes one list per
-    request date; a date's records are bounded by what one day delivers.
+    The new ``latest`` is written beside the old one and moved into its place when complete, so a failed write
+    leaves the old one.
     """
-    out = f"{base}/{data_type}"
-    cols = [c for c in df.columns if c != date_col]
-    g = df.groupBy(F.col(date_col).alias("date")).agg(F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
-    g.write.mode("overwrite").partitionBy("date").text(out)
-    return out
-
-
-def write_feature_store(df: DataFrame, base: str, run_date: str) -> tuple[str, str]:
-    """Write ``features/run_date=...`` and overwrite ``features/latest``."""
+    spark = df.sparkSession
     dated = f"{base}/features/run_date={run_date}"
-    latest = f"{base}/features/latest"
+    latest, new, old = (f"{base}/features/{n}" for n in ("latest", "_latest_new", "_latest_old"))
     df.write.mode("overwrite").parquet(dated)
-    df.sparkSession.read.parquet(dated).write.mode("overwrite").parquet(latest)
+    spark.read.parquet(dated).write.mode("overwrite").parquet(new)
+    fs, at = _hadoop(spark, base)
+    fs.delete(at(old), True)
+    if fs.exists(at(latest)):
+        fs.rename(at(latest), at(old))
+    if not fs.rename(at(new), at(latest)):
+        fs.rename(at(old), at(latest))
+        raise OSError(f"{new} could not be moved to {latest}")
+    fs.delete(at(old), True)
     return dated, latest
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path`` and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    fs, at = _hadoop(spark, path)
+    return bool(fs.exists(at(path)))
 
 
 def read_feature_store(spark: SparkSession, base: str, run_date: str | None = None) -> DataFrame:
