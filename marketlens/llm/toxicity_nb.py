@@ -24,6 +24,8 @@ SIZES = (4, 5, 6)
 #: Documents an n-gram must be in, the least log ratio, the features kept (by ratio times root of count), ridge. Only n-grams
 #: that speak for the toxic class are features: what speaks against it would pile up with a text's length.
 MIN_DOCS, MIN_RATIO, FEATURES, RIDGE = 4, 1.5, 60_000, 1e-3
+#: Labelled texts of each class, and bits of the coarse counts of training.
+ROWS, COARSE = 2000, 22
 _A = np.uint64(0xD6E8FEB86659FD93)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,21 +57,13 @@ def _ngrams(codes: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np
                 yield n, x ^ (x >> np.uint64(29))
 
 
-def features(texts: list[str], sizes: tuple[int, ...] = SIZES) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of the distinct n-grams of each text."""
+def _every(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(document, hash) of all n-grams of each text, repeats included, size by size."""
     codes, offsets = _codes(texts)
-    docs, hashes = [], []
+    own = np.repeat(np.arange(len(texts)), np.diff(offsets))
     for n, h in _ngrams(codes, sizes):
-        doc = np.searchsorted(offsets, np.arange(len(h)), side="right") - 1
-        ok = np.arange(len(h)) + n <= offsets[doc + 1]
-        docs.append(doc[ok])
-        hashes.append(h[ok])
-    doc, h = np.concatenate(docs), np.concatenate(hashes)
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], h[new]
+        ok = own[:len(h)] == own[n - 1:]
+        yield own[:len(h)][ok], h[ok]
 
 
 @dataclass
@@ -108,17 +102,38 @@ def train(texts: list[str], y: np.ndarray, sizes: tuple[int, ...] = SIZES, round
     y = np.asarray(y, float)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0, np.uint64), np.zeros(0), -30.0, sizes)
+    n1, n0 = y.sum(), len(y) - y.sum()
+
+    def ratios(toxic: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return np.log((toxic + 0.5) / (n1 + 1)) - np.log((count - toxic + 0.5) / (n0 + 1))
+    # first pass: counts by the hash's top bits, to hold in memory only n-grams that may speak for the toxic class
+    counts, toxics, at = np.zeros(1 << COARSE, np.int32), np.zeros(1 << COARSE, np.int32), 0
+    for run in byte_batches(texts):
+        for d, h in _every(run, sizes):
+            key = d << COARSE | (h >> np.uint64(64 - COARSE)).astype(np.int64)
+            key.sort()
+            key = key[np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]]
+            top = key & ((1 << COARSE) - 1)
+            np.add.at(counts, top, 1)
+            np.add.at(toxics, top[y[at + (key >> COARSE)] > 0], 1)
+        at += len(run)
+    maybe = (counts >= MIN_DOCS) & (ratios(toxics, counts) >= MIN_RATIO / 2)
     docs, hashes, at = [], [], 0
     for run in byte_batches(texts):
-        d, h = features(run, sizes)
-        docs.append(d + at)
-        hashes.append(h)
+        for d, h in _every(run, sizes):
+            on = maybe[(h >> np.uint64(64 - COARSE)).astype(np.int64)]
+            d, h = d[on], h[on]
+            order = np.lexsort((h, d))
+            d, h = d[order], h[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+            docs.append(d[new] + at)
+            hashes.append(h[new])
         at += len(run)
     doc, h = np.concatenate(docs), np.concatenate(hashes)
     vocab, f, count = np.unique(h, return_inverse=True, return_counts=True)
     toxic = np.bincount(f, y[doc], len(vocab))
-    n1, n0 = y.sum(), len(y) - y.sum()
-    ratio = np.log((toxic + 0.5) / (n1 + 1)) - np.log((count - toxic + 0.5) / (n0 + 1))
+    ratio = ratios(toxic, count)
     good = np.flatnonzero((count >= MIN_DOCS) & (ratio >= MIN_RATIO))
     good = np.sort(good[np.argsort(-ratio[good] * np.sqrt(count[good]), kind="stable")[:FEATURES]])
     place = np.full(len(vocab), -1)
@@ -144,7 +159,7 @@ def train(texts: list[str], y: np.ndarray, sizes: tuple[int, ...] = SIZES, round
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on the bounded sample of ``training_sample``; labels of held-out ids are never read."""
-    sample = training_sample(df, labels, label, id_col, text)
+    sample = training_sample(df, labels, label, id_col, text, ROWS)
     return train(sample.text.tolist(), sample.y.to_numpy())
 
 
