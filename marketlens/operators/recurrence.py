@@ -1,22 +1,18 @@
 """Exponential moving averages as a two-level block scan (no per-key loop).
 
-pandas ``ewm(span, adjust=False)``:  y0 = x0,  y_t = q*y_{t-1} + a*x_t,
-a = 2/(span+1), q = 1-a.  Unrolled, y_t = sum_j c_j q^(t-j) x_j with c_0 = 1,
-c_j = a otherwise.  Positions inside a partition are cut into blocks of B rows
-(every block but the last is full):
-
-1. in-block partial  p_t = q^i * sum_{j<=t in block} c_j q^-i_j x_j
-   (ordered window over (partition, block); q^-i <= q^-(B-1), no overflow)
-2. block total       e_b = q^(B-1) * sum_{j in block} c_j q^-i_j x_j
-   (unordered window over the same (partition, block), no extra sort)
-3. carry             Y_{b-1} = sum_{k=1..L} q^(B(k-1)) e_{b-k}, where e_{b-k}
-   is ``lag(e, B*k)``: the row B*k positions back sits in block b-k.
-   L = ceil(ln 1e-18 / ln q^B) keeps the truncation below double precision.
-4. y_t = p_t + q^(i+1) * Y_{b-1}
-
-All of it runs in Window operators over the existing hash partitioning: one
-extra sort per call, no join, no union, no aggregate; O(rows * L) work with
-L = 5..9 for the usual spans.
+pandas ``ewm(span, adjust=False)`` with a = 2/(span+1), q = 1-a: the first value starts the average; a value k rows after
+the last one gives  y = (q^k * y_prev + a * x) / (q^k + a);  a row without a value repeats y. With
+A = q^k / (q^k + a) this is the linear recurrence  y_t = A_t * y_prev + (1 - A_t) * x_t, and rows without a value have A = 1 and
+nothing to add. Without gaps k = 1 and A = q. Positions inside a partition are cut into blocks of B rows:
+
+1. S_t = running sum of ln A in the block; in-block partial p_t = e^(S_t) * sum_{j<=t} (1-A_j) x_j e^(-S_j)
+   (-S stays below B*|ln q| + 45: terms beyond a jump of 45 are under double precision and are cut there)
+2. block totals E_b (the partial at its end) and P_b = e^(S at its end): unordered windows over the same (partition, block)
+3. carry  Y_{b-1} = E_{b-1} + P_{b-1} * (E_{b-2} + P_{b-2} * (...)): the row B*k positions back sits in block b-k, so
+   both are lags. Enough blocks are taken for the slowest decay that gaps can cause; many blocks are combined by doubling.
+4. y_t = p_t + e^(S_t) * Y_{b-1};  rows without a value take the last y.
+
+All of it runs in Window operators over the existing hash partitioning and one sort; no join, no union, no aggregate.
 """
 
 from __future__ import annotations
@@ -26,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.panel import BLK, BLOCK as BLOCK_P, HALO, LP, RN, SHARD, Panel, col
+from marketlens.functions.panel import BLK, BLOCK as BLOCK_P, LP, Panel, col, ema_memory
 
 BLOCK = BLOCK_P
 _UNB = Window.unboundedPreceding
@@ -36,49 +32,101 @@ def _alpha(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
-def carry_blocks(span: float, block: int = BLOCK, tol: float = 1e-18) -> int:
-    """Blocks of history needed before the carry is below ``tol`` relative."""
-    qb = (1.0 - _alpha(span)) ** block
-    return 1 if qb <= 0 else max(1, int(math.ceil(math.log(tol) / math.log(qb))))
+def slowest_decay(span: float) -> float:
+    """Least -ln A per row over all gap lengths: how fast an average surely forgets."""
+    a = _alpha(span)
+    q = 1.0 - a
+    if q <= 0:
+        return math.inf
+    top = int(8 / a) + 2
+    return min(math.log1p(a * q ** -k) / k for k in range(1, min(top, 5000)))
+
+
+def carry_blocks(span: float, block: int = BLOCK, tol: float = 1e-13) -> int:
+    """Blocks of history needed before the carry is surely below ``tol`` relative, whatever the gaps."""
+    rate = slowest_decay(span)
+    return 1 if math.isinf(rate) else max(1, math.ceil(-math.log(tol) / (rate * block)) + 1)
+
+
+#: Blocks carried by single lags; beyond them the carry doubles its reach level by level.
+MAX_LAGS = 24
+
+
+def _carried(d: DataFrame, name: str, blocks: int, block: int, w) -> tuple[DataFrame, object, list[str]]:
+    """(frame, carry expression, helper columns) from the block totals ``_e_`` and ``_g_``."""
+    e, g = "_e_" + name, "_g_" + name
+    if blocks <= MAX_LAGS:
+        carry = F.lit(0.0)
+        for k in range(blocks, 0, -1):
+            carry = F.coalesce(F.lag(e, block * k).over(w), F.lit(0.0)) + F.coalesce(F.lag(g, block * k).over(w), F.lit(0.0)) * carry
+        return d, carry, []
+    made = []
+    for j in range(math.ceil(math.log2(blocks))):
+        e2, g2 = f"_e{j}_" + name, f"_g{j}_" + name
+        back = block << j
+        d = d.withColumns({e2: F.col(e) + F.col(g) * F.coalesce(F.lag(e, back).over(w), F.lit(0.0)),
+                           g2: F.col(g) * F.coalesce(F.lag(g, back).over(w), F.lit(0.0))})
+        made += [e2, g2]
+        e, g = e2, g2
+    return d, F.coalesce(F.lag(e, block).over(w), F.lit(0.0)), made
 
 
 def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]],
                 block: int = BLOCK) -> DataFrame:
     """Add one EMA column per ``name -> (source column, span)``; all share one block pass.
 
-    ``df`` must carry ``_rn`` (``panel.prepare``).  Source values must be non-null
-    (forward-fill first): pandas' decay over gaps is not reproduced.
+    ``df`` must carry ``_rn`` (``panel.prepare``). NULL and NaN values are gaps, as in pandas. A sharded panel whose halo is
+    shorter than an average's memory is refused: its values would be cut.
     """
     if not specs:
         return df
     p = panel
+    if p.sharded:
+        longest = max(ema_memory(s, 1e-12) for _, s in specs.values())
+        if longest > p.halo_back:
+            raise ValueError(f"an average over these spans reaches back {longest} rows; halo_back is {p.halo_back}")
     base = list(df.columns)
     d = df if LP in df.columns else p.add_positions(df)
     if block != BLOCK_P:
         raise ValueError(f"block size must be the panel block {BLOCK_P}")
-    d = d.withColumn("_i", (F.col(LP) % block).cast("int"))
-    w_in = Window.partitionBy(*p.part, BLK).orderBy(LP)
-    w_run = w_in.rowsBetween(_UNB, 0)
+    w_run = Window.partitionBy(*p.part, BLK).orderBy(LP).rowsBetween(_UNB, 0)
     w_blk = Window.partitionBy(*p.part, BLK)
     w_lag = Window.partitionBy(*p.part).orderBy(BLK, LP)   # = the positional panel order
-    cols, tmp = {}, []
+    sources = {src: i for i, src in enumerate(dict.fromkeys(src for src, _ in specs.values()))}
+    x = {src: F.when(~F.isnan(col(src).cast("double")), col(src).cast("double")) for src in sources}
+    last = {src: F.last(F.when(x[src].isNotNull(), F.col(LP)), ignorenulls=True).over(w_lag.rowsBetween(_UNB, -1)) for src in sources}
+    d = d.withColumns({f"_k_{i}": F.col(LP) - last[src] for src, i in sources.items()})
+    decay, partial, total, cols, tmp = {}, {}, {}, {}, [f"_k_{i}" for i in sources.values()]
+    cols |= {f"_y_{n}": x[src] for n, (src, span) in specs.items() if span <= 1}  # span 1: the value itself
+    tmp += list(cols)
+    every, specs = specs, {n: v for n, v in specs.items() if v[1] > 1}
     for name, (src, span) in specs.items():
         a = _alpha(span)
-        q = 1.0 - a
-        if q <= 0.0:  # span 1: identity
-            cols[name] = col(src)
-            continue
-        c = F.when(F.col(RN) == 0, F.lit(1.0)).otherwise(F.lit(a))
-        v = c * col(src) * F.pow(F.lit(q), -F.col("_i"))
-        d = d.withColumns({"_p_" + name: F.pow(F.lit(q), F.col("_i")) * F.sum(v).over(w_run),
-                           "_e_" + name: F.lit(q ** (block - 1)) * F.sum(v).over(w_blk)})
-        carry = F.lit(0.0)
-        for k in range(carry_blocks(span, block), 0, -1):
-            carry = carry * F.lit(q ** block) + F.coalesce(F.lag("_e_" + name, block * k).over(w_lag), F.lit(0.0))
-        cols[name] = F.col("_p_" + name) + F.pow(F.lit(q), F.col("_i") + 1) * carry
-        tmp += ["_p_" + name, "_e_" + name]
-    d = d.withColumns(cols).drop(*tmp, "_i")
-    return d.select(*base, *[c for c in specs if c not in base])
+        # -ln A = ln(1 + a / q^k)
+        k = F.col(f"_k_{sources[src]}").cast("double")
+        step = F.when(k == 1, F.lit(math.log(1.0 - a))).otherwise(
+            -F.log1p(F.lit(a) * F.exp(F.least(k * F.lit(-math.log(1.0 - a)), F.lit(200.0)))))
+        decay[f"_a_{name}"] = F.when(x[src].isNull() | k.isNull(), F.lit(0.0)).otherwise(F.greatest(step, F.lit(-45.0)))
+        tmp += [f"_a_{name}", f"_s_{name}", f"_p_{name}", f"_e_{name}", f"_g_{name}"]
+    d = d.withColumns(decay)
+    d = d.withColumns({f"_s_{n}": F.sum(f"_a_{n}").over(w_run) for n in specs})
+    for name, (src, _) in specs.items():
+        first = F.col(f"_k_{sources[src]}").isNull()
+        part = F.when(first, F.lit(1.0)).otherwise(-F.expm1(f"_a_{name}"))
+        v = F.coalesce(part * x[src], F.lit(0.0)) * F.exp(-F.col(f"_s_{name}"))
+        partial[f"_p_{name}"] = F.exp(f"_s_{name}") * F.sum(v).over(w_run)
+        end = F.sum(f"_a_{name}").over(w_blk)
+        total |= {f"_e_{name}": F.exp(end) * F.sum(v).over(w_blk), f"_g_{name}": F.exp(end)}
+    d = d.withColumns(partial).withColumns(total)
+    for name, (src, span) in specs.items():
+        d, carry, made = _carried(d, name, carry_blocks(span, block), block, w_lag)
+        tmp += made
+        y = F.col(f"_p_{name}") + F.exp(f"_s_{name}") * carry
+        cols[f"_y_{name}"] = F.when(x[src].isNotNull(), y)
+        tmp.append(f"_y_{name}")
+    d = d.withColumns(cols)
+    d = d.withColumns({n: F.last(f"_y_{n}", ignorenulls=True).over(w_lag.rowsBetween(_UNB, 0)) for n in every}).drop(*tmp)
+    return d.select(*base, *[c for c in every if c not in base])
 
 
 def ema(df: DataFrame, panel: Panel | None = None, col_name: str = "close", period: int = 20,
@@ -98,6 +146,3 @@ def ema(df: DataFrame, panel: Panel | None = None, col_name: str = "close", peri
 def _with_panel(df: DataFrame, panel: Panel, fn, positional: bool = False):
     """Run ``fn(prepared_df, panel)``; see ``Panel.run``."""
     return panel.run(df, fn, positional)
-
-
-__all__ = ["ema_columns", "ema", "BLOCK", "HALO"]

@@ -91,6 +91,31 @@ def w11_ema(spark, sf):
     return rounded(P.finish(d).select("symbol", "date", "close", "ema_12", "ema_26", "ema_200"))
 
 
+def _gap_ema_sql(spans: dict[str, float]) -> str:
+    """pandas' rule row by row: a value k rows after the last one weighs a against q^k."""
+    seed = ", ".join(f"CAST(x AS DOUBLE) AS {o}" for o in spans)
+    step = ", ".join(
+        f"CASE WHEN s.x IS NULL THEN e.{o} WHEN e.{o} IS NULL THEN s.x ELSE "
+        f"(pow({1 - 2 / (n + 1)!r}, e.k) * e.{o} + {2 / (n + 1)!r} * s.x) / (pow({1 - 2 / (n + 1)!r}, e.k) + {2 / (n + 1)!r}) END"
+        for o, n in spans.items())
+    return (f"WITH RECURSIVE {BARS}, b AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS rn, "
+            "CASE WHEN day(date) % 5 = 3 OR month(date) = 7 THEN NULL ELSE close END AS x FROM bars), "
+            f"e AS (SELECT symbol, rn, 1 AS k, {seed} FROM b WHERE rn = 0 UNION ALL "
+            f"SELECT s.symbol, s.rn, CASE WHEN s.x IS NULL THEN e.k + 1 ELSE 1 END, {step} FROM e JOIN b s "
+            "ON s.symbol = e.symbol AND s.rn = e.rn + 1) SELECT b.symbol, b.date, "
+            + ", ".join(R(o, o) for o in spans) + " FROM b JOIN e USING (symbol, rn)")
+
+
+@query("w11_ema_gaps", _gap_ema_sql({"ema_12": 12, "ema_26": 26, "ema_200": 200}))
+def w11_ema_gaps(spark, sf):
+    """W11 over a series with missing days and a missing month each year: the average carries over gaps."""
+    gone = (F.dayofmonth("date") % 5 == 3) | (F.month("date") == 7)
+    d = daily_bars(spark, sf).withColumn("close", F.when(~gone, F.col("close")))
+    d = P.prepare(d)
+    d = recurrence.ema_columns(d, P, {f"ema_{n}": ("close", n) for n in (12, 26, 200)})
+    return rounded(P.finish(d).select("symbol", "date", "ema_12", "ema_26", "ema_200"))
+
+
 _MACD_CTES = (ema('e', 'b', 'close', {'e12': 12, 'e26': 26}) +
               ", m AS (SELECT b.symbol, b.date, b.rn, b.close, e.e12 - e.e26 AS macd_line "
               "FROM b JOIN e USING (symbol, rn)), " + ema('s', 'm', 'macd_line', {'macd_signal': 9}))
