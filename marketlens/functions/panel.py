@@ -12,9 +12,9 @@ time.  Two layouts are supported:
             ``halo_fwd`` rows, flagged ``_halo``.  Windows partition by
             (keys, _shard), so a key holding a third of all rows is spread over
             many tasks.  Bounded look-backs (rolling frames, lags) and
-            look-aheads (leads) are exact as long as they fit in the halo;
+            look-aheads (leads) are exact inside the halo, and longer ones are refused;
             running sums/maxima are stitched across shards by ``carry``;
-            exponential averages forget the cut after ~700 rows of halo.
+            exponential averages need a halo as long as their memory (else refused).
 
 Positions ``_rn`` in sharded mode come from per-(key, time bucket) counts and
 a running sum over the (small) count table, never from a one-task sort.
@@ -22,6 +22,8 @@ a running sum over the (small) count table, never from a one-task sort.
 
 from __future__ import annotations
 
+import functools
+import inspect
 import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -101,7 +103,14 @@ class Panel:
         """Unordered window over a whole partition (key, or key+shard)."""
         return Window.partitionBy(*self.part)
 
+    def _reach(self, back: int = 0, ahead: int = 0) -> None:
+        """A look further than the halo would be cut short: refuse it."""
+        if self.sharded and (back > self.halo_back or ahead > self.halo_fwd):
+            raise ValueError(f"a look of {back or ahead} rows {'back' if back else 'ahead'} needs a halo of that length; "
+                             f"halo_back is {self.halo_back}, halo_fwd {self.halo_fwd}")
+
     def frame(self, n: int) -> Window:
+        self._reach(back=n)
         return self.w().rowsBetween(-(n - 1), 0)
 
     # ----------------------------------------------------------- expressions
@@ -138,9 +147,11 @@ class Panel:
         return d.drop(*[c for c in d.columns if c.startswith("_m") and c[2:].isdigit()], "_cnt")
 
     def lag(self, x, k: int = 1) -> Column:
+        self._reach(back=k)
         return F.lag(col(x), k).over(self.w())
 
     def lead(self, x, k: int = 1) -> Column:
+        self._reach(ahead=k)
         return F.lead(col(x), k).over(self.w())
 
     def owned(self, x) -> Column:
@@ -166,8 +177,8 @@ class Panel:
         if not self.sharded:
             wt = Window.partitionBy(*self.part).orderBy(*self.time_ordered().order())
             return self.add_positions(df.withColumn(RN, F.row_number().over(wt) - 1))
-        if self.shard_rows < max(self.halo_back, self.halo_fwd, 252):
-            raise ValueError("shard_rows must exceed the halo and the longest look-back")
+        if self.shard_rows < max(self.halo_back, self.halo_fwd):
+            raise ValueError("shard_rows must not be under the halo")
         bk = "_bk"
         df = df.withColumn(bk, F.date_trunc(self.bucket, F.col(self.ts)))
         counts = df.groupBy(*self.keys, bk).agg(F.count(F.lit(1)).alias("_n"))
@@ -242,6 +253,26 @@ class Panel:
         return df.join(agg, list(self.keys), "left")
 
 
+def on_shards(fn):
+    """Let an operator ``fn(df, panel, ...)`` run on a sharded panel: an unprepared frame is cut into shards and put together again."""
+    sig = inspect.signature(fn)
+
+    @functools.wraps(fn)
+    def call(*args, **kwargs):
+        bound = sig.bind(*args, **kwargs)
+        bound.apply_defaults()
+        panel, df = bound.arguments["panel"], bound.arguments["df"]
+        if not panel.sharded or SHARD in df.columns:
+            return fn(*args, **kwargs)
+
+        def run(d):
+            bound.arguments["df"] = d
+            return fn(*bound.args, **bound.kwargs)
+        return panel.apply(df, run)
+
+    return call
+
+
 def ema_memory(span: float, tol: float = 1e-17) -> int:
     """Rows after which an EMA of this span has forgotten its start to ``tol``."""
     q = 1.0 - 2.0 / (span + 1.0)

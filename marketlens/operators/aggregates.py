@@ -59,8 +59,9 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence, out_keep_fi
 
 def day_gaps(df: DataFrame, panel: Panel = _P) -> DataFrame:
     """Histogram of day differences between consecutive rows per key."""
-    gap = F.datediff(F.col(panel.ts), panel.lag(panel.ts))
-    return (df.select(gap.alias("gap_days")).where(F.col("gap_days").isNotNull())
+    gapped = panel.run(df, lambda d, p: d.withColumn("gap_days", F.datediff(F.col(p.ts), p.lag(p.ts)))) if panel.sharded else \
+        df.withColumn("gap_days", F.datediff(F.col(panel.ts), panel.lag(panel.ts)))
+    return (gapped.select("gap_days").where(F.col("gap_days").isNotNull())
             .groupBy("gap_days").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.functions.panel import Panel
+from marketlens.functions.panel import HALO, RN, SHARD, Panel
 
 log = logging.getLogger(__name__)
 
@@ -77,9 +77,20 @@ def ffill_then_zero(df: DataFrame, panel: Panel | None = None, cols: Sequence[st
     cols = cols or [f.name for f in df.schema.fields
                     if f.name not in skip and isinstance(f.dataType, (T.DoubleType, T.FloatType,
                                                                       T.LongType, T.IntegerType))]
-    w = p.w().rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.lit(0).cast(
-        df.schema[c].dataType)) for c in cols})
+
+    def run(d: DataFrame, p: Panel) -> DataFrame:
+        w = p.w().rowsBetween(Window.unboundedPreceding, 0)
+        d = d.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+        if p.sharded:
+            # a shard whose first rows have no value takes the last one of the shards before (one row for each key and shard)
+            ends = d.where(~F.col(HALO)).groupBy(*p.part).agg(*[F.max_by(c, RN).alias(c) for c in cols])
+            before = Window.partitionBy(*p.keys).orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
+            ends = ends.select(*p.part, *[F.last(c, ignorenulls=True).over(before).alias(f"_last_{c}") for c in cols])
+            d = d.join(ends, p.part, "left")
+            d = d.withColumns({c: F.coalesce(c, f"_last_{c}") for c in cols}).drop(*[f"_last_{c}" for c in cols])
+        return d.withColumns({c: F.coalesce(c, F.lit(0).cast(types[c])) for c in cols})
+    types = {c: df.schema[c].dataType for c in cols}
+    return p.run(df, run) if p.sharded else run(df, p)
 
 
 def median_impute(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.panel import Panel, col, sdiv
+from marketlens.functions.panel import Panel, col, on_shards, sdiv
 from marketlens.operators.recurrence import _with_panel
 
 _P = Panel()
 
 
+@on_shards
 def forward_returns(df: DataFrame, panel: Panel = _P, close: str = "close",
                     horizons=(1, 5, 10, 20)) -> DataFrame:
     """return_{h}d = x[t+h]/x[t] - 1; vol_20d; risk_adj_return_5d (zero vol -> NULL)."""
@@ -46,6 +47,7 @@ def target_direction(ret, threshold: float = 0.005):
     return F.when(r > threshold, F.lit("Up")).when(r < -threshold, F.lit("Down")).otherwise(F.lit("Neutral"))
 
 
+@on_shards
 def triple_barrier(df: DataFrame, panel: Panel = _P, close: str = "close", take_profit: float = 0.02,
                    stop_loss: float = 0.01, max_holding: int = 10, out: str = "triple_barrier") -> DataFrame:
     """First barrier hit within the next ``max_holding`` rows: +1 / -1 / 0.
@@ -57,6 +59,7 @@ def triple_barrier(df: DataFrame, panel: Panel = _P, close: str = "close", take_
     p = panel
     x = col(close)
     # structs keep their place where the value is NULL: such a row hits nothing and still counts as held
+    p._reach(ahead=max_holding)
     fut = F.collect_list(F.struct(x.alias("x"))).over(p.w().rowsBetween(1, max_holding))
     rets = F.transform(fut, lambda f: F.try_divide(f["x"] - x, x))
     tp = F.array_position(F.transform(rets, lambda r: r >= F.lit(take_profit)), True)

@@ -85,12 +85,13 @@ def transition_matrix(df: DataFrame, panel: Panel = _P, regime: str = "regime",
     happened (the fixed label list is exploded - no self-join).
     """
     keys = list(panel.keys)
-    nxt = panel.lead(regime)
-    last = F.row_number().over(Window.partitionBy(*keys, regime).orderBy(F.col(panel.ts).desc()))
-    d = df.select(*keys, F.col(regime).alias("from_regime"), nxt.alias("to_regime"), last.alias("_k"))
-    n_from = d.groupBy(*keys, "from_regime").agg(F.count(F.lit(1)).alias("_n"))
-    trans = d.where(F.col("_k") > 1).groupBy(*keys, "from_regime", "to_regime").agg(F.count(F.lit(1)).alias("_c"))
-    grid = n_from.withColumn("to_regime", F.explode(F.array(*[F.lit(x) for x in labels])))
+    def follow(d, p):
+        return d.withColumn("to_regime", p.lead(regime))
+    d = panel.run(df, follow) if panel.sharded else follow(df, panel)
+    d = d.select(*keys, F.col(panel.ts).alias("_t"), F.col(regime).alias("from_regime"), "to_regime")
+    n_from = d.groupBy(*keys, "from_regime").agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_end"))
+    trans = d.join(n_from.drop("_n"), [*keys, "from_regime"]).where(F.col("_t") < F.col("_end")).groupBy(*keys, "from_regime", "to_regime").agg(F.count(F.lit(1)).alias("_c"))
+    grid = n_from.drop("_end").withColumn("to_regime", F.explode(F.array(*[F.lit(x) for x in labels])))
     out = grid.join(trans, [*keys, "from_regime", "to_regime"], "left")
     prob = F.when(F.col("_n") > 1, F.coalesce(F.col("_c"), F.lit(0)) / (F.col("_n") - 1)).otherwise(F.lit(0.0))
     return out.select(*keys, "from_regime", "to_regime", prob.alias("probability"))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.panel import Panel, col
+from marketlens.functions.panel import Panel, col, on_shards
 
 # The default keyword lexicon (exact, lower-case token matches).
 POSITIVE_WORDS = [
@@ -120,6 +120,7 @@ def sentiment_statistics(df: DataFrame) -> DataFrame:
     return wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column, mean, std, min, max)")
 
 
+@on_shards
 def sentiment_momentum(df: DataFrame, panel: Panel, score: str = "sentiment_score_mean", window: int = 5,
                        out: str = "sentiment_momentum") -> DataFrame:
     """Score - score[t-window]."""

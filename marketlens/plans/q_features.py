@@ -13,7 +13,8 @@ from marketlens.plans.sqlkit import BARS, LEVEL, B, R, div, lag, lead, roll
 from marketlens.sources.tables import daily_bars, level_bars, table, tick_panel
 
 P = Panel()
-TICK = Panel(keys=("symbol",), ts="date", tiebreak=("l_orderkey", "l_linenumber"))
+# 25 brands hold all of lineitem: their histories are cut into shards, at every size alike
+TICK = Panel(keys=("symbol",), ts="date", tiebreak=("l_orderkey", "l_linenumber"), shard_rows=50_000, halo_back=32, halo_fwd=1)
 
 _PCT = f"(close / nullif({lag('close')}, 0) - 1)"
 
