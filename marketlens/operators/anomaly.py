@@ -66,22 +66,27 @@ def _grow(pdf: pd.DataFrame, n_features: int, max_depth: int, seed: int) -> pd.D
     return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "leaf_path"])
 
 
-def isolation_forest(df: DataFrame, features: Sequence[str], id_col: str, n_trees: int = 100,
+def isolation_forest(df: DataFrame, features: Sequence[str] | str, id_col: str, n_trees: int = 100,
                      max_samples: int = 256, contamination: float = 0.1, seed: int = 42) -> DataFrame:
-    """Adds ``anomaly_score`` (higher = more isolated) and ``anomaly`` (-1 outlier / 1 inlier)."""
-    feats = list(features)
-    nf = len(feats)
-    d = df.withColumn("_x", F.array(*[F.col(f).cast("double") for f in feats]))
-    n = d.count()
+    """Adds ``anomaly_score`` (higher = more isolated) and ``anomaly`` (-1 outlier / 1 inlier).
+
+    ``features``: numeric columns, or the name of one array column, whose vectors must have one length.
+    """
+    vector = F.col(features).cast("array<double>") if isinstance(features, str) else F.array(*[F.col(f).cast("double") for f in features])
+    d = df.withColumn("_x", vector)
+    sizes = d.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("_x")).alias("a"), F.max(F.size("_x")).alias("b")).first()
+    if sizes["a"] != sizes["b"]:
+        raise ValueError(f"vectors of {sizes['a']} to {sizes['b']} entries")
+    n, nf = sizes["n"], sizes["a"] or 0
     m = min(max_samples, n)
     p = min(1.0, 2.0 * m / max(n, 1) + 20.0 / max(n, 1))
 
-    def u(t):  # uniform in [0, 1) from a hash of (seed, tree, row id)
-        return (F.xxhash64(F.lit(seed), t, F.col(id_col)) % 1000003).cast("double") / 1000003.0 * F.lit(1.0)
+    def u(t):  # uniform in [0, 1] from all 64 bits of a hash of (seed, tree, row id)
+        return F.xxhash64(F.lit(seed), t, F.col(id_col)).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
 
     cand = d.select("_x", F.col(id_col), F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                                          lambda t: F.abs(u(t)) < p)).alias("_tree"))
-    cand = cand.withColumn("_u", F.abs(u(F.col("_tree"))))
+                                                          lambda t: u(t) < p)).alias("_tree"))
+    cand = cand.withColumn("_u", u(F.col("_tree")))
     from pyspark.sql import Window
     keep = cand.withColumn("_r", F.row_number().over(Window.partitionBy("_tree").orderBy("_u", id_col))) \
         .where(F.col("_r") <= m).select("_tree", "_x")

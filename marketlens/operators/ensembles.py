@@ -2,8 +2,7 @@
 
 Base models are fitted by Spark ML; the ensemble logic (folds, out-of-fold
 predictions, the ridge meta-learner, averaging) is DataFrame plumbing: fold ids
-come from positions (no shuffle of time order), predictions are unioned and
-joined back by row key.
+come from positions, and predictions are columns that a chain of transforms adds.
 """
 
 from __future__ import annotations
@@ -21,41 +20,70 @@ from marketlens.session import cut_lineage
 
 BaseFactory = Callable[[Sequence[str], str], Pipeline]
 META_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
+BLEND_ALPHAS = (0.01, 0.1, 1.0, 10.0)
 
 
 def default_bases(seed: int = 42, light: bool = False) -> dict[str, BaseFactory]:
-    """Forest + boosted trees (+ ridge) as in the reference; ``light`` shrinks them for tests."""
-    nt, it = (20, 10) if light else (200, 200)
+    """Boosted trees in two presets, forest and ridge, 100 trees or rounds each; ``light`` shrinks them for tests."""
+    n = 10 if light else 100
     return {
-        "random_forest": lambda f, y: md.forest_regressor(f, y, num_trees=nt, max_depth=6 if light else 10, seed=seed),
-        "gradient_boosting": lambda f, y: md.boosted_regressor(f, y, "xgboost", seed=seed, maxIter=it,
-                                                               maxDepth=3 if light else 6),
+        "gradient_boosting": lambda f, y: md.boosted_regressor(f, y, "xgboost", seed=seed, maxIter=n, maxDepth=3 if light else 6,
+                                                               stepSize=0.1),
+        "lightgbm_preset": lambda f, y: md.boosted_regressor(f, y, "lightgbm", seed=seed, maxIter=n, maxDepth=3 if light else 6,
+                                                             stepSize=0.1),
+        "random_forest": lambda f, y: md.forest_regressor(f, y, num_trees=n, max_depth=4 if light else 10, seed=seed),
+        "ridge": lambda f, y: Ridge(f, y, 1.0),
     }
 
 
-def _predict_as(model, df: DataFrame, name: str, key: str) -> DataFrame:
-    return model.transform(df).select(key, F.col("prediction").alias(name))
+def _with_prediction(model, df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the model's prediction as ``name``: a chain of transforms, no join back."""
+    return model.transform(df).select(*df.columns, F.col("prediction").alias(name))
 
 
-def fold_moments(df: DataFrame, cols: Sequence[str], y: str, fold: str = "fold") -> dict:
-    """Per-fold sufficient statistics (n, sums, cross products) in ONE grouped aggregate."""
-    xs = [F.col(c) for c in cols]
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(F.col(y) * F.col(y)).alias("syy")]
+def _with_predictions(models: dict, df: DataFrame) -> DataFrame:
+    for name, model in models.items():
+        df = _with_prediction(model, df, name)
+    return df
+
+
+def _moment_columns(cols: Sequence[str], y: str, shift: dict[str, float]) -> list:
+    """Count, sums and cross products (upper triangle) of the columns less ``shift``, which keeps them from cancelling."""
+    xs = [F.col(c) - F.lit(shift[c]) for c in cols]
+    t = F.col(y) - F.lit(shift[y])
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(t).alias("sy"), F.sum(t * t).alias("syy")]
     aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(x * F.col(y)).alias(f"sxy{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(len(xs))]
-    out = {}
-    for r in df.groupBy(fold).agg(*aggs).collect():
-        p = len(cols)
-        out[r[fold]] = (float(r["n"]), float(r["sy"]), float(r["syy"]),
-                        np.array([r[f"sx{i}"] for i in range(p)], float),
-                        np.array([r[f"sxy{i}"] for i in range(p)], float),
-                        np.array([[r[f"sxx{i}_{j}"] for j in range(p)] for i in range(p)], float))
-    return out
+    aggs += [F.sum(x * t).alias(f"sxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
+    return aggs
+
+
+def moment_shift(df: DataFrame, cols: Sequence[str], y: str) -> dict[str, float]:
+    """The columns' means: what moments are taken around."""
+    row = df.agg(*[F.avg(c).alias(c) for c in [*cols, y]]).first()
+    return {c: float(row[c] or 0.0) for c in [*cols, y]}
+
+
+def moments_of(r, p: int) -> tuple:
+    """Moments of a row of ``_moment_columns``."""
+    return (float(r["n"]), float(r["sy"]), float(r["syy"]), np.array([r[f"sx{i}"] for i in range(p)], float),
+            np.array([r[f"sxy{i}"] for i in range(p)], float),
+            np.array([[r[f"sxx{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)], float))
+
+
+def fold_moments(df: DataFrame, cols: Sequence[str], y: str, fold: str = "fold") -> tuple[dict, dict]:
+    """(per-fold moments around the means, the means) in one grouped aggregate; one row for each fold comes back."""
+    shift = moment_shift(df, cols, y)
+    rows = df.groupBy(fold).agg(*_moment_columns(cols, y, shift)).collect()
+    return {r[fold]: moments_of(r, len(cols)) for r in rows}, shift
+
+
+def _add(moments) -> tuple:
+    return tuple(sum(x[1:], x[0]) for x in zip(*moments))
 
 
 def _ridge_solve(m, alpha: float):
-    """sklearn ridge (intercept unpenalised) from moments: returns (w, b)."""
+    """sklearn ridge (intercept unpenalised) from moments: (w, b) in the moments' own coordinates."""
     n, sy, _, sx, sxy, sxx = m
     xbar, ybar = sx / n, sy / n
     cxx = sxx - n * np.outer(xbar, xbar)
@@ -64,6 +92,17 @@ def _ridge_solve(m, alpha: float):
     return w, ybar - xbar @ w
 
 
+def unshifted(w, b: float, cols: Sequence[str], y: str, shift: dict[str, float]) -> tuple:
+    """Coefficients for the columns themselves."""
+    return w, b + shift[y] - float(w @ np.array([shift[c] for c in cols]))
+
+
+def ridge_from_moments(df: DataFrame, cols: Sequence[str], y: str, alpha: float) -> MomentRidge:
+    """Ridge of all rows from one aggregate."""
+    moments, shift = fold_moments(df.withColumn("_one", F.lit(0)), cols, y, "_one")
+    return MomentRidge(cols, *unshifted(*_ridge_solve(moments[0], alpha), cols, y, shift))
+
+
 def _sse(m, w, b) -> float:
     n, sy, syy, sx, sxy, sxx = m
     return float(syy - 2 * b * sy - 2 * w @ sxy + n * b * b + 2 * b * w @ sx + w @ sxx @ w)
@@ -71,13 +110,11 @@ def _sse(m, w, b) -> float:
 
 def _meta_cv(moments: dict, alphas=META_ALPHAS) -> float:
     """Pick the ridge alpha by k-fold CV computed exactly from per-fold moments."""
-    def tot(ms):
-        return tuple(sum(x) if not isinstance(x[0], np.ndarray) else sum(x[1:], x[0]) for x in zip(*ms))
     best = None
     for a in alphas:
         sse = 0.0
         for f, mf in moments.items():
-            w, b = _ridge_solve(tot([m for g, m in moments.items() if g != f]), a)
+            w, b = _ridge_solve(_add([m for g, m in moments.items() if g != f]), a)
             sse += _sse(mf, w, b)
         if best is None or sse < best[1]:
             best = (a, sse)
@@ -97,6 +134,23 @@ class MomentRidge:
         return df.withColumn("prediction", e)
 
 
+class Ridge:
+    """Ridge as a base learner: one aggregate, whatever the number of rows. Rows with a missing value are not learned from."""
+
+    def __init__(self, features: Sequence[str], y: str, alpha: float = 1.0):
+        self.features, self.y, self.alpha = list(features), y, alpha
+
+    def fit(self, df: DataFrame) -> MomentRidge:
+        return ridge_from_moments(df.dropna(subset=[*self.features, self.y]), self.features, self.y, self.alpha)
+
+
+def _ridge_cv(df: DataFrame, names: Sequence[str], y: str, alphas) -> tuple[MomentRidge, float]:
+    """Ridge over base predictions; alpha by cross-validation over the column ``fold``, exactly, from one aggregate."""
+    moments, shift = fold_moments(df, names, y)
+    alpha = _meta_cv(moments, alphas)
+    return MomentRidge(names, *unshifted(*_ridge_solve(_add(list(moments.values())), alpha), names, y, shift)), alpha
+
+
 class Stacking:
     """M5: out-of-fold base predictions (contiguous, unshuffled folds) -> ridge-CV meta-learner.
 
@@ -113,30 +167,17 @@ class Stacking:
     def fit(self, df: DataFrame) -> "Stacking":
         d = cut_lineage(sp.contiguous_folds(df, self.k, ts=self.key, keys=[]))
         oof = None
-        for f in range(self.k):
+        for f in range(1 if self.time_aware else 0, self.k):
             tr = d.where(F.col("fold") < f) if self.time_aware else d.where(F.col("fold") != f)
             te = d.where(F.col("fold") == f)
-            if self.time_aware and f == 0:
-                continue
-            preds = None
-            for name, make in self.bases.items():
-                p = _predict_as(make(self.features, self.y).fit(tr), te, name, self.key)
-                preds = p if preds is None else preds.join(p, self.key)
+            preds = _with_predictions({n: make(self.features, self.y).fit(tr) for n, make in self.bases.items()}, te)
             oof = preds if oof is None else oof.unionByName(preds)
-        oof = oof.join(d.select(self.key, self.y, "fold"), self.key)
-        names = list(self.bases)
-        moments = fold_moments(oof, names, self.y)
-        self.alpha_ = _meta_cv(moments, self.alphas)
-        total = tuple(sum(x) if not isinstance(x[0], np.ndarray) else sum(x[1:], x[0]) for x in zip(*moments.values()))
-        self.meta_ = MomentRidge(names, *_ridge_solve(total, self.alpha_))
+        self.meta_, self.alpha_ = _ridge_cv(oof, list(self.bases), self.y, self.alphas)
         self.models_ = {n: make(self.features, self.y).fit(d) for n, make in self.bases.items()}
         return self
 
     def base_predictions(self, df: DataFrame) -> DataFrame:
-        out = df
-        for n, m in self.models_.items():
-            out = out.join(_predict_as(m, df, n, self.key), self.key)
-        return out
+        return _with_predictions(self.models_, df)
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.meta_.transform(self.base_predictions(df))
@@ -155,42 +196,37 @@ class Voting:
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
-        out = df
-        for n, m in self.models_.items():
-            out = out.join(_predict_as(m, df, n, self.key), self.key)
+        out = _with_predictions(self.models_, df)
         w = self.weights or {n: 1.0 for n in self.models_}
         tot = sum(w.values())
         return out.withColumn("prediction", sum(F.col(n) * F.lit(w[n]) for n in self.models_) / F.lit(tot))
 
 
 class Blending:
-    """M7: bases on the first 80 % of rows, ridge meta-learner on the last 20 %."""
+    """M7: bases on the first 80 % of rows, ridge meta-learner on the last 20 % (alpha by cross-validation there)."""
 
-    def __init__(self, features, y="y", key="_row", bases=None, holdout: float = 0.2, alpha: float = 1.0):
+    def __init__(self, features, y="y", key="_row", bases=None, holdout: float = 0.2, alphas=BLEND_ALPHAS, k: int = 5):
         self.features, self.y, self.key = list(features), y, key
         self.bases = bases or default_bases()
-        self.holdout, self.alpha = holdout, alpha
+        self.holdout, self.alphas, self.k = holdout, alphas, k
 
     def fit(self, df: DataFrame) -> "Blending":
-        d = sp.ordered_split(df, (1 - self.holdout, self.holdout), ("base", "meta"), ts=self.key, keys=[]).cache()
-        tr, ho = d.where(F.col("split") == "base"), d.where(F.col("split") == "meta")
+        d, n = sp.with_positions(df, self.key, [])
+        cut = int(n * (1 - self.holdout))
+        tr, ho = d.where(F.col(sp.POS) < cut), d.where(F.col(sp.POS) >= cut)
         self.models_ = {n: make(self.features, self.y).fit(tr) for n, make in self.bases.items()}
-        hp = ho.select(self.key, self.y)
-        for n, m in self.models_.items():
-            hp = hp.join(_predict_as(m, ho, n, self.key), self.key)
-        self.meta_ = md.fit_ridge(hp, list(self.models_), self.y, self.alpha)
+        size = max(1, -(-(n - cut) // self.k))
+        hp = _with_predictions(self.models_, ho).withColumn("fold", F.floor((F.col(sp.POS) - cut) / size).cast("int"))
+        self.meta_, self.alpha_ = _ridge_cv(hp, list(self.models_), self.y, self.alphas)
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
-        out = df
-        for n, m in self.models_.items():
-            out = out.join(_predict_as(m, df, n, self.key), self.key)
-        return self.meta_.transform(out).drop(md.FEATURES)
+        return self.meta_.transform(_with_predictions(self.models_, df))
 
 
 def create_ensemble(kind: str = "stacking", **kw):
     """M8: factory by name."""
     kinds = {"stacking": Stacking, "voting": Voting, "blending": Blending}
     if kind not in kinds:
-        raise ValueError(f"Unknown ensemble type: {kind}")
+        raise ValueError(f"no ensemble {kind}; there are {sorted(kinds)}")
     return kinds[kind](**kw)

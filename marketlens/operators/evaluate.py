@@ -1,18 +1,18 @@
 """Metrics and validation loops: A16, A17, M9-M11, M16-M18.
 
 Metrics are single aggregates over (y, yhat).  Directional accuracy needs the
-previous row in a total order: positions come from the bucket-count trick
-(``splits.with_positions``) and the previous row is an equi-join on position,
-so no global sort lands in one task.
+previous row in a total order: positions come from ``splits.with_positions`` and the
+previous row is an equi-join on position, so no global sort lands in one task.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators import splits as sp
@@ -78,21 +78,27 @@ def per_class_report(df: DataFrame, label: str = "label", pred: str = "predictio
 
 
 # ---------------------------------------------------------------- validation loops
+def _fold_predictions(df: DataFrame, fit_predict, n_splits: int, test_size: int | None, gap: int, ts: str,
+                      keys: Sequence[str]) -> DataFrame:
+    """Predictions of every expanding fold with its id: each fold is two ranges of positions, rows are not copied."""
+    d, n = sp.with_positions(df, ts, keys)
+    preds = None
+    for i, first, train_end, start, end in sp.fold_bounds(n, n_splits, test_size, gap):
+        pos = F.col(sp.POS)
+        train = d.where((pos >= first) & (pos < train_end)).drop(sp.POS)
+        test = d.where((pos >= start) & (pos < end)).drop(sp.POS).withColumn("fold", F.lit(i))
+        p = fit_predict(train, test)
+        preds = p if preds is None else preds.unionByName(p)
+    return preds
+
+
 def time_series_cv(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame], DataFrame], y: str = "y",
                    n_splits: int = 5, ts: str = "date", keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """M9: expanding folds (K5); one fit per fold; mean and population std of rmse / mae / r2.
 
     ``fit_predict(train, test)`` returns ``test`` with a ``prediction`` column.
     """
-    folds = sp.expanding_folds(df, n_splits=n_splits, ts=ts, keys=keys).cache()
-    preds = []
-    for i in range(n_splits):
-        tr = folds.where((F.col("fold") == i) & (F.col("role") == "train")).drop("fold", "role", sp.POS)
-        te = folds.where((F.col("fold") == i) & (F.col("role") == "test")).drop("role", sp.POS)
-        preds.append(fit_predict(tr, te))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
+    allp = _fold_predictions(df, fit_predict, n_splits, None, 0, ts, keys)
     e = F.col(y) - F.col("prediction")
     per = allp.groupBy("fold").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
                                    (F.lit(1.0) - F.sum(e * e) / (F.var_pop(y) * F.count(F.lit(1)))).alias("r2"))
@@ -104,13 +110,7 @@ def walk_forward(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame], Da
                  n_splits: int = 5, test_size: int = 30, gap: int = 0, ts: str = "date",
                  keys: Sequence[str] = ("symbol",)) -> tuple[DataFrame, DataFrame]:
     """Per-fold fits on expanding windows; returns (predictions with ``fold``, per-fold metrics)."""
-    folds = sp.expanding_folds(df, n_splits=n_splits, test_size=test_size, gap=gap, ts=ts, keys=keys).cache()
-    preds = None
-    for i in range(n_splits):
-        tr = folds.where((F.col("fold") == i) & (F.col("role") == "train")).drop("fold", "role", sp.POS)
-        te = folds.where((F.col("fold") == i) & (F.col("role") == "test")).drop("role")
-        p = fit_predict(tr, te)
-        preds = p if preds is None else preds.unionByName(p)
+    preds = _fold_predictions(df, fit_predict, n_splits, test_size, gap, ts, keys)
     e = F.col(y) - F.col("prediction")
     met = preds.groupBy("fold").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
                                     F.count(F.lit(1)).alias("n"))
@@ -123,7 +123,6 @@ def expanding_backtest(df: DataFrame, fit_predict: Callable[[DataFrame, DataFram
     """Refit every ``retrain_frequency`` rows from ``initial_train_size``; each block of rows
     [i, i + freq) is scored by the model fitted on [0, i) - the same predictions as one-row steps."""
     d, n = sp.with_positions(df, ts, keys)
-    d = d.cache()
     out = None
     for start in range(initial_train_size, n, retrain_frequency):
         tr = d.where(F.col(sp.POS) < start).drop(sp.POS)
@@ -176,35 +175,52 @@ def model_card(metrics: DataFrame, importance: DataFrame, n_train: int, n_test:
 def expanding_ridge_backtest(df: DataFrame, features: Sequence[str], y: str = "y", alpha: float = 1.0,
                              initial_train_size: int = 100, retrain_frequency: int = 20, ts: str = "date",
                              keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """M11 for ridge, exactly and in three jobs instead of one fit per refit.
-
-    Rows are numbered in (ts, keys) order; rows from ``initial_train_size`` on
-    are cut into scoring blocks of ``retrain_frequency`` rows.  One grouped
-    aggregate gives each block's sufficient statistics; the model for block b
-    is the ridge solution on the prefix sum of the earlier blocks (what
-    refitting on rows [0, start_b) gives); the per-block coefficients are
-    joined back and applied as a column expression.  The driver holds
-    p x p numbers per refit - the refits themselves, nothing per row.
+    """M11 for ridge, exactly, without a fit per refit.
+
+    Rows are numbered in (ts, keys) order; rows from ``initial_train_size`` on are cut into scoring blocks of
+    ``retrain_frequency`` rows. One grouped aggregate gives each block's moments; the model for block b is the ridge
+    solution on the sum of the earlier blocks. Sums are running sums over the block table in two levels
+    (inside runs of ``RUN`` blocks, then over the runs' totals), the small systems are solved in Arrow batches of blocks,
+    and coefficients meet their rows by a join: nothing per block comes to the driver.
     """
-    import numpy as np
-    from marketlens.operators.ensembles import _ridge_solve, fold_moments
+    from marketlens.operators import ensembles as en
 
-    d, n = sp.with_positions(df, ts, keys)
+    feats = list(features)
+    d, _ = sp.with_positions(df, ts, keys)
     blk = F.when(F.col(sp.POS) < initial_train_size, F.lit(-1)).otherwise(
-        F.floor((F.col(sp.POS) - initial_train_size) / retrain_frequency)).cast("int")
+        F.floor((F.col(sp.POS) - initial_train_size) / retrain_frequency)).cast("long")
     d = d.withColumn("_blk", blk)
-    mom = fold_moments(d.dropna(subset=[*features, y]), list(features), y, fold="_blk")
-    rows, acc = [], None
-    for b in sorted(mom):
-        if acc is not None and b >= 0:
-            w, c = _ridge_solve(acc, alpha)
-            rows.append((int(b), float(c), [float(v) for v in w]))
-        m = mom[b]
-        acc = m if acc is None else tuple(a + x for a, x in zip(acc, m))
-    spark = df.sparkSession
-    coef = spark.createDataFrame(rows, "_blk int, _b0 double, _w array<double>")
+    known = d.dropna(subset=[*feats, y])
+    shift = en.moment_shift(known, feats, y)
+    sums = en._moment_columns(feats, y, shift)
+    # blocks without a complete row still need a model: an empty moment row for each
+    m = d.select("_blk").distinct().join(known.groupBy("_blk").agg(*sums), "_blk", "left").fillna(0)
+    names = [c for c in m.columns if c != "_blk"]
+    m = m.withColumn("_run", F.floor(F.col("_blk") / RUN))
+    inside = Window.partitionBy("_run").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = m.groupBy("_run").agg(*[F.sum(c).alias(f"_t_{c}") for c in names])
+    ahead = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)  # a row for each RUN blocks
+    totals = totals.select("_run", *[F.sum(f"_t_{c}").over(ahead).alias(f"_t_{c}") for c in names])
+    before = m.join(totals, "_run").select("_blk", *[
+        (F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.coalesce(F.col(f"_t_{c}"), F.lit(0))).alias(c) for c in names])
+    p = len(feats)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                if r["n"] > 0:
+                    w, b = en.unshifted(*en._ridge_solve(en.moments_of(r, p), alpha), feats, y, shift)
+                    rows.append((r["_blk"], float(b), [float(v) for v in w]))
+            yield pd.DataFrame(rows, columns=["_blk", "_b0", "_w"])
+
+    coef = before.where("_blk >= 0").mapInPandas(solve, "_blk long, _b0 double, _w array<double>")
     out = d.where(F.col("_blk") >= 0).join(coef, "_blk", "inner")
     pred = F.col("_b0")
-    for i, f in enumerate(features):
+    for i, f in enumerate(feats):
         pred = pred + F.col(f) * F.col("_w")[i]
-    return out.withColumn("prediction", pred).withColumnRenamed("_blk", "refit").drop("_b0", "_w", sp.POS)
+    return out.withColumn("prediction", pred).withColumn("refit", F.col("_blk").cast("int")).drop("_b0", "_w", "_blk", sp.POS)
+
+
+#: Blocks summed inside one run.
+RUN = 4096

@@ -14,11 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators import clean as cl
 from marketlens.operators import corr as co
+from marketlens.operators import ensembles as en
 from marketlens.operators import splits as sp
 
 N_BINS = 10
@@ -94,35 +96,53 @@ def select_variance(df, features, target, n_features=20, threshold=0.01, task="r
     return select_mutual_info(df, kept, target, n_features, task)
 
 
-def select_lasso(df, features, target, n_features=20, alphas=(1e-4, 1e-3, 1e-2, 1e-1), k: int = 5,
+def _lasso(m: tuple, alpha: float, w: np.ndarray) -> tuple[np.ndarray, float]:
+    """Coordinate descent for 1/(2n) * squared error + alpha * |w| from moments, started at ``w``; returns (w, intercept)."""
+    n, sy, _, sx, sxy, sxx = m
+    gram, cross = sxx / n - np.outer(sx, sx) / n ** 2, sxy / n - sx * sy / n ** 2
+    w = w.copy()
+    for _ in range(1000):
+        moved = 0.0
+        for j in range(len(w)):
+            if gram[j, j] <= 0:
+                continue
+            r = cross[j] - gram[j] @ w + gram[j, j] * w[j]
+            new = np.sign(r) * max(abs(r) - alpha, 0.0) / gram[j, j]
+            moved = max(moved, abs(new - w[j]))
+            w[j] = new
+        if moved <= 1e-10 * (np.abs(w).max() + 1e-300):
+            break
+    return w, (sy - sx @ w) / n
+
+
+def select_lasso(df, features, target, n_features=20, n_alphas: int = 100, eps: float = 1e-3, k: int = 5,
                  order: str = "date"):
-    """median-impute, z-score, k-fold CV over alphas, keep non-zero coefficients ranked by size.
+    """median-impute, z-score (ddof 1), k-fold CV over an alpha path, keep non-zero coefficients ranked by size.
 
-    ``LinearRegression(elasticNetParam=1, standardization=False, regParam=alpha)``
-    solves the same objective as sklearn's Lasso on standardized inputs.
+    The path starts at the least alpha that leaves no coefficient and falls to ``eps`` of it, so it follows the
+    scale of the target. All fits of all folds use the folds' moments: one aggregate over the rows, whatever the number of alphas.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    d = cl.median_impute(df, [*features, target])
-    d = cl.zscore(d, list(features), ddof=0)
-    d = VectorAssembler(inputCols=list(features), outputCol="_x").transform(d)
-    d = sp.contiguous_folds(d, k, ts=order, keys=[c for c in ("symbol",) if c in d.columns]).cache()
-
-    def est(a):
-        return LinearRegression(featuresCol="_x", labelCol=target, elasticNetParam=1.0, regParam=a,
-                                standardization=False, maxIter=1000, tol=1e-8)
-    best = None
-    for a in alphas:
-        sse = 0.0
-        for f in range(k):
-            m = est(a).fit(d.where(F.col("fold") != f))
-            sse += m.evaluate(d.where(F.col("fold") == f)).meanSquaredError
-        if best is None or sse < best[1]:
-            best = (a, sse)
-    coefs = est(best[0]).fit(d).coefficients.toArray()
-    spark = df.sparkSession
-    scores = spark.createDataFrame([(f, float(abs(c))) for f, c in zip(features, coefs) if abs(c) > 0],
-                                   "feature string, score double")
+    feats = list(features)
+    d = cl.median_impute(df, [*feats, target])
+    d = cl.zscore(d, feats, ddof=1).fillna(0.0, feats)  # a constant column is 0 everywhere
+    d = sp.contiguous_folds(d, k, ts=order, keys=[c for c in ("symbol",) if c in d.columns])
+    moments, _ = en.fold_moments(d, feats, target)
+    total = en._add(list(moments.values()))
+    n, sy, _, sx, sxy, _ = total
+    top = float(np.abs(sxy / n - sx * sy / n ** 2).max())
+    path = top * np.logspace(0, np.log10(eps), n_alphas) if top > 0 else np.zeros(1)
+    error = np.zeros(len(path))
+    for fold, own in moments.items():
+        rest = en._add([m for f, m in moments.items() if f != fold])
+        w = np.zeros(len(feats))
+        for i, a in enumerate(path):
+            w, b = _lasso(rest, a, w)
+            error[i] += en._sse(own, w, b) / own[0]
+    w = np.zeros(len(feats))
+    for a in path[:int(error.argmin()) + 1]:
+        w, _ = _lasso(total, a, w)
+    scores = df.sparkSession.createDataFrame([(f, float(abs(c))) for f, c in zip(feats, w) if abs(c) > 0],
+                                             "feature string, score double")
     return _rank(scores, n_features), scores
 
 
@@ -132,7 +152,8 @@ def select_rfecv(df, features, target, min_features: int = 5, step: int = 1, k:
     from pyspark.ml.evaluation import RegressionEvaluator
 
     from marketlens.operators import models as md
-    d = sp.contiguous_folds(df, k, ts=order, keys=[c for c in ("symbol",) if c in df.columns]).cache()
+    d = cl.median_impute(df, [*features, target])
+    d = sp.contiguous_folds(d, k, ts=order, keys=[c for c in ("symbol",) if c in df.columns])
     ev = RegressionEvaluator(labelCol=target, metricName="mse")
     current, ranking, history = list(features), {}, []
     rank = len(features)

@@ -1,31 +1,21 @@
 """Ordering and positional splits K1, K4, K5 without a one-partition sort.
 
-The global position of a row in (time, key) order is its time bucket's offset
-(a running sum over per-bucket counts: one row per bucket, small) plus its rank
-inside the bucket.  The offsets table is joined by bucket; it is broadcast only
-after its row count has been checked against ``max_broadcast_rows``.
+Rows are range-partitioned by (time, keys) and sorted inside their partitions; a row's position is the number of rows in
+earlier partitions plus its rank in its own. Ranges are cut by sampled values of time and keys together, so neither a hot
+instant nor a fine-grained clock makes a large partition. The partitioned frame is checkpointed, which fixes the positions;
+the table of partition sizes has one row for each partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POS = "_pos"
-MAX_BROADCAST_ROWS = 2_000_000
-
+from marketlens.session import cut_lineage
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join with ``small`` broadcast only if its counted size is under the bound.
-
-    Otherwise a plain join lets AQE choose from measured shuffle sizes.
-    """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_broadcast_rows else small
-    return big.join(side, on, how)
+POS = "_pos"
 
 
 def sort_by_time(df: DataFrame, ts: str = "date", keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -33,26 +23,21 @@ def sort_by_time(df: DataFrame, ts: str = "date", keys: Sequence[str] = ("symbol
     return df.orderBy(F.col(ts), *[F.col(k) for k in keys])
 
 
-def with_positions(df: DataFrame, ts: str = "date", keys: Sequence[str] = ("symbol",),
-                   bucket=None, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Global 0-based position in (ts, keys) order, plus the total row count.
-
-    ``bucket`` (default: the ts value) groups rows for counting; ranking then
-    runs per bucket, so no task ever holds more than one bucket.
-    """
-    b = F.col(ts) if bucket is None else bucket
-    d = df.withColumn("_bk", b)
-    counts = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_bk", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    # the count table has one row per bucket: it is small, and checked before broadcast
-    offs = offs.cache()
-    total = int(counts.agg(F.sum("_n")).first()[0] or 0)
-    d = join_small(d, offs, "_bk", "inner", max_broadcast_rows)
-    w = Window.partitionBy("_bk").orderBy(F.col(ts), *[F.col(k) for k in keys])
-    d = d.withColumn(POS, (F.col("_off") + F.row_number().over(w) - 1).cast("long")).drop("_bk", "_off")
-    return d, total
+def with_positions(df: DataFrame, ts: str = "date", keys: Sequence[str] = ("symbol",)) -> tuple[DataFrame, int]:
+    """Global 0-based position in (ts, keys) order, plus the total row count."""
+    order = [F.col(ts), *[F.col(k) for k in keys]]
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the id counts rows inside a partition in its lower 33 bits
+    d = d.withColumns({"_pid": F.spark_partition_id(), "_rank": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    d = cut_lineage(d)
+    sizes = {r["_pid"]: r["n"] for r in d.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, total = [], 0
+    for pid in sorted(sizes):
+        offsets.append((pid, total))
+        total += sizes[pid]
+    small = df.sparkSession.createDataFrame(offsets, "_pid int, _off long")  # a row for each partition
+    d = d.join(F.broadcast(small), "_pid")
+    return d.withColumn(POS, F.col("_off") + F.col("_rank")).drop("_pid", "_off", "_rank"), total
 
 
 def ordered_split(df: DataFrame, fractions: Sequence[float] = (0.8, 0.2),

@@ -94,7 +94,7 @@ def _train_test(spark, sf):
     d = lb.supervised_targets(level_bars(spark, sf), P)
     d = cl.replace_inf_fill(d, [f for f in FEATS if dict(d.dtypes)[f] == "double"])
     d = d.withColumn("y", F.col("target_return"))
-    d = sp.ordered_split(d, (0.8, 0.2), ("train", "test")).cache()
+    d = sp.ordered_split(d, (0.8, 0.2), ("train", "test"))  # checkpointed there
     return d.where("split = 'train'"), d.where("split = 'test'")
 
 
@@ -150,9 +150,7 @@ def m5_m8_ensembles(spark, sf):
 
 def _ridge_fp(train, test):
     """Ridge (alpha 1, sklearn objective) from one aggregate of sufficient statistics."""
-    tr = train.dropna(subset=[*FEATS, "y"]).withColumn("_one", F.lit(0))
-    w, b = en._ridge_solve(en.fold_moments(tr, FEATS, "y", fold="_one")[0], 1.0)
-    return en.MomentRidge(FEATS, w, b).transform(test)
+    return en.Ridge(FEATS, "y", 1.0).fit(train).transform(test)
 
 
 @query("m9_time_series_cv")
@@ -189,20 +187,10 @@ def m16_m17_m18_importance_champion_card(spark, sf):
     return imp.withColumn("champion", F.lit(champ)).withColumn("model_card", F.lit(card))
 
 
-_EMB_DIM = 64
-
-
-def _emb(spark, sf):
-    e = table(spark, sf, "embeddings")
-    return e.select("vec_id", "label", "embedding",
-                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_EMB_DIM)])
-
-
 @query("m12_isolation_forest")
 def m12_isolation_forest(spark, sf):
-    """100 trees of 256 samples, contamination 0.1, over the embedding vectors."""
-    d = _emb(spark, sf)
-    out = an.isolation_forest(d.drop("embedding"), [f"e{i}" for i in range(_EMB_DIM)], "vec_id")
+    """100 trees of 256 samples, contamination 0.1, over whole embedding vectors of any length."""
+    out = an.isolation_forest(table(spark, sf, "embeddings"), "embedding", "vec_id")
     return out.select("vec_id", "label", "anomaly_score", "anomaly")
 
 
@@ -249,7 +237,7 @@ def f1_mutual_information(spark, sf):
 @query("f2_f3_f6_f7_selection")
 def f2_f3_f6_f7_selection(spark, sf):
     """F2 correlation filter, F3 variance filter, F6 combined, each as an F7 importance table."""
-    d = _sel_frame(spark, sf).dropna()
+    d = _sel_frame(spark, sf)
     d = d.withColumn("ret_1_copy", F.col("ret_1") * 2.0).withColumn("flat", F.lit(1.0))
     feats = [*_SEL, "ret_1_copy", "flat"]
     out = None
@@ -263,10 +251,10 @@ def f2_f3_f6_f7_selection(spark, sf):
 
 @query("f4_f5_lasso_rfecv")
 def f4_f5_lasso_rfecv(spark, sf):
-    """F4 lasso with 5-fold CV over an alpha grid; F5 recursive elimination (forest, 5 folds, min 2)."""
-    d = _sel_frame(spark, sf).dropna()
-    sel4, s4 = se.select_lasso(d, _SEL, "target", 3, alphas=(1e-5, 1e-4, 1e-3))
-    sel5, s5 = se.select_rfecv(d, _SEL, "target", min_features=2, num_trees=10, max_depth=4)
+    """F4 lasso with 5-fold CV over the data's alpha path; F5 recursive elimination (forest, 5 folds) to 2 of the 4 features."""
+    d = _sel_frame(spark, sf)
+    sel4, s4 = se.select_lasso(d, _SEL, "target", 3)
+    sel5, s5 = se.select_rfecv(d, _SEL, "target", min_features=2)
     return se.importance_table(s4, sel4).withColumn("method", F.lit("lasso")).unionByName(
         se.importance_table(s5, sel5).withColumn("method", F.lit("rfecv")))
 

@@ -1,6 +1,7 @@
 """Contracts, cleaning, text, splits, labels and regimes against brute force (reference test style)."""
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel, nan_to_null
@@ -32,14 +33,14 @@ def test_stock_warnings(spark):
     pdf.loc[20, "close"] = np.nan
     r = ck.stock_contract(spark.createDataFrame(pdf).withColumn("close", nan_to_null("close"))).first()
     text = " | ".join(r["warnings"])
-    assert "high < low" in text and "zero volume" in text and "outliers" in text
+    assert "high below low: 1 rows" in text and "volume is zero: 16 rows" in text and "quartile fences" in text
     assert r["is_valid"]
 
 
 def test_missing_column_is_error(spark):
     d = spark.createDataFrame(ohlcv(30)).drop("volume")
     r = ck.stock_contract(d).first()
-    assert not r["is_valid"] and any("missing columns" in e for e in r["errors"])
+    assert not r["is_valid"] and any("no column volume" in e for e in r["errors"])
 
 
 def test_profile_counts(spark):
@@ -140,3 +141,79 @@ def test_distinct_on_keeps_first(spark):
     pdf = pd.DataFrame({"url": ["u", "u", "v"], "t": [3, 1, 2], "id": [1, 2, 3]})
     got = ag.distinct_on(spark.createDataFrame(pdf), ["url"], ["t"]).orderBy("url").toPandas()
     assert got["id"].tolist() == [2, 3]
+
+
+@pytest.mark.parametrize("column", ["open", "high", "low", "close", "volume", "symbol", "date"])
+def test_stock_contract_reports_each_missing_column(spark, column):
+    r = ck.stock_contract(spark.createDataFrame(ohlcv(30)).drop(column)).first()
+    assert not r["is_valid"] and f"schema: no column {column}" in r["errors"] and r["n_rows"] == 30
+
+
+def test_contracts_report_what_cannot_be_read(spark):
+    d = spark.createDataFrame(ohlcv(30)).withColumn("close", F.lit("n/a")).withColumn("pair", F.lit("EURUSD"))
+    r = ck.stock_contract(d).first()
+    assert not r["is_valid"] and "schema: 30 cells are not numbers" in r["errors"]
+    r = ck.forex_contract(d.drop("high")).first()
+    assert not r["is_valid"] and "schema: no column high" in r["errors"] and "schema: 30 cells are not numbers" in r["errors"]
+    r = ck.crypto_contract(spark.createDataFrame([("btc", "x")], "coin_id string, price string")).first()
+    assert not r["is_valid"] and r["n_rows"] == 1
+    r = ck.news_contract(spark.createDataFrame([("a title", "2024-01-01")], "title string, publishedAt string"), "2024-06-01").first()
+    assert not r["is_valid"] and "schema: no column url" in r["errors"]
+
+
+def test_file_tree_has_a_row_for_each_file_and_type(spark, tmp_path):
+    good, bad = ohlcv(30, "GOOD"), ohlcv(30, "GOOD")
+    bad["close"] = -1.0
+    for kind, frames in {"stocks": {"a": good, "b": bad}}.items():
+        for name, pdf in frames.items():
+            spark.createDataFrame(pdf).coalesce(1).write.parquet(f"{tmp_path}/{kind}/{name}")
+    rep = ck.validate_files(spark, f"{tmp_path}/stocks/*").collect()
+    assert sorted((r["file"].split("/")[-2], r["is_valid"]) for r in rep) == [("a", True), ("b", False)]
+    fx = spark.createDataFrame(good.drop(columns=["symbol", "volume"]).assign(pair="EURUSD"))
+    fx.coalesce(1).write.parquet(f"{tmp_path}/forex/a")
+    fx.withColumn("pair", F.lit("EUR")).coalesce(1).write.parquet(f"{tmp_path}/forex/b")
+    rep = ck.validate_files(spark, f"{tmp_path}/forex/*", "forex").collect()
+    assert sorted((r["file"].split("/")[-2], r["is_valid"]) for r in rep) == [("a", True), ("b", False)]
+    (tmp_path / "empty").mkdir()
+    for where in ("empty", "nowhere"):
+        r = ck.validate_files(spark, f"{tmp_path}/{where}").first()
+        assert not r["is_valid"] and "no files under" in r["errors"][0]
+
+
+def test_cache_tells_functions_of_one_name_apart(spark, tmp_path):
+    from marketlens.operators.cache import FeatureCache
+
+    def make(k):
+        def f(df, **kw):
+            return df.withColumn("x", F.lit(k))
+        return f
+    cache = FeatureCache(str(tmp_path))
+    d = spark.range(3)
+    assert cache.get_or_compute(d, make(1)).first()["x"] == 1 and cache.get_or_compute(d, make(2)).first()["x"] == 2
+    assert cache.get_or_compute(d, make(1)).first()["x"] == 1 and cache.stats()["hits"] == 1
+    assert cache.get_or_compute(d, make(1), n=2).count() == 3 and cache.stats()["misses"] == 3
+    assert cache.invalidate(spark, "f/*") == 3
+    cache.get_or_compute(d, make(1))
+    cache.ttl = -1
+    cache.get_or_compute(d, make(1))
+    assert cache.stats()["misses"] == 5
+
+
+def test_noise_does_not_depend_on_partitions(spark):
+    d = spark.createDataFrame(ohlcv(200))
+    a = cl.augment(d.repartition(7), ["symbol", "date"], cols=["close"]).orderBy("date", "copy").toPandas()
+    b = cl.augment(d.coalesce(1), ["symbol", "date"], cols=["close"]).orderBy("date", "copy").toPandas()
+    assert (a["close"] == b["close"]).all()
+    noise = a[a["copy"] == 1]["close"].to_numpy() - a[a["copy"] == 0]["close"].to_numpy()
+    assert 0.7 < noise.std() / (0.01 * a[a["copy"] == 0]["close"].std()) < 1.3
+
+
+def test_feature_store_replaces_latest_whole(spark, tmp_path):
+    from marketlens.sources import files as fs
+    fs.write_feature_store(spark.range(5), str(tmp_path), "2024-01-01")
+    fs.write_feature_store(spark.range(2), str(tmp_path), "2024-01-02")
+    assert fs.read_feature_store(spark, str(tmp_path)).count() == 2
+    assert fs.read_feature_store(spark, str(tmp_path), "2024-01-01").count() == 5
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper()
+    fs.save_partitioned(spark.createDataFrame(ohlcv(5)), str(tmp_path), "stocks")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == mode == "STATIC"

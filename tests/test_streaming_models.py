@@ -39,9 +39,8 @@ def test_moment_ridge_equals_closed_form(spark):
     X = rng.normal(size=(300, 2))
     y = X @ [1.5, -0.5] + rng.normal(0, 0.1, 300)
     df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "y": y, "fold": np.arange(300) // 60}))
-    m = en.fold_moments(df, ["a", "b"], "y")
-    tot = tuple(sum(v) if not isinstance(v[0], np.ndarray) else sum(v[1:], v[0]) for v in zip(*m.values()))
-    w, b = en._ridge_solve(tot, 10.0)
+    m, _ = en.fold_moments(df, ["a", "b"], "y")
+    w, b = en._ridge_solve(en._add(list(m.values())), 10.0)
     xc = X - X.mean(0)
     w2 = np.linalg.solve(xc.T @ xc + 10.0 * np.eye(2), xc.T @ (y - y.mean()))
     np.testing.assert_allclose(w, w2, rtol=1e-10)
@@ -53,6 +52,57 @@ def test_moment_ridge_equals_spark_linear_regression(spark):
     X = rng.normal(size=(250, 3))
     y = X @ [0.5, -1.0, 2.0] + rng.normal(0, 0.2, 250)
     df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "c": X[:, 2], "y": y, "f": 0}))
-    w, b = en._ridge_solve(en.fold_moments(df, ["a", "b", "c"], "y", fold="f")[0], 3.0)
+    fitted = en.ridge_from_moments(df, ["a", "b", "c"], "y", 3.0)
+    w, b = fitted.w, fitted.b
     spark_pred = md.fit_ridge(df, ["a", "b", "c"], "y", 3.0).transform(df).toPandas()["prediction"].to_numpy()
     np.testing.assert_allclose(X @ w + b, spark_pred, atol=1e-10)
+
+
+def test_ridge_keeps_digits_at_price_scale(spark):
+    """Columns near 1e8 with unit spread: raw moments would cancel."""
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(400, 2)) + [1e8, -3e7]
+    y = (X - [1e8, -3e7]) @ [2.0, 1.0] + 5e6
+    df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "y": y}))
+    w = en.ridge_from_moments(df, ["a", "b"], "y", 1e-6).w
+    np.testing.assert_allclose(w, [2.0, 1.0], rtol=1e-6)
+
+
+def test_expanding_ridge_backtest_equals_refits(spark, monkeypatch):
+    from marketlens.operators import evaluate as ev
+    monkeypatch.setattr(ev, "RUN", 3)  # several runs of blocks
+    rng = np.random.default_rng(4)
+    n = 260
+    X = rng.normal(size=(n, 2))
+    y = X @ [1.0, -2.0] + rng.normal(0, 0.3, n)
+    pdf = pd.DataFrame({"symbol": "A", "date": pd.date_range("2024-01-01", periods=n), "a": X[:, 0], "b": X[:, 1], "y": y})
+    got = ev.expanding_ridge_backtest(spark.createDataFrame(pdf), ["a", "b"], "y", 1.0, 100, 20).toPandas().sort_values("date")
+    want = []
+    for i in range(100, n):
+        m = 100 + (i - 100) // 20 * 20
+        xm, ym = X[:m].mean(0), y[:m].mean()
+        w = np.linalg.solve((X[:m] - xm).T @ (X[:m] - xm) + np.eye(2), (X[:m] - xm).T @ (y[:m] - ym))
+        want.append(ym + (X[i] - xm) @ w)
+    np.testing.assert_allclose(got["prediction"], want, rtol=1e-9)
+
+
+def test_positions_are_a_total_order(spark):
+    from marketlens.operators import splits as sp
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"date": rng.integers(0, 3, 5000), "symbol": rng.permutation(5000)})
+    d, n = sp.with_positions(spark.createDataFrame(pdf).repartition(7))
+    got = d.toPandas().sort_values("_pos")
+    assert n == 5000 and got["_pos"].tolist() == list(range(5000))
+    assert got[["date", "symbol"]].values.tolist() == pdf.sort_values(["date", "symbol"]).values.tolist()
+
+
+def test_lasso_path_follows_the_scale_of_the_target(spark):
+    from marketlens.operators import select as se
+    rng = np.random.default_rng(6)
+    n = 300
+    X = rng.normal(size=(n, 4))
+    for scale in (1e-4, 1.0, 1e6):
+        y = scale * (3 * X[:, 0] - X[:, 2] + rng.normal(0, 0.1, n))
+        pdf = pd.DataFrame(X, columns=list("abcd")).assign(y=y, date=pd.date_range("2024-01-01", periods=n), symbol="A")
+        sel, scores = se.select_lasso(spark.createDataFrame(pdf), list("abcd"), "y", 2)
+        assert sel == ["a", "c"], (scale, sel)
