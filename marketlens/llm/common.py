@@ -64,7 +64,7 @@ def held_out(column: str | Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a folder is only made up for local sessions that leave it unset."""
     from marketlens.session import checkpoint_dir
-    return checkpoint_dir(spark).rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
