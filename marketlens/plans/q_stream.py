@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import R
-from marketlens.sources.tables import news_articles
 from marketlens.streaming import streams as st
 
 
@@ -38,11 +37,10 @@ e AS (SELECT event_type, rn, value AS ema FROM e0 WHERE rn = 0
   UNION ALL SELECT s.event_type, s.rn, {1 - 2.0 / 13!r} * e.ema + {2.0 / 13!r} * s.value
   FROM e JOIN e0 s ON s.event_type = e.event_type AND s.rn = e.rn + 1)
 SELECT e0.event_type, e0.ts, e0.event_id, {R('e0.value', 'value')}, {R('e.ema', 'ema')}
-FROM e0 JOIN e USING (event_type, rn)""")
+FROM e0 JOIN e USING (event_type, rn)
+WHERE epoch_ms(e0.ts) < (SELECT max(epoch_ms(ts)) - 600000 FROM events)""")
 def st3_running_ema(spark, sf):
-    """ST3: EMA(12) per event type carried in streaming state."""
+    """ST3: EMA(12) per event type carried in streaming state; rows that the watermark has passed."""
     out = st.run_to_table(st.running_ema(st.event_stream(spark, sf)), "st3")
     return rounded(out.select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value", "ema"))
 
-
-__all__ = ["news_articles"]

@@ -5,8 +5,8 @@
   for it are dropped.
 * ST2 ``dedup_urls``: ``dropDuplicatesWithinWatermark`` on the url.
 * ST3 ``running_ema``: per-key EMA carried in state by
-  ``applyInPandasWithState``; rows of a micro-batch are ordered by event time
-  per key and rows older than the key's last processed time are dropped as late.
+  ``applyInPandasWithState``; rows wait in state until the watermark passes
+  them and are then emitted in event-time order.
 
 Sources and sinks are files: checkpoints and outputs live under the session's
 ``spark.checkpoint.dir`` (a shared folder on a cluster), so a restarted query
@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,40 +54,54 @@ def dedup_urls(stream: DataFrame, url: str = "url", ts: str = "publishedAt", del
 
 
 def running_ema(stream: DataFrame, key: str = "event_type", ts: str = "ts", value: str = "value",
-                order: str = "event_id", span: float = 12.0) -> DataFrame:
-    """ST3: EMA(span, adjust=False) per key across micro-batches, state = (last value, last time, last order)."""
+                order: str = "event_id", span: float = 12.0, delay: str = "10 minutes") -> DataFrame:
+    """ST3: EMA(span, adjust=False) per key in event-time order across micro-batches.
+
+    Rows wait in the key's state until the watermark (greatest event time less ``delay``, in milliseconds) has passed them, and are
+    then averaged in (time, order) and emitted; so a row up to ``delay`` late takes its place. A row behind the
+    watermark is late and left out, as in any watermarked operator. State: the average and the waiting rows, which are at
+    most those of one batch and ``delay``; bound batches with the source's ``maxFilesPerTrigger``.
+    """
     a = 2.0 / (span + 1.0)
     out_schema = f"{key} string, {ts} timestamp, {order} long, {value} double, ema double"
-    state_schema = "ema double, t timestamp, o long"
+    state_schema = "ema double, t array<long>, o array<long>, x array<double>"
 
     def step(k, pdfs: Iterator[pd.DataFrame], state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values([ts, order], kind="mergesort")
-        prev = state.get if state.exists else None
-        if prev is not None:  # drop rows at or before the last processed (time, order)
-            t0, o0 = pd.Timestamp(prev[1]), prev[2]
-            tt = pd.to_datetime(pdf[ts])
-            pdf = pdf[(tt > t0) | ((tt == t0) & (pdf[order] > o0))]
-        if len(pdf) == 0:
-            return
-        x = pdf[value].astype(float)
-        seed = pd.Series([prev[0]]) if prev is not None else pd.Series([], dtype=float)
-        ema = pd.concat([seed, x], ignore_index=True).ewm(alpha=a, adjust=False).mean()
-        ema = ema.iloc[len(seed):].to_numpy()
-        state.update((float(ema[-1]), pdf[ts].iloc[-1].to_pydatetime(), int(pdf[order].iloc[-1])))
-        yield pd.DataFrame({key: k[0], ts: pdf[ts].to_numpy(), order: pdf[order].astype("int64").to_numpy(),
-                            value: x.to_numpy(), "ema": ema})
+        last, t, o, x = state.get if state.exists else (None, [], [], [])
+        t, o, x = ([np.asarray(c)] for c in (np.array(t, np.int64), np.array(o, np.int64), np.array(x, float)))
+        passed = state.getCurrentWatermarkMs() * 1000
+        for pdf in pdfs:
+            micros = pd.to_datetime(pdf[ts]).to_numpy().astype("datetime64[us]").astype(np.int64)
+            new = micros >= passed
+            t.append(micros[new])
+            o.append(pdf[order].to_numpy(np.int64)[new])
+            x.append(pdf[value].to_numpy(float)[new])
+        t, o, x = (np.concatenate(c) for c in (t, o, x))
+        at = np.lexsort((o, t))
+        t, o, x = t[at], o[at], x[at]
+        n = int(np.searchsorted(t, passed))  # rows before the watermark
+        if n:
+            seed = [] if last is None else [last]
+            ema = pd.Series(np.concatenate([seed, x[:n]])).ewm(alpha=a, adjust=False).mean().to_numpy()[len(seed):]
+            last = float(ema[-1])
+            yield pd.DataFrame({key: k[0], ts: t[:n].astype("datetime64[us]"), order: o[:n], value: x[:n], "ema": ema})
+        state.update((last, t[n:].tolist(), o[n:].tolist(), x[n:].tolist()))
+        if n < len(t):
+            state.setTimeoutTimestamp(max(int(t[n]) // 1000, passed // 1000 + 1))
 
     s = stream.select(F.col(key), F.col(ts).cast("timestamp").alias(ts), F.col(order).cast("long"),
-                      F.col(value).cast("double"))
+                      F.col(value).cast("double")).withWatermark(ts, delay)
     return s.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                 GroupStateTimeout.NoTimeout)
+                                                 GroupStateTimeout.EventTimeTimeout)
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drain a stream with ``availableNow`` into Parquet under the checkpoint folder; return the table."""
+def run_to_table(df: DataFrame, name: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
+    """Drain a stream with ``availableNow`` into Parquet under the checkpoint folder; return the table.
+
+    Calls with the same ``base`` go on from the offsets and state of the last one.
+    """
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    base = base or f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
     q = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
          .trigger(availableNow=True).start())

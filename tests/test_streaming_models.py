@@ -9,12 +9,44 @@ from marketlens.streaming import streams as st
 SF = "/root/testdata/sf0.001"
 
 
+def _averages(pdf, until):
+    pdf = pdf.sort_values(["event_type", "ts", "event_id"])
+    pdf["ema"] = pdf.groupby("event_type")["value"].transform(lambda s: s.ewm(span=12, adjust=False).mean())
+    return pdf[pdf["ts"].astype("datetime64[ms]") < until.floor("ms") - pd.Timedelta(minutes=10)]
+
+
 def test_running_ema_matches_pandas(spark):
     out = st.run_to_table(st.running_ema(st.event_stream(spark, SF)), "t_st3").toPandas()
-    ev = spark.read.parquet(f"{SF}/events.parquet").toPandas().sort_values(["event_type", "ts", "event_id"])
-    exp = ev.groupby("event_type")["value"].transform(lambda s: s.ewm(span=12, adjust=False).mean())
-    got = out.sort_values(["event_type", "ts", "event_id"])["ema"].to_numpy()
-    np.testing.assert_allclose(got, exp.to_numpy(), rtol=1e-12)
+    ev = spark.read.parquet(f"{SF}/events.parquet").toPandas()
+    exp = _averages(ev, ev["ts"].max())
+    out = out.sort_values(["event_type", "ts", "event_id"])
+    assert out["event_id"].tolist() == exp["event_id"].tolist() and len(exp) > 900
+    np.testing.assert_allclose(out["ema"].to_numpy(), exp["ema"].to_numpy(), rtol=1e-12)
+
+
+def test_streams_over_files_out_of_order_and_a_restart(spark, tmp_path):
+    """Rows up to the delay late take their place; a second run goes on from the checkpoint."""
+    ev = spark.read.parquet(f"{SF}/events.parquet").toPandas().sort_values("ts").reset_index(drop=True)
+    step = (np.arange(len(ev)) // 100)
+    # within the delay: a few rows of each slice move to the next file
+    late = (np.arange(len(ev)) % 100 >= 97) & (step < step.max())
+    near = ev["ts"] > ev.groupby(step)["ts"].transform("max") - pd.Timedelta(minutes=9)
+    ev["file"] = np.where(late & near, step + 1, step)
+    src, base = tmp_path / "in", str(tmp_path / "run")
+    src.mkdir()
+
+    def put(files):
+        for f in files:
+            ev[ev["file"] == f].drop(columns="file").to_parquet(src / f"f{f:03d}.parquet", index=False, coerce_timestamps="us")
+    put(range(5))
+    stream = spark.readStream.schema(spark.read.parquet(f"{SF}/events.parquet").schema).option("maxFilesPerTrigger", 1)
+    first = st.run_to_table(st.running_ema(stream.parquet(str(src))), "x", base=base).count()
+    put(range(5, int(step.max()) + 1))
+    out = st.run_to_table(st.running_ema(stream.parquet(str(src))), "x", base=base).toPandas()
+    exp = _averages(ev, ev["ts"].max())
+    out = out.sort_values(["event_type", "ts", "event_id"])
+    assert 0 < first < len(out) and out["event_id"].tolist() == exp["event_id"].tolist()
+    np.testing.assert_allclose(out["ema"].to_numpy(), exp["ema"].to_numpy(), rtol=1e-12)
 
 
 def test_windowed_bars_drop_open_windows(spark):
