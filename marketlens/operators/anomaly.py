@@ -23,6 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.quantiles import exact_quantiles
+from marketlens.session import cut_lineage
+
 _EULER = 0.5772156649015329
 
 
@@ -116,7 +119,8 @@ def isolation_forest(df: DataFrame, features: Sequence[str] | str, id_col: str,
             yield out
     schema = d.drop("_x").schema.add("anomaly_score", "double")
     scored = d.mapInPandas(score, schema)
-    thr = scored.agg(F.percentile("anomaly_score", 1.0 - contamination).alias("t")).first()["t"]
+    scored = cut_lineage(scored)  # scored once, read by the quantile's rounds and the caller
+    thr = exact_quantiles(scored, ["anomaly_score"], [1.0 - contamination]).first()[0]
     return scored.withColumn("anomaly", F.when(F.col("anomaly_score") > F.lit(thr), F.lit(-1)).otherwise(F.lit(1)))
 
 

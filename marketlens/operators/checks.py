@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.operators.quantiles import exact_quantiles
+
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
 
 
@@ -22,27 +24,21 @@ def _is_num(dt) -> bool:
     return isinstance(dt, NUMERIC)
 
 
-def _quartiles(c: str, exact: bool) -> tuple[Column, Column]:
-    if exact:  # linear interpolation, as pandas / DuckDB quantile_cont
-        return F.percentile(c, 0.25), F.percentile(c, 0.75)
-    return F.percentile_approx(c, 0.25, 10000), F.percentile_approx(c, 0.75, 10000)
-
-
 def iqr_bounds(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), k: float = 1.5,
                exact: bool = True) -> DataFrame:
     """Per-key (or global) Q1 - k*IQR / Q3 + k*IQR for each column.
 
-    ``exact=False`` uses the mergeable ``percentile_approx`` sketch, whose
-    memory per group is bounded - the choice for a hot key at scale.
+    Quartiles are exact (linear interpolation) and counted by rank in rounds; ``exact=False`` takes
+    one ``percentile_approx`` sketch instead.
     """
-    aggs = []
-    for c in cols:
-        q1, q3 = _quartiles(c, exact)
-        aggs += [q1.alias(f"_q1_{c}"), q3.alias(f"_q3_{c}")]
-    b = df.groupBy(*keys).agg(*aggs)
-    return b.select(*keys, *[x for c in cols for x in (
-        (F.col(f"_q1_{c}") - k * (F.col(f"_q3_{c}") - F.col(f"_q1_{c}"))).alias(f"_lo_{c}"),
-        (F.col(f"_q3_{c}") + k * (F.col(f"_q3_{c}") - F.col(f"_q1_{c}"))).alias(f"_hi_{c}"))])
+    if exact:
+        b = exact_quantiles(df, cols, (0.25, 0.75), keys)
+    else:
+        b = df.groupBy(*keys).agg(*[F.percentile_approx(c, p, 10000).alias(f"q_{c}_{j}") for c in cols for j, p in enumerate((0.25, 0.75))])
+
+    def fence(c: str, j: int, sign: int) -> Column:
+        return F.col(f"q_{c}_{j}") + F.lit(sign * k) * (F.col(f"q_{c}_1") - F.col(f"q_{c}_0"))
+    return b.select(*keys, *[x for c in cols for x in (fence(c, 0, -1).alias(f"_lo_{c}"), fence(c, 1, 1).alias(f"_hi_{c}"))])
 
 
 def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

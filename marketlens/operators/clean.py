@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.functions.panel import HALO, RN, SHARD, Panel
+from marketlens.operators.quantiles import exact_quantiles
 
 log = logging.getLogger(__name__)
 
@@ -95,9 +96,12 @@ def ffill_then_zero(df: DataFrame, panel: Panel | None = None, cols: Sequence[st
 
 def median_impute(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """``X.fillna(X.median())``; one aggregate row of medians."""
-    med = [F.percentile(c, 0.5) if exact else F.percentile_approx(c, 0.5, 10000) for c in cols]
-    row = df.agg(*[m.alias(c) for m, c in zip(med, cols)]).first()
-    return df.fillna({c: float(row[c]) for c in cols if row[c] is not None})
+    if exact:
+        row = exact_quantiles(df, cols, (0.5,)).first()
+        med = {c: row[f"q_{c}_0"] for c in cols}
+    else:
+        med = df.agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in cols]).first().asDict()
+    return df.fillna({c: float(m) for c, m in med.items() if m is not None})
 
 
 def zscore(df: DataFrame, cols: Sequence[str], ddof: int = 1, suffix: str = "") -> DataFrame:

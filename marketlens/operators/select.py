@@ -22,6 +22,7 @@ from marketlens.operators import clean as cl
 from marketlens.operators import corr as co
 from marketlens.operators import ensembles as en
 from marketlens.operators import splits as sp
+from marketlens.operators.quantiles import exact_quantiles
 
 N_BINS = 10
 
@@ -34,8 +35,10 @@ def _bin_expr(x: str, bounds: list[float]):
 
 def quantile_bounds(df: DataFrame, cols: Sequence[str], n_bins: int = N_BINS, exact: bool = True) -> dict:
     probs = [i / n_bins for i in range(1, n_bins)]
-    fn = (lambda c: F.percentile(c, probs)) if exact else (lambda c: F.percentile_approx(c, probs, 10000))
-    row = df.agg(*[fn(c).alias(c) for c in cols]).first()
+    if exact:
+        row = exact_quantiles(df, cols, probs).first()
+        return {c: sorted({row[f"q_{c}_{j}"] for j in range(len(probs))} - {None}) for c in cols}
+    row = df.agg(*[F.percentile_approx(c, probs, 10000).alias(c) for c in cols]).first()
     return {c: sorted(set(row[c] or [])) for c in cols}
 
 

@@ -29,7 +29,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("MARKETLENS_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("MARKETLENS_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
