@@ -92,13 +92,26 @@ def s14_validate_file_tree(spark, sf):
     return rep.select(folder.alias("folder"), "n_rows", "high_lt_low", "negative_values", "bad_symbol", "is_valid")
 
 
-@query("s15_model_save_load")
+_S15 = f"""WITH {BARS}, d AS (SELECT symbol, date, close, open AS x1, high - low AS x2, volume AS x3 FROM bars),
+m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(close) AS my FROM d),
+c AS (SELECT sum((x1 - m1) * (x1 - m1)) + 1.0 AS a, sum((x1 - m1) * (x2 - m2)) AS b, sum((x1 - m1) * (x3 - m3)) AS c,
+  sum((x2 - m2) * (x2 - m2)) + 1.0 AS e, sum((x2 - m2) * (x3 - m3)) AS f, sum((x3 - m3) * (x3 - m3)) + 1.0 AS i,
+  sum((x1 - m1) * (close - my)) AS p, sum((x2 - m2) * (close - my)) AS q, sum((x3 - m3) * (close - my)) AS r FROM d, m),
+w AS (SELECT a * (e * i - f * f) - b * (b * i - f * c) + c * (b * f - e * c) AS det,
+  p * (e * i - f * f) - b * (q * i - f * r) + c * (q * f - e * r) AS d1,
+  a * (q * i - f * r) - p * (b * i - f * c) + c * (b * r - q * c) AS d2,
+  a * (e * r - q * f) - b * (b * r - q * c) + p * (b * f - e * c) AS d3 FROM c)
+SELECT symbol, date, {R('close', 'close')}, {R('my + d1 / det * (x1 - m1) + d2 / det * (x2 - m2) + d3 / det * (x3 - m3)', 'prediction', 2)},
+  'close' AS target FROM d, m, w"""
+
+
+@query("s15_model_save_load", _S15)
 def s15_model_save_load(spark, sf):
-    """Fit, save (Spark ML writer + metadata), load, and score with the loaded model."""
+    """Fit ridge (M4), save (Spark ML writer + metadata), load, and score with the loaded model."""
     base = _scratch(spark, "model")
     d = daily_bars(spark, sf).withColumn("range", F.col("high") - F.col("low"))
     m = md.fit_ridge(d, ["open", "range", "volume"], "close", 1.0)
     md.save_model(m, base, {"features": ["open", "range", "volume"], "target": "close", "alpha": 1.0})
     loaded, meta = md.load_model(spark, base)
-    return loaded.transform(d).select("symbol", "date", "close", "prediction",
-                                      F.lit(meta["target"]).alias("target"))
+    out = loaded.transform(d).select("symbol", "date", "close", "prediction", F.lit(meta["target"]).alias("target"))
+    return rounded(out, coarse={"prediction": 2})

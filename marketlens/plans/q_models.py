@@ -1,11 +1,13 @@
 """Registered model, metric, selection and scoring queries: A16, A17, F1-F7, M1-M13, M16-M18, P4, C12.
 
-Model queries have no SQL oracle (the driver checks their rows); metrics,
-binned mutual information and the model summary projection do.
+Trained models have no SQL oracle (the driver checks their rows); ridge fits and backtests on few features, metrics,
+binned mutual information, the feature cache and the model summary projection do.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel, sdiv
@@ -21,7 +23,7 @@ from marketlens.operators import select as se
 from marketlens.operators import splits as sp
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead
-from marketlens.sources.tables import level_bars, table
+from marketlens.sources.tables import daily_bars, level_bars, table
 
 P = Panel()
 
@@ -259,18 +261,44 @@ def f4_f5_lasso_rfecv(spark, sf):
         se.importance_table(s5, sel5).withColumn("method", F.lit("rfecv")))
 
 
-@query("c12_feature_cache")
+@query("c12_feature_cache", f"""WITH {BARS}, {LEVEL}
+SELECT symbol, date, {R('close', 'close')}, {R(lag('close', 1), 'close_lag_1')},
+  CASE WHEN close > {lag('close', 5)} THEN 1 ELSE -1 END AS trend_5, 1 AS cache_hits, true AS same_path FROM lvl""")
 def c12_feature_cache(spark, sf):
-    """Materialise-once feature set keyed by function, content fingerprint and arguments."""
+    """Materialise-once feature set keyed by function, content fingerprint and arguments; the second call is a hit."""
     from marketlens.operators.cache import FeatureCache
     from marketlens.operators.features import engineer_features
     from marketlens.session import checkpoint_dir
-    cache = FeatureCache(f"{checkpoint_dir(spark)}/feature-cache")
+    cache = FeatureCache(f"{checkpoint_dir(spark)}/feature-cache/{uuid.uuid4().hex}")
     bars = level_bars(spark, sf)
     first = cache.get_or_compute(bars, engineer_features, panel=P)
     again = cache.get_or_compute(bars, engineer_features, panel=P)
-    return again.select("symbol", "date", "close", "close_lag_1", "trend_5").withColumn(
-        "cache_hits", F.lit(cache.stats()["hits"])).withColumn("same_path", F.lit(first.inputFiles() == again.inputFiles()))
+    return rounded(again.select("symbol", "date", "close", "close_lag_1", "trend_5")).withColumns({
+        "cache_hits": F.lit(cache.stats()["hits"]), "same_path": F.lit(first.inputFiles() == again.inputFiles())})
+
+
+_M11 = f"""WITH {BARS}, d AS (SELECT symbol, date, close AS y, open AS u, volume AS v,
+  row_number() OVER (ORDER BY date, symbol) - 1 AS pos FROM bars),
+b AS (SELECT *, CASE WHEN pos < 100 THEN -1 ELSE (pos - 100) // 20 END AS refit FROM d),
+g AS (SELECT avg(u) AS gu, avg(v) AS gv, avg(y) AS gy FROM d),
+k AS (SELECT refit, count(*) AS n, sum(u - gu) AS su, sum(v - gv) AS sv, sum(y - gy) AS sy, sum((u - gu) * (u - gu)) AS suu,
+  sum((u - gu) * (v - gv)) AS suv, sum((v - gv) * (v - gv)) AS svv, sum((u - gu) * (y - gy)) AS suy,
+  sum((v - gv) * (y - gy)) AS svy FROM b, g GROUP BY refit),
+t AS (SELECT refit, {', '.join(f"sum({c}) OVER o AS {c}" for c in ('n', 'su', 'sv', 'sy', 'suu', 'suv', 'svv', 'suy', 'svy'))}
+  FROM k WINDOW o AS (ORDER BY refit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT refit, su / n AS mu, sv / n AS mv, sy / n AS my, suu - su * su / n + 1.0 AS a, suv - su * sv / n AS b,
+  svv - sv * sv / n + 1.0 AS e, suy - su * sy / n AS p, svy - sv * sy / n AS q FROM t WHERE refit >= 0)
+SELECT CAST(d.refit AS INTEGER) AS refit, d.symbol, d.date, {R('d.y', 'y')},
+  {R('gy + my + (p * e - q * b) / (a * e - b * b) * (u - gu - mu) + (a * q - b * p) / (a * e - b * b) * (v - gv - mv)', 'prediction', 2)}
+FROM b d JOIN c USING (refit), g"""
+
+
+@query("m11_ridge_backtest_bars", _M11)
+def m11_ridge_backtest_bars(spark, sf):
+    """M11 on all bars: ridge of close on open and volume, refitted every 20 rows from row 100."""
+    d = daily_bars(spark, sf).select("symbol", "date", F.col("close").alias("y"), "open", "volume")
+    out = ev.expanding_ridge_backtest(d, ["open", "volume"], "y", 1.0, 100, 20)
+    return rounded(out.select("refit", "symbol", "date", "y", "prediction"), coarse={"prediction": 2})
 
 
 @query("m11_expanding_backtest")
