@@ -60,18 +60,18 @@ def _a11_frame(spark, sf):
 
 
 @query("a11_feature_correlations", f"""WITH {_A11}
-""" + " UNION ALL ".join(f"SELECT '{a}' AS feature1, '{b}' AS feature2, {R(f'corr({a}, {b})', 'correlation')} FROM f"
+""" + " UNION ALL ".join(f"SELECT '{a}' AS feature1, '{b}' AS feature2, {R(f'corr({a}, {b})', 'correlation', 6)} FROM f"
                          for i, a in enumerate(_FEATS) for b in _FEATS[i + 1:]))
 def a11_feature_correlations(spark, sf):
     """Feature x feature pairwise-complete correlations in one aggregate."""
-    return rounded(co.feature_correlations(_a11_frame(spark, sf), _FEATS))
+    return rounded(co.feature_correlations(_a11_frame(spark, sf), _FEATS), 6)
 
 
 @query("a11_target_correlations", f"""WITH {_A11}
-""" + " UNION ALL ".join(f"SELECT '{a}' AS feature, {R(f'corr({a}, target)', 'correlation')} FROM f" for a in _FEATS))
+""" + " UNION ALL ".join(f"SELECT '{a}' AS feature, {R(f'corr({a}, target)', 'correlation', 6)} FROM f" for a in _FEATS))
 def a11_target_correlations(spark, sf):
     """``corrwith(target)`` of each feature (5-row forward return)."""
-    return rounded(co.target_correlations(_a11_frame(spark, sf), _FEATS, "target"))
+    return rounded(co.target_correlations(_a11_frame(spark, sf), _FEATS, "target"), 6)
 
 
 # ------------------------------------------------------------------ regimes
@@ -133,6 +133,9 @@ w27 AS (SELECT * FROM q3 WHERE returns IS NOT NULL AND returns_lag1 IS NOT NULL
         AND momentum_20d IS NOT NULL)"""
 
 
+_W27_COLUMNS = ["returns", "returns_lag1", "returns_lag2", "volatility", "volatility_change", "momentum_5d", "momentum_20d"]
+
+
 def _w27(spark, sf):
     d = level_bars(spark, sf).select("symbol", "date", "close")
     d = d.withColumn("returns", sdiv(F.col("close"), P.lag("close")) - 1)
@@ -140,10 +143,10 @@ def _w27(spark, sf):
 
 
 @query("w27_regime_features", f"""WITH {_W27}
-SELECT symbol, date, {', '.join(R(c, c) for c in rg.REGIME_FEATURES)} FROM w27""")
+SELECT symbol, date, {', '.join(R(c, c, 6) for c in _W27_COLUMNS)} FROM w27""")
 def w27_regime_features(spark, sf):
     """Regime feature matrix per symbol, incomplete rows dropped."""
-    return rounded(_w27(spark, sf).select("symbol", "date", *rg.REGIME_FEATURES))
+    return rounded(_w27(spark, sf).select("symbol", "date", *rg.REGIME_FEATURES), 6)
 
 
 @query("a14_regime_naming", f"""WITH {_W27},

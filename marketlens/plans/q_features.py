@@ -112,8 +112,8 @@ g AS (SELECT *, coalesce(len(fut), 0) AS nf,
       {', '.join(f"{lead('close', h)} / nullif(close, 0) - 1 AS return_{h}d" for h in (1, 5, 10, 20))},
       {roll('stddev_samp', 'r1', 20)} AS vol_20d FROM f)
 SELECT symbol, date, {R('close', 'close')},
-  {', '.join(R(f'return_{h}d', f'return_{h}d') for h in (1, 5, 10, 20))},
-  {R('vol_20d', 'vol_20d')}, {R(div('return_5d', 'vol_20d'), 'risk_adj_return_5d')},
+  {', '.join(R(f'return_{h}d', f'return_{h}d', 6) for h in (1, 5, 10, 20))},
+  {R('vol_20d', 'vol_20d', 6)}, {R(div('return_5d', 'vol_20d'), 'risk_adj_return_5d', 6)},
   CASE WHEN return_1d > 0 THEN 1 ELSE 0 END AS direction_1d,
   CASE WHEN return_5d > 0 THEN 1 ELSE 0 END AS direction_5d,
   CASE WHEN return_5d > 0.005 THEN 1 WHEN return_5d < -0.005 THEN -1 ELSE 0 END AS direction_class_5d,
@@ -125,7 +125,7 @@ def w28_w30_targets(spark, sf):
     d = lb.create_targets(level_bars(spark, sf), P)
     cols = ["symbol", "date", "close", "return_1d", "return_5d", "return_10d", "return_20d", "vol_20d",
             "risk_adj_return_5d", "direction_1d", "direction_5d", "direction_class_5d", "triple_barrier"]
-    return rounded(d.select(*cols))
+    return rounded(d.select(*cols), 6, {"close": 4})
 
 
 @query("w31_meta_labels", f"""WITH {BARS}, {LEVEL}
