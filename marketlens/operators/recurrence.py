@@ -9,7 +9,7 @@ nothing to add. Without gaps k = 1 and A = q. Positions inside a partition are c
    (-S stays below B*|ln q| + 45: terms beyond a jump of 45 are under double precision and are cut there)
 2. block totals E_b (the partial at its end) and P_b = e^(S at its end): unordered windows over the same (partition, block)
 3. carry  Y_{b-1} = E_{b-1} + P_{b-1} * (E_{b-2} + P_{b-2} * (...)): the row B*k positions back sits in block b-k, so
-   both are lags. Enough blocks are taken for the slowest decay that gaps can cause; many blocks are combined by doubling.
+   both are lags, combined by doubling until they reach over the slowest decay that gaps can cause.
 4. y_t = p_t + e^(S_t) * Y_{b-1};  rows without a value take the last y.
 
 All of it runs in Window operators over the existing hash partitioning and one sort; no join, no union, no aggregate.
@@ -42,33 +42,27 @@ def slowest_decay(span: float) -> float:
     return min(math.log1p(a * q ** -k) / k for k in range(1, min(top, 5000)))
 
 
-def carry_blocks(span: float, block: int = BLOCK, tol: float = 1e-13) -> int:
+def carry_blocks(span: float, block: int = BLOCK, tol: float = 1e-12) -> int:
     """Blocks of history needed before the carry is surely below ``tol`` relative, whatever the gaps."""
     rate = slowest_decay(span)
     return 1 if math.isinf(rate) else max(1, math.ceil(-math.log(tol) / (rate * block)) + 1)
 
 
-#: Blocks carried by single lags; beyond them the carry doubles its reach level by level.
-MAX_LAGS = 24
-
-
-def _carried(d: DataFrame, name: str, blocks: int, block: int, w) -> tuple[DataFrame, object, list[str]]:
-    """(frame, carry expression, helper columns) from the block totals ``_e_`` and ``_g_``."""
-    e, g = "_e_" + name, "_g_" + name
-    if blocks <= MAX_LAGS:
-        carry = F.lit(0.0)
-        for k in range(blocks, 0, -1):
-            carry = F.coalesce(F.lag(e, block * k).over(w), F.lit(0.0)) + F.coalesce(F.lag(g, block * k).over(w), F.lit(0.0)) * carry
-        return d, carry, []
-    made = []
-    for j in range(math.ceil(math.log2(blocks))):
-        e2, g2 = f"_e{j}_" + name, f"_g{j}_" + name
-        back = block << j
-        d = d.withColumns({e2: F.col(e) + F.col(g) * F.coalesce(F.lag(e, back).over(w), F.lit(0.0)),
-                           g2: F.col(g) * F.coalesce(F.lag(g, back).over(w), F.lit(0.0))})
-        made += [e2, g2]
-        e, g = e2, g2
-    return d, F.coalesce(F.lag(e, block).over(w), F.lit(0.0)), made
+def _carried(d: DataFrame, blocks: dict[str, int], block: int, w) -> tuple[DataFrame, dict, list[str]]:
+    """(frame, carry of each name, helper columns) from the block totals ``_e_`` and ``_g_``; each level doubles the reach of all."""
+    made: list[str] = []
+    at = {n: n for n in blocks}
+    for j in range(math.ceil(math.log2(max(blocks.values(), default=1)))):
+        level = {}
+        for n, need in blocks.items():
+            if (1 << j) < need:
+                e, g, back = "_e_" + at[n], "_g_" + at[n], block << j
+                level |= {f"_e_{j}_{n}": F.col(e) + F.col(g) * F.coalesce(F.lag(e, back).over(w), F.lit(0.0)),
+                          f"_g_{j}_{n}": F.col(g) * F.coalesce(F.lag(g, back).over(w), F.lit(0.0))}
+        d = d.withColumns(level)
+        at |= {n: f"{j}_{n}" for n, need in blocks.items() if (1 << j) < need}
+        made += list(level)
+    return d, {n: F.coalesce(F.lag("_e_" + at[n], block).over(w), F.lit(0.0)) for n in blocks}, made
 
 
 def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]],
@@ -118,10 +112,10 @@ def ema_columns(df: DataFrame, panel: Panel, specs: dict[str, tuple[str, float]]
         end = F.sum(f"_a_{name}").over(w_blk)
         total |= {f"_e_{name}": F.exp(end) * F.sum(v).over(w_blk), f"_g_{name}": F.exp(end)}
     d = d.withColumns(partial).withColumns(total)
+    d, carry, made = _carried(d, {n: carry_blocks(span, block) for n, (_, span) in specs.items()}, block, w_lag)
+    tmp += made
     for name, (src, span) in specs.items():
-        d, carry, made = _carried(d, name, carry_blocks(span, block), block, w_lag)
-        tmp += made
-        y = F.col(f"_p_{name}") + F.exp(f"_s_{name}") * carry
+        y = F.col(f"_p_{name}") + F.exp(f"_s_{name}") * carry[name]
         cols[f"_y_{name}"] = F.when(x[src].isNotNull(), y)
         tmp.append(f"_y_{name}")
     d = d.withColumns(cols)
