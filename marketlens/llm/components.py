@@ -17,7 +17,7 @@ def _with_least(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     e = _with_least(both).filter("v > u")
-    return e.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return e.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")  # repeats go after the small star
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -167,6 +167,14 @@ def _links_of_outliers(members: DataFrame, pivots: DataFrame, classes: DataFrame
     return rows.groupBy("grp", "u", "v").applyInPandas(_cell(threshold), "u long, v long")
 
 
+def _between(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (u, v) of nodes as links of their classes; a node without a class is its own."""
+    for side in ("u", "v"):
+        c = classes.select(F.col("node").alias(side), F.col("class").alias("c"))
+        links = links.join(c, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+    return links
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each input row: doc_id, class_id, class_size.
 
@@ -192,13 +200,16 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", thre
     links = written(_links_to_pivots(members, pivots, sigs, texts, threshold), "links")
     classes = written(components(links), "classes")
     more = _links_of_outliers(members, pivots, classes, texts, threshold)
-    links = links.unionByName(more)
     # an id met with several texts is one document: its nodes belong together
     same = who.filter("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
     own = who.filter("id = node").select(F.col("id").alias("u")).distinct()
-    links = links.unionByName(same.join(own, "u", "left_semi"))
-    final = components(links)
-    by_id = who.join(final, "node", "left").groupBy("id").agg(F.min(F.coalesce("class", "node")).alias("class_id"))
+    # what is left to join are classes, far fewer than nodes
+    joined = components(_between(more.unionByName(same.join(own, "u", "left_semi")), classes))
+    joined = joined.select(F.col("node").alias("class"), F.col("class").alias("last"))
+    by_node = classes.join(joined, "class", "left").select("node", F.coalesce("last", "class").alias("class"))
+    alone = joined.join(classes.select(F.col("class")).distinct(), "class", "left_anti")
+    by_node = by_node.unionByName(alone.select(F.col("class").alias("node"), F.col("last").alias("class")))
+    by_id = who.join(by_node, "node", "left").groupBy("id").agg(F.min(F.coalesce("class", "node")).alias("class_id"))
     ids = df.select(F.col(id_col).cast("long").alias("doc_id"))
     rows = ids.join(by_id.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     sizes = rows.groupBy("class_id").agg(F.count("*").alias("class_size"))
