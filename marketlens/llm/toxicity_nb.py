@@ -25,7 +25,7 @@ SIZES = (4, 5, 6)
 #: that speak for the toxic class are features: what speaks against it would pile up with a text's length.
 MIN_DOCS, MIN_RATIO, FEATURES, RIDGE = 4, 1.5, 60_000, 1e-3
 #: Labelled texts of each class, and bits of the coarse counts of training.
-ROWS, COARSE = 2000, 22
+ROWS, COARSE = 1500, 22
 _A = np.uint64(0xD6E8FEB86659FD93)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
