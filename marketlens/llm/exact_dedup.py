@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import fresh, text_of
 
 
+def _hashes(text) -> tuple:
+    """md5 (16 bytes) and SHA-256 of a text; declared not null, so both uses of a join on them share one shuffle."""
+    data = text.cast("binary")
+    return F.coalesce(F.unhex(F.md5(data)), F.lit(b"")), F.coalesce(F.sha2(data, 256), F.lit(""))
+
+
 def _groups(keyed: DataFrame) -> DataFrame:
     """(h, sha, keep_id, group_size, top_rows) of texts that occur more than once; keyed: id, text, h.
 
@@ -62,8 +68,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
                       F.col("group_size").alias(size)).join(
         twice.withColumnRenamed(keep, "k2").withColumnRenamed(h, "h2"),
         (F.col(h) == F.col("h2")) & F.col(keep).eqNullSafe(F.col("k2")), "left").drop("k2", "h2")
-    mine = text_of(df[text]).cast("binary")
-    kept = df.withColumns({h: F.unhex(F.md5(mine)), sha: F.sha2(mine, 256)}).join(g, [h, sha], "left")
+    mine = _hashes(text_of(df[text]))
+    kept = df.withColumns({h: mine[0], sha: mine[1]}).join(g, [h, sha], "left")
     kept = kept.filter(F.col(size).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
     once = kept.filter(F.col(n).isNull()).select(*[F.col(f"`{c}`") for c in df.columns])
     again = kept.filter(F.col(n).isNotNull()).dropDuplicates([id_col, h, sha]).select(*[F.col(f"`{c}`") for c in df.columns])
