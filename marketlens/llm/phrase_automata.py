@@ -31,7 +31,7 @@ from marketlens.llm.hashing import buffers, grams, slices, word_hashes, words
 
 WINDOW, PHRASE = 50, 8
 #: Patterns of a shard, and stretches that one salt of a shard takes.
-SHARD_PATTERNS, SALT_STRETCHES = 20_000, 40_000
+SHARD_PATTERNS, SALT_STRETCHES = 2_000, 5_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -254,10 +254,11 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     least = scanned.filter("id IS NOT NULL").groupBy("h").agg(F.min("id").alias("node"))
     rows = written(scanned.select("id", "h", "n_words", "sha").join(least, "h", "left"), "rows")
     reps = scanned.join(least, "h").filter("id = node")
-    listed = reps.select("id", "h", F.explode("seeds").alias("seed"))
+    listed = reps.select("id", F.explode("seeds").alias("seed"))
     recurring = listed.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("seed")
-    mine = listed.join(recurring, "seed").groupBy("id", "h").agg(F.collect_set("seed").alias("seeds"))
-    texts = t.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(mine, ["id", "h"]).dropDuplicates(["id", "h"])
+    mine = listed.join(recurring, "seed").groupBy("id").agg(F.collect_set("seed").alias("seeds"))
+    own = reps.select("id", "h").distinct()
+    texts = t.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(mine.join(own, "id"), ["id", "h"]).dropDuplicates(["id", "h"])
     texts = written(texts.select("id", "h", "text", "seeds"), "candidates")
     seen = texts.select("id", "text", "seeds").mapInArrow(_windows(window, phrase), "w1 long, w2 long, id long")
     firsts = seen.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.max("id").alias("y")).filter("id < y")
