@@ -250,11 +250,17 @@ def train(texts: list[str], rounds: int = 250, rate: float = 0.1, ridge: float =
     return Field(unary, chain, max(AGREE, float(agree[0])))
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE, max_bytes: int = SAMPLE_BYTES) -> Field:
-    """Train on at most ``sample`` texts with a digit or an @ and at most ``max_bytes`` bytes, the same ones every time."""
-    t = df.select(F.col(id_col).cast("string").alias("i"), text_of(text).alias("text"))
-    t = t.filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= max_bytes))
-    rows = t.orderBy(F.xxhash64("i", "text"), "i").select("text").limit(sample).toPandas()
+def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE, max_bytes: int = SAMPLE_BYTES) -> Field:
+    """Train on about ``sample`` texts with a digit or an @ and at most ``max_bytes`` bytes, the same ones every time.
+
+    The sample is the texts of least hash: the hashes alone are ordered first, and only texts under the cut are fetched.
+    """
+    t = df.select(text_of(text).alias("text")).filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= max_bytes))
+    t = t.select("text", F.xxhash64("text").alias("h"))  # equal texts count once
+    hashes = [r.h for r in t.select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not hashes:
+        return train([])
+    rows = t.filter(F.col("h") <= max(hashes)).dropDuplicates(["h"]).toPandas()
     return train(sorted(rows.text.tolist()))
 
 
@@ -281,7 +287,7 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text: str = "text", fie
     """
     spark = df.sparkSession
     ship(spark)
-    field = field or fit(df, id_col, text)
+    field = field or fit(df, text)
     shared = spark.sparkContext.broadcast(field)
 
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
