@@ -57,7 +57,7 @@ class PieceEncoder:
     forgotten and encoded anew when met again (results do not change).
     """
 
-    def __init__(self, path: str, max_chars: int = 6_000_000):
+    def __init__(self, path: str, max_chars: int = 10_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
