@@ -1,18 +1,6 @@
-import tempfile
-
+"""Fixtures of rows that every operator must take: test modules import them."""
 import pytest
 
-from marketlens.session import get_spark
-
-
-@pytest.fixture(scope="session")
-def spark():
-    s = get_spark("local[4]", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ckpt-"))
-    yield s
-
-
 #: Null, empty, tied, repeated and very long texts, and columns whose names clash with inner ones.
 SCHEMA = "doc_id long, text string, h string, node long, key string, n long, id string"
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from marketlens.llm import quality_cnn, toxicity_nb
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
 

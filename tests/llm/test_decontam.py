@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from marketlens.llm.decontam_wand import K1, MIN_WORDS, B, contaminated, decontaminate, indexes
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

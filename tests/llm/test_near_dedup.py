@@ -7,6 +7,7 @@ import numpy as np
 from marketlens.llm.bagminhash import overlap, shingle_sets, signatures
 from marketlens.llm.components import components
 from marketlens.llm.near_dedup import near_classes, near_dedup
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 from marketlens.llm.phrase_automata import remove_repeats
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

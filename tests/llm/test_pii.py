@@ -8,6 +8,7 @@ import numpy as np
 
 from marketlens.llm import pii_crf
 from marketlens.llm.pii_crf import KINDS, LABELS, Field, Graph, base_spans, graph, personal_data, train
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 PLAIN = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",

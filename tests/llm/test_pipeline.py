@@ -11,6 +11,7 @@ from marketlens.llm.packing_kk import CAPACITY, karmarkar_karp, pack, pack_docum
 from marketlens.llm.token_counts import PieceEncoder, token_counts, tokenizer_path
 from test_decontam import brute as leaks
 from test_near_dedup import brute as near
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -4,6 +4,7 @@ import random
 import re
 
 from marketlens.llm.secret_links import KINDS, PART, SCOPE, STRONG, WEAK, secrets
+from edge_rows import edges, nothing  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 BASE = {"assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
