@@ -171,7 +171,7 @@ def score_column(model: Model, text, spark):
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            runs = [shared.value.scores(run) for run in byte_batches(batch)]
+            runs = [shared.value.scores(run) for run in byte_batches(batch, 1 << 18)]
             yield pd.Series(np.concatenate(runs) if runs else np.zeros(0))
 
     return score(text_of(text))
