@@ -193,7 +193,7 @@ def _weights(frame: pd.DataFrame, n_items: int, mean: float) -> Index | None:
 def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", answer: str | None = None) -> list[Index]:
     """One index for each shard of the benchmark; document frequencies and the mean length are over all items.
 
-    Null texts are empty; items under 8 words are not looked for; rows that repeat an item are items of their own.
+    Null texts are empty; items under 8 words are not looked for; rows that repeat an item (id and words) count once.
     """
     ship(benchmark.sparkSession)
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), text_of(text).alias("question"),
@@ -202,7 +202,8 @@ def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
     shards = max(1, -(-int(size) // SHARD_BYTES))
     items = items.withColumn("shard", F.pmod(F.xxhash64("item", "question"), F.lit(shards)))
     rows = items.mapInPandas(_postings, "item string, shard long, words array<long>, split int, terms array<long>, tfs array<int>")
-    rows = rows.withColumn("row", F.xxhash64("item", "words"))
+    # rows of equal words are one item, in one shard, whatever their case and punctuation
+    rows = rows.groupBy("item", "words", "split").agg(F.min("shard").alias("shard"), F.first("terms").alias("terms"), F.first("tfs").alias("tfs"))
     total = rows.agg(F.count("*"), F.avg(F.size("words"))).first()
     df = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     flat = rows.select("item", "shard", "words", "split", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \

@@ -93,3 +93,17 @@ def test_edge_rows(spark, edges, nothing, tables):
     odd = spark.createDataFrame([(1, None), (None, "a b c d e f g h i"), (2, ""), (3, "short one")], "item_id long, text string")
     leaked = spark.createDataFrame([(5, "x A b, c d e! f g h i y"), (None, "a b c d e f g h i")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.item_id) for r in contaminated(leaked, odd).collect()) == [(0, None), (5, None)]
+
+
+def test_repeated_items_are_one_item(spark):
+    item = "which river flows through the old town and where does it meet the sea"
+    other = [(f"o{k}", f"another question number {k} about things that nobody ever wrote in any text {k}") for k in range(5)]
+    docs = spark.createDataFrame([(1, "before " + item + " after"), (2, "nothing of the kind is said here at all")], "doc_id long, text string")
+    want = None
+    for rows in ([("a", item)], [("a", item)] * 2, [("a", item)] * 3, [("a", item), ("a", item.title() + "?")], [(None, item)] * 3):
+        bench = spark.createDataFrame(rows + other, "item_id string, text string")
+        got = [(r.doc_id, r.item_id, r.score) for r in contaminated(docs, bench).collect()]
+        assert got == [(1, rows[0][0], got[0][2])]
+        want = want or got[0][2]
+        assert abs(got[0][2] - want) < 1e-9
+        assert [r.doc_id for r in decontaminate(docs, bench).collect()] == [2]
