@@ -157,12 +157,13 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
             end.append(b)
             base.append(min((s[2] for s in reach), default=0))
             on.append(_features(text[a:b], before))
-            if a - before_end <= 3:
+            near = a - before_end <= 3
+            if near:
                 chain.append((node - 1, node))
             before_end = b
             key = _key(text[a:b])
             if key:
-                if key in last and last[key] != node - 1:
+                if key in last and not (near and last[key] == node - 1):
                     skip.append((last[key], node))
                 last[key] = node
     x = np.zeros((len(doc), FEATURES), np.float32)

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from marketlens.llm import pii_crf
 from marketlens.llm.pii_crf import KINDS, LABELS, Field, Graph, base_spans, graph, personal_data, train
@@ -85,6 +86,26 @@ def test_repeated_entities_are_found_again(spark):
     assert alone.n_added == 0
 
 
+def added(f, text):
+    """(kind, word) of the spans beside the pattern matches, in the order of the text."""
+    base = base_spans(text)
+    more = sorted(f.added(graph([text], [base])), key=lambda s: s[2])
+    assert pii_crf.find(f, [text]).iloc[0].n_added == len(more)
+    return [(KINDS[k], text[a:b]) for _, k, a, b in more]
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    return train([t for t in docs if re.search("[0-9@]", t)])
+
+
+def test_repeat_after_plain_words_alone(field):
+    plain = " and so on with plain words" * 10
+    assert added(field, "call +1 (736) 555-2678" + plain + " then 5552678 again") == [("phone", "5552678")]
+    assert added(field, "write to jo.smith77@mail.example.com" + plain + " ask jo.smith77 again") == [("email", "jo.smith77")]
+
+
 def test_edges_are_linear_in_repeats():
     text = " ".join(["5552678"] * 500)
     g = graph([text + " x " + text.replace(" ", " word word ")], [[]])
