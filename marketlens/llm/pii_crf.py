@@ -2,9 +2,11 @@
 
 Pattern matches (e-mail, IP address, card, phone) are evidence that stays. Words that hold a digit or an @ are the nodes of a
 field over the labels none, email, ip, card, phone. Chain edges join neighbouring words; skip edges join
-distant words that are the same or similar (equal local part, or equal last seven digits), each to its next occurrence, so
-a word repeated n times has n - 1 edges. Loopy sum-product message passing spreads the evidence, and words whose most likely label
-is an entity are added as spans: a number given once as +1 (736) 555-2678 is found again as 5552678.
+words of a document that are the same or similar (equal local part, or equal last seven digits), each to one hidden node of its
+group, so a word repeated n times has n edges and any two repeats are two edges apart. A group that holds a pattern match has that
+match's label as observed, however many repeats outweigh it. Loopy sum-product message passing spreads the evidence until no message
+changes, and words whose most likely label is an entity are added as spans: a number given once as +1 (736) 555-2678 is found
+again as 5552678.
 
 Weights are learned by pseudo-likelihood on a bounded sample of texts, the pattern matches being the labels; the agreement of
 skip edges has a floor, since words that the patterns miss count as none in training. All documents of an Arrow batch are one
@@ -40,8 +42,10 @@ CUES = {"email": 0, "mail": 0, "contact": 0, "ip": 1, "host": 1, "server": 1, "c
         "phone": 3, "tel": 3, "call": 3, "fax": 3, "mobile": 3}
 LABELS = 1 + len(KINDS)
 FEATURES = 1 + 8 + 9 + len(KINDS)
-#: Training texts, their greatest size in bytes; weight of a pattern match; least weight of agreement; rounds of messages.
-SAMPLE, SAMPLE_BYTES, CLAMP, AGREE, ROUNDS = 1500, 20_000, 10.0, 8.0, 12
+#: Training texts, their greatest size in bytes; weight of a pattern match; least weight of agreement.
+SAMPLE, SAMPLE_BYTES, CLAMP, AGREE = 1500, 20_000, 10.0, 8.0
+#: Messages of a document are passed until none changes by more; rounds after which one that never settles is left; rounds between looks.
+TOLERANCE, ROUNDS, LOOK = 1e-7, 2000, 8
 
 
 def _luhn(digits: str) -> bool:
@@ -134,16 +138,16 @@ class Graph:
     base: np.ndarray  # label of the pattern match that the node lies in, 0: none
     features: np.ndarray  # nodes x FEATURES
     chain: np.ndarray  # edges x 2, left to right
-    skip: np.ndarray
+    skip: np.ndarray  # edges x 2, word and hidden node of its group; hidden nodes are numbered after the words
 
 
 def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
-    doc, start, end, base, on, chain, skip = [], [], [], [], [], [], []
+    doc, start, end, base, on, chain, groups = [], [], [], [], [], [], []
     for i, (text, found) in enumerate(zip(texts, spans)):
         if not _EVIDENCE.search(text):
             continue
         by_start = sorted((a, b, k + 1) for k, a, b in found)
-        last: dict[str, int] = {}
+        alike: dict[str, list[int]] = {}
         p, reach = 0, []
         before_end = -9
         for a, b, before in _tokens(text):
@@ -157,15 +161,14 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
             end.append(b)
             base.append(min((s[2] for s in reach), default=0))
             on.append(_features(text[a:b], before))
-            near = a - before_end <= 3
-            if near:
+            if a - before_end <= 3:
                 chain.append((node - 1, node))
             before_end = b
             key = _key(text[a:b])
             if key:
-                if key in last and not (near and last[key] == node - 1):
-                    skip.append((last[key], node))
-                last[key] = node
+                alike.setdefault(key, []).append(node)
+        groups += [g for g in alike.values() if len(g) > 1]
+    skip = [(node, len(doc) + h) for h, g in enumerate(groups) for node in g]
     x = np.zeros((len(doc), FEATURES), np.float32)
     for i, f in enumerate(on):
         x[i, f] = 1
@@ -182,25 +185,49 @@ class Field:
     agree: float
 
     def marginals(self, g: Graph, clamp: float = CLAMP, rounds: int = ROUNDS) -> np.ndarray:
-        """(nodes, LABELS) beliefs after loopy message passing."""
-        own = g.features @ self.unary
-        own[np.arange(len(own)), g.base] += np.where(g.base > 0, clamp, 0)
+        """(nodes, LABELS) beliefs of the words after loopy message passing."""
+        n = len(g.doc)
+        own = np.zeros((max(n, int(g.skip.max(initial=-1)) + 1), LABELS))
+        own[:n] = g.features @ self.unary
+        own[np.arange(n), g.base] += np.where(g.base > 0, clamp, 0)
+        # a group has the labels of its pattern matches as observed: more than its words together can say against them
+        node, hub = g.skip[g.skip[:, 1] >= n].T
+        size = np.bincount(hub, minlength=len(own))
+        hit = np.unique(np.stack([hub, g.base[node]], axis=1)[g.base[node] > 0], axis=0)
+        own[hit[:, 0], hit[:, 1]] += clamp + self.agree * size[hit[:, 0]]
         same = self.agree * np.eye(LABELS)
         source = np.concatenate([g.chain[:, 0], g.chain[:, 1], g.skip[:, 0], g.skip[:, 1]])
         target = np.concatenate([g.chain[:, 1], g.chain[:, 0], g.skip[:, 1], g.skip[:, 0]])
         c, s = len(g.chain), len(g.skip)
         back = np.concatenate([np.arange(c) + c, np.arange(c), np.arange(s) + 2 * c + s, np.arange(s) + 2 * c]).astype(np.int64)
+        factor = np.repeat(np.arange(3), [c, c, 2 * s])
+        doc = g.doc[np.concatenate([g.chain[:, 0], g.chain[:, 0], g.skip[:, 0], g.skip[:, 0]])]
         message = np.zeros((len(source), LABELS))
 
-        def beliefs() -> np.ndarray:
+        def beliefs(own: np.ndarray, target: np.ndarray, message: np.ndarray) -> np.ndarray:
             return own + np.stack([np.bincount(target, message[:, k], len(own)) for k in range(LABELS)], axis=1)
-        for _ in range(rounds if len(source) else 0):
-            out = (beliefs()[source] - message[back])[:, :, None] + 0
-            out = np.concatenate([out[:c] + self.chain, out[c:2 * c] + self.chain.T, out[2 * c:] + same])
-            top = out.max(axis=1, keepdims=True)
-            new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            message = 0.5 * message + 0.5 * (new - new.max(axis=1, keepdims=True))
-        b = beliefs()
+        live = np.arange(len(source))  # edges of documents whose messages still change
+        done = 0
+        while len(live) and done < rounds:
+            # nodes of these documents alone, in numbers of their own; a chain's or group's edges are kept or left together
+            nodes, ends = np.unique(np.concatenate([source[live], target[live]]), return_inverse=True)
+            src, dst = ends[:len(live)], ends[len(live):]
+            here, rev = own[nodes], np.searchsorted(live, back[live])
+            c1, c2 = np.searchsorted(factor[live], [1, 2])
+            m = message[live]
+            for _ in range(min(LOOK, rounds - done)):
+                out = (beliefs(here, dst, m)[src] - m[rev])[:, :, None] + 0
+                out = np.concatenate([out[:c1] + self.chain, out[c1:c2] + self.chain.T, out[c2:] + same])
+                top = out.max(axis=1, keepdims=True)
+                new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
+                new = 0.5 * m + 0.5 * (new - new.max(axis=1, keepdims=True))
+                change = np.abs(new - m).max(axis=1)
+                m, done = new, done + 1
+            message[live] = m
+            moving = np.zeros(int(doc.max()) + 1, bool)
+            moving[doc[live][change > TOLERANCE]] = True
+            live = live[moving[doc[live]]]
+        b = beliefs(own, target, message)[:n]
         b = np.exp(b - b.max(axis=1, keepdims=True))
         return b / b.sum(axis=1, keepdims=True)
 
@@ -231,7 +258,10 @@ def train(texts: list[str], rounds: int = 250, rate: float = 0.1, ridge: float =
         return Field(unary, chain, AGREE)
     y = np.eye(LABELS)[g.base]
     a, b = g.chain.T
-    u, v = g.skip.T
+    # in training, a group's words are joined each to the next, as labels of its hidden node are not observed
+    word, hub = g.skip.T
+    next_one = hub[1:] == hub[:-1]
+    u, v = word[:-1][next_one], word[1:][next_one]
 
     def gather(at, rows):
         return np.stack([np.bincount(at, rows[:, k], len(y)) for k in range(LABELS)], axis=1)

@@ -106,6 +106,16 @@ def test_repeat_after_plain_words_alone(field):
     assert added(field, "write to jo.smith77@mail.example.com" + plain + " ask jo.smith77 again") == [("email", "jo.smith77")]
 
 
+def test_fifty_repeats_of_one_entity(field):
+    plain = " and so on with plain words" * 3 + " "
+    for at in (0, 25, 50):  # the whole form stands first, in the middle, last
+        for whole, short, kind in (("+1 (736) 555-2678", "5552678", "phone"), ("jo.smith77@mail.example.com", "jo.smith77", "email")):
+            words = [short] * 50
+            words.insert(at, whole)
+            assert added(field, plain.join(words)) == [(kind, short)] * 50
+    assert added(field, plain.join(["5552678"] * 51)) == []
+
+
 def test_edges_are_linear_in_repeats():
     text = " ".join(["5552678"] * 500)
     g = graph([text + " x " + text.replace(" ", " word word ")], [[]])
