@@ -1,7 +1,8 @@
 """Operator 4: personal data with a skip-chain conditional random field.
 
-Pattern matches (e-mail, IP address, card, phone) are evidence that stays. Words that hold a digit or an @ are the nodes of a
-field over the labels none, email, ip, card, phone. Chain edges join neighbouring words; skip edges join
+Pattern matches (e-mail, IP address, card, phone) are evidence that stays. Words that hold a digit or an @, and
+words that are similar to one inside a pattern match of the same document, are the nodes of a field over the labels none, email, ip,
+card, phone. Chain edges join neighbouring words; skip edges join
 words of a document that are the same or similar (equal local part, or equal last seven digits), each to one hidden node of its
 group, so a word repeated n times has n edges and any two repeats are two edges apart. A group that holds a pattern match has that
 match's label as observed, however many repeats outweigh it. Loopy sum-product message passing spreads the evidence until no message
@@ -37,6 +38,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _EVIDENCE = re.compile(r"[0-9@]")
 _DIGITS = re.compile(r"[0-9]+")
 _PLAIN = re.compile(r"[^A-Za-z0-9]+")
+_WORD = re.compile(r"[^ \t-\r]+")
 #: Words before a token that speak for a kind.
 CUES = {"email": 0, "mail": 0, "contact": 0, "ip": 1, "host": 1, "server": 1, "card": 2, "visa": 2, "credit": 2,
         "phone": 3, "tel": 3, "call": 3, "fax": 3, "mobile": 3}
@@ -85,14 +87,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _tokens(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, word before) of the words with a digit or an @, edge punctuation cut off."""
+def _tokens(text: str, also: frozenset[int] = frozenset()) -> list[tuple[int, int, str]]:
+    """(start, end, word before) of the words with a digit or an @ or that start at ``also``, edge punctuation cut off."""
     out, at = [], 0
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     space = (points == 32) | ((points >= 9) & (points <= 13))
     holds = ((points >= 48) & (points <= 57)) | (points == 64)
     cut = np.concatenate([[-1], np.flatnonzero(space), [len(points)]])
-    word = np.unique(np.searchsorted(cut, np.flatnonzero(holds)) - 1)
+    at = np.concatenate([np.flatnonzero(holds), np.array(sorted(also), np.int64)])
+    word = np.unique(np.searchsorted(cut, at) - 1)
     for w in word.tolist():
         a, b = int(cut[w]) + 1, int(cut[w + 1])
         # the word before, at most 12 letters of it: enough for a cue
@@ -128,6 +131,24 @@ def _key(token: str) -> str:
     return "a" + plain if len(plain) >= 4 else ""
 
 
+def _repeats(text: str, tokens: list[tuple[int, int, str]], found: list[tuple[int, int, int]]) -> frozenset[int]:
+    """Starts of the words without a digit or an @ that are similar to a word inside a pattern match."""
+    inside = [(a, b) for k, a, b in found if k == 0]  # what the other kinds match holds a digit, and so does what is similar to it
+    if not inside:
+        return frozenset()
+    starts = [a for a, _ in inside]
+    keys = set()
+    for a, b, _ in tokens:
+        i = int(np.searchsorted(starts, b)) - 1
+        if i >= 0 and inside[i][1] > a:
+            keys.add(_key(text[a:b]))
+    keys = {k for k in keys if len(k) > 4 and k[0] == "a" and not _DIGITS.search(k)}
+    if not keys:
+        return frozenset()
+    same = {w for w in set(_WORD.findall(text)) if not _EVIDENCE.search(w) and _key(w) in keys}
+    return frozenset(m.start() for m in _WORD.finditer(text) if m[0] in same) if same else frozenset()
+
+
 @dataclass
 class Graph:
     """Nodes and edges of many documents."""
@@ -141,7 +162,8 @@ class Graph:
     skip: np.ndarray  # edges x 2, word and hidden node of its group; hidden nodes are numbered after the words
 
 
-def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
+def graph(texts: list[str], spans: list[list[tuple[int, int, int]]], repeats: bool = True) -> Graph:
+    """repeats: with words that have no digit or @ but are similar to one in a pattern match (in training they would count as none)."""
     doc, start, end, base, on, chain, groups = [], [], [], [], [], [], []
     for i, (text, found) in enumerate(zip(texts, spans)):
         if not _EVIDENCE.search(text):
@@ -150,7 +172,9 @@ def graph(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
         alike: dict[str, list[int]] = {}
         p, reach = 0, []
         before_end = -9
-        for a, b, before in _tokens(text):
+        tokens = _tokens(text)
+        also = _repeats(text, tokens, found) if repeats else frozenset()
+        for a, b, before in _tokens(text, also) if also else tokens:
             node = len(doc)
             while p < len(by_start) and by_start[p][0] < b:
                 reach.append(by_start[p])
@@ -251,7 +275,7 @@ class Field:
 
 def train(texts: list[str], rounds: int = 250, rate: float = 0.1, ridge: float = 1e-3) -> Field:
     """Weights by pseudo-likelihood: each node's label given those of its neighbours, the pattern matches being the labels."""
-    g = graph(texts, [base_spans(t) for t in texts])
+    g = graph(texts, [base_spans(t) for t in texts], repeats=False)
     unary, chain, agree = np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros(1)
     if not len(g.doc):
         unary[0, 0] = 1.0

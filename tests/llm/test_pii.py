@@ -116,6 +116,16 @@ def test_fifty_repeats_of_one_entity(field):
     assert added(field, plain.join(["5552678"] * 51)) == []
 
 
+def test_repeated_local_part_without_a_digit(field):
+    plain = " and so on with plain words" * 10
+    text = "write to john.smith@mail.example.com" + plain + "; ask john.smith, or (John_Smith)." + plain
+    assert added(field, text) == [("email", "john.smith"), ("email", "John_Smith")]
+    assert added(field, text + " john.smith" * 30)[2:] != []
+    assert added(field, (plain + " ").join([text] + ["john.smith"] * 30)) == [("email", "john.smith"), ("email", "John_Smith")] + [("email", "john.smith")] * 30
+    assert added(field, "ask john.smith, or John_Smith") == []
+    assert added(field, "\u6f22\U0001f600 jane@a.example.com " + plain + " \U0001f600 <jane> ") == [("email", "jane")]
+
+
 def test_edges_are_linear_in_repeats():
     text = " ".join(["5552678"] * 500)
     g = graph([text + " x " + text.replace(" ", " word word ")], [[]])
