@@ -7,6 +7,9 @@ occurrence of an item lies whole inside one. Upper bounds (per block of 4 items)
 once; those that can reach the threshold are searched with block-max WAND, which returns every
 item above it. A hit counts when both the item's question and its answer overlap with the passage.
 
+An item of few words has no such score that means anything: it is found where all its words stand together in order, by the hash of the
+run. Characters of scripts that put no spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer) are words of their own.
+
 The benchmark is cut into shards of bounded size and each shard's index is broadcast; the documents stream past
 each shard in turn. Nothing is shuffled but the benchmark's own terms.
 """
@@ -33,18 +36,43 @@ SCORE, OVERLAP, GRAM = 0.6, 0.5, 3
 BLOCK = 4
 #: Rounding of the bounds, which are sums of single-precision numbers; past every item.
 SLACK, LAST = 1e-4, 1 << 62
-#: Bytes of item texts in a shard (what is broadcast is proportional), and words that an item needs to be looked for.
+#: Bytes of item texts in a shard (what is broadcast is proportional), and words that an item needs to be scored: shorter ones are
+#: looked for as they stand.
 SHARD_BYTES, MIN_WORDS = 2 << 20, 8
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[ord(c) for c in string.punctuation]] = 32
 
 
+#: Code points that are words of their own (scripts without spaces): first and one past the last.
+_UNSPACED = ((0x0E00, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1AB0), (0x1B00, 0x1B80), (0x2E80, 0x3130), (0x31A0, 0x3200), (0x3400, 0x4DC0),
+             (0x4E00, 0xA000), (0xA980, 0xAAE0), (0xF900, 0xFB00), (0xFF00, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, 0x40000))
+_OWN = np.zeros(0x200000, bool)
+for _a, _b in _UNSPACED:
+    _OWN[_a:_b] = True
+
+
+def _unspaced(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, one past the last) of the characters in _UNSPACED; all of them have three or four bytes of UTF-8."""
+    at = np.flatnonzero(raw >= 0xE0)
+    lead, b, c, d = (raw[np.minimum(at + i, len(raw) - 1)].astype(np.int64) for i in range(4))
+    four = lead >= 0xF0
+    point = (lead & 0x0F) << 12 | (b & 0x3F) << 6 | c & 0x3F
+    point = np.where(four, (point & 0x7FFF) << 6 | d & 0x3F, point)
+    own = _OWN[point]
+    return at[own], (at + np.where(four, 4, 3))[own]
+
+
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every lower-case word without ASCII punctuation, first word of each text and one past the last)."""
     raw, offsets = buffers(pc.utf8_lower(column))
     raw = _PLAIN[raw]
     starts, ends, first = words(raw, offsets)
+    if len(raw) and raw.max() >= 0xE0:
+        a, b = _unspaced(raw)
+        starts, ends = (np.unique(np.concatenate([starts, a, b[~np.isin(b, ends)]])),
+                        np.unique(np.concatenate([ends, b, a[~np.isin(a, starts)]])))
+        first = np.searchsorted(starts, offsets, side="left")
     return word_hashes(raw, starts, ends), first
 
 
@@ -60,6 +88,7 @@ class Index:
     impact: np.ndarray = None
     block_max: np.ndarray = None  # term x block
     longest: int = 0
+    short: dict = field(default_factory=dict)  # number of words -> (hashes of whole items in order, their item numbers)
 
     def __post_init__(self):
         if self.vocab is not None:
@@ -112,9 +141,29 @@ class Index:
                 lists = [c for c in lists if c[0] < (block + 1) * BLOCK]
         return got
 
+    def whole(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, int, float, float]]:
+        """As hits, for the items of few words."""
+        for n, (keys, numbers) in self.short.items():
+            g = grams(hashes, n)
+            lo = np.searchsorted(keys, g)
+            at = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == g)
+            row = np.searchsorted(first, at, side="right") - 1
+            inside = at + n <= first[row + 1]
+            at, row = at[inside], row[inside]
+            for i in np.unique(row * len(keys) + lo[at], return_index=True)[1].tolist():
+                p, r = int(at[i]), int(row[i])
+                for item in numbers[lo[p]:np.searchsorted(keys, g[p], side="right")].tolist():
+                    yield r, item, 1.0, p - int(first[r]), 1.0, 1.0
+
     def hits(self, column: pa.Array, score: float, overlap: float) -> Iterator[tuple[int, int, float, int, float, float]]:
-        """(row, item number, score, first word, question share, answer share): the best passage of each row and item."""
+        """(row, item number, score, first word, question share, answer share): the best passage of each row and item.
+
+        For an item of few words, that is the first place where all of it stands.
+        """
         hashes, first = terms(column)
+        yield from self.whole(hashes, first)
+        if self.vocab is None:
+            return
         stride = self.longest
         n = np.diff(first)
         count = np.maximum(1, -(-n // stride) - 1)  # passages of each row
@@ -159,15 +208,33 @@ def _postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen, tf = np.unique(h.view(np.int64), return_counts=True)
             # without an answer of its own, the last quarter of an item is its answer
             split = int(first[1]) if first[2] > first[1] else len(h) - max(GRAM, len(h) // 4)
-            if len(h) >= MIN_WORDS:
+            if len(h):
                 rows.append((item, shard, h.view(np.int64).tolist(), split, seen.tolist(), tf.tolist()))
         yield pd.DataFrame(rows, columns=["item", "shard", "words", "split", "terms", "tfs"])
 
 
+def _ids(frame: pd.DataFrame) -> list[str | None]:
+    return [x if isinstance(x, str) else None for x in frame.item]
+
+
+def _short(frame: pd.DataFrame, number: int) -> dict:
+    """Index.short of the frame's items, which are numbered from ``number``."""
+    runs: dict[int, list[tuple[int, int]]] = {}
+    for i, w in enumerate(frame.words, number):
+        h = np.asarray(w, np.int64).view(np.uint64)
+        runs.setdefault(len(h), []).append((int(grams(h, len(h))[0]), i))
+    return {n: (np.array([k for k, _ in sorted(x)], np.uint64), np.array([i for _, i in sorted(x)], np.int64)) for n, x in runs.items()}
+
+
 def _weights(frame: pd.DataFrame, n_items: int, mean: float) -> Index | None:
     """The index of one shard's items; frame has a row for each item with lists terms, tfs and dfs."""
     if not len(frame):
         return None
+    few = frame.words.map(len) < MIN_WORDS
+    few, frame = frame[few], frame[~few]
+    short = _short(few, len(frame))
+    if not len(frame):
+        return Index(_ids(few), short=short)
     # items of like vocabulary stand together, which keeps block bounds low: order by the most frequent term
     frame = frame.assign(lead=[t[int(np.argmax(d))] for t, d in zip(frame.terms, frame.dfs)]).sort_values(["lead", "item"])
     vocab = np.unique(np.concatenate([np.asarray(t, np.int64) for t in frame.terms]).view(np.uint64))
@@ -186,14 +253,14 @@ def _weights(frame: pd.DataFrame, n_items: int, mean: float) -> Index | None:
     term, doc, impact = term[order], doc[order], impact[order]
     block_max = np.zeros((len(vocab), -(-len(frame) // BLOCK)), np.float32)
     np.maximum.at(block_max, (term, doc // BLOCK), impact.astype(np.float32) * np.float32(1 + 1e-6))
-    return Index([x if isinstance(x, str) else None for x in frame.item], parts, vocab, np.searchsorted(term, np.arange(len(vocab) + 1)), doc, impact, block_max,
-                 max(max(map(len, frame.words)), GRAM))
+    return Index(_ids(frame) + _ids(few), parts, vocab, np.searchsorted(term, np.arange(len(vocab) + 1)), doc, impact, block_max,
+                 max(max(map(len, frame.words)), GRAM), short)
 
 
 def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", answer: str | None = None) -> list[Index]:
-    """One index for each shard of the benchmark; document frequencies and the mean length are over all items.
+    """One index for each shard of the benchmark; document frequencies and the mean length are over all items of 8 words or more.
 
-    Null texts are empty; items under 8 words are not looked for; rows that repeat an item (id and words) count once.
+    Null texts are empty and not looked for; items under 8 words are looked for whole; rows that repeat an item (id and words) count once.
     """
     ship(benchmark.sparkSession)
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), text_of(text).alias("question"),
@@ -204,12 +271,15 @@ def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
     rows = items.mapInPandas(_postings, "item string, shard long, words array<long>, split int, terms array<long>, tfs array<int>")
     # rows of equal words are one item, in one shard, whatever their case and punctuation
     rows = rows.groupBy("item", "words", "split").agg(F.min("shard").alias("shard"), F.first("terms").alias("terms"), F.first("tfs").alias("tfs"))
+    few = rows.filter(F.size("words") < MIN_WORDS).groupBy("item", "words").agg(F.min("shard").alias("shard"), F.min("split").alias("split")) \
+        .select("item", "shard", "words", "split", *[F.array().cast(f"array<{t}>").alias(c) for c, t in (("terms", "long"), ("tfs", "int"), ("dfs", "long"))])
+    rows = rows.filter(F.size("words") >= MIN_WORDS)
     total = rows.agg(F.count("*"), F.avg(F.size("words"))).first()
     df = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     flat = rows.select("item", "shard", "words", "split", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \
         .select("item", "shard", "words", "split", F.col("z.terms").alias("term"), F.col("z.tfs").alias("tf")).join(df, "term")
     per = flat.groupBy("item", "shard", "words", "split").agg(F.array_sort(F.collect_list(F.struct("term", "tf", "df"))).alias("z")) \
-        .select("item", "shard", "words", "split", *[F.col(f"z.{c}").alias(c + "s") for c in ("term", "tf", "df")])
+        .select("item", "shard", "words", "split", *[F.col(f"z.{c}").alias(c + "s") for c in ("term", "tf", "df")]).unionByName(few)
     out = []
     for s in range(shards):
         index = _weights(per.filter(F.col("shard") == s).toPandas(), total[0], total[1] or 1.0)
@@ -222,7 +292,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                  item_text: str = "text", answer: str | None = None, score: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
     """doc_id, item_id, score, passage_start, question_overlap, answer_overlap: a row for each document row and item it holds.
 
-    passage_start counts words. Documents without a hit have no row, nor have null and empty ones; repeated rows are
+    passage_start counts words. An item under 8 words counts where it stands whole and in order. Documents without a hit have no row, nor have null and empty ones; repeated rows are
     reported each; a null id is reported as null. Other columns are ignored. An empty table on either side gives none.
     """
     spark = df.sparkSession

@@ -107,3 +107,41 @@ def test_repeated_items_are_one_item(spark):
         want = want or got[0][2]
         assert abs(got[0][2] - want) < 1e-9
         assert [r.doc_id for r in decontaminate(docs, bench).collect()] == [2]
+
+
+def test_short_items_are_found_whole(spark):
+    bench = [("five", "Who wrote the first opera?"), ("again", "who wrote the first opera"), ("one", "Zanzibar"), ("none", "?!"), ("long", "a b c d e f g h i")]
+    docs = [(1, "asked: who wrote, the FIRST opera? nobody"), (2, "who wrote the very first opera"), (3, "to zanzibar and zanzibar"),
+            (4, "who wrote the first"), (5, "opera who wrote the first"), (6, ""), (7, "A b c d e f g h i who wrote the first opera")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    for items in (bench, bench[:4], bench + bench):
+        items = spark.createDataFrame(items, "item_id string, text string")
+        got = sorted((r.doc_id, r.item_id, r.passage_start) for r in contaminated(docs, items).collect() if r.item_id != "long")
+        assert got == [(1, "again", 1), (1, "five", 1), (3, "one", 1), (7, "again", 9), (7, "five", 9)]
+        assert sorted(r.doc_id for r in decontaminate(docs, items).collect()) == [2, 4, 5, 6]
+    pairs_of = spark.createDataFrame([("q", "Capital of France?", "Paris")], "item_id string, text string, answer string")
+    texts = spark.createDataFrame([(1, "the capital of france Paris is old"), (2, "capital of france is lyon")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in contaminated(texts, pairs_of, answer="answer").collect()] == [(1, "q")]
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(3)
+
+    def run(first, last, n):
+        return "".join(chr(rng.randrange(first, last)) for _ in range(n))
+    items = [("han", run(0x4E00, 0x9FA0, 200)), ("kana", run(0x3041, 0x3097, 90) + "。" + run(0x30A1, 0x30FB, 60)), ("thai", run(0x0E01, 0x0E2F, 150)),
+             ("rare", run(0x20000, 0x2A6D0, 60)), ("few", "\u6f22\u5b57\u304b")]
+    docs = [(k, f"{run(0x4E00, 0x9FA0, 120)}{t}{run(0x0E01, 0x0E2F, 90)} plain\u00e9words after") for k, (_, t) in enumerate(items)]
+    docs += [(10, items[0][1][:60] + run(0x4E00, 0x9FA0, 500)), (11, "\u6f22\u5b57 \U0001f600 abc"), (12, run(0x0E01, 0x0E2F, 400))]
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(k, i) for k, (i, _) in enumerate(items)]
+
+
+def test_words_of_mixed_texts():
+    import pyarrow as pa
+    from marketlens.llm.decontam_wand import terms
+    texts = ["ab\u6f22\u5b57cd \u00e9\u6f22", "\u6f22", "", "\U00020000x\U0001f600", "x"]
+    want = [["ab", "\u6f22", "\u5b57", "cd", "\u00e9", "\u6f22"], ["\u6f22"], [], ["\U00020000", "x\U0001f600"], ["x"]]
+    h, first = terms(pa.array(texts))
+    one = {w: int(terms(pa.array([w]))[0][0]) for x in want for w in x}
+    assert [h[a:b].tolist() for a, b in zip(first, first[1:])] == [[one[w] for w in x] for x in want] and len(set(one.values())) == len(one)
