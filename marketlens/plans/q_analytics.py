@@ -167,5 +167,5 @@ def a14_regime_naming(spark, sf):
 @query("m14_m15_gmm_regimes")
 def m14_m15_gmm_regimes(spark, sf):
     """M14 + M15: pooled 3-component Gaussian mixture on z-scored W27 features, named, with probabilities."""
-    d = rg.gmm_regimes(_w27(spark, sf), k=3, seeds=(42,), max_iter=50)
+    d = rg.gmm_regimes(_w27(spark, sf), k=3, seeds=range(42, 52))
     return d.select("symbol", "date", "cluster", "regime", *[c for c in d.columns if c.startswith(("regime_prob_", "is_"))])

@@ -109,8 +109,8 @@ def m1_m2_tree_regressors(spark, sf):
     """M1 boosted trees (with a validation flag for early stopping) and M2 forest; test predictions."""
     tr, te = _train_test(spark, sf)
     tr = tr.withColumn("_val", F.col(sp.POS) >= F.lit(int(tr.count() * 0.85)))
-    gbt = md.boosted_regressor(FEATS, "y", "xgboost", validation_col="_val", maxIter=20, maxDepth=4).fit(tr)
-    rf = md.forest_regressor(FEATS, "y", num_trees=30, max_depth=8).fit(tr)
+    gbt = md.boosted_regressor(FEATS, "y", "xgboost", validation_col="_val").fit(tr)
+    rf = md.forest_regressor(FEATS, "y").fit(tr)
     return _preds(gbt, te, "boosted_trees").unionByName(_preds(rf, te, "random_forest"))
 
 
@@ -119,9 +119,8 @@ def m3_direction_classifiers(spark, sf):
     """M3: forest on Up/Down/Neutral string labels and boosted trees on binary up/down."""
     tr, te = _train_test(spark, sf)
     tr, te = (x.withColumn("up", (F.col("y") > 0).cast("double")) for x in (tr, te))
-    rf = md.direction_classifier(FEATS, "target_direction", "forest", 3, string_labels=True, numTrees=30,
-                                 maxDepth=6).fit(tr)
-    gb = md.direction_classifier(FEATS, "up", "boosted", 2, maxIter=15, maxDepth=3).fit(tr)
+    rf = md.direction_classifier(FEATS, "target_direction", "forest", 3, string_labels=True).fit(tr)
+    gb = md.direction_classifier(FEATS, "up", "boosted", 2).fit(tr)
     a = rf.transform(te).select(F.lit("forest_3class").alias("model"), "symbol", "date",
                                 F.col("_label_idx").alias("label"), "prediction")
     b = gb.transform(te).select(F.lit("boosted_binary").alias("model"), "symbol", "date",
@@ -141,7 +140,7 @@ def m5_m8_ensembles(spark, sf):
     """M5 stacking (out-of-fold + ridge-CV), M6 voting, M7 blending, built through the M8 factory."""
     tr, te = _train_test(spark, sf)
     tr, te = (x.withColumn("_row", F.col(sp.POS)) for x in (tr, te))
-    bases = en.default_bases(light=True)
+    bases = en.default_bases()
     out = None
     for kind in ("stacking", "voting", "blending"):
         m = en.create_ensemble(kind, features=FEATS, y="y", key="_row", bases=bases).fit(tr.drop(sp.POS, "split"))
@@ -176,8 +175,8 @@ def m10_walk_forward(spark, sf):
 def m16_m17_m18_importance_champion_card(spark, sf):
     """M16 importances (mean over tree models), M17 champion by test rmse, M18 model card JSON."""
     tr, te = _train_test(spark, sf)
-    rf = md.forest_regressor(FEATS, "y", num_trees=30, max_depth=6).fit(tr)
-    gb = md.boosted_regressor(FEATS, "y", "lightgbm", maxIter=10, maxDepth=3).fit(tr)
+    rf = md.forest_regressor(FEATS, "y").fit(tr)
+    gb = md.boosted_regressor(FEATS, "y", "lightgbm").fit(tr)
     imp = ev.mean_importance([ev.feature_importance(rf, FEATS, spark), ev.feature_importance(gb, FEATS, spark)])
     mets = None
     for name, m in (("random_forest", rf), ("lightgbm_preset", gb)):
