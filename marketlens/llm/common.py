@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Word characters of the shingle and passage operators: everything but ASCII white space.
@@ -75,6 +75,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def running(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str], name: str) -> DataFrame:
+    """``df`` plus a long column for each of ``totals`` (new name: column): its sum over the rows before, within ``by``.
+
+    No task holds a whole group: rows are dealt by ranges of (by, order), summed inside each range, and the sums of the
+    ranges before (a row for each range and group) are added. The columns of ``by`` hold no nulls; ``order`` tells rows apart.
+    """
+    part, = fresh(df, "part")
+    dealt = written(df.repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()), name)
+    start = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy(part, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    first = {new: f"{new}_first" for new in totals}
+    sums = dealt.groupBy(part, *by).agg(*[F.sum(c).cast("long").alias(new) for new, c in totals.items()])
+    sums = sums.select(part, *by, *[F.coalesce(F.sum(new).over(start), F.lit(0)).alias(f) for new, f in first.items()])
+    inner = dealt.select("*", *[F.coalesce(F.sum(c).over(own), F.lit(0)).alias(new) for new, c in totals.items()])
+    out = inner.join(sums, [part, *by])
+    return out.select(*df.columns, *[(F.col(new) + F.col(f)).cast("long").alias(new) for new, f in first.items()])
+
+
 def byte_batches(texts: Iterable[str], limit: int = 1 << 20) -> Iterator[list[str]]:
     """Runs of texts of about ``limit`` characters each (one long text may be a run of its own)."""
     run, size = [], 0
