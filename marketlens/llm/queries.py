@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontam_wand, exact_dedup, mixing, near_dedup, packing_kk, phrase_automata, pii_crf, quality_cnn, secret_links, token_counts, toxicity_nb
+from marketlens.llm import decontam_wand, exact_dedup, mixing, near_dedup, packing_kk, phrase_automata, pii_crf, quality_cnn, repair, secret_links, token_counts, toxicity_nb
 from marketlens.llm.common import documents
 
 
@@ -54,6 +54,10 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audit(spark.read.parquet(f"{sf_dir}/conversations.parquet"), damage=True)
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(documents(spark, sf_dir)).drop("source", "copies")
 
@@ -61,7 +65,7 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_quality_cnn, op3_toxicity_nb, op4_pii_crf, op5_secret_links, op6_packing, op7_phrase_automata,
-        op8_decontam_wand, op9_exact_dedup, op10_bagminhash, op13_mixing)}
+        op8_decontam_wand, op9_exact_dedup, op10_bagminhash, op11_conversation_repair, op13_mixing)}
 
 #: Windows as text, the least document of each, the words that later documents' windows cover.
 PASSAGES_SQL = r"""
