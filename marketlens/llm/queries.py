@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import decontam_wand, exact_dedup, mixing, near_dedup, packing_kk, phrase_automata, pii_crf, quality_cnn, repair, secret_links, token_counts, toxicity_nb
+from marketlens.llm import decontam_wand, exact_dedup, mixing, near_dedup, packing_kk, phrase_automata, pii_crf, quality_cnn, ranked_search, repair, secret_links, token_counts, toxicity_nb
 from marketlens.llm.common import documents
 
 
@@ -58,6 +58,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audit(spark.read.parquet(f"{sf_dir}/conversations.parquet"), damage=True)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(documents(spark, sf_dir)).drop("source", "copies")
 
@@ -65,7 +69,7 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_quality_cnn, op3_toxicity_nb, op4_pii_crf, op5_secret_links, op6_packing, op7_phrase_automata,
-        op8_decontam_wand, op9_exact_dedup, op10_bagminhash, op11_conversation_repair, op13_mixing)}
+        op8_decontam_wand, op9_exact_dedup, op10_bagminhash, op11_conversation_repair, op12_ranked_search, op13_mixing)}
 
 #: Windows as text, the least document of each, the words that later documents' windows cover.
 PASSAGES_SQL = r"""
@@ -99,4 +103,4 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FRO
 """
 
 ORACLE: dict[str, str] = {"op7_phrase_automata": PASSAGES_SQL, "op9_exact_dedup": exact_dedup.GROUPS_SQL, "op10_bagminhash": CLASSES_SQL,
-                          "op13_mixing": mixing.MIX_SQL}
+                          "op12_ranked_search": ranked_search.RANKED_SQL, "op13_mixing": mixing.MIX_SQL}
