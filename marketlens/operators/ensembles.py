@@ -159,23 +159,34 @@ class Stacking:
     """
 
     def __init__(self, features: Sequence[str], y: str = "y", key: str = "_row", bases=None, k: int = 5,
-                 time_aware: bool = False, alphas=META_ALPHAS):
-        self.features, self.y, self.key, self.k = list(features), y, key, k
+                 time_aware: bool = False, alphas=META_ALPHAS, parallelism: int = 8):
+        self.features, self.y, self.key, self.k, self.parallelism = list(features), y, key, k, parallelism
         self.bases = bases or default_bases()
         self.time_aware, self.alphas = time_aware, alphas
 
     def fit(self, df: DataFrame) -> "Stacking":
-        d = cut_lineage(sp.contiguous_folds(df, self.k, ts=self.key, keys=[]))
+        """All folds' fits and the final ones run side by side."""
+        d = md.sized(sp.contiguous_folds(df, self.k, ts=self.key, keys=[]))
+        folds = range(1 if self.time_aware else 0, self.k)
+        jobs = {}
+        for f in folds:
+            tr = md.sized(d.where(F.col("fold") < f) if self.time_aware else d.where(F.col("fold") != f))
+            jobs |= {(f, n): (make(self.features, self.y), tr) for n, make in self.bases.items()}
+        jobs |= {(None, n): (make(self.features, self.y), d) for n, make in self.bases.items()}
+        fitted = md.fit_all(jobs, self.parallelism)
         oof = None
-        for f in range(1 if self.time_aware else 0, self.k):
-            tr = d.where(F.col("fold") < f) if self.time_aware else d.where(F.col("fold") != f)
-            te = d.where(F.col("fold") == f)
-            preds = _with_predictions({n: make(self.features, self.y).fit(tr) for n, make in self.bases.items()}, te)
+        for f in folds:
+            preds = _with_predictions({n: fitted[f, n] for n in self.bases}, d.where(F.col("fold") == f))
             oof = preds if oof is None else oof.unionByName(preds)
-        self.meta_, self.alpha_ = _ridge_cv(oof, list(self.bases), self.y, self.alphas)
-        self.models_ = {n: make(self.features, self.y).fit(d) for n, make in self.bases.items()}
+        self.oof_ = cut_lineage(oof)
+        self.meta_, self.alpha_ = _ridge_cv(self.oof_, list(self.bases), self.y, self.alphas)
+        self.models_ = {n: fitted[None, n] for n in self.bases}
         return self
 
+    def base_scores(self, n_splits: int = 5, df: DataFrame | None = None) -> DataFrame:
+        """M9 per base model: mean and population std of the rmse over expanding folds (K5)."""
+        return base_model_scores(df, self.features, self.y, self.key, self.bases, n_splits, self.parallelism)
+
     def base_predictions(self, df: DataFrame) -> DataFrame:
         return _with_predictions(self.models_, df)
 
@@ -183,16 +194,35 @@ class Stacking:
         return self.meta_.transform(self.base_predictions(df))
 
 
+def base_model_scores(df: DataFrame, features: Sequence[str], y: str = "y", key: str = "_row", bases=None, n_splits: int = 5,
+                      parallelism: int = 8) -> DataFrame:
+    """M9: model, mean_rmse, std_rmse (population) of each base model over expanding folds; all fits run side by side."""
+    bases = bases or default_bases()
+    d, n = sp.with_positions(df, key, [])
+    d, pos = md.sized(d), F.col(sp.POS)
+    bounds = sp.fold_bounds(n, n_splits)
+    trains = {i: md.sized(d.where((pos >= first) & (pos < end))) for i, first, end, _, _ in bounds}
+    fitted = md.fit_all({(i, m): (make(features, y), trains[i]) for i in trains for m, make in bases.items()}, parallelism)
+    errors = None
+    for i, _, _, start, end in bounds:
+        test = _with_predictions({m: fitted[i, m] for m in bases}, d.where((pos >= start) & (pos < end)))
+        e = test.select(F.lit(i).alias("fold"), F.explode(F.create_map(*[x for m in bases for x in (F.lit(m), F.col(y) - F.col(m))])).alias("model", "e"))
+        errors = e if errors is None else errors.unionByName(e)
+    per = errors.groupBy("model", "fold").agg(F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
+    return per.groupBy("model").agg(F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"))
+
+
 class Voting:
     """M6: (weighted) mean of the base predictions."""
 
-    def __init__(self, features, y="y", key="_row", bases=None, weights: dict | None = None):
-        self.features, self.y, self.key = list(features), y, key
+    def __init__(self, features, y="y", key="_row", bases=None, weights: dict | None = None, parallelism: int = 8):
+        self.features, self.y, self.key, self.parallelism = list(features), y, key, parallelism
         self.bases = bases or default_bases()
         self.weights = weights
 
     def fit(self, df: DataFrame) -> "Voting":
-        self.models_ = {n: make(self.features, self.y).fit(df) for n, make in self.bases.items()}
+        d = md.sized(df)
+        self.models_ = md.fit_all({n: (make(self.features, self.y), d) for n, make in self.bases.items()}, self.parallelism)
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -205,16 +235,17 @@ class Voting:
 class Blending:
     """M7: bases on the first 80 % of rows, ridge meta-learner on the last 20 % (alpha by cross-validation there)."""
 
-    def __init__(self, features, y="y", key="_row", bases=None, holdout: float = 0.2, alphas=BLEND_ALPHAS, k: int = 5):
-        self.features, self.y, self.key = list(features), y, key
+    def __init__(self, features, y="y", key="_row", bases=None, holdout: float = 0.2, alphas=BLEND_ALPHAS, k: int = 5,
+                 parallelism: int = 8):
+        self.features, self.y, self.key, self.parallelism = list(features), y, key, parallelism
         self.bases = bases or default_bases()
         self.holdout, self.alphas, self.k = holdout, alphas, k
 
     def fit(self, df: DataFrame) -> "Blending":
         d, n = sp.with_positions(df, self.key, [])
         cut = int(n * (1 - self.holdout))
-        tr, ho = d.where(F.col(sp.POS) < cut), d.where(F.col(sp.POS) >= cut)
-        self.models_ = {n: make(self.features, self.y).fit(tr) for n, make in self.bases.items()}
+        tr, ho = md.sized(d.where(F.col(sp.POS) < cut)), d.where(F.col(sp.POS) >= cut)
+        self.models_ = md.fit_all({n: (make(self.features, self.y), tr) for n, make in self.bases.items()}, self.parallelism)
         size = max(1, -(-(n - cut) // self.k))
         hp = _with_predictions(self.models_, ho).withColumn("fold", F.floor((F.col(sp.POS) - cut) / size).cast("int"))
         self.meta_, self.alpha_ = _ridge_cv(hp, list(self.models_), self.y, self.alphas)

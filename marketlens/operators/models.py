@@ -28,16 +28,46 @@ BOOSTED_PRESETS = {
 }
 
 
+#: Rows of a partition of a training frame: each level of each tree is a job with a task for each partition.
+ROWS_A_TASK = 50_000
+
+
+def sized(df: DataFrame, rows: int = ROWS_A_TASK) -> DataFrame:
+    """A training frame written down once, in no more partitions than its rows need."""
+    from marketlens.session import cut_lineage
+    d = cut_lineage(df)
+    return cut_lineage(d.coalesce(max(1, -(-d.count() // rows)))) if d.rdd.getNumPartitions() > 1 else d
+
+
+def fit_all(jobs: dict, parallelism: int = 8) -> dict:
+    """{name: (estimator, training frame)} -> {name: model}; that many fits run at a time, so their small jobs fill each other's gaps."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+
+    def fit(job):
+        return job[0].fit(job[1])
+
+    pool = ThreadPool(max(1, min(parallelism, len(jobs))))
+    try:
+        return dict(zip(jobs, pool.map(inheritable_thread_target(spark)(fit), list(jobs.values()), chunksize=1)))
+    finally:
+        pool.close()
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
 def boosted_regressor(features: Sequence[str], label: str = "y", preset: str = "xgboost", seed: int = 42,
                       validation_col: str | None = None, **overrides) -> Pipeline:
-    """M1: gradient-boosted trees; ``validation_col`` enables early stopping on a validation flag.
+    """M1: gradient-boosted trees; ``validation_col`` enables Spark's own early stopping on a validation flag.
 
-    Spark stops when the validation error improves by less than ``validationTol``
-    (no patience counter, no L1/L2 leaf penalties, depth-wise growth only).
+    That one stops when the validation error improves by less than ``validationTol``; ``boosting.fit_with_patience``
+    waits a number of rounds instead. No L1/L2 leaf penalties, depth-wise growth only.
     """
     params = dict(BOOSTED_PRESETS[preset], **overrides)
     gbt = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **params)
@@ -54,21 +84,32 @@ def forest_regressor(features: Sequence[str], label: str = "y", num_trees: int =
     return Pipeline(stages=[_assembler(features), rf])
 
 
+# The classifier defaults of the reference (boosted trees; forest).
+BOOSTED_CLASSIFIER = {"maxIter": 200, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+FOREST_CLASSIFIER = {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 2}
+
+
+def forest_classifier(features: Sequence[str], label: str, seed: int = 42, **params) -> Pipeline:
+    """M3: random forest on numeric class labels 0, 1, ..."""
+    return Pipeline(stages=[_assembler(features), RandomForestClassifier(featuresCol=FEATURES, labelCol=label, seed=seed, **{**FOREST_CLASSIFIER, **params})])
+
+
 def direction_classifier(features: Sequence[str], label: str = "label", kind: str = "forest",
-                         num_classes: int = 2, seed: int = 42, **params) -> Pipeline:
-    """M3: up/down (binary) or Up/Down/Neutral (string labels indexed) classifiers."""
+                         num_classes: int = 2, seed: int = 42, string_labels: bool = False, **params) -> Pipeline:
+    """M3: up/down (binary) or Up/Down/Neutral (string labels indexed) classifiers.
+
+    Boosted trees are binary in Spark: of more classes, each has an ensemble against the rest, and the surest one wins.
+    """
     stages = [_assembler(features)]
     lab = label
-    if params.pop("string_labels", False):
-        stages.append(StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc"))
+    if string_labels:
+        stages.append(StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc", handleInvalid="keep"))
         lab = "_label_idx"
     if kind == "forest":
-        est = RandomForestClassifier(featuresCol=FEATURES, labelCol=lab, seed=seed,
-                                     numTrees=params.get("numTrees", 200), maxDepth=params.get("maxDepth", 10))
+        est = RandomForestClassifier(featuresCol=FEATURES, labelCol=lab, seed=seed, **{**FOREST_CLASSIFIER, **params})
     else:
-        gbt = GBTClassifier(featuresCol=FEATURES, labelCol=lab, seed=seed, maxIter=params.get("maxIter", 100),
-                            maxDepth=params.get("maxDepth", 6), stepSize=params.get("stepSize", 0.1))
-        est = gbt if num_classes == 2 else OneVsRest(classifier=gbt, featuresCol=FEATURES, labelCol=lab)
+        gbt = GBTClassifier(featuresCol=FEATURES, labelCol=lab, seed=seed, **{**BOOSTED_CLASSIFIER, **params})
+        est = gbt if num_classes == 2 else OneVsRest(classifier=gbt, featuresCol=FEATURES, labelCol=lab, parallelism=num_classes)
     stages.append(est)
     return Pipeline(stages=stages)
 

@@ -1,11 +1,9 @@
 """Feature selection F1-F7.
 
-F1 is a different estimator from the reference's k-nearest-neighbour mutual
-information, chosen because it distributes: both variables are cut into
-equal-frequency bins (boundaries from one quantile aggregate), all features
+F1 has two estimators. The nearest-neighbour one (``knn_mi``) is exact at any size. The binned one is cheaper:
+both variables are cut into equal-frequency bins (boundaries from one quantile aggregate), all features
 are unpivoted into one long (feature, x_bin, y_bin) frame, and one grouped
-count gives every contingency table at once.  Rankings, not values, are what
-it shares with the reference.  F2 runs its correlations in Spark (A11) and
+count gives every contingency table at once; it shares rankings, not values, with the other.  F2 runs its correlations in Spark (A11) and
 only the p x p greedy step on the driver; F4/F5 are driver loops over Spark
 ML fits.
 """
@@ -66,9 +64,13 @@ def _rank(scores: DataFrame, n: int) -> list[str]:
     return [r["feature"] for r in scores.orderBy(F.desc("score"), "feature").limit(n).collect()]
 
 
-def select_mutual_info(df, features, target, n_features=20, task="regression"):
-    """F1 selection: top n by binned MI."""
-    scores = mutual_information(df, features, target, task)
+def select_mutual_info(df, features, target, n_features=20, task="regression", estimator: str = "binned", order: str = "date"):
+    """F1 selection: top n by mutual information, ``binned`` or by nearest neighbours (``knn``)."""
+    if estimator == "knn":
+        from marketlens.operators.knn_mi import knn_mutual_information
+        scores = knn_mutual_information(df, features, target, task, order=order)
+    else:
+        scores = mutual_information(df, features, target, task)
     return _rank(scores, n_features), scores
 
 
@@ -149,39 +151,72 @@ def select_lasso(df, features, target, n_features=20, n_alphas: int = 100, eps:
     return _rank(scores, n_features), scores
 
 
+def _eliminated(jobs, features: list[str], least: int, step: int):
+    """One elimination: yields (features, model) from all features down to ``least``; ``jobs(features)`` fits."""
+    current = list(features)
+    while True:
+        model = jobs(current)
+        yield current, model
+        if len(current) <= least:
+            return
+        weight = model.stages[-1].featureImportances.toArray()
+        weakest = sorted(range(len(current)), key=lambda i: weight[i])[:min(step, len(current) - least)]
+        current = [c for i, c in enumerate(current) if i not in weakest]
+
+
 def select_rfecv(df, features, target, min_features: int = 5, step: int = 1, k: int = 5,
-                 num_trees: int = 50, max_depth: int = 5, seed: int = 42, order: str = "date"):
-    """recursive elimination with k-fold CV (forest importances); returns the best subset and ranking."""
-    from pyspark.ml.evaluation import RegressionEvaluator
+                 num_trees: int = 50, max_depth: int = 5, seed: int = 42, order: str = "date", task: str = "regression"):
+    """recursive elimination with k-fold CV (forest importances); returns the best subset and ranking.
+
+    Each fold eliminates on its own training rows and scores every size on its test rows: by negative squared error, or, with
+    ``task="classification"``, by accuracy over stratified folds (labels of any type; rows without one are left out). The size of the
+    best mean score (the least such size) is then reached by an elimination on all rows. Folds run side by side.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
 
     from marketlens.operators import models as md
-    d = cl.median_impute(df, [*features, target])
-    d = sp.contiguous_folds(d, k, ts=order, keys=[c for c in ("symbol",) if c in df.columns])
-    ev = RegressionEvaluator(labelCol=target, metricName="mse")
-    current, ranking, history = list(features), {}, []
-    rank = len(features)
-    while True:
-        score = 0.0
-        for f in range(k):
-            m = md.forest_regressor(current, target, num_trees, max_depth, 1, seed).fit(d.where(F.col("fold") != f))
-            score -= ev.evaluate(m.transform(d.where(F.col("fold") == f)))
-        history.append((list(current), score / k))
-        if len(current) <= min_features:
-            break
-        imp = md.forest_regressor(current, target, num_trees, max_depth, 1, seed).fit(d).stages[-1] \
-            .featureImportances.toArray()
-        weakest = sorted(range(len(current)), key=lambda i: imp[i])
-        drop = [current[i] for i in weakest[:min(step, len(current) - min_features)]]
-        for c in drop:
-            ranking[c] = rank
-            rank -= 1
-        current = [c for c in current if c not in drop]
-    best = max(history, key=lambda h: h[1])[0]
-    for c in best:
-        ranking[c] = 1
-    spark = df.sparkSession
-    scores = spark.createDataFrame([(f, float(-ranking.get(f, 1))) for f in features], "feature string, score double")
-    return best, scores
+    feats, classes = list(features), task == "classification"
+    keys = [c for c in ("symbol",) if c in df.columns]
+    least = min(min_features, len(feats))
+    if classes:
+        d = sp.stratified_folds(cl.median_impute(df, feats), target, k, order, keys)
+        names = [r[0] for r in d.select(target).distinct().orderBy(target).collect()]  # the classes
+        number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(target)) - 1
+        d, label = d.withColumn("_class", number.cast("double")), "_class"
+        score = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+    else:
+        d, label = sp.contiguous_folds(cl.median_impute(df, [*feats, target]), k, order, keys), target
+        score = -F.avg((F.col("prediction") - F.col(label)) ** 2)
+    d = md.sized(d)
+
+    def forest(cols, rows):
+        if classes:
+            return md.forest_classifier(cols, label, seed, numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=1).fit(rows)
+        return md.forest_regressor(cols, label, num_trees, max_depth, 1, seed).fit(rows)
+
+    def fold_scores(f: int) -> dict[int, float]:
+        train, test = d.where(F.col("fold") != f), d.where(F.col("fold") == f)
+        return {len(cols): float(m.transform(test).agg(score).first()[0] or 0.0)
+                for cols, m in _eliminated(lambda c: forest(c, train), feats, least, step)}
+
+    pool = ThreadPool(k)
+    try:
+        folds = pool.map(inheritable_thread_target(df.sparkSession)(fold_scores), range(k), chunksize=1)
+    finally:
+        pool.close()
+    mean = {n: sum(f[n] for f in folds) / k for n in folds[0]}
+    size = min(mean, key=lambda n: (-mean[n], n))
+    chosen, dropped = feats, []
+    for cols, _ in _eliminated(lambda c: forest(c, d), feats, size, step):
+        dropped.append([c for c in chosen if c not in cols])
+        chosen = cols
+    ranking = {c: 1 for c in chosen}
+    for i, gone in enumerate(reversed([x for x in dropped if x]), 2):
+        ranking |= {c: i for c in gone}
+    scores = df.sparkSession.createDataFrame([(f, float(-ranking[f])) for f in feats], "feature string, score double")
+    return list(chosen), scores
 
 
 def select_combined(df, features, target, n_features=20, correlation_threshold=0.95, task="regression"):

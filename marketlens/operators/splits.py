@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.session import cut_lineage
@@ -95,3 +95,42 @@ def contiguous_folds(df: DataFrame, k: int = 5, ts: str = "date", keys: Sequence
     fold = F.when(pos < big, F.floor(pos / (base + 1))).otherwise(
         F.lit(extra) + F.floor((pos - big) / max(base, 1)))
     return d.withColumn(out, fold.cast("int"))
+
+
+def positions_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
+    """``df`` (checkpointed) plus each row's 0-based place in its group (``by``, no nulls) in the order of ``order``.
+
+    Rows are dealt by ranges of group and order together, so a group that holds most rows is spread over tasks; what is
+    summed per group is a row for each range.
+    """
+    cols = [*[F.col(c) for c in by], *[F.col(c) if isinstance(c, str) else c for c in order]]
+    d = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    d = cut_lineage(d.withColumns({"_pid": F.spark_partition_id(), "_rank": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    ahead = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = d.groupBy("_pid", *by).agg(F.min("_rank").alias("_lo"), F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_pid", *by, "_lo", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    return d.join(parts, ["_pid", *by]).withColumn(out, F.col("_before") + F.col("_rank") - F.col("_lo")) \
+        .drop("_pid", "_rank", "_lo", "_before")
+
+
+def stratified_folds(df: DataFrame, label: str, k: int = 5, ts: str = "date", keys: Sequence[str] = ("symbol",),
+                     out: str = "fold") -> DataFrame:
+    """Unshuffled stratified k-fold ids (sklearn StratifiedKFold): classes keep their shares in every fold.
+
+    Classes count in order of their first row. If all rows stood sorted by class, row i would be dealt to fold i mod k; that
+    gives how many rows of a class each fold has, and a class fills its folds in row order. Rows without a label have no fold.
+    """
+    known = df.where(F.col(label).isNotNull())
+    d = positions_within(known, [label], [ts, *keys], "_place")
+    first = d.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(ts, *keys)).alias("_first"))
+    start = Window.orderBy("_first", label).rowsBetween(Window.unboundedPreceding, -1)  # a row for each class
+    first = first.select(label, "_n", F.coalesce(F.sum("_n").over(start), F.lit(0)).alias("_start"))
+
+    def dealt(i: int) -> Column:
+        """Rows of the class in fold i: the numbers from _start to _start + _n - 1 that leave i when divided by k."""
+        return F.floor((F.col("_start") + F.col("_n") - 1 - i) / k) - F.floor((F.col("_start") - 1 - i) / k)
+    total, fold = F.lit(0), F.lit(0)
+    for i in range(k - 1):
+        total = total + dealt(i)
+        fold = fold + (F.col("_place") >= total).cast("int")
+    return d.join(F.broadcast(first), label).withColumn(out, fold.cast("int")).drop("_place", "_n", "_start")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel, col, on_shards
@@ -78,6 +78,13 @@ def period_start(ts, window: str = "D") -> Column:
     raise ValueError(f"unsupported window {window}")
 
 
+def period_aggregates() -> list[Column]:
+    """The columns of A2: score mean/std/min/max/count and pos/neg/neutral means."""
+    score = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
+    return [*[fn("sentiment_score").alias(f"sentiment_score_{name}") for name, fn in score.items()],
+            *[F.avg(f"sentiment_{c}").alias(f"sentiment_{c}_mean") for c in ("positive", "negative", "neutral")]]
+
+
 def aggregate_by_period(df: DataFrame, ts: str = "publishedAt", window: str = "D",
                         keys: Sequence[str] = ()) -> DataFrame:
     """A2 + J6: score mean/std/min/max/count and pos/neg/neutral means per period.
@@ -88,15 +95,7 @@ def aggregate_by_period(df: DataFrame, ts: str = "publishedAt", window: str = "D
     """
     step = 1 if window.upper() == "D" else 7
     d = df.withColumn("period", period_start(ts, window))
-    agg = d.groupBy(*keys, "period").agg(
-        F.avg("sentiment_score").alias("sentiment_score_mean"),
-        F.stddev_samp("sentiment_score").alias("sentiment_score_std"),
-        F.min("sentiment_score").alias("sentiment_score_min"),
-        F.max("sentiment_score").alias("sentiment_score_max"),
-        F.count("sentiment_score").alias("sentiment_score_count"),
-        F.avg("sentiment_positive").alias("sentiment_positive_mean"),
-        F.avg("sentiment_negative").alias("sentiment_negative_mean"),
-        F.avg("sentiment_neutral").alias("sentiment_neutral_mean"))
+    agg = d.groupBy(*keys, "period").agg(*period_aggregates())
     bounds = agg.groupBy(*keys).agg(F.min("period").alias("_lo"), F.max("period").alias("_hi"))
     spine = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step} DAY")))
                           .alias("period"))
@@ -152,37 +151,52 @@ def model_sentiment(df: DataFrame, text: str, predict_factory: Callable[[], Call
                     batch_size: int = 32, out: str = "model_sentiment") -> DataFrame:
     """T4: batch text-classifier scoring in an Arrow-batched pandas UDF.
 
-    ``predict_factory()`` is called once per Python worker and must return
-    ``predict(list_of_texts) -> list of (label, score)``.  Positive labels give
-    +score, negative -score, anything else 0; blank text and any failure give
-    (neutral, 1.0) and 0.  Texts are passed whole.
+    ``predict_factory()`` is called once in each Python worker and must return ``predict(list_of_texts) -> list of
+    (label, score)``.  Positive labels give +score, negative -score, anything else 0; blank text is (neutral, 1.0) and 0.
+    A batch that the model fails on is tried text by text; a text it still fails on is neutral as well, with the error
+    in ``{out}_error``. A factory that fails, or a model that gives fewer results than texts, fails the job. Texts are passed whole.
     """
-    schema = f"{out}_label string, {out}_confidence double, {out}_score double"
-    state = {}
+    from pyspark import cloudpickle
+    made = cloudpickle.dumps(predict_factory)
 
-    @F.pandas_udf(schema)
+    @F.pandas_udf(f"{out}_label string, {out}_confidence double, {out}_score double, {out}_error string")
     def score(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if "predict" not in state:
-            state["predict"] = predict_factory()
-        predict = state["predict"]
+        import sys
+        models = sys.__dict__.setdefault("_text_models", {})  # outlives the task: workers are reused
+        if made not in models:
+            models[made] = cloudpickle.loads(made)()
+        predict = models[made]
+
+        def run(texts: list[str]) -> list[tuple]:
+            try:
+                got = [(str(lab).lower(), float(conf), None) for lab, conf in predict(texts)]
+            except Exception as e:  # noqa: BLE001 - reported with the text
+                if len(texts) > 1:
+                    return [r for t in texts for r in run([t])]
+                return [("neutral", 1.0, f"{type(e).__name__}: {e}"[:500])]
+            if len(got) != len(texts):
+                raise ValueError(f"the model gave {len(got)} results for {len(texts)} texts")
+            return got
+
         for s in it:
             texts = s.fillna("").astype(str).tolist()
-            labels, confs = ["neutral"] * len(texts), [1.0] * len(texts)
+            res = [("neutral", 1.0, None)] * len(texts)
             todo = [i for i, t in enumerate(texts) if t.strip()]
             for b in range(0, len(todo), batch_size):
                 idx = todo[b:b + batch_size]
-                try:
-                    res = predict([texts[i] for i in idx])
-                    for i, (lab, conf) in zip(idx, res):
-                        labels[i], confs[i] = str(lab).lower(), float(conf)
-                except Exception:  # noqa: BLE001 - a failed batch scores neutral
-                    pass
-            sign = [1.0 if lab == "positive" else -1.0 if lab == "negative" else 0.0 for lab in labels]
-            yield pd.DataFrame({f"{out}_label": labels, f"{out}_confidence": confs,
-                                f"{out}_score": [a * b for a, b in zip(sign, confs)]})
+                for i, r in zip(idx, run([texts[i] for i in idx])):
+                    res[i] = r
+            sign = {"positive": 1.0, "negative": -1.0}
+            yield pd.DataFrame({f"{out}_label": [r[0] for r in res], f"{out}_confidence": [r[1] for r in res],
+                                f"{out}_score": [sign.get(r[0], 0.0) * r[1] for r in res], f"{out}_error": [r[2] for r in res]})
     return df.withColumn("_ms", score(col(text))).select("*", "_ms.*").drop("_ms")
 
 
+def model_failures(scored: DataFrame, out: str = "model_sentiment") -> DataFrame:
+    """T4: texts scored, texts the model failed on, and how often each error came."""
+    return scored.groupBy(F.col(f"{out}_error").alias("error")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def lexicon_predictor(positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS):
     """A deterministic stand-in text model for T4 (keyword ratio as confidence)."""
     pos, neg = set(positive), set(negative)
@@ -198,6 +212,3 @@ def lexicon_predictor(positive: Sequence[str] = POSITIVE_WORDS, negative: Sequen
                 out.append(("positive", p / (p + n)) if p >= n else ("negative", n / (p + n)))
         return out
     return predict
-
-
-__all__ = ["Window"]

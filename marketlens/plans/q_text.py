@@ -48,6 +48,9 @@ sl AS (SELECT *, CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_
 
 _NEWS = "news AS (SELECT event_id, event_type AS symbol, ts AS publishedAt, CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in NEWS_TITLES.items()) + " END AS title FROM events)"
+#: Articles with url and sentiment, as ``scored``.
+NEWS_SCORED = (_NEWS.removesuffix(" FROM events)") + ", 'https://news.example/' || event_type || '/' || CAST(user_id AS VARCHAR) AS url FROM events), "
+               + _scored("event_id, publishedAt, url", "news", "title", tx.POSITIVE_WORDS, tx.NEGATIVE_WORDS) + ", scored AS (SELECT * FROM sl)")
 _SENT_COLS = ["sentiment_positive", "sentiment_negative", "sentiment_neutral", "sentiment_score"]
 
 

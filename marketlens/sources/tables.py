@@ -104,7 +104,11 @@ def news_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Several events share a url, which gives the url de-duplication (A18/U2) real work.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return as_news(table(spark, sf_dir, "events"))
+
+
+def as_news(e: DataFrame) -> DataFrame:
+    """Articles of a table (or stream) of events."""
     title = F.lit(None).cast("string")
     for k, v in NEWS_TITLES.items():
         title = F.when(F.col("event_type") == k, F.lit(v)).otherwise(title)

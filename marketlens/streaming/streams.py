@@ -1,31 +1,53 @@
 """Structured Streaming forms ST1-ST3.
 
-* ST1 ``windowed_bars``: event-time tumbling windows per key with a watermark;
-  append mode emits a window once the watermark passes its end, later rows
-  for it are dropped.
-* ST2 ``dedup_urls``: ``dropDuplicatesWithinWatermark`` on the url.
-* ST3 ``running_ema``: per-key EMA carried in state by
-  ``applyInPandasWithState``; rows wait in state until the watermark passes
-  them and are then emitted in event-time order.
-
-Sources and sinks are files: checkpoints and outputs live under the session's
-``spark.checkpoint.dir`` (a shared folder on a cluster), so a restarted query
-resumes from its offsets and state.
+* ST1 ``windowed_bars``: event-time tumbling windows per key with a watermark; append mode emits a window once the
+  watermark passes its end, later rows for it are dropped. ``sentiment_windows``: sentiment per key and period the same
+  way, and the empty periods between a key's periods by a stateful processor that remembers the last one.
+* ST2 ``dedup_urls``: ``dropDuplicatesWithinWatermark`` on the url. ``first_articles``: the earliest article of each url
+  by event time, held until the watermark has passed it, forgotten ``ttl`` later.
+* ST3 ``running_ema``: per-key EMA in event-time order; rows wait in a state map by time bucket until the watermark
+  passes them, so a batch reads and writes the buckets that it touches, not all that a key holds.
+
+Stateful processors use ``transformWithStateInPandas`` with keyed timers and the RocksDB state store, which keeps state on
+disk. Sources and sinks are files: checkpoints and outputs live under the session's ``spark.checkpoint.dir`` (a shared
+folder on a cluster), so a restarted query resumes from its offsets and state.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
+from marketlens.operators.text import keyword_sentiment, period_aggregates
 from marketlens.session import checkpoint_dir
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: Rows of a value of the waiting map, and the length of its time buckets.
+CHUNK_ROWS, BUCKET_SECONDS = 10_000, 3600
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB."""
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
+
+
+def _micros(column: pd.Series) -> np.ndarray:
+    return pd.to_datetime(column).to_numpy().astype("datetime64[us]").astype(np.int64)
+
 
 def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
     """A file stream over a driver table; NTZ event time cast to TIMESTAMP (required by watermarks)."""
@@ -53,46 +75,188 @@ def dedup_urls(stream: DataFrame, url: str = "url", ts: str = "publishedAt", del
     return s.dropDuplicatesWithinWatermark([url]).drop("_t")
 
 
+def first_articles(stream: DataFrame, url: str = "url", ts: str = "publishedAt", order: str = "event_id", delay: str = "1 hour",
+                   ttl_seconds: int = 30 * 86400) -> DataFrame:
+    """ST2: the earliest article of each url by (event time, ``order``), all columns, emitted once the watermark has passed it.
+
+    Until then an earlier article that comes later takes its place; from then on further ones of the url are left out for
+    ``ttl_seconds`` of event time, after which the url's state is removed and the url counts as new. Rows behind the
+    watermark are late. A url without a value is a url. State: one row for each url that waits, one number for each that was emitted.
+    """
+    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    columns = s.columns
+
+    class First(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.best = handle.getValueState("best", "t long, o long, row binary")
+            self.until = handle.getValueState("until", "ms long")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            now, found = timerValues.getCurrentWatermarkInMs(), None
+            seen = self.until.exists() and self.until.get()[0] > now
+            if self.until.exists() and not seen:  # forgotten, though its timer has yet to run
+                self.until.clear()
+            best = self.best.get() if self.best.exists() else None
+            for pdf in rows:
+                if seen:
+                    continue
+                t, o = _micros(pdf[ts]), pdf[order].to_numpy(np.int64)
+                ok = np.flatnonzero(t >= now * 1000)
+                if len(ok):
+                    i = ok[np.lexsort((o[ok], t[ok]))[0]]
+                    if best is None or (t[i], o[i]) < (best[0], best[1]):
+                        found = pa.RecordBatch.from_pandas(pdf.iloc[[i]], preserve_index=False)
+                        best = (int(t[i]), int(o[i]), None)
+            if found is not None:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, found.schema) as out:
+                    out.write_batch(found)
+                self.best.update((best[0], best[1], sink.getvalue().to_pybytes()))
+                self.handle.registerTimer(best[0] // 1000 + 1)
+            yield from ()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now = timerValues.getCurrentWatermarkInMs()
+            if self.best.exists():
+                t, _, row = self.best.get()
+                if t < now * 1000:
+                    self.best.clear()
+                    self.until.update((t // 1000 + ttl_seconds * 1000,))
+                    self.handle.registerTimer(max(t // 1000 + ttl_seconds * 1000, now + 1))
+                    with pa.ipc.open_stream(row) as got:
+                        yield got.read_pandas()[columns]
+            elif self.until.exists() and self.until.get()[0] <= now:
+                self.until.clear()
+
+        def close(self) -> None:
+            pass
+
+    return s.groupBy(url).transformWithStateInPandas(First(), s.schema, "Append", "EventTime")
+
+
+def sentiment_windows(stream: DataFrame, text: str = "title", ts: str = "publishedAt", keys: Sequence[str] = ("symbol",), days: int = 1,
+                      delay: str = "1 hour") -> DataFrame:
+    """ST1 of A2: sentiment aggregates per key and period of ``days`` days, with the empty periods between a key's first and last one.
+
+    The aggregates are a windowed aggregation (partial sums before the shuffle, state by key and period, append mode), so a hot key
+    is not in one task. What follows gets one row for each closed period of a key and remembers the last period. A period is emitted
+    once the watermark has passed its end; the empty ones before it come with it, count 0 and no statistics.
+    """
+    s = keyword_sentiment(stream, text).withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", delay)
+    g = s.groupBy(*keys, F.window("_t", f"{days} days")).agg(*period_aggregates())
+    g = g.select(*keys, F.to_date("window.start").alias("period"), *[c for c in g.columns if c.startswith("sentiment_")])
+    schema = g.schema
+    statistics = [f.name for f in schema.fields if f.name.startswith("sentiment_") and f.name != "sentiment_score_count"]
+
+    class Spine(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.last = handle.getValueState("last", "day int")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            pdf = pd.concat(rows, ignore_index=True)
+            day = pd.to_datetime(pdf["period"]).to_numpy().astype("datetime64[D]").astype(int)
+            first = self.last.get()[0] + days if self.last.exists() else int(day.min())
+            at = np.arange(first, int(day.max()) + 1, days)
+            self.last.update((int(day.max()),))
+            out = pdf.set_index(day).reindex(at)
+            for name, value in zip(keys, key):
+                out[name] = value
+            out["period"] = pd.Series(at.astype("datetime64[D]"), index=at).dt.date
+            out["sentiment_score_count"] = out["sentiment_score_count"].fillna(0).astype("int64")
+            out[statistics] = out[statistics].astype(float)
+            yield out[schema.names]
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            yield from ()
+
+        def close(self) -> None:
+            pass
+
+    return g.groupBy(*keys).transformWithStateInPandas(Spine(), schema, "Append", "None")
+
+
 def running_ema(stream: DataFrame, key: str = "event_type", ts: str = "ts", value: str = "value",
                 order: str = "event_id", span: float = 12.0, delay: str = "10 minutes") -> DataFrame:
     """ST3: EMA(span, adjust=False) per key in event-time order across micro-batches.
 
-    Rows wait in the key's state until the watermark (greatest event time less ``delay``, in milliseconds) has passed them, and are
+    Rows wait until the watermark (greatest event time less ``delay``, in milliseconds) has passed them, and are
     then averaged in (time, order) and emitted; so a row up to ``delay`` late takes its place. A row behind the
-    watermark is late and left out, as in any watermarked operator. State: the average and the waiting rows, which are at
-    most those of one batch and ``delay``; bound batches with the source's ``maxFilesPerTrigger``.
+    watermark is late and left out, as in any watermarked operator. State of a key: the average, and a map of the waiting rows
+    by hour in values of at most ``CHUNK_ROWS`` rows. A batch adds values and never rewrites one; a timer takes the
+    hours that have begun to pass in order, one at a time, and removes them; what has yet to pass of the last one is written again.
     """
-    a = 2.0 / (span + 1.0)
+    name, a, width = key, 2.0 / (span + 1.0), BUCKET_SECONDS * 1_000_000
     out_schema = f"{key} string, {ts} timestamp, {order} long, {value} double, ema double"
-    state_schema = "ema double, t array<long>, o array<long>, x array<double>"
-
-    def step(k, pdfs: Iterator[pd.DataFrame], state):
-        last, t, o, x = state.get if state.exists else (None, [], [], [])
-        t, o, x = ([np.asarray(c)] for c in (np.array(t, np.int64), np.array(o, np.int64), np.array(x, float)))
-        passed = state.getCurrentWatermarkMs() * 1000
-        for pdf in pdfs:
-            micros = pd.to_datetime(pdf[ts]).to_numpy().astype("datetime64[us]").astype(np.int64)
-            new = micros >= passed
-            t.append(micros[new])
-            o.append(pdf[order].to_numpy(np.int64)[new])
-            x.append(pdf[value].to_numpy(float)[new])
-        t, o, x = (np.concatenate(c) for c in (t, o, x))
-        at = np.lexsort((o, t))
-        t, o, x = t[at], o[at], x[at]
-        n = int(np.searchsorted(t, passed))  # rows before the watermark
-        if n:
-            seed = [] if last is None else [last]
-            ema = pd.Series(np.concatenate([seed, x[:n]])).ewm(alpha=a, adjust=False).mean().to_numpy()[len(seed):]
-            last = float(ema[-1])
-            yield pd.DataFrame({key: k[0], ts: t[:n].astype("datetime64[us]"), order: o[:n], value: x[:n], "ema": ema})
-        state.update((last, t[n:].tolist(), o[n:].tolist(), x[n:].tolist()))
-        if n < len(t):
-            state.setTimeoutTimestamp(max(int(t[n]) // 1000, passed // 1000 + 1))
+
+    class Waiting(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "ema double")
+            self.open = handle.getValueState("open", "bucket array<long>, chunks array<int>")
+            self.rows = handle.getMapState("rows", "bucket long, chunk int", "t binary, o binary, x binary")
+
+        def _put(self, open_: dict, t, o, x) -> None:
+            bucket = t // width
+            for b in np.unique(bucket).tolist():
+                mine = np.flatnonzero(bucket == b)
+                for i in range(0, len(mine), CHUNK_ROWS):
+                    own = mine[i:i + CHUNK_ROWS]
+                    self.rows.updateValue((b, open_.get(b, 0)), (t[own].tobytes(), o[own].tobytes(), x[own].tobytes()))
+                    open_[b] = open_.get(b, 0) + 1
+
+        def _close(self, open_: dict, now: int) -> None:
+            """Write the list of waiting buckets and ask for a timer when the first of them begins to pass."""
+            if not open_:
+                self.open.clear()
+                return
+            at = sorted(open_)
+            self.open.update((at, [open_[b] for b in at]))
+            self.handle.registerTimer(max(at[0] * width // 1000, now) + 1)
+
+        def _opened(self) -> dict:
+            return dict(zip(*self.open.get())) if self.open.exists() else {}
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            now, open_ = timerValues.getCurrentWatermarkInMs(), self._opened()
+            for pdf in rows:
+                t = _micros(pdf[ts])
+                new = t >= now * 1000
+                self._put(open_, t[new], pdf[order].to_numpy(np.int64)[new], pdf[value].to_numpy(float)[new])
+            self._close(open_, now)
+            yield from ()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now, open_ = timerValues.getCurrentWatermarkInMs(), self._opened()
+            passed = now * 1000
+            last = self.last.get()[0] if self.last.exists() else None
+            for b in sorted(open_):
+                if b * width >= passed:
+                    break
+                got = [self.rows.getValue((b, i)) for i in range(open_[b])]
+                t, o, x = (np.frombuffer(b"".join(v[i] for v in got), kind) for i, kind in enumerate((np.int64, np.int64, float)))
+                for i in range(open_.pop(b)):
+                    self.rows.removeKey((b, i))
+                at = np.lexsort((o, t))
+                t, o, x = t[at], o[at], x[at]
+                n = int(np.searchsorted(t, passed))  # rows before the watermark
+                if n:
+                    seed = [] if last is None else [last]
+                    ema = pd.Series(np.concatenate([seed, x[:n]])).ewm(alpha=a, adjust=False).mean().to_numpy()[len(seed):]
+                    last = float(ema[-1])
+                    yield pd.DataFrame({name: key[0], ts: t[:n].astype("datetime64[us]"), order: o[:n], value: x[:n], "ema": ema})
+                if n < len(t):
+                    self._put(open_, t[n:], o[n:], x[n:])
+            if last is not None:
+                self.last.update((last,))
+            self._close(open_, now)
+
+        def close(self) -> None:
+            pass
 
     s = stream.select(F.col(key), F.col(ts).cast("timestamp").alias(ts), F.col(order).cast("long"),
                       F.col(value).cast("double")).withWatermark(ts, delay)
-    return s.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                 GroupStateTimeout.EventTimeTimeout)
+    return s.groupBy(key).transformWithStateInPandas(Waiting(), out_schema, "Append", "EventTime")
 
 
 def run_to_table(df: DataFrame, name: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
@@ -102,8 +266,9 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append", base: st
     """
     spark = df.sparkSession
     base = base or f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with rocksdb(spark):
+        q = (df.writeStream.format("parquet").outputMode(output_mode)
+             .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(f"{base}/out")

@@ -56,6 +56,77 @@ def test_windowed_bars_drop_open_windows(spark):
     assert len(out) > 0
 
 
+def _files(src, frames):
+    src.mkdir(exist_ok=True)
+    for i, f in enumerate(frames):
+        f.to_parquet(src / f"f{i:03d}.parquet", index=False, coerce_timestamps="us")
+
+
+def test_a_key_of_a_million_waiting_rows(spark, tmp_path):
+    """Rows ahead of the watermark wait in chunks by minute; a batch adds chunks, a timer takes the minutes that have passed."""
+    rng = np.random.default_rng(3)
+    n = 1_000_000
+    t = pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 3_600_000_000, n), unit="us")
+    big = pd.DataFrame({"event_type": "hot", "ts": t, "event_id": np.arange(n), "value": rng.normal(size=n)})
+    last = pd.DataFrame({"event_type": ["cold"], "ts": [pd.Timestamp("2024-01-01 03:00:00")], "event_id": [n], "value": [1.0]})
+    _files(tmp_path / "in", [big.iloc[:400_000], big.iloc[400_000:], last])
+    schema = "event_type string, ts timestamp_ntz, event_id long, value double"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = st.run_to_table(st.running_ema(stream, delay="2 hours"), "hot").toPandas().sort_values(["ts", "event_id"])
+    exp = big[big["ts"].astype("datetime64[ms]") < pd.Timestamp("2024-01-01 01:00:00")].sort_values(["ts", "event_id"])
+    assert out["event_id"].tolist() == exp["event_id"].tolist()
+    np.testing.assert_allclose(out["ema"], exp["value"].ewm(span=12, adjust=False).mean(), rtol=1e-12)
+
+
+def test_first_article_is_the_earliest_whatever_the_order_of_files(spark, tmp_path):
+    at = lambda m: pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=m)
+    rows = [[("a", 50, 1), ("b", 60, 2), (None, 55, 9)], [("a", 40, 3), ("a", 40, 4), ("c", 45, 5)],  # out of order, within the delay
+            [("d", 300, 6), ("a", 310, 7)], [("a", 301, 8), ("z", 1, 10)],  # a was emitted; z is late
+            [("e", 60 * 30, 11)], [("a", 60 * 31, 12), ("f", 60 * 31, 13)], [("g", 60 * 60, 14)]]  # after a day, a counts as new
+    frames = [pd.DataFrame([(u, at(m), i, f"text {i}") for u, m, i in r], columns=["url", "publishedAt", "event_id", "title"]) for r in rows]
+    _files(tmp_path / "in", frames)
+    schema = "url string, publishedAt timestamp_ntz, event_id long, title string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = st.run_to_table(st.first_articles(stream, ttl_seconds=86400), "first").toPandas()
+    assert sorted(out["event_id"]) == [2, 3, 5, 6, 9, 11, 12, 13]
+    assert (out["title"] == "text " + out["event_id"].astype(str)).all()
+
+
+def test_sentiment_windows_equal_the_batch_form(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from marketlens.operators import text as tx
+    rng = np.random.default_rng(5)
+    days = np.sort(rng.choice(40, 90) * 1440 + rng.integers(0, 1440, 90))
+    n = pd.DataFrame({"symbol": rng.choice(["x", "y", "z"], 90), "publishedAt": pd.Timestamp("2024-02-01") + pd.to_timedelta(days, unit="min"),
+                      "title": rng.choice(["gain and loss", "strong growth", "weak", "nothing"], 90)})
+    _files(tmp_path / "in", [n.iloc[i:i + 30] for i in (0, 30, 60)])
+    stream = spark.readStream.schema("symbol string, publishedAt timestamp_ntz, title string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = st.run_to_table(st.sentiment_windows(stream), "sw").toPandas().sort_values(["symbol", "period"], ignore_index=True)
+    closed = pd.Timestamp(n["publishedAt"].max() - pd.Timedelta(hours=1)).normalize()
+    batch = spark.createDataFrame(n[n["publishedAt"] < closed])
+    exp = tx.aggregate_by_period(tx.keyword_sentiment(batch), keys=["symbol"]).orderBy("symbol", "period").select(*out.columns).toPandas()
+    assert (out["sentiment_score_count"] == 0).any()
+    pd.testing.assert_frame_equal(out, exp, check_dtype=False)
+
+
+def test_model_failures_are_shown(spark):
+    from marketlens.operators import text as tx
+
+    def factory():
+        def predict(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("no word")
+            return [("POSITIVE", 0.5)] * len(texts)
+        return predict
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["good", "a bad one", None, " ", "fine"])], "i int, t string").coalesce(1)
+    d = tx.model_sentiment(df, "t", factory)
+    got = [tuple(r)[2:] for r in d.orderBy("i").collect()]
+    assert got == [("positive", 0.5, 0.5, None), ("neutral", 1.0, 0.0, "ValueError: no word"), ("neutral", 1.0, 0.0, None), ("neutral", 1.0, 0.0, None),
+                   ("positive", 0.5, 0.5, None)]
+    assert {r.error: r.n for r in tx.model_failures(d).collect()} == {None: 4, "ValueError: no word": 1}
+
+
 def test_isolation_forest_flags_contamination(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 3))
