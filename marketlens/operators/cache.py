@@ -1,9 +1,8 @@
 """Materialise-once feature cache on a shared file system.
 
-Key = function (name, code and closure) + content fingerprint of the input + hash
-of the arguments.  The fingerprint is one aggregate, ``sum(xxhash64(all columns))``
-as a decimal plus the row count, so it is order-independent and computed in
-parallel.  Results are written as Parquet under ``{base}/{function}/{key}``
+Key = function (name, code and closure) + fingerprint of the input + hash of the arguments.  Where the input is a plain
+scan of files, the fingerprint is their list with length and modification time: a hit reads no row.  Otherwise it
+is one aggregate, ``sum(xxhash64(all columns))`` as a decimal plus the row count, order-independent and computed in parallel.  Results are written as Parquet under ``{base}/{function}/{key}``
 and reused while younger than the TTL; stale or missing entries are
 recomputed.  Written tables also cut lineage for long plans.
 """
@@ -20,8 +19,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def scan_identity(df: DataFrame) -> str | None:
+    """Hash of the files that a frame reads: schema, and path, length and modification time of each; no job runs.
+
+    None where the frame is more than a scan of whole files with some of their columns (a filter, a join, rows from memory):
+    its content is then what tells it apart.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "SubqueryAlias"):
+        if plan.nodeName() == "Project":
+            columns = plan.projectList()
+            if any(columns.apply(i).getClass().getSimpleName() != "AttributeReference" for i in range(columns.size())):
+                return None
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or not plan.relation().getClass().getSimpleName().startswith("HadoopFsRelation"):
+        return None
+    files = sorted(df.inputFiles())
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha256(df.schema.simpleString().encode())
+    folders: dict[str, dict[str, str]] = {}
+    for f in files:
+        folder = f.rsplit("/", 1)[0]
+        if folder not in folders:  # one listing for each folder
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            folders[folder] = {s.getPath().getName(): f"{s.getLen()}:{s.getModificationTime()}" for s in path.getFileSystem(conf).listStatus(path)}
+        name = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).getName()
+        if name not in folders[folder]:
+            return None  # gone or renamed meanwhile
+        h.update(f"{f}:{folders[folder][name]};".encode())
+    return f"files-{h.hexdigest()[:24]}"
+
+
 def fingerprint(df: DataFrame) -> str:
-    """Order-independent content hash of a DataFrame (one aggregate)."""
+    """Identity of a DataFrame's content: of its files if it is a scan, else an order-independent content hash (one aggregate)."""
+    files = scan_identity(df)
+    if files:
+        return files
     h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
     r = df.agg(F.sum(h).alias("h"), F.count(F.lit(1)).alias("n")).first()
     return hashlib.sha256(f"{r['h']}:{r['n']}:{df.schema.simpleString()}".encode()).hexdigest()[:24]

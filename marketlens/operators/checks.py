@@ -110,6 +110,18 @@ def _schema_errors(missing: Sequence[str]) -> list[tuple[Column, Column]]:
     return out
 
 
+def _day_steps(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys and _has_step for the groups with rows on two days that follow one another.
+
+    Each day is put down for itself and for the day after; a day put down both ways ends a step. Two aggregates that combine
+    before the shuffle, so a group of many rows is in no single task.
+    """
+    marks = F.array(F.struct(F.col("_day").alias("day"), F.lit(0).alias("after")), F.struct(F.date_add("_day", 1).alias("day"), F.lit(1).alias("after")))
+    d = days.where("_day IS NOT NULL").distinct().select(*keys, F.explode(marks).alias("m"))
+    both = d.groupBy(*keys, "m.day").agg(F.min("m.after").alias("lo"), F.max("m.after").alias("hi")).where("lo < hi")
+    return both.groupBy(*keys).agg(F.lit(1).alias("_has_step"))
+
+
 def stock_contract(df: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "date",
                    exact_quartiles: bool = True, symbol: str = "symbol") -> DataFrame:
     """V1 per key: schema errors, high<low, zero volume > 10 %, nulls, IQR outliers, no 1-day step.
@@ -126,10 +138,9 @@ def stock_contract(df: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "
     d = iqr_outliers(df, out_cols, keys, exact=exact_quartiles) if out_cols else df.withColumn("is_outlier", F.lit(False))
     if ts in df.columns:
         at = F.col(ts) if dict(df.dtypes)[ts] in ("date", "timestamp", "timestamp_ntz") else F.expr(f"try_cast(`{ts}` AS timestamp)")
-        d = d.withColumn("_at", at)
-        d = d.withColumn("_gap", F.datediff(F.col("_at"), F.lag("_at").over(Window.partitionBy(*keys).orderBy("_at"))))
+        steps = _day_steps(df.select(*keys, F.to_date(at).alias("_day")), keys)
     else:
-        d = d.withColumn("_gap", F.lit(None).cast("int"))
+        steps = None
     sym = F.col(symbol).cast("string") if symbol in df.columns else None
     bad_symbol = F.count_if(sym.isNull() | (F.length(sym) < 1) | (F.length(sym) > 5)) if sym is not None and symbol not in gone else F.lit(0)
     g = d.groupBy(*keys).agg(
@@ -139,8 +150,14 @@ def stock_contract(df: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = "
         _cells(present, lambda c: c.isNull()).alias("null_cells"),
         F.count_if(F.col("is_outlier")).cast("long").alias("outliers"),
         _cells(present, lambda c: c < 0).alias("negative_values"),
-        bad_symbol.cast("long").alias("bad_symbol"),
-        F.max(F.when(F.col("_gap") == 1, F.lit(1)).otherwise(F.lit(0))).alias("_has_step"))
+        bad_symbol.cast("long").alias("bad_symbol"))
+    if steps is not None:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}"))
+        g = g.alias("g").join(steps.alias("s"), same, "left").select("g.*", F.coalesce("s._has_step", F.lit(0)).alias("_has_step"))
+    else:
+        g = g.withColumn("_has_step", F.lit(0))
     n = F.col("n_rows")
     warn = [(F.col("high_lt_low") > 0, F.format_string("high below low: %d rows", F.col("high_lt_low"))),
             (F.col("zero_volume") > n * 0.1, F.format_string("volume is zero: %d rows", F.col("zero_volume"))),
@@ -291,31 +308,87 @@ def validation_summary(reports: DataFrame) -> DataFrame:
         F.sum(F.size("errors")).cast("long").alias("total_errors"))
 
 
+def _distinct_counts(df: DataFrame) -> DataFrame:
+    """i, unique_values: distinct values of every column, exactly, in one pass.
+
+    Each row gives its columns' 128-bit hashes, one short row a column; these are made distinct before and after a shuffle by
+    (column, hash), so neither a column nor a value is one task's, and then counted by column. (A ``count(DISTINCT)`` of each column
+    in one aggregate would copy the row whole for every column.)
+    """
+    cells = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        c = c + F.lit(0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c  # -0.0 is 0.0
+        cells.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("i"), F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(_SECOND), c).alias("h2"))))
+    rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.i", "c.h1", "c.h2")
+    return rows.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("unique_values"))
+
+
+#: Seed of the second hash.
+_SECOND = 0x5BD1E995
+
+
 def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """A5: per-column dtype, non-null / null counts, null %, min, max, mean, std, distinct.
 
-    One aggregate computes every statistic of every column; ``stack`` turns the
-    single wide row into one row per column.
+    One aggregate computes the statistics of every column; distinct values are counted by ``_distinct_counts``, or, with
+    ``exact_distinct=False``, by the sketches of ``profile_state``.
     """
+    if not exact_distinct:
+        return profile_of(profile_state(df))
     aggs, rows = [], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         num = _is_num(f.dataType)
-        dist = F.countDistinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs += [F.count(c).alias(f"nn{i}"), F.count_if(c.isNull()).alias(f"nu{i}"), dist.alias(f"d{i}"),
+        aggs += [F.count(c).alias(f"nn{i}"),
                  (F.min(c).cast("double") if num else F.lit(None).cast("double")).alias(f"mi{i}"),
                  (F.max(c).cast("double") if num else F.lit(None).cast("double")).alias(f"ma{i}"),
-                 (F.avg(c) if num else F.lit(None).cast("double")).alias(f"me{i}"),
-                 (F.stddev_samp(c) if num else F.lit(None).cast("double")).alias(f"sd{i}")]
-        rows.append(f"'{f.name}', '{f.dataType.simpleString()}', nn{i}, nu{i}, mi{i}, ma{i}, me{i}, sd{i}, d{i}")
+                 (F.avg(c) if num else F.lit(None)).cast("double").alias(f"me{i}"),
+                 (F.stddev_samp(c) if num else F.lit(None)).cast("double").alias(f"sd{i}")]
+        rows.append(f"{i}, '{f.name}', '{f.dataType.simpleString()}', nn{i}, _n - nn{i}, mi{i}, ma{i}, me{i}, sd{i}")
     wide = df.agg(*aggs, F.count(F.lit(1)).alias("_n"))
-    long = wide.selectExpr(
-        "_n", f"stack({len(rows)}, {', '.join(rows)}) AS (column, dtype, non_null_count, null_count, "
-              "min, max, mean, std, unique_values)")
-    return long.select("column", "dtype", "non_null_count", "null_count",
-                       F.when(F.col("_n") > 0, F.lit(100.0) * F.col("null_count") / F.col("_n"))
-                       .otherwise(F.lit(0.0)).alias("null_percentage"),
-                       "min", "max", "mean", "std", "unique_values")
+    long = wide.selectExpr("_n", f"stack({len(rows)}, {', '.join(rows)}) AS (i, column, dtype, non_null_count, null_count, min, max, mean, std)")
+    long = long.join(_distinct_counts(df), "i", "left")  # a row for each column
+    return _profile_columns(long.withColumn("unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))))
+
+
+def _profile_columns(long: DataFrame) -> DataFrame:
+    share = F.when(F.col("_n") > 0, F.lit(100.0) * F.col("null_count") / F.col("_n")).otherwise(F.lit(0.0))
+    return long.select("column", "dtype", "non_null_count", "null_count", share.alias("null_percentage"), "min", "max", "mean", "std", "unique_values")
+
+
+def profile_state(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What a profile needs to know of some rows, in a form that merges: a row for each column (and each group of ``keys``).
+
+    Counts, least and greatest value, mean and sum of squared deviations, and a sketch of the distinct values. States of
+    partitions that never change can be kept, joined by ``unionByName`` and read by ``profile_of``, without the rows.
+    """
+    fields = [f for f in df.schema.fields if f.name not in keys]
+    aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+    for i, f in enumerate(fields):
+        c, num = F.col(f"`{f.name}`"), _is_num(f.dataType)
+        x = c.cast("double") if num else F.lit(None).cast("double")
+        sketched = c if isinstance(f.dataType, (T.LongType, T.IntegerType, T.StringType)) else c.cast("string")
+        aggs += [F.count(c).alias(f"nn{i}"), F.min(x).alias(f"mi{i}"), F.max(x).alias(f"ma{i}"), F.avg(x).alias(f"me{i}"),
+                 (F.var_pop(x) * F.count(x)).alias(f"dd{i}"), F.hll_sketch_agg(sketched).alias(f"sk{i}")]
+        rows.append(f"{i}, '{f.name}', '{f.dataType.simpleString()}', nn{i}, mi{i}, ma{i}, me{i}, dd{i}, sk{i}")
+    wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    names = ", ".join([*[f"`{k}`" for k in keys], "_n AS n"])
+    return wide.selectExpr(*names.split(", "), f"stack({len(rows)}, {', '.join(rows)}) AS (i, column, dtype, non_null_count, min, max, mean, deviation, sketch)")
+
+
+def profile_of(states: DataFrame) -> DataFrame:
+    """A5 from states: distinct counts are estimates (a few per cent), the rest is exact up to rounding."""
+    all_mean = F.sum(F.col("mean") * F.col("non_null_count")).over(Window.partitionBy("i")) / F.sum("non_null_count").over(Window.partitionBy("i"))
+    d = states.withColumn("_m", F.when(F.col("mean").isNotNull(), all_mean))  # rows: states, not data
+    # squared deviations from the mean of all: those inside each state, and those of the states' means
+    inside = F.col("deviation") + F.col("non_null_count") * (F.col("mean") - F.col("_m")) ** 2
+    g = d.groupBy("i", "column", "dtype").agg(
+        F.sum("n").alias("_n"), F.sum("non_null_count").alias("non_null_count"), (F.sum("n") - F.sum("non_null_count")).alias("null_count"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.max("_m").alias("mean"),
+        F.when(F.sum("non_null_count") > 1, F.sqrt(F.sum(inside) / (F.sum("non_null_count") - 1))).alias("std"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_values"))
+    return _profile_columns(g)
 
 
 def feature_quality(df: DataFrame, exclude: Sequence[str] = ("symbol", "date")) -> DataFrame:

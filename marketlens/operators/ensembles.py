@@ -144,6 +144,19 @@ class Ridge:
         return ridge_from_moments(df.dropna(subset=[*self.features, self.y]), self.features, self.y, self.alpha)
 
 
+class Expression:
+    """A base model that is a column expression: nothing to fit."""
+
+    def __init__(self, column: str):
+        self.column = column
+
+    def fit(self, df: DataFrame) -> "Expression":
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.expr(self.column))
+
+
 def _ridge_cv(df: DataFrame, names: Sequence[str], y: str, alphas) -> tuple[MomentRidge, float]:
     """Ridge over base predictions; alpha by cross-validation over the column ``fold``, exactly, from one aggregate."""
     moments, shift = fold_moments(df, names, y)

@@ -2,8 +2,7 @@
 
 Rule-based regimes and regime features are window expressions per key;
 statistics and transition matrices are grouped aggregates; the mixture model
-is ``pyspark.ml.clustering.GaussianMixture`` fitted on the pooled, z-scored
-features of all keys.
+(``mixture``) is fitted on the pooled, z-scored features of all keys.
 """
 
 from __future__ import annotations
@@ -110,29 +109,20 @@ def name_regimes(df: DataFrame, cluster: str = "cluster", returns: str = "return
     return df.join(F.broadcast(lookup), cluster, "left")  # one row per cluster: size bounded by k
 
 
-def gmm_regimes(df: DataFrame, features: Sequence[str] = REGIME_FEATURES, k: int = 3, seeds: Sequence[int] = (42,),
-                max_iter: int = 200, returns: str = "returns") -> DataFrame:
-    """M14 + M15: z-score (ddof 0) -> full-covariance mixture (best log-likelihood over seeds)
-    -> A14 names -> regime, regime_prob_<name>, is_<name> columns."""
-    from pyspark.ml.clustering import GaussianMixture
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
+def gmm_regimes(df: DataFrame, features: Sequence[str] = REGIME_FEATURES, k: int = 3, starts: int = 10,
+                max_iter: int = 200, returns: str = "returns", seed: int = 42) -> DataFrame:
+    """M14 + M15: z-score (ddof 0) -> full-covariance mixture (the best of ``starts`` by log-likelihood, all fitted together)
+    -> A14 names -> regime, regime_prob_<name>, is_<name> columns. Rows with a missing feature are left out."""
     from marketlens.operators.clean import zscore
-    z = zscore(df, list(features), ddof=0, suffix="_z")
-    va = VectorAssembler(inputCols=[f + "_z" for f in features], outputCol="_x", handleInvalid="skip")
-    x = va.transform(z).drop(*[f + "_z" for f in features]).cache()
-    best = None
-    for s in seeds:
-        m = GaussianMixture(k=k, maxIter=max_iter, seed=s, featuresCol="_x", predictionCol="cluster",
-                            probabilityCol="_prob").fit(x)
-        ll = m.summary.logLikelihood
-        if best is None or ll > best[0]:
-            best = (ll, m)
-    pred = best[1].transform(x).withColumn("_pa", vector_to_array("_prob")).drop("_x", "_prob")
+    from marketlens.operators.mixture import Mixture
+    from marketlens.operators.models import sized
+    names = [f + "_z" for f in features]
+    z = sized(zscore(df, list(features), ddof=0, suffix="_z").dropna(subset=names), 200_000)
+    model = Mixture.fit(z, names, k, starts, max_iter, seed)
+    pred = model.transform(z, "_pa", "cluster").drop(*names)
     named = name_regimes(pred, "cluster", returns)
-    labels = [r[0] for r in named.select("cluster", "regime").distinct().orderBy("cluster").collect()]
     lab_of = {r["cluster"]: r["regime"] for r in named.select("cluster", "regime").distinct().collect()}
+    labels = sorted(lab_of)
     probs = {f"regime_prob_{lab_of[c]}": F.col("_pa")[c] for c in labels}
     flags = {f"is_{lab_of[c]}": (F.col("regime") == lab_of[c]).cast("int") for c in labels}
     return named.withColumns(probs).withColumns(flags).drop("_pa")

@@ -9,7 +9,7 @@ from marketlens.operators import corr as co
 from marketlens.operators import regimes as rg
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead, roll
-from marketlens.sources.tables import daily_bars, level_bars
+from marketlens.sources.tables import daily_bars, level_bars, table
 
 P = Panel()
 
@@ -42,6 +42,19 @@ def a10_correlation_matrix(spark, sf):
     return rounded(co.correlation_matrix(co.return_correlations(daily_bars(spark, sf), P)))
 
 
+@query("a10_supplier_correlations", f"""WITH m AS (SELECT l_suppkey AS symbol, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
+  sum(l_extendedprice) / sum(l_quantity) AS close FROM lineitem GROUP BY 1, 2),
+r AS (SELECT symbol, date, close / nullif({lag('close')}, 0) - 1 AS ret FROM m)
+SELECT CAST(a.symbol AS VARCHAR) AS asset1, CAST(b.symbol AS VARCHAR) AS asset2, {R('corr(a.ret, b.ret)', 'correlation')}
+FROM r a JOIN r b ON a.date = b.date AND a.symbol < b.symbol GROUP BY 1, 2""")
+def a10_supplier_correlations(spark, sf):
+    """A10 for many assets (every supplier's monthly unit price): masked Gram matrices instead of an expression for each pair."""
+    m = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("symbol"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("date")) \
+        .agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close"))
+    out = co.return_correlations(m, P)
+    return rounded(out.select(F.col("asset1").cast("string").alias("asset1"), F.col("asset2").cast("string").alias("asset2"), "correlation"))
+
+
 _A11 = f"""{BARS}, {LEVEL}, f AS (SELECT symbol, date,
   close / nullif({lag('close')}, 0) - 1 AS ret_1, close / nullif({lag('close', 5)}, 0) - 1 AS ret_5,
   (high - low) / nullif(close, 0) AS hl, volume / nullif({lag('volume')}, 0) - 1 AS vol_chg,
@@ -167,5 +180,5 @@ def a14_regime_naming(spark, sf):
 @query("m14_m15_gmm_regimes")
 def m14_m15_gmm_regimes(spark, sf):
     """M14 + M15: pooled 3-component Gaussian mixture on z-scored W27 features, named, with probabilities."""
-    d = rg.gmm_regimes(_w27(spark, sf), k=3, seeds=range(42, 52))
+    d = rg.gmm_regimes(_w27(spark, sf), k=3, starts=10)
     return d.select("symbol", "date", "cluster", "regime", *[c for c in d.columns if c.startswith(("regime_prob_", "is_"))])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel, sdiv
 from marketlens.operators import anomaly as an
+from marketlens.operators import boosting as bo
 from marketlens.operators import clean as cl
 from marketlens.operators import cluster as cu
 from marketlens.operators import ensembles as en
@@ -21,6 +22,7 @@ from marketlens.operators import models as md
 from marketlens.operators import score as sc
 from marketlens.operators import select as se
 from marketlens.operators import splits as sp
+from marketlens.operators.knn_mi import knn_mutual_information
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead
 from marketlens.sources.tables import daily_bars, level_bars, table
@@ -108,26 +110,45 @@ def _preds(model, test, name):
 def m1_m2_tree_regressors(spark, sf):
     """M1 boosted trees (with a validation flag for early stopping) and M2 forest; test predictions."""
     tr, te = _train_test(spark, sf)
-    tr = tr.withColumn("_val", F.col(sp.POS) >= F.lit(int(tr.count() * 0.85)))
-    gbt = md.boosted_regressor(FEATS, "y", "xgboost", validation_col="_val").fit(tr)
-    rf = md.forest_regressor(FEATS, "y").fit(tr)
-    return _preds(gbt, te, "boosted_trees").unionByName(_preds(rf, te, "random_forest"))
+    tr = md.sized(tr.withColumn("_val", F.col(sp.POS) >= F.lit(int(tr.count() * 0.85))))
+    fitted = md.fit_all({"boosted_trees": (md.boosted_regressor(FEATS, "y", "xgboost", validation_col="_val"), tr),
+                         "random_forest": (md.forest_regressor(FEATS, "y"), tr)})
+    return _preds(fitted["boosted_trees"], te, "boosted_trees").unionByName(_preds(fitted["random_forest"], te, "random_forest"))
+
+
+@query("m1_patience_stop")
+def m1_patience_stop(spark, sf):
+    """M1 with patience: 200 rounds, every prefix scored on the last 15 % of the training rows, cut at the best round before 20 without a gain."""
+    tr, te = _train_test(spark, sf)
+    cut = F.lit(int(tr.count() * 0.85))
+    model, _, rounds = bo.fit_with_patience(md.boosted_regressor(FEATS, "y", "xgboost"), md.sized(tr.where(F.col(sp.POS) < cut)),
+                                            tr.where(F.col(sp.POS) >= cut), FEATS, "y", 20)
+    return _preds(model, te, "boosted_trees").withColumn("rounds", F.lit(rounds))
 
 
 @query("m3_direction_classifiers")
 def m3_direction_classifiers(spark, sf):
-    """M3: forest on Up/Down/Neutral string labels and boosted trees on binary up/down."""
+    """M3: forest on Up/Down/Neutral string labels and boosted trees on binary up/down, at the defaults."""
     tr, te = _train_test(spark, sf)
     tr, te = (x.withColumn("up", (F.col("y") > 0).cast("double")) for x in (tr, te))
-    rf = md.direction_classifier(FEATS, "target_direction", "forest", 3, string_labels=True).fit(tr)
-    gb = md.direction_classifier(FEATS, "up", "boosted", 2).fit(tr)
-    a = rf.transform(te).select(F.lit("forest_3class").alias("model"), "symbol", "date",
-                                F.col("_label_idx").alias("label"), "prediction")
-    b = gb.transform(te).select(F.lit("boosted_binary").alias("model"), "symbol", "date",
-                                F.col("up").alias("label"), "prediction")
+    tr = md.sized(tr)
+    fitted = md.fit_all({"rf": (md.direction_classifier(FEATS, "target_direction", "forest", 3, string_labels=True), tr),
+                         "gb": (md.direction_classifier(FEATS, "up", "boosted", 2), tr)})
+    a = fitted["rf"].transform(te).select(F.lit("forest_3class").alias("model"), "symbol", "date",
+                                          F.col("_label_idx").alias("label"), "prediction")
+    b = fitted["gb"].transform(te).select(F.lit("boosted_binary").alias("model"), "symbol", "date",
+                                          F.col("up").alias("label"), "prediction")
     return a.unionByName(b)
 
 
+@query("m3_boosted_three_classes")
+def m3_boosted_three_classes(spark, sf):
+    """M3: boosted trees on Up/Down/Neutral, an ensemble for each class against the rest, fitted side by side."""
+    tr, te = _train_test(spark, sf)
+    m = md.direction_classifier(FEATS, "target_direction", "boosted", 3, string_labels=True).fit(md.sized(tr))
+    return m.transform(te).select("symbol", "date", F.col("_label_idx").alias("label"), "prediction")
+
+
 @query("m4_ridge")
 def m4_ridge(spark, sf):
     """M4: ridge (alpha 1) with sklearn's objective mapped to Spark's parameters."""
@@ -135,18 +156,111 @@ def m4_ridge(spark, sf):
     return _preds(md.fit_ridge(tr, FEATS, "y", 1.0), te, "ridge")
 
 
-@query("m5_m8_ensembles")
-def m5_m8_ensembles(spark, sf):
-    """M5 stacking (out-of-fold + ridge-CV), M6 voting, M7 blending, built through the M8 factory."""
+def _ensemble(spark, sf, kind: str):
     tr, te = _train_test(spark, sf)
-    tr, te = (x.withColumn("_row", F.col(sp.POS)) for x in (tr, te))
-    bases = en.default_bases()
-    out = None
-    for kind in ("stacking", "voting", "blending"):
-        m = en.create_ensemble(kind, features=FEATS, y="y", key="_row", bases=bases).fit(tr.drop(sp.POS, "split"))
-        p = m.predict(te.drop(sp.POS, "split")).select(F.lit(kind).alias("model"), "symbol", "date", "y", "prediction")
-        out = p if out is None else out.unionByName(p)
-    return out
+    tr, te = (x.withColumn("_row", F.col(sp.POS)).drop(sp.POS, "split") for x in (tr, te))
+    m = en.create_ensemble(kind, features=FEATS, y="y", key="_row").fit(tr)
+    return m.predict(te).select(F.lit(kind).alias("model"), "symbol", "date", "y", "prediction")
+
+
+@query("m5_stacking")
+def m5_stacking(spark, sf):
+    """M5 (through M8): out-of-fold predictions of the four default bases, ridge-CV on top; all 24 fits side by side."""
+    return _ensemble(spark, sf, "stacking")
+
+
+@query("m6_voting")
+def m6_voting(spark, sf):
+    """M6 (through M8): mean of the four default bases."""
+    return _ensemble(spark, sf, "voting")
+
+
+@query("m7_blending")
+def m7_blending(spark, sf):
+    """M7 (through M8): bases on the first 80 % of rows, ridge-CV on the last 20 %."""
+    return _ensemble(spark, sf, "blending")
+
+
+# ensembles whose bases are columns (momentum over 5 and over 1 rows), so that SQL gives the same predictions
+_COLUMN_BASES = {"momentum": lambda f, y: en.Expression("m5"), "last": lambda f, y: en.Expression("m1")}
+_COLS = f"""{BARS}, {LEVEL}, nv AS (SELECT symbol, date, {lead('close', 5)} / nullif(close, 0) - 1 AS y,
+  close / nullif({lag('close', 5)}, 0) - 1 AS m5, close / nullif({lag('close')}, 0) - 1 AS m1 FROM lb),
+ok AS (SELECT *, row_number() OVER (ORDER BY date, symbol) - 1 AS _row, count(*) OVER () AS n FROM nv WHERE y IS NOT NULL AND m5 IS NOT NULL)"""
+
+
+def _columns(spark, sf):
+    d = level_bars(spark, sf)
+    d = d.select("symbol", "date", (sdiv(P.lead("close", 5), F.col("close")) - 1).alias("y"),
+                 (sdiv(F.col("close"), P.lag("close", 5)) - 1).alias("m5"), (sdiv(F.col("close"), P.lag("close")) - 1).alias("m1"))
+    d, _ = sp.with_positions(d.dropna(subset=["y", "m5"]))
+    return d.withColumnRenamed(sp.POS, "_row")
+
+
+def _meta_sql(where: str) -> str:
+    """Ridge (alpha 1) of y on m5 and m1 over the rows of ``where``, applied to all rows."""
+    return f"""t AS (SELECT count(*) AS k, avg(m5) AS u, avg(m1) AS v, avg(y) AS w FROM ok WHERE {where}),
+c AS (SELECT any_value(u) AS u, any_value(v) AS v, any_value(w) AS w, sum((m5 - u) * (m5 - u)) + 1.0 AS a, sum((m5 - u) * (m1 - v)) AS b,
+  sum((m1 - v) * (m1 - v)) + 1.0 AS e, sum((m5 - u) * (y - w)) AS p, sum((m1 - v) * (y - w)) AS q FROM ok, t WHERE {where})
+SELECT symbol, date, {R('w + (p * e - q * b) / (a * e - b * b) * (m5 - u) + (a * q - b * p) / (a * e - b * b) * (m1 - v)', 'prediction')} FROM ok, c"""
+
+
+@query("m5_stacking_of_columns", f"WITH {_COLS}, {_meta_sql('true')}")
+def m5_stacking_of_columns(spark, sf):
+    """M5: the ridge meta-learner on the out-of-fold predictions of two column bases."""
+    d = _columns(spark, sf)
+    m = en.Stacking(["m5", "m1"], bases=_COLUMN_BASES, alphas=(1.0,)).fit(d)
+    return rounded(m.predict(d).select("symbol", "date", "prediction"))
+
+
+@query("m6_voting_of_columns", f"WITH {_COLS} SELECT symbol, date, {R('(m5 + 3 * m1) / 4', 'prediction')} FROM ok")
+def m6_voting_of_columns(spark, sf):
+    """M6: weighted mean of two column bases."""
+    d = _columns(spark, sf)
+    m = en.Voting(["m5", "m1"], bases=_COLUMN_BASES, weights={"momentum": 1.0, "last": 3.0}).fit(d)
+    return rounded(m.predict(d).select("symbol", "date", "prediction"))
+
+
+@query("m7_blending_of_columns", f"WITH {_COLS}, {_meta_sql('_row >= CAST(floor(n * 0.8) AS BIGINT)')}")
+def m7_blending_of_columns(spark, sf):
+    """M7: the ridge meta-learner on the last fifth of the rows."""
+    d = _columns(spark, sf)
+    m = en.Blending(["m5", "m1"], bases=_COLUMN_BASES, alphas=(1.0,)).fit(d)
+    return rounded(m.predict(d).select("symbol", "date", "prediction"))
+
+
+_FOLDS = """fd AS (SELECT ok.*, i AS fold FROM ok, range(0, 5) r(i)
+  WHERE _row >= n - (5 - i) * (n // 6) AND _row < n - (5 - i) * (n // 6) + n // 6)"""
+
+
+@query("m9_base_model_scores", f"""WITH {_COLS}, {_FOLDS},
+e AS (SELECT 'momentum' AS model, fold, sqrt(avg((y - m5) ^ 2)) AS rmse FROM fd GROUP BY fold
+  UNION ALL SELECT 'last', fold, sqrt(avg((y - m1) ^ 2)) FROM fd GROUP BY fold)
+SELECT model, {R('avg(rmse)', 'mean_rmse', 6)}, {R('stddev_pop(rmse)', 'std_rmse', 6)} FROM e GROUP BY model""")
+def m9_base_model_scores(spark, sf):
+    """M9 per base model: rmse over 5 expanding folds, mean and population std."""
+    return rounded(en.base_model_scores(_columns(spark, sf), ["m5", "m1"], bases=_COLUMN_BASES), 6)
+
+
+@query("m10_walk_forward_metrics", f"""WITH {_COLS}, w AS (SELECT ok.*, i AS fold FROM ok, range(0, 5) r(i)
+  WHERE _row >= n - (5 - i) * 30 AND _row < n - (5 - i) * 30 + 30)
+SELECT CAST(fold AS INTEGER) AS fold, {R('sqrt(avg((y - m5) ^ 2))', 'rmse', 6)}, {R('avg(abs(y - m5))', 'mae', 6)}, count(*) AS n FROM w GROUP BY fold""")
+def m10_walk_forward_metrics(spark, sf):
+    """Metrics of 5 walk-forward folds of 30 rows for a column forecast."""
+    _, met = ev.walk_forward(_columns(spark, sf), lambda train, test: test.withColumn("prediction", F.col("m5")), "y", n_splits=5, test_size=30, gap=5,
+                             ts="_row", keys=[])
+    return rounded(met, 6)
+
+
+@query("m17_champion_of_columns", f"""WITH {_COLS}, e AS (SELECT 'm5' AS model, sqrt(avg((y - m5) ^ 2)) AS rmse FROM ok
+  UNION ALL SELECT 'm1', sqrt(avg((y - m1) ^ 2)) FROM ok)
+SELECT model, {R('rmse', 'rmse', 6)}, model = (SELECT arg_min(model, rmse) FROM e) AS is_champion FROM e""")
+def m17_champion_of_columns(spark, sf):
+    """The model of the least rmse."""
+    d, mets = _columns(spark, sf), None
+    for c in ("m5", "m1"):
+        x = ev.regression_metrics(d.withColumn("prediction", F.col(c)), ts="_row", keys=[]).select(F.lit(c).alias("model"), "rmse")
+        mets = x if mets is None else mets.unionByName(x)
+    return rounded(mets.withColumn("is_champion", F.col("model") == ev.champion(mets, "rmse")), 6)
 
 
 def _ridge_fp(train, test):
@@ -175,8 +289,9 @@ def m10_walk_forward(spark, sf):
 def m16_m17_m18_importance_champion_card(spark, sf):
     """M16 importances (mean over tree models), M17 champion by test rmse, M18 model card JSON."""
     tr, te = _train_test(spark, sf)
-    rf = md.forest_regressor(FEATS, "y").fit(tr)
-    gb = md.boosted_regressor(FEATS, "y", "lightgbm").fit(tr)
+    tr = md.sized(tr)
+    fitted = md.fit_all({"rf": (md.forest_regressor(FEATS, "y"), tr), "gb": (md.boosted_regressor(FEATS, "y", "lightgbm"), tr)})
+    rf, gb = fitted["rf"], fitted["gb"]
     imp = ev.mean_importance([ev.feature_importance(rf, FEATS, spark), ev.feature_importance(gb, FEATS, spark)])
     mets = None
     for name, m in (("random_forest", rf), ("lightgbm_preset", gb)):
@@ -212,6 +327,11 @@ def _sel_frame(spark, sf):
     return _a11_frame(spark, sf)
 
 
+def _a11_sql() -> str:
+    from marketlens.plans.q_analytics import _A11
+    return _A11
+
+
 def _mi_sql() -> str:
     probs = "[" + ", ".join(str(i / 10) for i in range(1, 10)) + "]"
     imp = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM f)) AS {c}" for c in [*_SEL, "target"])
@@ -250,6 +370,65 @@ def f2_f3_f6_f7_selection(spark, sf):
     return out
 
 
+@query("f2_correlation_filter", f"""WITH {_a11_sql()}, s AS (SELECT unnest(['ret_1', 'ret_5', 'hl', 'vol_chg']) AS feature,
+  unnest([abs(corr(ret_1, target)), abs(corr(ret_5, target)), abs(corr(hl, target)), abs(corr(vol_chg, target))]) AS v FROM f)
+SELECT feature, {R('v', 'importance')}, row_number() OVER (ORDER BY v DESC, feature) <= 3 AS selected FROM s""")
+def f2_correlation_filter(spark, sf):
+    """F2 (as an F7 table): of a feature and its double one goes, the rest is ranked by the correlation with the target."""
+    d = _sel_frame(spark, sf).withColumn("twice", F.col("ret_1") * 2.0)
+    selected, scores = se.select_correlation(d, [*_SEL, "twice"], "target", 3)
+    return rounded(se.importance_table(scores, selected))
+
+
+_CUSTOMERS = """p AS (SELECT c_custkey, c_acctbal + c_custkey / 1e6 AS y, sum(o_totalprice) AS spend, avg(o_totalprice) AS mean, max(o_totalprice) AS top
+  FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)"""
+
+
+def _knn_sql(target: str) -> str:
+    """Neighbours by comparing all points; digamma(n) is the (n - 1)th harmonic number less Euler's constant."""
+    parts, ends = [], []
+    for c in ("spend", "mean", "top"):
+        parts.append(f"""z_{c} AS (SELECT c_custkey AS id, {c} / stddev_pop({c}) OVER () AS x, {target} / stddev_pop({target}) OVER () AS y FROM p),
+r_{c} AS (SELECT a.id, any_value(a.x) AS x, any_value(a.y) AS y, list_extract(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 4), 4) AS r FROM z_{c} a, z_{c} b GROUP BY a.id),
+c_{c} AS (SELECT a.id, count_if(abs(a.x - b.x) < a.r) AS nx, count_if(abs(a.y - b.y) < a.r) AS ny FROM r_{c} a, z_{c} b GROUP BY a.id)""")
+        ends.append(f"""SELECT '{c}' AS feature, {R(f"greatest(0, any_value(hn.h) + 1.5 - avg(h1.h) - avg(h2.h))", 'score')}
+FROM c_{c} JOIN h h1 ON h1.i = nx JOIN h h2 ON h2.i = ny JOIN h hn ON hn.i = (SELECT count(*) FROM p)""")
+    return f"""WITH {_CUSTOMERS}, {', '.join(parts)},
+h AS (SELECT i, coalesce(sum(1.0 / nullif(i - 1, 0)) OVER (ORDER BY i), 0) AS h FROM range(1, 1 + (SELECT count(*) FROM p)) g(i))
+{' UNION ALL '.join(ends)}"""
+
+
+@query("f1_knn_mutual_information", _knn_sql("y"))
+def f1_knn_mutual_information(spark, sf):
+    """F1 by nearest neighbours: what three figures of a customer's orders tell about the balance (told apart by the key, so that nothing is tied)."""
+    o = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spend"), F.avg("o_totalprice").alias("mean"),
+                                                             F.max("o_totalprice").alias("top"))
+    d = table(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") + F.col("c_custkey") / 1e6).alias("y")).join(o, F.col("c_custkey") == F.col("o_custkey"))
+    return rounded(knn_mutual_information(d, ["spend", "mean", "top"], "y", order="c_custkey"))
+
+
+@query("f5_stratified_folds", f"""WITH {BARS}, d AS (SELECT symbol, date, CASE WHEN volume > 2 THEN 'busy' WHEN volume > 1 THEN 'pair' ELSE 'one' END AS kind FROM bars),
+p AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY date, symbol) - 1 AS place FROM d),
+c AS (SELECT kind, count(*) AS n, min({{'date': date, 'symbol': symbol}}) AS first_row FROM d GROUP BY kind),
+s AS (SELECT kind, n, coalesce(sum(n) OVER (ORDER BY first_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM c),
+f AS (SELECT kind, fold, sum(size) OVER (PARTITION BY kind ORDER BY fold) - size AS lo, sum(size) OVER (PARTITION BY kind ORDER BY fold) AS hi FROM (
+  SELECT kind, i AS fold, (SELECT count(*) FROM range(0, CAST(n AS BIGINT)) r(j) WHERE (start + j) % 5 = i) AS size FROM s, range(0, 5) g(i)))
+SELECT symbol, date, p.kind, CAST(fold AS INTEGER) AS fold FROM p JOIN f ON p.kind = f.kind AND place >= lo AND place < hi""")
+def f5_stratified_folds(spark, sf):
+    """folds that keep each class's share, in row order, without a task that holds a class."""
+    d = daily_bars(spark, sf).select("symbol", "date", F.when(F.col("volume") > 2, "busy").when(F.col("volume") > 1, "pair").otherwise("one").alias("kind"))
+    return sp.stratified_folds(d, "kind", 5).select("symbol", "date", "kind", "fold")
+
+
+@query("f5_rfecv_classes")
+def f5_rfecv_classes(spark, sf):
+    """F5 for classes: elimination scored by accuracy over stratified folds, Up / Down / Neutral from 4 features to 2."""
+    d = _sel_frame(spark, sf).where("target IS NOT NULL")
+    d = d.withColumn("direction", F.when(F.col("target") > 0.01, "up").when(F.col("target") < -0.01, "down").otherwise("flat"))
+    chosen, scores = se.select_rfecv(d, _SEL, "direction", min_features=2, task="classification")
+    return se.importance_table(scores, chosen)
+
+
 @query("f4_f5_lasso_rfecv")
 def f4_f5_lasso_rfecv(spark, sf):
     """F4 lasso with 5-fold CV over the data's alpha path; F5 recursive elimination (forest, 5 folds) to 2 of the 4 features."""
