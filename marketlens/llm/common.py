@@ -72,7 +72,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        delete(t.sparkSession, t._written)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def running(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str], name: str) -> DataFrame:
@@ -94,11 +108,11 @@ def running(df: DataFrame, by: list[str], order: list[Column], totals: dict[str,
 
 
 def byte_batches(texts: Iterable[str], limit: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about ``limit`` characters each (one long text may be a run of its own)."""
+    """Runs of texts of about ``limit`` bytes (UTF-8) each (one long text may be a run of its own)."""
     run, size = [], 0
     for t in texts:
         run.append(t)
-        size += len(t) + 16
+        size += (len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass"))) + 16
         if size >= limit:
             yield run
             run, size = [], 0

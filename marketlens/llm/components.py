@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import written
+from marketlens.llm.common import discard, written
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -40,8 +40,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     state = _state(edges)
     while state[0]:
-        edges = written(_small_star(_large_star(edges)), "stars")
+        before, edges = edges, written(_small_star(_large_star(edges)), "stars")
         last, state = state, _state(edges)
+        discard(before)
         if state == last:
             break
     inner = edges.select(F.col("u").alias("node"), F.col("v").alias("class"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import running, ship, text_of, written
+from marketlens.llm.common import discard, running, ship, text_of, written
 from marketlens.llm.hashing import buffers, slices, word_hashes, words
 
 #: Documents of each item, bytes of a shard of items, and bytes that an item counts beside its text (so a shard holds at most 65,536).
@@ -257,11 +257,11 @@ def ranked(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str =
     for pdf in _shards(items, item_id, item_text, shard_bytes):
         shard = Shard.of(pdf["item"].tolist(), pdf["text"].tolist())
         shared = spark.sparkContext.broadcast(shard)
-        docs = written(t.mapInArrow(_bag_rows(shared), "id long, n long, bag binary").withColumn("h", F.unhex(F.md5("bag"))), "bags")
-        n_docs, n_terms = docs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        bagged = written(t.mapInArrow(_bag_rows(shared), "id long, n long, bag binary").withColumn("h", F.unhex(F.md5("bag"))), "bags")
+        n_docs, n_terms = bagged.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         # no document has a term: m is not needed
         m = F.lit(25).cast("long") + F.expr(f"(75L * n * {n_docs}L) div {max(1, n_terms)}L")
-        docs = docs.filter(F.octet_length("bag") > 0).withColumn("m", m).drop("n")
+        docs = bagged.filter(F.octet_length("bag") > 0).withColumn("m", m).drop("n")
         classes = written(docs.groupBy("h", "m", "bag").agg(F.count("*").alias("size"), F.min("id").alias("least")), "classes")
         size = len(shard.vocabulary.hashes)
         frequencies = classes.select("bag", "size").mapInArrow(_frequencies(size), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
@@ -284,6 +284,7 @@ def ranked(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str =
         found = written(found.join(F.broadcast(names), "item").select("item_id", "rank", F.col("id").cast(kind).alias("doc_id"), "score"), "ranked")
         shared.destroy()
         weights.destroy()
+        discard(bagged, classes, best)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], f"item_id {item_kind}, rank int, doc_id {kind}, score long")
 

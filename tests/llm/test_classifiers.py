@@ -1,5 +1,6 @@
 """Classifiers: scores against plain re-computation, accuracy on held-out labels, defined results for odd rows."""
 import math
+from collections import Counter
 import zlib
 
 import numpy as np
@@ -28,10 +29,10 @@ def test_toxicity_on_held_out_labels(tables):
     assert tp / (tp + fn) > 0.85 and fp / (fp + tn) < 0.005, (tp, fp, fn, tn)
 
 
-def test_toxicity_scores_equal_plain_sums():
+def test_toxicity_scores_equal_plain_sums(spark):
     texts = ["You are an idiot", "a fine day, really", "", "idiot idiot IDIOT!", "the day was fine", "x" * 40, "ß漢字 idiots of the day"] * 6
     y = np.array([1, 0, 0, 1, 0, 0, 1] * 6)
-    m = toxicity_nb.train(texts, y)
+    m = toxicity_nb.train(spark.createDataFrame(list(zip(texts, y.tolist())), "text string, y int").repartition(3))
     weight = dict(zip(m.hashes.tolist(), m.weights.tolist()))
     assert weight
 
@@ -51,6 +52,22 @@ def test_toxicity_scores_equal_plain_sums():
     assert ((m.scores(texts) >= 0.5) == y).all()
 
 
+def test_every_ngram_that_qualifies_is_a_feature(spark, tables):
+    rows = toxicity_nb.training_rows(*tables, "toxic", rows=300).collect()
+    n, toxic, y = Counter(), Counter(), {1: 0, 0: 0}
+    for r in rows:
+        y[r.y] += 1
+        seen = set()
+        for _, h in toxicity_nb._every([r.text], toxicity_nb.SIZES):
+            seen |= set(h.tolist())
+        n.update(seen)
+        if r.y:
+            toxic.update(seen)
+    ratio = {h: math.log((toxic[h] + 0.5) / (y[1] + 1)) - math.log((c - toxic[h] + 0.5) / (y[0] + 1)) for h, c in n.items() if c >= toxicity_nb.MIN_DOCS}
+    m = toxicity_nb.train(spark.createDataFrame(rows))
+    assert set(m.hashes.tolist()) == {h for h, r in ratio.items() if r >= toxicity_nb.MIN_RATIO} and len(m.hashes) > 500
+
+
 def test_toxicity_edge_rows(spark, edges, nothing, tables):
     labels = tables[1]
     got = toxicity_nb.toxicity(edges, labels.limit(0)).collect()
