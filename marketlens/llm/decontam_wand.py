@@ -4,18 +4,24 @@ The index holds the test items; every passage of every training document is a qu
 score is the BM25 weight of its terms that the passage has, as a share of the item's own whole weight, so one
 threshold serves all items. Passages are as long as two of the longest items and overlap by half, so each
 occurrence of an item lies whole inside one. Upper bounds (per block of 4 items) are summed for many passages at
-once; those that can reach the threshold are searched with block-max WAND, which returns every
+once; the items of those that can reach the threshold are scored, which gives every
 item above it. A hit counts when both the item's question and its answer overlap with the passage.
 
+Block maxima are postings like the items' own (a term's blocks and its greatest impact in each), so the index grows with the
+items' words. A passage's terms of least impact, which together stay under a share of the threshold, are set aside: the
+postings of the others alone say which blocks can still reach it (the pivot of WAND, for all passages of a run at once), and only
+in those the terms set aside are looked up.
+
 An item of few words has no such score that means anything: it is found where all its words stand together in order, by the hash of the
 run. Characters of scripts that put no spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer) are words of their own.
 
-The benchmark is cut into shards of bounded size and each shard's index is broadcast; the documents stream past
-each shard in turn. Nothing is shuffled but the benchmark's own terms.
+The benchmark is cut into shards by running bytes; each shard's index is built in a task and broadcast, and the documents stream
+past each shard in turn. Nothing is shuffled but the benchmark's own terms.
 """
 
 from __future__ import annotations
 
+import pickle
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,15 +33,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import fresh, ship, text_of
+from marketlens.llm.common import discard, fresh, running, ship, text_of, written
 from marketlens.llm.hashing import buffers, grams, slices, word_hashes, words
 
 K1, B = 1.2, 0.75
 #: Share of an item's BM25 weight, and of the 3-word shingles of its question and of its answer, that a passage must have.
 SCORE, OVERLAP, GRAM = 0.6, 0.5, 3
 BLOCK = 4
-#: Rounding of the bounds, which are sums of single-precision numbers; past every item.
-SLACK, LAST = 1e-4, 1 << 62
+#: Part of the threshold that the terms set aside may reach, and postings that a run of passages is expanded to at once.
+ASIDE, EXPANDED = 0.5, 1 << 21
+#: Rounding of the bounds.
+SLACK = 1e-6
 #: Bytes of item texts in a shard (what is broadcast is proportional), and words that an item needs to be scored: shorter ones are
 #: looked for as they stand.
 SHARD_BYTES, MIN_WORDS = 2 << 20, 8
@@ -86,7 +94,9 @@ class Index:
     at: np.ndarray = None
     docs: np.ndarray = None
     impact: np.ndarray = None
-    block_max: np.ndarray = None  # term x block
+    block_at: np.ndarray = None  # blocks of each term: CSR by term
+    block: np.ndarray = None
+    block_impact: np.ndarray = None  # greatest impact of the term in the block
     longest: int = 0
     short: dict = field(default_factory=dict)  # number of words -> (hashes of whole items in order, their item numbers)
 
@@ -94,6 +104,59 @@ class Index:
         if self.vocab is not None:
             self.maybe = np.zeros(1 << 16, bool)
             self.maybe[(self.vocab >> np.uint64(48)).astype(np.int64)] = True
+            self.most = np.maximum.reduceat(self.block_impact, self.block_at[:-1])  # of each term; none is without a posting
+            self.key = np.repeat(np.arange(len(self.vocab)), np.diff(self.block_at)) * self.n_blocks + self.block
+            self.term = np.repeat(np.arange(len(self.vocab)), np.diff(self.at))
+            self.own = np.argsort(self.docs // BLOCK, kind="stable")  # postings by block
+            self.own_at = np.searchsorted(self.docs[self.own] // BLOCK, np.arange(self.n_blocks + 1))
+
+    @property
+    def n_blocks(self) -> int:
+        return -(-len(self.parts) // BLOCK)
+
+    def tops(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The greatest impact of each term in each block, 0 where the block has none."""
+        want = term * self.n_blocks + block
+        at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
+        return np.where(self.key[at] == want, self.block_impact[at], 0.0)
+
+    def candidates(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, block), rising, of all pairs whose bound reaches the threshold. Input: distinct (passage, term), by passage."""
+        order = np.lexsort((self.most[term], passage))
+        passage, term = passage[order], term[order]
+        first = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+        own = np.repeat(np.arange(len(first)), np.diff(first, append=len(passage)))
+        total = np.cumsum(self.most[term])
+        total = total - (total[first] - self.most[term[first]])[own]  # running sum inside the passage, least impact first
+        aside = total < ASIDE * threshold
+        rest = np.bincount(own, np.where(aside, self.most[term], 0.0), len(first))  # what the terms set aside can add at most
+        p, t = own[~aside], term[~aside]
+        n = self.block_at[t + 1] - self.block_at[t]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        got = []
+        at = 0
+        while at < len(p):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + EXPANDED, side="right")) - 1)
+            to = int(np.searchsorted(p, p[to - 1], side="right"))  # a passage's terms stay together
+            m = n[at:to]
+            place = np.arange(int(m.sum())) + np.repeat(self.block_at[t[at:to]] - np.cumsum(m) + m, m)
+            key, slot = np.unique(np.repeat(p[at:to], m) * self.n_blocks + self.block[place], return_inverse=True)
+            bound = np.bincount(slot, self.block_impact[place], len(key))
+            got.append(key[bound + rest[key // self.n_blocks] >= threshold - SLACK])
+            at = to
+        key = np.concatenate(got) if got else np.zeros(0, np.int64)
+        q, block = key // self.n_blocks, key % self.n_blocks
+        # the terms set aside, looked up in what is left
+        size = np.diff(first, append=len(passage))
+        out = np.zeros(len(key), bool)
+        step = max(1, EXPANDED // int(size.max(initial=1)))
+        for i in range(0, len(key), step):
+            m = size[q[i:i + step]]
+            run = np.repeat(np.arange(len(m)), m)
+            place = np.arange(len(run)) + np.repeat(first[q[i:i + step]] - np.cumsum(m) + m, m)
+            bound = np.bincount(run, self.tops(term[place], block[i:i + step][run]), len(m))
+            out[i:i + step] = bound >= threshold - SLACK
+        return passage[first][q[out]], block[out]
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, term numbers) of the hashes that are terms of the index."""
@@ -103,43 +166,24 @@ class Index:
         ok = self.vocab[t] == hashes[at]
         return at[ok], t[ok]
 
-    def search(self, query: np.ndarray, threshold: float, bounds: np.ndarray) -> list[tuple[int, float]]:
-        """Every (item number, score) with score >= threshold, by block-max WAND over the query's posting lists.
+    def scored(self, key: np.ndarray, passage: np.ndarray, block: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float]]:
+        """Every (passage, item number, score) with score >= threshold among the items of the pairs (passage, block).
 
-        bounds: for each block, the sum of the query's greatest impacts in it. Lists jump to the next block that can
-        reach the threshold; inside one, the pivot is the first item up to which the lists' block maxima can.
+        key: the passages' terms as passage * terms + term, rising. A pair adds up the postings of its block whose term the passage has.
         """
-        docs, got = self.docs, []
-        ends, at = self.at[query + 1], self.at[query].copy()
-        for block in np.flatnonzero(bounds >= threshold - SLACK).tolist():
-            top = self.block_max[query, block]
-            lists = []
-            for i in np.flatnonzero(top > 0).tolist():
-                at[i] += int(docs[at[i]:ends[i]].searchsorted(block * BLOCK))
-                lists.append([int(docs[at[i]]), i])
-            while lists:
-                lists.sort()
-                bound, p = 0.0, 0
-                while p < len(lists) and bound + top[lists[p][1]] < threshold - SLACK:
-                    bound += float(top[lists[p][1]])
-                    p += 1
-                if p == len(lists):
-                    break
-                pivot = lists[p][0]
-                if lists[0][0] == pivot:
-                    here = [c[1] for c in lists if c[0] == pivot]
-                    score = float(self.impact[at[here]].sum())
-                    if score >= threshold:
-                        got.append((pivot, score))
-                    target = pivot + 1
-                else:
-                    target = pivot
-                for c in lists:
-                    while c[0] < target:
-                        at[c[1]] += 1
-                        c[0] = int(docs[at[c[1]]]) if at[c[1]] < ends[c[1]] else LAST
-                lists = [c for c in lists if c[0] < (block + 1) * BLOCK]
-        return got
+        size = self.own_at[block + 1] - self.own_at[block]
+        step = max(1, EXPANDED // int(size.max(initial=1)))
+        for i in range(0, len(block), step):
+            m = size[i:i + step]
+            run = np.repeat(np.arange(len(m)), m)
+            place = self.own[np.arange(len(run)) + np.repeat(self.own_at[block[i:i + step]] - np.cumsum(m) + m, m)]
+            want = passage[i:i + step][run] * len(self.vocab) + self.term[place]
+            at = np.minimum(np.searchsorted(key, want), len(key) - 1)
+            ok = key[at] == want
+            total = np.bincount((run * BLOCK + self.docs[place] % BLOCK)[ok], self.impact[place[ok]], len(m) * BLOCK)
+            for hit in np.flatnonzero(total >= threshold).tolist():
+                pair = i + hit // BLOCK
+                yield int(passage[pair]), int(block[pair]) * BLOCK + hit % BLOCK, float(total[hit])
 
     def whole(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, int, float, float]]:
         """As hits, for the items of few words."""
@@ -175,42 +219,34 @@ class Index:
         before = (q >= 1) & (q - 1 < own)
         passage = np.concatenate([base[row] + own, (base[row] + q - 1)[before]])
         term = np.concatenate([term, term[before]])
-        order = np.argsort(passage, kind="stable")
-        passage, term = passage[order], term[order]
-        step = max(64, (1 << 22) // max(1, len(self.vocab)))
+        key = np.unique(passage * len(self.vocab) + term)
+        passage, term = key // len(self.vocab), key % len(self.vocab)
         best: dict[tuple[int, int], tuple] = {}
-        for lo in range(0, int(base[-1]), step):
-            a, b = np.searchsorted(passage, [lo, lo + step])
-            if a == b:
-                continue
-            has = np.zeros((min(step, int(base[-1]) - lo), len(self.vocab)), np.float32)
-            has[passage[a:b] - lo, term[a:b]] = 1
-            bounds = has @ self.block_max
-            for i in np.flatnonzero(bounds.max(axis=1) >= score - SLACK).tolist():
-                p = lo + i
-                r = int(np.searchsorted(base, p, side="right")) - 1
-                for item, s in self.search(np.flatnonzero(has[i]), score, bounds[i]):
-                    start = int(first[r]) + (p - int(base[r])) * stride
-                    seen = np.unique(grams(hashes[start:min(start + 2 * stride, int(first[r + 1]))], GRAM))
-                    share = [float(np.isin(g, seen).mean()) for g in self.parts[item]]
-                    if min(share) >= overlap and s > best.get((r, item), (0, 0.0))[1]:
-                        best[r, item] = (item, s, start - int(first[r]), *share)
+        hit, block = self.candidates(passage, term, score) if len(key) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for p, item, s in self.scored(key, hit, block, score):
+            r = int(np.searchsorted(base, p, side="right")) - 1
+            if s > best.get((r, item), (0, 0.0))[1]:
+                start = int(first[r]) + (p - int(base[r])) * stride
+                seen = np.unique(grams(hashes[start:min(start + 2 * stride, int(first[r + 1]))], GRAM))
+                share = [float(np.isin(g, seen).mean()) for g in self.parts[item]]
+                if min(share) >= overlap:
+                    best[r, item] = (item, s, start - int(first[r]), *share)
         for (r, item), found in best.items():
             yield (r, *found)
 
 
 def _postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """item, shard, term, tf, n words, and the item's words in order (its answer's words counted by n_answer)."""
+    """The words of each item in order, where its answer begins, and its terms with their counts."""
     for pdf in batches:
         rows = []
-        for item, shard, question, answer in zip(pdf["item"], pdf["shard"], pdf["question"], pdf["answer"]):
+        for item, question, answer in zip(pdf["item"], pdf["question"], pdf["answer"]):
             h, first = terms(pa.array([question, answer]))
             seen, tf = np.unique(h.view(np.int64), return_counts=True)
             # without an answer of its own, the last quarter of an item is its answer
             split = int(first[1]) if first[2] > first[1] else len(h) - max(GRAM, len(h) // 4)
             if len(h):
-                rows.append((item, shard, h.view(np.int64).tolist(), split, seen.tolist(), tf.tolist()))
-        yield pd.DataFrame(rows, columns=["item", "shard", "words", "split", "terms", "tfs"])
+                rows.append((item, h.view(np.int64).tolist(), split, seen.tolist(), tf.tolist()))
+        yield pd.DataFrame(rows, columns=["item", "words", "split", "terms", "tfs"])
 
 
 def _ids(frame: pd.DataFrame) -> list[str | None]:
@@ -251,41 +287,65 @@ def _weights(frame: pd.DataFrame, n_items: int, mean: float) -> Index | None:
     term, doc, impact = np.concatenate(term), np.concatenate(doc), np.concatenate(impact)
     order = np.lexsort((doc, term))
     term, doc, impact = term[order], doc[order], impact[order]
-    block_max = np.zeros((len(vocab), -(-len(frame) // BLOCK)), np.float32)
-    np.maximum.at(block_max, (term, doc // BLOCK), impact.astype(np.float32) * np.float32(1 + 1e-6))
-    return Index(_ids(frame) + _ids(few), parts, vocab, np.searchsorted(term, np.arange(len(vocab) + 1)), doc, impact, block_max,
-                 max(max(map(len, frame.words)), GRAM), short)
+    blocks = -(-len(frame) // BLOCK)
+    key, slot = np.unique(term * blocks + doc // BLOCK, return_inverse=True)
+    top = np.zeros(len(key))
+    np.maximum.at(top, slot, impact)
+    return Index(_ids(frame) + _ids(few), parts, vocab, np.searchsorted(term, np.arange(len(vocab) + 1)), doc, impact,
+                 np.searchsorted(key // blocks, np.arange(len(vocab) + 1)), key % blocks, top, max(max(map(len, frame.words)), GRAM), short)
 
 
-def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", answer: str | None = None) -> list[Index]:
-    """One index for each shard of the benchmark; document frequencies and the mean length are over all items of 8 words or more.
+def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", answer: str | None = None,
+            shard_bytes: int | None = None) -> Iterator[bytes]:
+    """One pickled index for each shard of the benchmark, one at a time; document frequencies and the mean length are over all
+    items of 8 words or more.
 
-    Null texts are empty and not looked for; items under 8 words are looked for whole; rows that repeat an item (id and words) count once.
+    Null texts are empty and not looked for; items under 8 words are looked for whole; rows that repeat an item (id and words)
+    count once. A shard holds items of at most ``shard_bytes`` (``SHARD_BYTES`` if not given; 16 bytes a word), or one longer item; its index is built in a task.
     """
     ship(benchmark.sparkSession)
+    shard_bytes = shard_bytes or SHARD_BYTES
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), text_of(text).alias("question"),
                              (text_of(answer) if answer else F.lit("")).alias("answer"))
-    size = items.agg(F.sum(F.octet_length("question") + F.octet_length("answer"))).first()[0] or 0
-    shards = max(1, -(-int(size) // SHARD_BYTES))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("item", "question"), F.lit(shards)))
-    rows = items.mapInPandas(_postings, "item string, shard long, words array<long>, split int, terms array<long>, tfs array<int>")
-    # rows of equal words are one item, in one shard, whatever their case and punctuation
-    rows = rows.groupBy("item", "words", "split").agg(F.min("shard").alias("shard"), F.first("terms").alias("terms"), F.first("tfs").alias("tfs"))
-    few = rows.filter(F.size("words") < MIN_WORDS).groupBy("item", "words").agg(F.min("shard").alias("shard"), F.min("split").alias("split")) \
-        .select("item", "shard", "words", "split", *[F.array().cast(f"array<{t}>").alias(c) for c, t in (("terms", "long"), ("tfs", "int"), ("dfs", "long"))])
-    rows = rows.filter(F.size("words") >= MIN_WORDS)
-    total = rows.agg(F.count("*"), F.avg(F.size("words"))).first()
-    df = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    flat = rows.select("item", "shard", "words", "split", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \
+    rows = items.mapInPandas(_postings, "item string, words array<long>, split int, terms array<long>, tfs array<int>")
+    # rows of equal words are one item, whatever their case and punctuation
+    rows = rows.groupBy("item", "words", "split").agg(F.first("terms").alias("terms"), F.first("tfs").alias("tfs"))
+    rows = rows.withColumns({"bytes": F.size("words").cast("long") * 16 + 64, "h": F.xxhash64("words")})
+    rows = running(written(rows, "items"), [], [F.col("h"), F.col("item"), F.col("split")], {"before": "bytes"}, "items")
+    rows = written(rows.withColumn("shard", F.floor((F.col("before") + F.col("bytes")) / shard_bytes)).drop("before", "bytes", "h"), "items")
+    few = rows.filter(F.size("words") < MIN_WORDS).select(
+        "item", "shard", "words", "split", *[F.array().cast(f"array<{t}>").alias(c) for c, t in (("terms", "long"), ("tfs", "int"), ("dfs", "long"))])
+    many = rows.filter(F.size("words") >= MIN_WORDS)
+    n_items, mean = many.agg(F.count("*"), F.avg(F.size("words"))).first()
+    df = many.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    flat = many.select("item", "shard", "words", "split", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \
         .select("item", "shard", "words", "split", F.col("z.terms").alias("term"), F.col("z.tfs").alias("tf")).join(df, "term")
     per = flat.groupBy("item", "shard", "words", "split").agg(F.array_sort(F.collect_list(F.struct("term", "tf", "df"))).alias("z")) \
         .select("item", "shard", "words", "split", *[F.col(f"z.{c}").alias(c + "s") for c in ("term", "tf", "df")]).unionByName(few)
-    out = []
-    for s in range(shards):
-        index = _weights(per.filter(F.col("shard") == s).toPandas(), total[0], total[1] or 1.0)
-        if index is not None:
-            out.append(index)
-    return out
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "index": [pickle.dumps(_weights(pdf, n_items, mean or 1.0))]})
+
+    built = written(per.groupBy("shard").applyInPandas(build, "shard long, index binary"), "indexes")
+    for (shard,) in built.select("shard").orderBy("shard").collect():  # a number for each shard
+        yield built.filter(F.col("shard") == shard).first()["index"]
+    discard(built, rows)
+
+
+class Held:
+    """An index as it is broadcast: bytes, read once in each Python worker that needs it."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    @property
+    def index(self) -> Index:
+        if "_index" not in self.__dict__:
+            self._index = pickle.loads(self.data)
+        return self._index
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -303,10 +363,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     t = df.select(F.col(id_col).alias("doc_id"), text_of(text).alias("text"))
     found = None
     for index in indexes(benchmark, item_id, item_text, answer):
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(Held(index))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            index = shared.value.index
             for batch in batches:
                 at, got = 0, []
                 for texts in slices(batch.column(1)):
@@ -328,7 +388,7 @@ def _leaks(shared, score: float, overlap: float):
         for batch in batches:
             bad, at = np.zeros(len(batch), bool), 0
             for texts in slices(pa.array(batch, pa.string())):
-                for r, *_ in shared.value.hits(texts, score, overlap):
+                for r, *_ in shared.value.index.hits(texts, score, overlap):
                     bad[at + r] = True
                 at += len(texts)
             yield pd.Series(bad)
@@ -343,7 +403,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item_
     ship(spark)
     columns = df.columns
     for index in indexes(benchmark, item_id, item_text, answer):
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(Held(index))
 
         name, = fresh(df, "leaks")
         df = df.withColumn(name, F.pandas_udf(_leaks(shared, score, overlap), "boolean")(text_of(df[text]))).filter(~F.col(name))

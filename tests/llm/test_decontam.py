@@ -4,6 +4,8 @@ import random
 import string
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from marketlens.llm.decontam_wand import K1, MIN_WORDS, B, contaminated, decontaminate, indexes
@@ -78,7 +80,7 @@ def test_shards_find_the_same(spark, tables, monkeypatch):
     one = sorted(map(tuple, contaminated(docs, bench).collect()))
     import marketlens.llm.decontam_wand as m
     monkeypatch.setattr(m, "SHARD_BYTES", 2000)
-    assert len(indexes(bench)) > 2
+    assert len(list(indexes(bench))) > 2
     # passages follow each shard's longest item, so their starts may differ
     assert [r[:2] for r in sorted(map(tuple, contaminated(docs, bench).collect()))] == [r[:2] for r in one]
 
@@ -145,3 +147,48 @@ def test_words_of_mixed_texts():
     h, first = terms(pa.array(texts))
     one = {w: int(terms(pa.array([w]))[0][0]) for x in want for w in x}
     assert [h[a:b].tolist() for a, b in zip(first, first[1:])] == [[one[w] for w in x] for x in want] and len(set(one.values())) == len(one)
+
+
+def _zipf_items(n, words, rng):
+    """Items of 15 to 44 words drawn by Zipf's law, as rows of ``_weights``."""
+    out, df = [], {}
+    for i in range(n):
+        w = np.minimum(rng.zipf(1.3, rng.integers(15, 45)), words).astype(np.int64) * 7919
+        t, tf = np.unique(w, return_counts=True)
+        out.append((f"{i:06d}", w.tolist(), len(w) - 4, t.tolist(), tf.tolist()))
+        for x in t.tolist():
+            df[x] = df.get(x, 0) + 1
+    frame = pd.DataFrame(out, columns=["item", "words", "split", "terms", "tfs"])
+    return frame.assign(dfs=[[df[x] for x in t] for t in frame.terms])
+
+
+def test_candidates_are_the_blocks_whose_bound_reaches_the_threshold(monkeypatch):
+    import marketlens.llm.decontam_wand as m
+    monkeypatch.setattr(m, "EXPANDED", 500)  # many runs
+    rng = np.random.default_rng(0)
+    frame = _zipf_items(200, 3000, rng)
+    index = m._weights(frame, 200, 30.0)
+    dense = np.zeros((len(index.vocab), index.n_blocks))
+    dense[np.repeat(np.arange(len(index.vocab)), np.diff(index.block_at)), index.block] = index.block_impact
+    passage, term = [], []
+    for p in range(60):  # some passages hold a whole item and more
+        some = rng.integers(0, len(index.vocab), rng.integers(1, 40))
+        if p % 2:
+            own = np.searchsorted(index.vocab, np.unique(np.array(frame.words[p], np.int64).view(np.uint64)))
+            some = np.concatenate([some, own])
+        some = np.unique(some)
+        passage += [p] * len(some)
+        term += some.tolist()
+    passage, term = np.array(passage), np.array(term)
+    got = set(zip(*(x.tolist() for x in index.candidates(passage, term, 0.6))))
+    want = {(p, b) for p in range(60) for b in np.flatnonzero(dense[term[passage == p]].sum(axis=0) >= 0.6 - m.SLACK).tolist()}
+    assert got == want and len(want) >= 30
+
+
+def test_a_full_shard_is_small():
+    import pickle
+
+    import marketlens.llm.decontam_wand as m
+    rng = np.random.default_rng(1)
+    index = m._weights(_zipf_items(4400, 60_000, rng), 4400, 30.0)  # about SHARD_BYTES at 16 bytes a word
+    assert len(pickle.dumps(index)) < 20 << 20 and index.n_blocks * len(index.vocab) * 4 > 4 * len(pickle.dumps(index))
