@@ -42,6 +42,9 @@ _WORD = re.compile(r"[^ \t-\r]+")
 #: Words before a token that speak for a kind.
 CUES = {"email": 0, "mail": 0, "contact": 0, "ip": 1, "host": 1, "server": 1, "card": 2, "visa": 2, "credit": 2,
         "phone": 3, "tel": 3, "call": 3, "fax": 3, "mobile": 3}
+#: Local parts that name a role, not a person: as words they are no personal data.
+ROLES = {"account", "accounts", "admin", "billing", "contact", "feedback", "hello", "help", "helpdesk", "info", "jobs", "mail", "marketing", "news",
+         "newsletter", "noreply", "office", "postmaster", "press", "root", "sales", "security", "service", "support", "team", "webmaster"}
 LABELS = 1 + len(KINDS)
 FEATURES = 1 + 8 + 9 + len(KINDS)
 #: Training texts, their greatest size in bytes; weight of a pattern match; least weight of agreement.
@@ -323,11 +326,36 @@ def _line(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
+def repeats(kind: int, word: str, match: str) -> bool:
+    """Whether a word repeats a pattern match of a kind, told by what makes up that kind.
+
+    An address: the letters and digits of its local part, at least four, unless that names a role. An ip: the same with its dots.
+    A card: all its digits. A phone: at least seven digits that end it, or its last nine. Words that stand together may each repeat it.
+    """
+    several = _WORD.findall(word)
+    if len(several) > 1 and all(repeats(kind, w, match) for w in several):
+        return True
+    word = word.strip(".,;:!?()[]<>{}\"'")
+    if kind == 0:
+        local, own = (_PLAIN.sub("", x.split("@")[0]).lower() for x in (match, word))
+        return own == local and len(local) >= 4 and local not in ROLES
+    if kind == 1:
+        return word == match
+    digits, own = "".join(_DIGITS.findall(match)), "".join(_DIGITS.findall(word))
+    if _PLAIN.sub("", word) != own:
+        return False
+    if kind == 2:
+        return own == digits
+    return 7 <= len(own) <= 15 and (digits.endswith(own) or len(own) >= 9 and own[-9:] == digits[-9:])
+
+
 def find(field: Field, texts: list[str]) -> pd.DataFrame:
     base = [base_spans(t) if _EVIDENCE.search(t) else [] for t in texts]
     more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for i, *span in field.added(graph(texts, base)):
-        more[i].append(tuple(span))
+        kind, a, b = span
+        if any(k == kind and repeats(kind, texts[i][a:b], texts[i][c:d]) for k, c, d in base[i]):
+            more[i].append((kind, a, b))
     rows = [(*[sum(s[0] == k for s in b) for k in range(len(KINDS))], hashlib.sha256(_line(b).encode()).hexdigest(),
              _line(b + m), len(m)) for b, m in zip(base, more)]
     return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])

@@ -111,7 +111,7 @@ class Model:
 def _distinct(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(document, hash, number of documents before) of the distinct n-grams of each text, run by run and size by size."""
     at = 0
-    for run in byte_batches(texts):
+    for run in byte_batches(texts, 1 << 18):
         for d, h in _every(run, sizes):
             order = np.lexsort((h, d))
             d, h = d[order], h[order]

@@ -126,6 +126,23 @@ def test_repeated_local_part_without_a_digit(field):
     assert added(field, "\u6f22\U0001f600 jane@a.example.com " + plain + " \U0001f600 <jane> ") == [("email", "jane")]
 
 
+def test_look_alikes_add_nothing(field):
+    for text in ("server 10.0.0.1 is up; order 10001, zip 10001", "ip 192.168.1.10 was seen; call 5552168110 or part 2168110",
+                 "visa 4111111111111111 was used; ref 1111111 code 9991111111", "write to info@example.com for info, more info",
+                 "ask sales@example.com why sales rose", "card 4111111111111111 not 4111111111111112 nor 4111111111111113",
+                 "numbers 1234567812345678 and 4000000000000001 fail"):
+        assert pii_crf.find(field, [text]).iloc[0].n_added == 0, text
+
+
+def test_every_added_span_repeats_an_entity_of_its_document(spark, field):
+    rows = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    for text, spans in zip(rows, pii_crf.find(field, rows).spans):
+        base = base_spans(text)
+        for s in set(spans.split(",")) - {f"{KINDS[k]}:{a}:{b}" for k, a, b in base} - {""}:
+            kind, a, b = s.split(":")
+            assert any(KINDS[k] == kind and pii_crf.repeats(k, text[int(a):int(b)], text[c:d]) for k, c, d in base), (s, text[int(a):int(b)])
+
+
 def test_edges_are_linear_in_repeats():
     text = " ".join(["5552678"] * 500)
     g = graph([text + " x " + text.replace(" ", " word word ")], [[]])
