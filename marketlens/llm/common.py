@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 #: Word characters of the shingle and passage operators: everything but ASCII white space.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+#: Most keys (8 bytes each) that are broadcast to rows where they lie; more keys meet the rows by a shuffle.
+BROADCAST_KEYS = 1 << 20
 
 _SHIPPED: set[str] = set()
 
@@ -77,6 +80,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def few(keys: DataFrame, limit: int | None = None) -> DataFrame | None:
+    """``keys`` marked for broadcast if it has at most BROADCAST_KEYS rows (counted; a table of ``written``), else None."""
+    return F.broadcast(keys) if keys.count() <= (BROADCAST_KEYS if limit is None else limit) else None
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int = 8 << 20) -> Iterator[None]:
+    """Arrow batches of about ``limit`` bytes at most, whatever the length of the texts, for jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``written`` that nothing reads any more."""
     for t in tables:

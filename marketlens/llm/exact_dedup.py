@@ -1,12 +1,14 @@
 """Operator 9 [native]: exact dedup by 128-bit content hash with a comparison of the bytes.
 
 Three passes of built-in functions only. (1) md5 of every text, counted per
-hash: a hash met once is a text met once. (2) Only texts whose hash repeats are
-compared whole: grouping by (hash, text) compares bytes, so two texts with one
-hash become two groups; counts and the staying id are combined map-side, so a
-group that holds a third of all rows shuffles one row for each task. (3) Rows
-look up their group by hash, and by SHA-256 as well, so a collision of md5
-falls to the right group.
+hash: a hash met once is a text met once. The hashes that repeat are written,
+8 bytes each. (2) Only texts whose hash repeats move: where the list is within
+a million keys it is broadcast and texts are filtered where they lie, beyond
+that texts meet it by a shuffle. Grouping by (hash, text) compares bytes, so
+two texts with one hash become two groups; counts and the staying id are
+combined map-side, so a group that holds a third of all rows shuffles one row
+for each task. (3) Rows look up their group by hash, and by SHA-256 as well, so
+a collision of md5 falls to the right group.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import fresh, text_of
+from marketlens.llm.common import few, fresh, text_of, written
 
 
 def _hashes(text) -> tuple:
@@ -23,14 +25,20 @@ def _hashes(text) -> tuple:
     return F.coalesce(F.unhex(F.md5(data)), F.lit(b"")), F.coalesce(F.sha2(data, 256), F.lit(""))
 
 
-def _groups(keyed: DataFrame) -> DataFrame:
-    """(h, sha, keep_id, group_size, top_rows) of texts that occur more than once; keyed: id, text, h.
+def _keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    t = df.select(F.col(id_col).alias("id"), text_of(text).alias("t"))
+    return t.withColumn("h", F.unhex(F.md5(F.col("t").cast("binary"))))
 
-    top_rows counts rows that repeat the staying id with the same text.
-    """
-    repeated = keyed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    texts = keyed.join(repeated, "h", "left_semi")
-    by_text = texts.groupBy("h", "t").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+
+def _repeated(keyed: DataFrame, k: str = "k") -> DataFrame:
+    """The 64-bit keys of hashes that more than one row has, one row a key."""
+    repeated = keyed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    return written(repeated.select(F.xxhash64("h").alias(k)).distinct(), "repeated")
+
+
+def _groups(keyed: DataFrame) -> DataFrame:
+    """(h, sha, keep_id, group_size) of texts that occur more than once; keyed: id, t, h of rows whose hash may repeat."""
+    by_text = keyed.groupBy("h", "t").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
     return by_text.filter("group_size > 1").select(
         "h", F.sha2(F.col("t").cast("binary"), 256).alias("sha"), "keep_id", "group_size")
 
@@ -42,10 +50,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     a group that has no other (keep_id is then null). Rows that repeat both id and text all carry
     that id, so each says kept; ``exact_dedup`` leaves one of them. Other columns are ignored.
     """
-    t = df.select(F.col(id_col).alias("id"), text_of(text).alias("t"))
-    t = t.withColumn("h", F.unhex(F.md5(F.col("t").cast("binary"))))
+    t = _keyed(df, id_col, text)
+    keys = _repeated(t)
+    texts = t.join(few(keys) or keys, F.xxhash64("h") == F.col("k"), "left_semi")
     rows = t.select("id", "h", F.sha2(F.col("t").cast("binary"), 256).alias("sha"))
-    out = rows.join(_groups(t), ["h", "sha"], "left")
+    out = rows.join(_groups(texts), ["h", "sha"], "left")
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("id")).otherwise(F.col("keep_id"))
     return out.select(F.col("id").alias("doc_id"), keep.alias("keep_id"),
@@ -56,11 +65,24 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: for equal texts the row with the largest id.
 
-    Rows that repeat id and text leave one: such rows alone are reduced by id and hash. Texts met once never move.
+    Rows that repeat id and text leave one: such rows alone are reduced by id and hash. Texts met once never move while
+    the hashes that repeat are few enough for a broadcast; beyond that every row meets its group by a shuffle.
     """
-    h, sha, keep, size, n = fresh(df, "h", "sha", "keep_id", "group_size", "n")
-    t = df.select(F.col(id_col).alias("id"), text_of(text).alias("t"))
-    t = t.withColumn("h", F.unhex(F.md5(F.col("t").cast("binary"))))
+    h, sha, keep, size, n, k = fresh(df, "h", "sha", "keep_id", "group_size", "n", "k")
+    keys = _repeated(_keyed(df, id_col, text), k)
+    listed = few(keys)
+    if listed is None:
+        return _stay(df, keys, id_col, text, h, sha, keep, size, n, k)
+    meets = F.xxhash64(_hashes(text_of(df[text]))[0]) == F.col(k)
+    some = written(df.join(listed, meets, "left_semi"), "copies")
+    return df.join(listed, meets, "left_anti").unionByName(_stay(some, None, id_col, text, h, sha, keep, size, n, k))
+
+
+def _stay(df: DataFrame, keys: DataFrame | None, id_col: str, text: str, h: str, sha: str, keep: str, size: str, n: str, k: str) -> DataFrame:
+    """The rows that stay; ``keys`` None: the hash of every row may repeat."""
+    t = _keyed(df, id_col, text)
+    if keys is not None:
+        t = t.join(keys, F.xxhash64("h") == F.col(k), "left_semi")
     groups = _groups(t)
     twice = t.groupBy("id", "h").agg(F.count("*").alias("n")).filter("n > 1").select(
         F.col("id").alias(keep), F.col("h").alias(h), F.col("n").alias(n))

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from marketlens.llm.bagminhash import band_keys, overlap, shingle_sets, signatures
-from marketlens.llm.common import fresh, ship, text_of, written
+from marketlens.llm.bagminhash import band_keys, shingle_sets, signatures
+from marketlens.llm.common import batch_bytes, few, fresh, ship, text_of, written
 from marketlens.llm.components import components
 from marketlens.llm.hashing import buffers, slices
 
 THRESHOLD = 0.8
-#: Outliers and members of a cell of step 3.
-CELL_OUTLIERS, CELL_MEMBERS = 256, 1024
+#: Outliers and members of a cell of step 3, and bytes of text of either.
+CELL_OUTLIERS, CELL_MEMBERS, CELL_BYTES = 256, 1024, 8 << 20
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,22 +71,41 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([float(np.mean(np.frombuffer(x, "<u2") == np.frombuffer(y, "<u2"))) for x, y in zip(a, b)], dtype=float)
 
 
+def _verify(threshold: float):
+    """Rows (u, v, text, text2) whose multisets of shingles overlap by ``threshold``, as (u, v)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = (np.asarray(batch.column(i)) for i in (0, 1))
+            near, at = np.zeros(len(u), bool), 0
+            for texts in slices(batch.column(2)):
+                n = len(texts)
+                pivot = v[at:at + n]
+                new = np.concatenate([[True], pivot[1:] != pivot[:-1]])  # rows of one pivot come together
+                h, w, first = shingle_sets(*buffers(texts))
+                h2, w2, first2 = shingle_sets(*buffers(batch.column(3).slice(at, n).take(pa.array(np.flatnonzero(new)))))
+                for i, j in enumerate((np.cumsum(new) - 1).tolist()):
+                    near[at + i] = _similar(h, w, first[i], first[i + 1], h2, w2, first2[j], first2[j + 1]) >= threshold
+                at += n
+            yield pa.RecordBatch.from_arrays([pa.array(u[near], pa.int64()), pa.array(v[near], pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _similar(h: np.ndarray, w: np.ndarray, a: int, b: int, h2: np.ndarray, w2: np.ndarray, a2: int, b2: int) -> float:
+    """Weighted Jaccard similarity of entries a to b and a2 to b2 of two lists of sorted shingles with their counts."""
+    if a == b or a2 == b2:
+        return 0.0
+    at = np.minimum(np.searchsorted(h2[a2:b2], h[a:b]), b2 - a2 - 1) + a2
+    common = int(np.minimum(w[a:b], w2[at])[h2[at] == h[a:b]].sum())
+    return common / (int(w[a:b].sum()) + int(w2[a2:b2].sum()) - common)
+
+
 def _multiset(text: str) -> np.ndarray:
     raw = np.frombuffer(text.encode(), np.uint8)
     h, w, _ = shingle_sets(raw, np.array([0, len(raw)]))
     return np.repeat(h, w)
 
 
-@F.pandas_udf(DoubleType())
-def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    out, last, known = [], None, None
-    for x, y in zip(a, b):
-        if y != last:  # rows of one pivot come together
-            last, known = y, _multiset(y)
-        out.append(overlap(_multiset(x), known))
-    return pd.Series(out, dtype=float)
-
-
 def _cell(threshold: float):
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         outliers, members = pdf[pdf.side == 0], pdf[pdf.side == 1]
@@ -132,9 +151,9 @@ def _links_to_pivots(members: DataFrame, pivots: DataFrame, sigs: DataFrame, tex
     pairs = pairs.select("node", "pivot", _agreement("sig", "sig2").alias("est"))
     best = pairs.groupBy("node").agg(F.max(F.struct("est", -F.col("pivot"))).alias("b"))
     best = best.select("node", (-F.col("b.col2")).alias("pivot"))
+    texts = texts.select("node", "text")
     two = best.join(texts, "node").join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("text2")), "pivot")
-    return two.select(F.col("node").alias("u"), F.col("pivot").alias("v"), _overlap("text", "text2").alias("sim")) \
-        .filter(F.col("sim") >= threshold).select("u", "v")
+    return two.select("node", "pivot", "text", "text2").mapInArrow(_verify(threshold), "u long, v long")
 
 
 def _links_of_outliers(members: DataFrame, pivots: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -153,8 +172,13 @@ def _links_of_outliers(members: DataFrame, pivots: DataFrame, classes: DataFrame
     keys = out.select("node", "key").join(group.select("node", "grp"), "node").select("grp", "key").distinct()
     others = keys.join(m.select("key", "node", "label"), "key").select("grp", "node", "label").distinct()
     others = written(others, "others")
-    blocks = group.groupBy("grp").agg(F.ceil(F.count("*") / CELL_OUTLIERS).alias("ub")).join(
-        others.groupBy("grp").agg(F.ceil(F.count("*") / CELL_MEMBERS).alias("vb")), "grp")
+    sizes = texts.select("node", "bytes")
+
+    def block(rows: DataFrame, most: int, name: str) -> DataFrame:
+        need = F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("bytes") / CELL_BYTES))
+        return rows.join(sizes, "node").groupBy("grp").agg(need.alias(name))
+
+    blocks = block(group, CELL_OUTLIERS, "ub").join(block(others, CELL_MEMBERS, "vb"), "grp")
 
     def cells(side: int, rows: DataFrame) -> DataFrame:
         own, other = ("ub", "vb") if side == 0 else ("vb", "ub")
@@ -163,7 +187,7 @@ def _links_of_outliers(members: DataFrame, pivots: DataFrame, classes: DataFrame
         u, v = ("own", "other") if side == 0 else ("other", "own")
         return at.select("grp", F.col(u).alias("u"), F.col(v).alias("v"), F.lit(side).alias("side"), "node", "label")
 
-    rows = cells(0, group).unionByName(cells(1, others)).join(texts, "node")
+    rows = cells(0, group).unionByName(cells(1, others)).join(texts.select("node", "text"), "node")
     return rows.groupBy("grp", "u", "v").applyInPandas(_cell(threshold), "u long, v long")
 
 
@@ -183,7 +207,11 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", thre
     (and null ones, which count as empty) are near nothing, but equal ones are one class. Rows with one id are one document; rows
     without an id get null for both. class_size counts rows. Other columns are ignored; an empty table gives none.
     """
-    spark = df.sparkSession
+    with batch_bytes(df.sparkSession):
+        return _classes(df, id_col, text, threshold)
+
+
+def _classes(df: DataFrame, id_col: str, text: str, threshold: float) -> DataFrame:
     signed = written(sign(df, id_col, text), "signed")
     least = signed.groupBy("h").agg(F.min("id").alias("node"))
     who = written(signed.select("id", "h").join(least, "h").select("id", "node"), "nodes")
@@ -191,10 +219,11 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", thre
     banded = reps.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("size")).filter("a < b")
     members = written(banded.join(shared.select("key", "size"), "key").select("key", "node", "size").distinct(), "buckets")
-    nodes = members.select("node").distinct()
+    nodes = written(members.select("node").distinct(), "members")
+    nodes = few(nodes) or nodes  # texts that are near nothing do not move
     texts = df.select(F.col(id_col).cast("long").alias("node"), text_of(text).alias("text")) \
         .join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    texts = written(texts, "texts")
+    texts = written(texts.withColumn("bytes", F.octet_length("text").cast("long")), "texts")
     sigs = written(reps.select("node", "sig").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sigs")
     pivots = written(_pivots(members), "pivots")
     links = written(_links_to_pivots(members, pivots, sigs, texts, threshold), "links")

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from marketlens.llm import common, near_dedup as operator
 from marketlens.llm.bagminhash import overlap, shingle_sets, signatures
 from marketlens.llm.components import components
 from marketlens.llm.near_dedup import near_classes, near_dedup
@@ -61,6 +62,25 @@ def test_chain_of_edits_with_hidden_links(spark):
     assert got == brute(rows)
 
 
+def test_lists_beyond_a_broadcast_and_cells_of_few_bytes(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(operator, "CELL_BYTES", 4000)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+    rows = [(i, " ".join(base[:60] + [f"e{rng.randrange(3)}" if rng.random() < 0.05 else w for w in base[60:]])) for i in range(40)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    got = {r.doc_id: r.class_id for r in near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_similarity_of_sorted_lists_equals_overlap():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = (np.sort(rng.integers(0, 12, rng.integers(0, 15)).astype(np.uint64)) for _ in range(2))
+        (h, w), (h2, w2) = (np.unique(x, return_counts=True) for x in (a, b))
+        assert abs(operator._similar(h, w, 0, len(h), h2, w2, 0, len(h2)) - overlap(a, b)) < 1e-12
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     common = [f"c{i}" for i in rng.integers(0, 40, 300)]

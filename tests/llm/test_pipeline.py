@@ -6,6 +6,7 @@ import numpy as np
 
 import corpus_pipeline
 from marketlens.llm import toxicity_nb
+from marketlens.llm import common
 from marketlens.llm.exact_dedup import exact_dedup, exact_groups
 from marketlens.llm.packing_kk import CAPACITY, karmarkar_karp, pack, pack_documents
 from marketlens.llm.token_counts import PieceEncoder, token_counts, tokenizer_path
@@ -84,6 +85,16 @@ def test_stages_keep_the_columns(spark, edges):
         assert out.columns == edges.columns and out.count() > 0, name
 
 
+def test_exact_dedup_meets_more_hashes_than_a_broadcast_by_a_shuffle(spark, edges, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(spark.read.parquet(f"{SF}/documents.parquet"))
+    few = {name: f(docs).select("doc_id").collect() for name, f in (("groups", exact_groups), ("stay", exact_dedup))}
+    odd = sorted(exact_dedup(edges).collect(), key=repr)
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    assert sorted(exact_groups(docs).select("doc_id").collect()) == sorted(few["groups"])
+    assert sorted(exact_dedup(docs).select("doc_id").collect()) == sorted(few["stay"])
+    assert sorted(exact_dedup(edges).collect(), key=repr) == odd
+
+
 def test_exact_dedup(spark, edges, nothing):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
