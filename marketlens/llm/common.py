@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,6 +100,42 @@ def batch_bytes(spark: SparkSession, limit: int = 8 << 20) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: What a Python worker keeps between its tasks: the operator that keeps it, and how it is forgotten.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, forget: Callable[[], None]) -> None:
+    _KEPT[owner] = forget
+
+
+def _begin(owner: str) -> None:
+    for other in [k for k in _KEPT if k != owner]:
+        _KEPT.pop(other)()
+
+
+def _end() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """``run``, a function of a partition's batches, for workers that live on from task to task and operator to operator.
+
+    What another operator keeps is forgotten first, and freed memory goes back to the system after the last batch.
+    """
+    @wraps(run)
+    def inner(batches):
+        _begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            _end()
+
+    return inner
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``written`` that nothing reads any more."""
     for t in tables:

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import discard, fresh, running, ship, text_of, written
+from marketlens.llm.common import discard, fresh, lean, running, ship, text_of, written
 from marketlens.llm.hashing import buffers, grams, slices, word_hashes, words
 
 K1, B = 1.2, 0.75
@@ -377,7 +377,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
                                                      names=["doc_id", "item_id", "score", "passage_start", "question_overlap", "answer_overlap"])
 
-        part = t.mapInArrow(run, schema)
+        part = t.mapInArrow(lean(run), schema)
         found = part if found is None else found.unionByName(part)
     found = found if found is not None else spark.createDataFrame([], schema)
     return found.withColumn("item_id", F.col("item_id").cast(kind))
@@ -406,6 +406,6 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item_
         shared = spark.sparkContext.broadcast(Held(index))
 
         name, = fresh(df, "leaks")
-        df = df.withColumn(name, F.pandas_udf(_leaks(shared, score, overlap), "boolean")(text_of(df[text]))).filter(~F.col(name))
+        df = df.withColumn(name, F.pandas_udf(lean(_leaks(shared, score, overlap)), "boolean")(text_of(df[text]))).filter(~F.col(name))
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     return df

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from marketlens.llm.bagminhash import band_keys, shingle_sets, signatures
-from marketlens.llm.common import batch_bytes, few, fresh, ship, text_of, written
+from marketlens.llm.common import batch_bytes, few, fresh, lean, ship, text_of, written
 from marketlens.llm.components import components
 from marketlens.llm.hashing import buffers, slices
 
@@ -63,7 +63,7 @@ def sign(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame
     """id, md5 of the text, band keys and 16-bit registers of every row with an id."""
     ship(df.sparkSession)
     t = df.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text")).filter("id IS NOT NULL")
-    return t.mapInArrow(_sign, "id long, h binary, bands array<long>, sig binary")
+    return t.mapInArrow(lean(_sign), "id long, h binary, bands array<long>, sig binary")
 
 
 @F.pandas_udf(DoubleType())
@@ -153,7 +153,7 @@ def _links_to_pivots(members: DataFrame, pivots: DataFrame, sigs: DataFrame, tex
     best = best.select("node", (-F.col("b.col2")).alias("pivot"))
     texts = texts.select("node", "text")
     two = best.join(texts, "node").join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("text2")), "pivot")
-    return two.select("node", "pivot", "text", "text2").mapInArrow(_verify(threshold), "u long, v long")
+    return two.select("node", "pivot", "text", "text2").mapInArrow(lean(_verify(threshold)), "u long, v long")
 
 
 def _links_of_outliers(members: DataFrame, pivots: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import byte_batches, ship, text_of
+from marketlens.llm.common import byte_batches, lean, ship, text_of
 from marketlens.llm.token_counts import encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -207,4 +207,4 @@ def pack_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", pa
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     t = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return t.mapInArrow(run, PIECES)
+    return t.mapInArrow(lean(run, "tokens"), PIECES)

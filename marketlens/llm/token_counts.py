@@ -12,14 +12,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import byte_batches, ship, text_of
+from marketlens.llm.common import byte_batches, keep, lean, ship, text_of
 
 #: The pre-token rule of word_bpe_49k.json, narrowed to Latin text. Other text goes to the library whole.
 _LETTER = "a-zªµºÀ-ÖØ-öø-ſ"
@@ -147,7 +147,8 @@ class PieceEncoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each Python worker, kept between its tasks."""
+    """One encoder for each Python worker, kept between its tasks until another operator's begin."""
+    keep("tokens", encoder.cache_clear)
     return PieceEncoder(path)
 
 
@@ -155,6 +156,7 @@ def token_count_column(text, path: str):
     """Column of token counts of whole texts (null: 0)."""
 
     @F.pandas_udf("long")
+    @partial(lean, owner="tokens")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder(path)
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import byte_batches, discard, fresh, held_out, ship, text_of, written
+from marketlens.llm.common import byte_batches, discard, fresh, held_out, lean, ship, text_of, written
 from marketlens.llm.labelled import training_rows
 
 THRESHOLD = 0.7
@@ -182,7 +182,7 @@ def train(rows: DataFrame, sizes: tuple[int, ...] = SIZES, rounds: int = 300) ->
     if not 0 < n1 < n:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -30.0, sizes)
     t = rows.select("text", F.col("y").cast("long").alias("y"))
-    counts = t.mapInArrow(_counted(sizes), "h long, n long, toxic long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    counts = t.mapInArrow(lean(_counted(sizes)), "h long, n long, toxic long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     ratio = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (n - n1 + 1))
     good = counts.filter(F.col("n") >= MIN_DOCS).withColumn("ratio", ratio).filter(F.col("ratio") >= MIN_RATIO)
     kept = good.orderBy((F.col("ratio") * F.sqrt("n")).desc(), "h").limit(FEATURES).select("h", "ratio").toPandas()
@@ -192,7 +192,7 @@ def train(rows: DataFrame, sizes: tuple[int, ...] = SIZES, rounds: int = 300) ->
     order = np.argsort(h)
     h, r = h[order], kept["ratio"].to_numpy()[order]
     shared = spark.sparkContext.broadcast(h)
-    entries = t.mapInArrow(_entries(shared, sizes), "y long, f array<int>").orderBy("y", "f").toPandas()
+    entries = t.mapInArrow(lean(_entries(shared, sizes)), "y long, f array<int>").orderBy("y", "f").toPandas()
     shared.destroy()
     doc = np.repeat(np.arange(len(entries)), entries["f"].map(len).to_numpy(int))
     weights, bias = _regression(doc, np.concatenate(entries["f"].tolist()).astype(np.int64), r, entries["y"].to_numpy(float), rounds)
@@ -213,6 +213,7 @@ def score_column(model: Model, text, spark):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @lean
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             runs = [shared.value.scores(run) for run in byte_batches(batch, 1 << 18)]
