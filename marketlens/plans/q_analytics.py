@@ -9,6 +9,7 @@ from marketlens.operators import corr as co
 from marketlens.operators import regimes as rg
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead, roll
+from marketlens.session import cut_lineage
 from marketlens.sources.tables import daily_bars, level_bars, table
 
 P = Panel()
@@ -182,3 +183,18 @@ def m14_m15_gmm_regimes(spark, sf):
     """M14 + M15: pooled 3-component Gaussian mixture on z-scored W27 features, named, with probabilities."""
     d = rg.gmm_regimes(_w27(spark, sf), k=3, starts=10)
     return d.select("symbol", "date", "cluster", "regime", *[c for c in d.columns if c.startswith(("regime_prob_", "is_"))])
+
+
+@query("m15_regime_probabilities", f"""WITH {_W27} SELECT symbol, date, CAST(1 AS DOUBLE) AS probability_sum, 1 AS flags, true AS likeliest, true AS named_by_return FROM w27""")
+def m15_regime_probabilities(spark, sf):
+    """M15 on every row of the mixture of M14: probabilities add up to 1, one flag is set and it is that of the likeliest regime,
+    and bear, sideways and bull are ordered by their mean return."""
+    d = cut_lineage(rg.gmm_regimes(_w27(spark, sf), k=3, starts=10))
+    names = rg.REGIME_LABELS
+    mean = {r["regime"]: r["m"] for r in d.groupBy("regime").agg(F.avg("returns").alias("m")).collect()}  # three rows
+    ordered = [mean[x] for x in names if x in mean]
+    probs = [F.col(f"regime_prob_{x}") for x in names]
+    own = F.coalesce(*[F.when(F.col("regime") == x, p) for x, p in zip(names, probs)])
+    return rounded(d.select("symbol", "date", sum(probs[1:], probs[0]).alias("probability_sum"),
+                            sum([F.col(f"is_{x}") for x in names[1:]], F.col(f"is_{names[0]}")).alias("flags"),
+                            (own >= F.greatest(*probs)).alias("likeliest"), F.lit(ordered == sorted(ordered)).alias("named_by_return")), 6)

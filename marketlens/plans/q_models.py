@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from marketlens.functions.panel import Panel, sdiv
@@ -25,6 +26,7 @@ from marketlens.operators import splits as sp
 from marketlens.operators.knn_mi import knn_mutual_information
 from marketlens.plans.registry import query, rounded
 from marketlens.plans.sqlkit import BARS, LEVEL, R, lag, lead
+from marketlens.session import cut_lineage
 from marketlens.sources.tables import daily_bars, level_bars, table
 
 P = Panel()
@@ -149,6 +151,38 @@ def m3_boosted_three_classes(spark, sf):
     return m.transform(te).select("symbol", "date", F.col("_label_idx").alias("label"), "prediction")
 
 
+# trees small enough for SQL: one split over the 50 quantities of all line items, best by squared error or by Gini impurity
+def _stump_sql(name: str, y: str, src: str) -> str:
+    """CTE with the best single split of ``y`` on q: cut, mean up to it, mean beyond it."""
+    return f"""{name}g AS (SELECT q, count(*) AS n, sum({y}) AS s FROM {src} GROUP BY q),
+{name}c AS (SELECT q, sum(n) OVER (ORDER BY q) AS ln, sum(s) OVER (ORDER BY q) AS ls, sum(n) OVER () AS n, sum(s) OVER () AS s FROM {name}g),
+{name} AS (SELECT q AS cut, ls / ln AS lo, (s - ls) / (n - ln) AS hi FROM {name}c WHERE ln < n ORDER BY ls * ls / ln + (s - ls) ^ 2 / (n - ln) DESC, q LIMIT 1)"""
+
+
+@query("m1_m2_m3_trees_of_one_split", f"""WITH d AS (SELECT l_quantity AS q, l_extendedprice AS y, CASE WHEN l_extendedprice > 40000 THEN 1.0 ELSE 0.0 END AS up FROM lineitem),
+{_stump_sql('one', 'y', 'd')}, e AS (SELECT q, 2 * (y - CASE WHEN q <= cut THEN lo ELSE hi END) AS r FROM d, one), {_stump_sql('two', 'r', 'e')},
+{_stump_sql('cls', 'up', 'd')}, qs AS (SELECT q, count(*) AS n FROM d GROUP BY q),
+p AS (SELECT q, n, CASE WHEN q <= one.cut THEN one.lo ELSE one.hi END AS a, CASE WHEN q <= two.cut THEN two.lo ELSE two.hi END AS b,
+  CASE WHEN CASE WHEN q <= cls.cut THEN cls.lo ELSE cls.hi END > 0.5 THEN 1.0 ELSE 0.0 END AS c FROM qs, one, two, cls)
+SELECT 'forest' AS model, q AS quantity, n, {R('a', 'prediction', 2)} FROM p
+UNION ALL SELECT 'boosted', q, n, {R('a + 0.5 * b', 'prediction', 2)} FROM p UNION ALL SELECT 'forest_classifier', q, n, {R('c', 'prediction', 2)} FROM p""")
+def m1_m2_m3_trees_of_one_split(spark, sf):
+    """M1 (two rounds at rate 0.5), M2 and M3 (one tree) with trees of one split, fitted on all line items: price, or price above 40,000, by quantity."""
+    d = md.sized(table(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("y"),
+                                                     (F.col("l_extendedprice") > 40000).cast("double").alias("up")))
+    forest = md.forest_regressor(["quantity"], "y", num_trees=1, max_depth=1)
+    forest.getStages()[-1].setMaxBins(64).setBootstrap(False)
+    fitted = md.fit_all({
+        "forest": (forest, d),
+        "boosted": (md.boosted_regressor(["quantity"], "y", maxIter=2, maxDepth=1, stepSize=0.5, subsamplingRate=1.0, featureSubsetStrategy="all", maxBins=64), d),
+        "forest_classifier": (md.direction_classifier(["quantity"], "up", "forest", numTrees=1, maxDepth=1, maxBins=64, bootstrap=False), d)})
+    values, out = d.groupBy("quantity").agg(F.count("*").alias("n")), None
+    for name, m in fitted.items():
+        x = m.transform(values).select(F.lit(name).alias("model"), "quantity", "n", "prediction")
+        out = x if out is None else out.unionByName(x)
+    return rounded(out, 2)
+
+
 @query("m4_ridge")
 def m4_ridge(spark, sf):
     """M4: ridge (alpha 1) with sklearn's objective mapped to Spark's parameters."""
@@ -263,6 +297,49 @@ def m17_champion_of_columns(spark, sf):
     return rounded(mets.withColumn("is_champion", F.col("model") == ev.champion(mets, "rmse")), 6)
 
 
+_RIDGES = f"""mo AS (SELECT count(*) AS k, avg(m5) AS u, avg(m1) AS v, avg(y) AS w FROM ok),
+ms AS (SELECT sum((m5 - u) ^ 2) AS a, sum((m5 - u) * (m1 - v)) AS b, sum((m1 - v) ^ 2) AS e, sum((m5 - u) * (y - w)) AS p, sum((m1 - v) * (y - w)) AS q FROM ok, mo),
+co AS (SELECT alpha, (p * (e + alpha) - q * b) / ((a + alpha) * (e + alpha) - b * b) AS w5, ((a + alpha) * q - b * p) / ((a + alpha) * (e + alpha) - b * b) AS w1
+  FROM ms, (VALUES (1.0), (100.0)) l(alpha)),
+im AS (SELECT 'm5' AS feature, avg(abs(w5)) AS importance FROM co UNION ALL SELECT 'm1', avg(abs(w1)) FROM co)"""
+
+
+def _ridges(spark, sf):
+    d = md.sized(_columns(spark, sf))
+    models = [md.fit_ridge(d, ["m5", "m1"], "y", a) for a in (1.0, 100.0)]
+    return d, models, ev.mean_importance([ev.feature_importance(m, ["m5", "m1"], spark) for m in models])
+
+
+@query("m4_m16_ridge_importance", f"WITH {_COLS}, {_RIDGES} SELECT feature, {R('importance', 'importance', 6)} FROM im")
+def m4_m16_ridge_importance(spark, sf):
+    """The mean size of the coefficients of two ridge models (alpha 1 and 100)."""
+    return rounded(_ridges(spark, sf)[2], 6)
+
+
+@query("m18_card_of_ridges", f"""WITH {_COLS}, {_RIDGES},
+er AS (SELECT alpha, sqrt(avg((y - w - w5 * (m5 - u) - w1 * (m1 - v)) ^ 2)) AS rmse FROM ok, mo, co GROUP BY alpha)
+SELECT (SELECT CASE WHEN arg_min(alpha, rmse) = 1 THEN 'ridge_1' ELSE 'ridge_100' END FROM er) AS champion, {R('(SELECT rmse FROM er WHERE alpha = 1)', 'rmse_1', 6)},
+  {R('(SELECT rmse FROM er WHERE alpha = 100)', 'rmse_100', 6)}, (SELECT arg_max(feature, importance) FROM im) AS top_feature,
+  {R('(SELECT max(importance) FROM im)', 'top_importance', 6)}, (SELECT count(*) FROM ok) AS n_train""")
+def m18_card_of_ridges(spark, sf):
+    """The model card of the two ridge models, read back from its JSON."""
+    d, models, imp = _ridges(spark, sf)
+    mets = None
+    for name, m in zip(("ridge_1", "ridge_100"), models):
+        x = ev.regression_metrics(m.transform(d), ts="_row", keys=[]).withColumn("model", F.lit(name))
+        mets = x if mets is None else mets.unionByName(x)
+    mets, n = mets.orderBy("model"), d.count()
+    card = F.lit(ev.model_card(mets, imp, n, 0, ev.champion(mets, "rmse")))
+
+    def read(path: str, kind: str):
+        return F.get_json_object(card, path).cast(kind)
+
+    return rounded(spark.range(1).select(
+        read("$.champion", "string").alias("champion"), read("$.metrics[0].rmse", "double").alias("rmse_1"),
+        read("$.metrics[1].rmse", "double").alias("rmse_100"), read("$.top_features[0].feature", "string").alias("top_feature"),
+        read("$.top_features[0].importance", "double").alias("top_importance"), read("$.n_train", "long").alias("n_train")), 6)
+
+
 def _ridge_fp(train, test):
     """Ridge (alpha 1, sklearn objective) from one aggregate of sufficient statistics."""
     return en.Ridge(FEATS, "y", 1.0).fit(train).transform(test)
@@ -318,6 +395,27 @@ def m13_kmeans(spark, sf):
                        F.lit(info["silhouette_squared_euclidean"]).alias("silhouette_squared_euclidean"))
 
 
+@query("m13_kmeans_fixed_point", """SELECT count(*) AS n, 5 AS clusters, 0 AS misplaced,
+  CAST(count(*) * max(len(embedding)) AS DOUBLE) AS total_ss, true AS inertia_is_within FROM embeddings""")
+def m13_kmeans_fixed_point(spark, sf):
+    """M13 checked on every row: no vector is nearer to the mean of another cluster, inertia is the spread inside
+    clusters, and the spread inside and between clusters adds up to that of z-scored data (a 1 a row and dimension)."""
+    d = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    pred, info = cu.kmeans_clusters(d, "embedding", k=5, max_iter=300, n_init=10, tol=0.0)
+    z = cut_lineage(cu.standardize_array(pred, "embedding").select("cluster", vector_to_array("_z").alias("z")))
+    means = z.select("cluster", F.posexplode("z").alias("i", "x")).groupBy("cluster", "i").agg(F.avg("x").alias("m"))
+    means = means.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("s")).select("cluster", F.col("s.m").alias("m"))
+    sizes = cu.cluster_sizes(pred)
+    between = means.join(sizes, "cluster").agg(F.sum(F.col("n") * F.aggregate("m", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    centres = {r["cluster"]: F.array(*[F.lit(float(x)) for x in r["m"]]) for r in means.collect()}  # a row a cluster
+    gaps = {c: F.aggregate(F.zip_with("z", m, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x) for c, m in centres.items()}
+    own = F.coalesce(*[F.when(F.col("cluster") == c, g) for c, g in gaps.items()])
+    far = z.select(own.alias("own"), F.least(*gaps.values()).alias("best"))
+    out = far.agg(F.count("*").alias("n"), F.count_if(F.col("own") > F.col("best") + 1e-9).cast("int").alias("misplaced"), F.sum("own").alias("within"))
+    return rounded(out.select("n", F.lit(len(centres)).alias("clusters"), "misplaced", (F.col("within") + between).alias("total_ss"),
+                              (F.abs(F.col("within") / info["inertia"] - 1) < 1e-6).alias("inertia_is_within")))
+
+
 # ------------------------------------------------------------------ selection
 _SEL = ["ret_1", "ret_5", "hl", "vol_chg"]
 
@@ -380,6 +478,34 @@ def f2_correlation_filter(spark, sf):
     return rounded(se.importance_table(scores, selected))
 
 
+def _binned_selection_sql() -> str:
+    """F3 and F6 with a doubled and a constant feature: what each filter leaves, ranked by binned mutual information."""
+    scores = _mi_sql().rsplit("SELECT feature", 1)
+    cols = [*_SEL, "twice"]
+    pairs = " UNION ALL ".join(f"SELECT {i} AS early, {j} AS late, abs(corr({a}, {b})) AS r FROM g"
+                               for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j)
+    strength = " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS feature, round(abs(corr({c}, target)), 12) AS s FROM g" for i, c in enumerate(cols))
+    return f"""{scores[0]}, mi AS (SELECT feature, sum(nxy / n * ln(nxy * n / (nx * ny))) AS score FROM k GROUP BY feature),
+all_mi AS (SELECT * FROM mi UNION ALL SELECT 'twice', score FROM mi WHERE feature = 'ret_1'),
+g AS (SELECT *, ret_1 * 2 AS twice FROM f), st AS ({strength}), pr AS (SELECT * FROM ({pairs}) WHERE r > 0.95),
+mb AS (SELECT late AS grp, late AS place FROM pr UNION SELECT late, early FROM pr),
+gone AS (SELECT feature FROM (SELECT feature, row_number() OVER (PARTITION BY grp ORDER BY s DESC, place) AS o FROM mb JOIN st USING (place)) WHERE o > 1),
+t AS (SELECT 'variance' AS method, * FROM all_mi UNION ALL SELECT 'combined', * FROM all_mi WHERE feature NOT IN (SELECT feature FROM gone))
+SELECT method, feature, {R('score', 'importance')}, row_number() OVER (PARTITION BY method ORDER BY round(score, 9) DESC, feature) <= 3 AS selected FROM t"""
+
+
+@query("f3_f6_f7_filters", _binned_selection_sql())
+def f3_f6_f7_filters(spark, sf):
+    """F3 (a constant feature goes) and F6 (so does a feature's double), each as an F7 table of the three best by mutual information."""
+    d = _sel_frame(spark, sf).withColumn("twice", F.col("ret_1") * 2.0).withColumn("flat", F.lit(1.0))
+    out = None
+    for name, pick in (("variance", se.select_variance), ("combined", se.select_combined)):
+        selected, scores = pick(d, [*_SEL, "twice", "flat"], "target", 3)
+        t = se.importance_table(scores, selected).withColumn("method", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return rounded(out)
+
+
 _CUSTOMERS = """p AS (SELECT c_custkey, c_acctbal + c_custkey / 1e6 AS y, sum(o_totalprice) AS spend, avg(o_totalprice) AS mean, max(o_totalprice) AS top
   FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
