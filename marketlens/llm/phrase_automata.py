@@ -11,7 +11,9 @@ equal seeds wherever they stand, and about one phrase in 22 is a seed.
 3. Source passages are compiled to Aho-Corasick automata, sharded by seed, and the other documents' stretches with
    the same seeds stream through their shard's automaton. Where a phrase is found, the windows around it are
    compared with the shard's source windows word for word. A shard that many documents share is salted: its patterns are repeated for
-   each salt, its stretches dealt out by document. A task holds the patterns of one shard, never a group of documents.
+   each salt, its stretches dealt out by document. A phrase that is the seed of more source passages than a shard takes is split:
+   its passages and stretches are cut into runs of one second seed (the least of the window's other phrases in another order), and
+   each pair of seeds has a shard of its own. A task holds the patterns of one shard, never a group of documents.
 4. Covered words are united for each document and removed.
 """
 
@@ -26,19 +28,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import ship, text_of, written
+from marketlens.llm.common import discard, few, ship, text_of, written
 from marketlens.llm.hashing import buffers, grams, slices, word_hashes, words
 
 WINDOW, PHRASE = 50, 8
 #: Patterns of a shard, and stretches that one salt of a shard takes.
 SHARD_PATTERNS, SALT_STRETCHES = 2_000, 5_000
+#: Odd factor that puts phrase hashes in another order.
+REORDER = np.uint64(0x9E3779B97F4A7C15)
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 def _window_seeds(hashes: np.ndarray, window: int, phrase: int) -> np.ndarray:
     """Least phrase hash of the window that starts at each word (len - window + 1 of them)."""
-    x = grams(hashes, phrase)
-    n = window - phrase + 1  # phrases in a window
+    return _least(grams(hashes, phrase), window - phrase + 1)
+
+
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """Least of each n neighbours."""
     if len(x) < n:
         return np.zeros(0, np.uint64)
     span = 1
@@ -137,6 +144,46 @@ def _stretches(window: int, phrase: int):
     return emit
 
 
+def _splitter(window: int, phrase: int):
+    """Passages and stretches of one seed, cut into runs of windows with one second seed (part)."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got: list[tuple] = []
+            for seed, side, doc, h, lo, text in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                starts, ends, _ = words(raw, np.array([0, len(raw)]))
+                x = grams(word_hashes(raw, starts, ends), phrase)
+                other = np.where(x.view(np.int64) == seed, ~np.uint64(0), x * REORDER)
+                second = _least(other, window - phrase + 1).view(np.int64)
+                parts = text.encode().split()
+                edge = np.flatnonzero(np.concatenate([[True], second[1:] != second[:-1]]))
+                for a, b in zip(edge.tolist(), np.append(edge[1:], len(second)).tolist()):
+                    got.append((seed, int(second[a]), side, doc, h, lo + a, b" ".join(parts[a:b + window - 1]).decode()))
+            if got:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.string()))],
+                    names=["seed", "part", "side", "id", "h", "lo", "stretch"])
+
+    return split
+
+
+def _split_hot(found: DataFrame, window: int, phrase: int) -> DataFrame:
+    """``found`` (of ``written``), the rows of seeds with more than SHARD_PATTERNS source passages split; part is 0 in the others."""
+    hot = found.filter("side = 0").groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD_PATTERNS)
+    hot = written(hot.select("seed"), "hot")
+    if hot.isEmpty():
+        discard(hot)
+        return found
+    seeds = few(hot)
+    seeds = hot if seeds is None else seeds
+    parts = found.join(seeds, "seed", "left_semi").select("seed", "side", "id", "h", "lo", "stretch").mapInArrow(
+        _splitter(window, phrase), "seed long, part long, side int, id long, h binary, lo long, stretch string")
+    out = written(found.drop("part").join(seeds, "seed", "left_anti").withColumn("part", F.lit(0).cast("long")).unionByName(parts), "parts")
+    discard(found, hot)
+    return out
+
+
 def _word_starts(text: str) -> list[int]:
     out, at = [0], text.find(" ")
     while at >= 0:
@@ -258,17 +305,19 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     recurring = listed.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("seed")
     mine = listed.join(recurring, "seed").groupBy("id").agg(F.collect_set("seed").alias("seeds"))
     own = reps.select("id", "h").distinct()
-    texts = t.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(mine.join(own, "id"), ["id", "h"]).dropDuplicates(["id", "h"])
+    wanted = written(mine.join(own, "id"), "wanted")
+    texts = t.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(wanted, ["id", "h"]).dropDuplicates(["id", "h"])
     texts = written(texts.select("id", "h", "text", "seeds"), "candidates")
+    discard(scanned, wanted)
     seen = texts.select("id", "text", "seeds").mapInArrow(_windows(window, phrase), "w1 long, w2 long, id long")
     firsts = seen.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.max("id").alias("y")).filter("id < y")
     owned = firsts.groupBy("id").agg(F.collect_list("w1").alias("owned"))
     found = texts.join(owned, "id", "left").select("id", "h", "text", "seeds", "owned") \
         .mapInArrow(_stretches(window, phrase), "seed long, side int, id long, h binary, lo long, stretch string")
-    found = written(found, "stretches")
-    patterns = found.filter("side = 0").count()
-    shards = max(1, -(-patterns // SHARD_PATTERNS))
-    found = found.withColumn("shard", F.pmod(F.col("seed"), F.lit(shards)))
+    found = found.withColumn("part", F.lit(0).cast("long"))
+    stretches = _split_hot(written(found, "stretches"), window, phrase)
+    shards = max(1, -(-stretches.filter("side = 0").count() // SHARD_PATTERNS))
+    found = stretches.withColumn("shard", F.pmod(F.xxhash64("seed", "part"), F.lit(shards)))
     salts = found.filter("side = 1").groupBy("shard").agg(F.ceil(F.count("*") / SALT_STRETCHES).alias("salts"))
     found = found.join(salts, "shard")
     one = found.filter("side = 1").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
@@ -276,7 +325,9 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     dealt = each.unionByName(one).drop("salts").repartition("shard", "salt").sortWithinPartitions("shard", "salt", "side")
     ranges = dealt.mapInPandas(_search(window, phrase), "id long, h binary, a long, b long")
     ranges = ranges.groupBy("id", "h").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
-    return rows, texts.select("id", "h", "text").join(written(ranges, "ranges"), ["id", "h"])
+    ranges = written(ranges, "ranges")
+    discard(stretches)
+    return rows, texts.select("id", "h", "text").join(ranges, ["id", "h"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
