@@ -306,7 +306,9 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     mine = listed.join(recurring, "seed").groupBy("id").agg(F.collect_set("seed").alias("seeds"))
     own = reps.select("id", "h").distinct()
     wanted = written(mine.join(own, "id"), "wanted")
-    texts = t.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(wanted, ["id", "h"]).dropDuplicates(["id", "h"])
+    ids = few(wanted.select("id"))  # texts without a recurring seed stay where they lie
+    near = t if ids is None else t.join(ids, "id", "left_semi")
+    texts = near.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).join(wanted, ["id", "h"]).dropDuplicates(["id", "h"])
     texts = written(texts.select("id", "h", "text", "seeds"), "candidates")
     discard(scanned, wanted)
     seen = texts.select("id", "text", "seeds").mapInArrow(_windows(window, phrase), "w1 long, w2 long, id long")
