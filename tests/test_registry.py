@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 FAST = ["p3_batch_predict", "w13_rsi", "w21_all_indicators", "w9_feature_set", "w28_w30_targets",
         "v1_stock_contract", "a5_column_profile", "s6_bars_payload_roundtrip", "t1_t2_news_sentiment",
         "t3_a2_daily_sentiment", "a10_cross_asset_correlation", "a13_transition_matrix", "k4_ordered_split",
-        "a16_regression_metrics", "w33_grouped_rolling", "j2_merge_first_close", "st1_windowed_bars"]
+        "a16_regression_metrics", "w33_grouped_rolling", "j2_merge_first_close", "st1_windowed_bars",
+        "m1_m2_m3_trees_of_one_split", "m4_m16_ridge_importance", "m18_card_of_ridges", "m13_kmeans_fixed_point", "f3_f6_f7_filters"]
 
 
 def test_entry_smoke(spark):
