@@ -46,6 +46,23 @@ def test_gram_correlations_are_pairwise_complete(spark, monkeypatch):
     _check({(r.a, r.b): (r.correlation, r.n) for r in got}, pdf)
 
 
+def test_long_gram_tasks_hold_one_pair_of_blocks(spark, monkeypatch):
+    """No task makes the products of all pairs of blocks of its rows: with many columns those are larger than the input squared."""
+    def whole(*_):
+        raise AssertionError("all pairs of blocks at once")
+    monkeypatch.setattr(gram, "_blocks", whole)
+    monkeypatch.setattr(gram, "LONG_BLOCK", 4)
+    pdf = _holes(np.random.default_rng(4), 60, 14).drop(columns="c03")
+    pdf.iloc[:55, 5:9] = np.nan  # blocks that share few or no rows of a bucket
+    pdf.iloc[30:, 9:] = np.nan
+    long = spark.createDataFrame(pdf.reset_index().melt("index").dropna())
+    for cells, side in ((1 << 20, 64), (40, 1), (40, 1000)):  # one bucket, several in one split, several splits
+        monkeypatch.setattr(gram, "CELLS", cells)
+        monkeypatch.setattr(gram, "SIDE_BY_SIDE", side)
+        got = gram.long_correlations(long, "index", "variable", "value").collect()
+        _check({(r.a, r.b): (r.correlation, r.n) for r in got}, pdf)
+
+
 def test_profiles_merge(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"day": np.repeat([1, 2, 3], 400), "x": rng.normal(5, 2, 1200), "k": rng.integers(0, 900, 1200), "s": rng.choice(list("abcde"), 1200)})
