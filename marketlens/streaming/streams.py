@@ -4,7 +4,8 @@
   watermark passes its end, later rows for it are dropped. ``sentiment_windows``: sentiment per key and period the same
   way, and the empty periods between a key's periods by a stateful processor that remembers the last one.
 * ST2 ``dedup_urls``: ``dropDuplicatesWithinWatermark`` on the url. ``first_articles``: the earliest article of each url
-  by event time, held until the watermark has passed it, forgotten ``ttl`` later.
+  by event time, held until the watermark has passed it, forgotten ``ttl`` later; urls are dealt into buckets, so a batch
+  costs a few state calls for each bucket that it touches, not for each url.
 * ST3 ``running_ema``: per-key EMA in event-time order; rows wait in a state map by time bucket until the watermark
   passes them, so a batch reads and writes the buckets that it touches, not all that a key holds.
 
@@ -32,6 +33,8 @@ from marketlens.session import checkpoint_dir
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 #: Rows of a value of the waiting map, and the length of its time buckets.
 CHUNK_ROWS, BUCKET_SECONDS = 10_000, 3600
+#: Buckets that urls are dealt into.
+URL_BUCKETS = 1024
 
 
 @contextmanager
@@ -49,6 +52,29 @@ def _micros(column: pd.Series) -> np.ndarray:
     return pd.to_datetime(column).to_numpy().astype("datetime64[us]").astype(np.int64)
 
 
+def _packed(pdf: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state) -> pd.DataFrame | None:
+    """The frame that a value state of one binary holds, or None."""
+    if not state.exists():
+        return None
+    with pa.ipc.open_stream(state.get()[0]) as got:
+        return got.read_pandas()
+
+
+def _put(state, pdf: pd.DataFrame) -> None:
+    if len(pdf):
+        state.update((_packed(pdf),))
+    elif state.exists():
+        state.clear()
+
+
 def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
     """A file stream over a driver table; NTZ event time cast to TIMESTAMP (required by watermarks)."""
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
@@ -76,63 +102,68 @@ def dedup_urls(stream: DataFrame, url: str = "url", ts: str = "publishedAt", del
 
 
 def first_articles(stream: DataFrame, url: str = "url", ts: str = "publishedAt", order: str = "event_id", delay: str = "1 hour",
-                   ttl_seconds: int = 30 * 86400) -> DataFrame:
+                   ttl_seconds: int = 30 * 86400, buckets: int = URL_BUCKETS) -> DataFrame:
     """ST2: the earliest article of each url by (event time, ``order``), all columns, emitted once the watermark has passed it.
 
     Until then an earlier article that comes later takes its place; from then on further ones of the url are left out for
-    ``ttl_seconds`` of event time, after which the url's state is removed and the url counts as new. Rows behind the
-    watermark are late. A url without a value is a url. State: one row for each url that waits, one number for each that was emitted.
+    ``ttl_seconds`` of event time, after which the url counts as new. Rows behind the watermark are late. A url without a value
+    is a url. State of a bucket of urls: the row of each url that waits, and for each url that was emitted its name and a number,
+    removed with the next emission after its time or by a timer. A batch reads the buckets that it touches, so ``buckets`` should
+    grow with the urls of ``ttl_seconds``: some thousands of urls in each.
     """
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    columns = s.columns
+    columns, name, bucket = s.columns, f"{url}_name", f"{url}_bucket"
 
     class First(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.best = handle.getValueState("best", "t long, o long, row binary")
-            self.until = handle.getValueState("until", "ms long")
+            self.waiting = handle.getValueState("waiting", "rows binary")
+            self.emitted = handle.getValueState("emitted", "urls binary")
+            self.cleaning = handle.getValueState("cleaning", "ms long")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            now, found = timerValues.getCurrentWatermarkInMs(), None
-            seen = self.until.exists() and self.until.get()[0] > now
-            if self.until.exists() and not seen:  # forgotten, though its timer has yet to run
-                self.until.clear()
-            best = self.best.get() if self.best.exists() else None
+            now, best, emitted, new = timerValues.getCurrentWatermarkInMs(), _unpacked(self.waiting), _unpacked(self.emitted), False
+            seen = set() if emitted is None else set(emitted["name"][emitted["ms"] > now])
             for pdf in rows:
-                if seen:
-                    continue
-                t, o = _micros(pdf[ts]), pdf[order].to_numpy(np.int64)
-                ok = np.flatnonzero(t >= now * 1000)
-                if len(ok):
-                    i = ok[np.lexsort((o[ok], t[ok]))[0]]
-                    if best is None or (t[i], o[i]) < (best[0], best[1]):
-                        found = pa.RecordBatch.from_pandas(pdf.iloc[[i]], preserve_index=False)
-                        best = (int(t[i]), int(o[i]), None)
-            if found is not None:
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, found.schema) as out:
-                    out.write_batch(found)
-                self.best.update((best[0], best[1], sink.getvalue().to_pybytes()))
-                self.handle.registerTimer(best[0] // 1000 + 1)
+                pdf = pdf.drop(columns=bucket)[(_micros(pdf[ts]) >= now * 1000) & ~pdf[name].isin(seen).to_numpy()]
+                if len(pdf):
+                    new = True
+                    pdf = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
+                    pdf = pdf.iloc[np.lexsort((pdf[order].to_numpy(np.int64), _micros(pdf[ts])))]  # stable: of equal ones the one that waits
+                    best = pdf[~pdf[name].duplicated()]
+            if new:
+                _put(self.waiting, best)
+                self.handle.registerTimer(int(_micros(best[ts]).min()) // 1000 + 1)
             yield from ()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            now = timerValues.getCurrentWatermarkInMs()
-            if self.best.exists():
-                t, _, row = self.best.get()
-                if t < now * 1000:
-                    self.best.clear()
-                    self.until.update((t // 1000 + ttl_seconds * 1000,))
-                    self.handle.registerTimer(max(t // 1000 + ttl_seconds * 1000, now + 1))
-                    with pa.ipc.open_stream(row) as got:
-                        yield got.read_pandas()[columns]
-            elif self.until.exists() and self.until.get()[0] <= now:
-                self.until.clear()
+            now, best, emitted = timerValues.getCurrentWatermarkInMs(), _unpacked(self.waiting), _unpacked(self.emitted)
+            left = None if emitted is None else emitted[emitted["ms"] > now]
+            passed = np.zeros(0, bool) if best is None else _micros(best[ts]) < now * 1000
+            if passed.any():
+                out = best[passed]
+                until = _micros(out[ts]) // 1000 + ttl_seconds * 1000
+                added = pd.DataFrame({"name": out[name].to_numpy(), "ms": until})[until > now]
+                left = added if left is None else pd.concat([left, added], ignore_index=True)
+                rest = best[~passed]
+                _put(self.waiting, rest)
+                if len(rest):
+                    self.handle.registerTimer(int(_micros(rest[ts]).min()) // 1000 + 1)
+                yield out[columns]
+            if left is not None:
+                if passed.any() or len(left) < len(emitted):
+                    _put(self.emitted, left)
+                # one timer at a time that removes what has gone by, however often the bucket emits
+                if len(left) and not (self.cleaning.exists() and self.cleaning.get()[0] > now):
+                    self.cleaning.update((int(left["ms"].max()),))
+                    self.handle.registerTimer(int(left["ms"].max()))
 
         def close(self) -> None:
             pass
 
-    return s.groupBy(url).transformWithStateInPandas(First(), s.schema, "Append", "EventTime")
+    keyed = s.withColumn(name, F.coalesce(F.concat(F.lit("="), F.col(url).cast("string")), F.lit("")))
+    keyed = keyed.withColumn(bucket, F.pmod(F.xxhash64(name), F.lit(buckets)))
+    return keyed.groupBy(bucket).transformWithStateInPandas(First(), s.schema, "Append", "EventTime")
 
 
 def sentiment_windows(stream: DataFrame, text: str = "title", ts: str = "publishedAt", keys: Sequence[str] = ("symbol",), days: int = 1,

@@ -1,4 +1,6 @@
 """Streaming forms and model helpers on small inputs."""
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 
@@ -92,6 +94,54 @@ def test_first_article_is_the_earliest_whatever_the_order_of_files(spark, tmp_pa
     assert (out["title"] == "text " + out["event_id"].astype(str)).all()
 
 
+def test_first_articles_of_many_urls_make_few_state_calls(spark, tmp_path):
+    """State goes by buckets of urls; over many batches the kept rows are those of a state for each url."""
+    rng = np.random.default_rng(8)
+    n, day, hour = 3000, 86_400_000, 3_600_000
+    order = np.sort(rng.integers(0, 12 * day, n)) - rng.integers(0, 2 * hour, n)  # out of order, some late
+    order[-1] = 40 * day
+    pdf = pd.DataFrame({"url": rng.choice([*(f"u{i}" for i in range(400)), None], n), "ms": order // 60_000 * 60_000, "event_id": rng.permutation(n)})
+    pdf["publishedAt"], pdf["title"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(pdf["ms"], unit="ms"), "text " + pdf["event_id"].astype(str)
+    origin = int(pd.Timestamp("2024-01-01").value // 10**6)
+    files = [pdf.iloc[i:i + 250] for i in range(0, n - 1, 250)]
+    files[-1] = files[-1].iloc[:-1]
+    files.append(pdf.iloc[-1:])
+
+    def plain(ttl):
+        waiting, until, out, top = {}, {}, [], 0
+        for frame in [*files, None]:
+            now = max(0, top - hour)  # the watermark after the batch before
+            for u, ms, i in ([] if frame is None else frame[["url", "ms", "event_id"]].itertuples(index=False)):
+                u = u if isinstance(u, str) else None
+                at = (ms + origin, i)
+                if at[0] >= now and not until.get(u, 0) > now:
+                    waiting[u] = min(waiting.get(u, at), at)
+            for u in [u for u, at in waiting.items() if at[0] < now]:
+                ms, i = waiting.pop(u)
+                until[u] = ms + ttl
+                out.append(i)
+            if frame is not None:
+                top = max(top, int(frame["ms"].max()) + origin)
+        return sorted(out)
+
+    def drained(name, **kw):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        return st.run_to_table(st.first_articles(stream, **kw), name)
+
+    _files(tmp_path / "in", [f.drop(columns="ms") for f in files])
+    schema = "url string, event_id long, publishedAt timestamp_ntz, title string"
+    for ttl in (2 * 86400, 30 * 86400):
+        out = drained(f"first{ttl}", ttl_seconds=ttl, buckets=7).toPandas()
+        assert sorted(out["event_id"]) == plain(ttl * 1000)
+        assert (out["title"] == "text " + out["event_id"].astype(str)).all()
+        assert pdf.set_index("event_id")["publishedAt"].loc[out["event_id"]].tolist() == out["publishedAt"].tolist()
+    # the state's keys are buckets, not urls
+    drained("first_keys", ttl_seconds=86400 * 60, buckets=7)
+    base = max((p for p in (Path(st.checkpoint_dir(spark).removeprefix("file:")) / "streams").glob("first_keys-*")), key=lambda p: p.stat().st_mtime)
+    keys = spark.read.format("statestore").option("path", f"{base}/_checkpoint").option("stateVarName", "emitted").load()
+    assert 0 < keys.count() <= 7
+
+
 def test_sentiment_windows_equal_the_batch_form(spark, tmp_path):
     from pyspark.sql import functions as F
 
