@@ -63,6 +63,36 @@ def test_long_gram_tasks_hold_one_pair_of_blocks(spark, monkeypatch):
         _check({(r.a, r.b): (r.correlation, r.n) for r in got}, pdf)
 
 
+def test_long_gram_sends_parts_to_groups_of_blocks(spark, monkeypatch):
+    """With many blocks of columns a part goes to each group of blocks, not to each block: what is shuffled does not grow with the square of the columns."""
+    monkeypatch.setattr(gram, "LONG_BLOCK", 2)
+    monkeypatch.setattr(gram, "SIDE_BY_SIDE", 1)
+    monkeypatch.setattr(gram, "GROUPS", 7, raising=False)
+    pdf = _holes(np.random.default_rng(5), 40, 64).drop(columns="c03")  # 32 blocks, the last of one column
+    pdf.iloc[:35, 40:50] = np.nan  # groups that share few or no rows of a bucket
+    pdf.iloc[20:, 50:] = np.nan
+    long = spark.createDataFrame(pdf.reset_index().melt("index").dropna())
+    for cells, held in ((1 << 20, 1 << 22), (20, 1 << 22), (20, 200), (20, 1)):  # one bucket, several, narrower groups, one block each
+        monkeypatch.setattr(gram, "CELLS", cells)
+        monkeypatch.setattr(gram, "HELD", held, raising=False)
+        got = gram.long_correlations(long, "index", "variable", "value").collect()
+        _check({(r.a, r.b): (r.correlation, r.n) for r in got}, pdf)
+
+    def counts(*_):
+        def run(batches):
+            import pyarrow as pa
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(["sent"]), pa.array([""]), pa.array([0.0]), pa.array([b.num_rows])], names=["a", "b", "correlation", "n"])
+        return run
+
+    monkeypatch.setattr(gram, "CELLS", 1 << 20)
+    monkeypatch.setattr(gram, "HELD", 1 << 22, raising=False)
+    monkeypatch.setattr(gram, "_products", counts)
+    monkeypatch.setattr(gram, "_grouped", counts, raising=False)
+    sent = gram.long_correlations(long, "index", "variable", "value").agg(F.sum("n")).first()[0]
+    assert sent <= 32 * 9  # 32 parts, groups of four blocks or more
+
+
 def test_profiles_merge(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"day": np.repeat([1, 2, 3], 400), "x": rng.normal(5, 2, 1200), "k": rng.integers(0, 900, 1200), "s": rng.choice(list("abcde"), 1200)})
